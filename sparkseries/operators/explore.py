@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkseries.functions.values import series_key
-from sparkseries.model import FIELD, SLOT_TYPE_NAMES, TAG, SeriesError, columns_with_role, slot_for
-from sparkseries.operators.points import keys_of
+from sparkseries.model import FIELD, SLOT_TYPE_NAMES, SeriesError, columns_with_role, slot_for
+from sparkseries.operators.points import field_types_of, tag_keys_of
 from sparkseries.plans.conditions import is_regex, match, regex_body
 from sparkseries.plans.paging import page_distinct
 
@@ -36,7 +36,7 @@ def show_measurements(points: DataFrame, operator: str | None = None, pattern: s
 
 def show_tag_keys(points: DataFrame, measurement: str | None = None, *, limit: int = 0, offset: int = 0) -> DataFrame:
     """(measurement, key) in name order; limit and offset count within a measurement."""
-    keys = keys_of(_scope(points, measurement)).where(F.col("kind") == TAG).select("measurement", "key").distinct()
+    keys = tag_keys_of(_scope(points, measurement))
     if limit <= 0 and offset <= 0:
         return keys
     # The keys of a measurement are its columns, so this window is small.
@@ -88,8 +88,7 @@ def _key_matches(key: Column, wanted: Sequence[str]) -> Column:
 
 def show_field_keys(points: DataFrame, measurement: str | None = None) -> DataFrame:
     """(measurement, key, type) with the types integer, unsigned, float, string and boolean."""
-    found = keys_of(_scope(points, measurement))
-    return found.where((F.col("kind") == FIELD) & F.col("type").isNotNull()).select("measurement", "key", "type")
+    return field_types_of(_scope(points, measurement))
 
 
 def field_types(df: DataFrame) -> dict[str, str]:

@@ -79,23 +79,21 @@ def with_default_time(time_ns: Column, now: Column | None = None) -> Column:
     return F.coalesce(F.nullif(time_ns, F.lit(0).cast("bigint")), now_ns() if now is None else now)
 
 
-def keys_of(points: DataFrame) -> DataFrame:
-    """Distinct (measurement, kind, key, type) of all tags and fields.
+def tag_keys_of(points: DataFrame) -> DataFrame:
+    """Distinct (measurement, key) of all tags.
 
     Points of one shape share one key list, so the lists are made distinct
     before they are exploded: the shuffle carries shapes, not points.
     """
-    tag_items = F.transform(
-        F.map_keys("tags"), lambda k: F.struct(F.lit(TAG).alias("kind"), k.alias("key"), F.lit("tag").alias("type"))
-    )
-    field_items = F.transform(
-        F.map_entries("fields"),
-        lambda e: F.struct(F.lit(FIELD).alias("kind"), e["key"].alias("key"), value_type(e["value"]).alias("type")),
-    )
-    none = F.array().cast("array<struct<kind:string,key:string,type:string>>")
-    items = F.concat(F.coalesce(tag_items, none), F.coalesce(field_items, none))
-    shapes = points.select("measurement", F.array_sort(items).alias("items")).distinct()
-    return shapes.select("measurement", F.inline("items")).distinct()
+    shapes = points.select("measurement", F.map_keys("tags").alias("keys")).distinct()
+    return shapes.select("measurement", F.explode("keys").alias("key")).distinct()
+
+
+def field_types_of(points: DataFrame) -> DataFrame:
+    """Distinct (measurement, key, type) of all fields, combined before the shuffle."""
+    entries = points.select("measurement", F.explode("fields").alias("key", "__value"))
+    typed = entries.select("measurement", "key", value_type(F.col("__value")).alias("type"))
+    return typed.where(F.col("type").isNotNull()).distinct()
 
 
 def points_to_wide(
@@ -138,14 +136,14 @@ def points_to_wide(
 
 
 def _discover(rows: DataFrame, max_columns: int) -> tuple[list[str], dict[str, str]]:
-    found = keys_of(rows).limit(max_columns * 2 + 1).collect()
+    tagged = tag_keys_of(rows).select(F.lit(TAG).alias("kind"), "key", F.lit("tag").alias("type"))
+    typed = field_types_of(rows).select(F.lit(FIELD).alias("kind"), "key", "type")
+    found = tagged.unionByName(typed).limit(max_columns * 2 + 1).collect()
     tags = sorted({r["key"] for r in found if r["kind"] == TAG})
     fields: dict[str, str] = {}
     clash = set()
     for r in found:
-        if r["kind"] != FIELD or r["type"] is None:
-            continue
-        if fields.setdefault(r["key"], r["type"]) != r["type"]:
+        if r["kind"] == FIELD and fields.setdefault(r["key"], r["type"]) != r["type"]:
             clash.add(r["key"])
     if clash:
         raise SeriesError(f"fields with several types: {sorted(clash)}")

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkseries.functions.values import value_type
-from sparkseries.model import FIELD, TIME, TIME_NS, SeriesError, col
-from sparkseries.operators.points import keys_of
+from sparkseries.model import TIME, TIME_NS, SeriesError, col
+from sparkseries.operators.points import field_types_of
 
 REASONS = "reasons"
 
@@ -99,8 +99,7 @@ def split_rejects(points: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def type_conflicts(points: DataFrame) -> DataFrame:
     """(measurement, key, types) of fields that occur with more than one type."""
-    found = keys_of(points).where((F.col("kind") == FIELD) & F.col("type").isNotNull())
-    types = found.groupBy("measurement", "key").agg(F.array_sort(F.collect_set("type")).alias("types"))
+    types = field_types_of(points).groupBy("measurement", "key").agg(F.array_sort(F.collect_set("type")).alias("types"))
     return types.where(F.size("types") > 1)
 
 

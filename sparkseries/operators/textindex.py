@@ -27,18 +27,15 @@ def text_index(df: DataFrame, row_id: str, fields: Sequence[str]) -> DataFrame:
     for name in fields:
         if not isinstance(df.schema[name].dataType, T.StringType):
             raise SeriesError(f"field {name!r} is not a string")
-    entries = F.concat(
-        *(
-            F.transform(
-                F.coalesce(tokens_of(col(f)), F.array().cast("array<string>")),
-                lambda t, f=f: F.struct(t.alias("token"), F.lit(f).alias("field")),
-            )
-            for f in fields
-        )
-    )
+    entries = F.concat(*(_entries(name) for name in fields))
     return df.select(F.inline(entries), col(row_id).alias("row_id")).select("token", "field", "row_id")
 
 
+def _entries(field: str) -> Column:
+    words = F.coalesce(tokens_of(col(field)), F.array().cast("array<string>"))
+    return F.transform(words, lambda t: F.struct(t.alias("token"), F.lit(field).alias("field")))
+
+
 def write_text_index(index: DataFrame, path: str, *, buckets: int = 256, compression: str = "zstd") -> None:
     """Store an index by token bucket.
 
