@@ -57,13 +57,13 @@ from sparkseries.operators.quality import (
     type_conflicts,
 )
 from sparkseries.operators.retention import keep_retained, policies, policy_report, resolve_policy, shard_group
-from sparkseries.operators.templates import bind_templates, bound_points, parameters
+from sparkseries.operators.templates import bind_statement, bind_templates, bound_points, parameters
 from sparkseries.operators.textindex import search, text_index
 from sparkseries.plans.paging import page
 from sparkseries.session import scratch_folder
 from sparkseries.sources.documents import document_rows, result_documents, series_documents
 from sparkseries.sources.layout import SHARD, read_points, without_measurement, write_measurement, write_points
-from sparkseries.sources.lineproto import encode_points, good_points, parse_lines
+from sparkseries.sources.lineproto import encode_points, encode_table, good_points, parse_lines
 from sparkseries.streaming.ingest import ingested_points, line_stream, start_ingest
 
 SMALL = "/root/testdata/sf0.001"
@@ -736,12 +736,36 @@ def _(spark, d):
     )
 
 
+_SQL["bind_statement"] = _SQL["bind_templates"]
+
+
+@_register("bind_statement")
+def _(spark, d):
+    events = _events(spark, d).withColumn("id_text", F.col("event_id").cast("string"))
+    names = {"loc": "event_type", "locx": "user_id", "v": "value", "id": "id_text"}
+    text = "INSERT m,t=a_$loc_b-$locx value=$v,note=\"$id\""
+    return bound_points(bind_statement(events, text, names, keep=["event_id"])).select(
+        "event_id",
+        F.col("tags")["t"].alias("bound"),
+        F.col("fields")["value"]["f"].alias("value"),
+        F.col("fields")["note"]["s"].alias("note"),
+    )
+
+
 @_register(
     "lp_encode_events",
     "SELECT 'events,event_type=' || event_type || ',user_id=' || user_id || ' event_id=' || event_id || 'i,props=\"' || "
     "replace(props, '\"', '\\\"') || '\",value=' || regexp_replace(CAST(value AS VARCHAR), '\\.0$', '') || ' ' || epoch_ns(ts) "
     "AS line FROM events",
 )
+def _(spark, d):
+    return encode_table(_events(spark, d), "events", name="line")
+
+
+_SQL["lp_encode_points"] = _SQL["lp_encode_events"]
+
+
+@_register("lp_encode_points")
 def _(spark, d):
     return encode_points(_event_points(spark, d), "line")
 
@@ -751,7 +775,7 @@ def _(spark, d):
     "SELECT 'ev x' AS m, event_type, CAST(user_id AS VARCHAR) AS user_id, event_id, props, value, epoch_ns(ts) AS time_ns FROM events",
 )
 def _lp_roundtrip(spark, d):
-    lines = encode_points(wide_to_points(_events(spark, d), "ev x"))
+    lines = encode_table(_events(spark, d), "ev x")
     points = good_points(parse_lines(lines))
     return points.select(
         F.col("measurement").alias("m"),

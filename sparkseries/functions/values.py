@@ -15,12 +15,16 @@ INTEGER_TEXT = r"^[+-]?[0-9]+[iI]$"
 UNSIGNED_TEXT = r"^[0-9]+[uU]$"
 UNSIGNED_MAX = 18446744073709551615
 
-_DIGITS = "[0-9](?:_?[0-9])*+"
+# White space that is trimmed around lines and values.
+SPACES = " \t\n\x0b\x0c\r\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+_DIGITS = "[0-9]++(?:_[0-9]++)*+"
 _DECIMAL = rf"(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?"
 _HEX_DIGITS = "[0-9a-fA-F]"
 _HEX = rf"0[xX](?:{_HEX_DIGITS}++\.?{_HEX_DIGITS}*+|\.{_HEX_DIGITS}++)[pP][+-]?[0-9]++"
-FINITE_TEXT = rf"^[+-]?(?:{_HEX}|{_DECIMAL})$"
+FINITE_TEXT = rf"^[+-]?(?:{_DECIMAL}|{_HEX})$"
 INFINITE_TEXT = r"^(?i)[+-]?inf(?:inity)?$"
+NAN_TEXT = r"^(?i)nan$"
 EXPONENT_TEXT = r"^(-?)([0-9])\.([0-9]+)E(-?[0-9]+)$"
 
 
@@ -42,6 +46,10 @@ def string_slot(text: Column) -> Column:
     return slot_value("s", text)
 
 
+def trimmed(text: Column) -> Column:
+    return F.btrim(text, F.lit(SPACES))
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with the value computed once, however often the body names it."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
@@ -53,43 +61,46 @@ def infer_values(items: Column) -> Column:
     The order is integer, unsigned, boolean, float, else string.  Quoted text is
     always a string; a number that does not fit its type stays a string.
     """
-    typed = F.transform(items, _typed)
-    return F.transform(typed, lambda c: F.when(c["t"].isNotNull(), _slots(c)))
+    return F.transform(F.transform(items, _kind), lambda c: F.when(c["t"].isNotNull(), _slots(c)))
 
 
-def _typed(item: Column) -> Column:
-    text, bare = item["t"], ~item["q"]
-    body = F.substring(text, F.lit(1), F.length(text) - 1)
-    unsigned = F.when(bare & text.rlike(UNSIGNED_TEXT), body.try_cast("decimal(38,0)"))
-    finite = F.replace(text, F.lit("_"), F.lit("")).try_cast("double")
-    special = F.lower(F.ltrim(text, F.lit("+")))
-    number = (
-        F.when(bare & text.rlike(FINITE_TEXT), finite)
-        .when(bare & text.rlike(INFINITE_TEXT), F.when(text.startswith("-"), F.lit(float("-inf"))).otherwise(F.lit(float("inf"))))
-        .when(bare & (special == "nan") & ~text.startswith("+"), F.lit(float("nan")))
-    )
-    truth = F.when(bare & text.isin(*TRUE_WORDS), F.lit(True)).when(bare & text.isin(*FALSE_WORDS), F.lit(False))
-    return F.struct(
-        text.alias("t"),
-        F.when(bare & text.rlike(INTEGER_TEXT), body.try_cast("bigint")).alias("i"),
-        unsigned.alias("u"),
-        number.alias("f"),
-        truth.alias("b"),
-        (bare & text.rlike("[0-9]")).alias("digits"),
+_S, _F, _I, _U, _B, _INF, _NAN = range(7)
+
+
+def _kind(item: Column) -> Column:
+    """The text with a code for what it looks like; the most common forms are tried first."""
+    text = item["t"]
+    kind = (
+        F.when(item["q"], _S)
+        .when(text.rlike(FINITE_TEXT), _F)
+        .when(text.rlike(INTEGER_TEXT), _I)
+        .when(text.isin(*TRUE_WORDS, *FALSE_WORDS), _B)
+        .when(text.rlike(UNSIGNED_TEXT), _U)
+        .when(text.rlike(INFINITE_TEXT), _INF)
+        .when(text.rlike(NAN_TEXT), _NAN)
+        .otherwise(_S)
     )
+    return F.struct(text.alias("t"), kind.alias("kind"))
 
 
 def _slots(c: Column) -> Column:
-    unsigned = F.when(c["u"] <= F.lit(str(UNSIGNED_MAX)).cast("decimal(20,0)"), c["u"])
-    # Digits that overflow a double are no number; the word for infinity is.
-    number = F.when(~(c["digits"] & (F.abs(c["f"]) == float("inf"))), c["f"])
-    text = F.when(F.coalesce(c["i"].isNull() & unsigned.isNull() & number.isNull() & c["b"].isNull(), F.lit(True)), c["t"])
+    text, kind = c["t"], c["kind"]
+    body = F.substring(text, F.lit(1), F.length(text) - 1)
+    finite = F.replace(text, F.lit("_"), F.lit("")).try_cast("double")
+    infinite = F.when(text.startswith("-"), float("-inf")).otherwise(float("inf"))
+    largest = F.lit(str(UNSIGNED_MAX)).cast("decimal(20,0)")
+    # Digits that do not fit the number type leave the text a string.
+    overflow = (
+        F.when(kind == _I, (F.length(text) > 18) & body.try_cast("bigint").isNull())
+        .when(kind == _U, (F.length(text) > 19) & ~F.coalesce(body.try_cast("decimal(38,0)") <= largest, F.lit(False)))
+        .when(kind == _F, F.abs(finite) == float("inf"))
+    )
     return F.struct(
-        c["i"].alias("i"),
-        unsigned.cast(SLOTS["u"]).alias("u"),
-        number.alias("f"),
-        text.alias("s"),
-        c["b"].alias("b"),
+        F.when(kind == _I, body.try_cast("bigint")).alias("i"),
+        F.when((kind == _U) & ~overflow, body.try_cast("decimal(38,0)")).cast(SLOTS["u"]).alias("u"),
+        F.when((kind == _F) & ~overflow, finite).when(kind == _INF, infinite).when(kind == _NAN, float("nan")).alias("f"),
+        F.when(F.coalesce(overflow, kind == _S), text).alias("s"),
+        F.when(kind == _B, text.isin(*TRUE_WORDS)).alias("b"),
     )
 
 
@@ -101,8 +112,7 @@ def infer_value(text: Column) -> Column:
         inner = F.substring(value, F.lit(2), F.length(value) - 2)
         return F.struct(F.when(quoted, inner).otherwise(value).alias("t"), F.coalesce(quoted, F.lit(False)).alias("q"))
 
-    trimmed = F.regexp_replace(text, r"^\s+|\s+$", "")
-    return F.get(infer_values(F.transform(F.array(trimmed), split_quotes)), F.lit(0))
+    return F.get(infer_values(F.transform(F.array(trimmed(text)), split_quotes)), F.lit(0))
 
 
 def value_type(value: Column) -> Column:
@@ -115,13 +125,16 @@ def value_type(value: Column) -> Column:
 def plain_double(value: Column) -> Column:
     """Shortest decimal text without exponent: 5.0 is ``5``, 1.0E21 has 21 zeros."""
 
-    def spell(text: Column) -> Column:
-        cut = F.split(F.regexp_replace(text, EXPONENT_TEXT, "$1\n$2\n$3\n$4"), "\n")
-        long = F.when(text.contains("E"), let(cut, _without_exponent))
-        return F.coalesce(long, F.regexp_replace(text, r"\.0$", ""))
-
-    infinite = F.when(value == float("inf"), "+Inf").when(value == float("-inf"), "-Inf")
-    return F.when(F.isnan(value), "NaN").otherwise(F.coalesce(infinite, let(value.cast("string"), spell)))
+    text = value.cast("string")
+    cut = F.split(F.regexp_replace(text, EXPONENT_TEXT, "$1\n$2\n$3\n$4"), "\n")
+    return (
+        F.when(F.isnan(value), "NaN")
+        .when(value == float("inf"), "+Inf")
+        .when(value == float("-inf"), "-Inf")
+        .when(text.contains("E"), let(cut, _without_exponent))
+        .when(text.endswith(".0"), F.substring(text, F.lit(1), F.length(text) - 2))
+        .otherwise(text)
+    )
 
 
 def _without_exponent(part: Column) -> Column:

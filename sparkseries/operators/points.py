@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Iterable, Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -65,8 +67,10 @@ def _map_of(items: list[tuple[str, Column]], data_type) -> Column:
     if not items:
         empty = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
         return empty.cast(data_type) if data_type == TAGS_TYPE else _no_fields()
-    built = F.map_from_arrays(F.array(*(F.lit(k) for k, _ in items)), F.array(*(v for _, v in items)))
-    return F.map_filter(built, lambda k, v: v.isNotNull())
+    full = F.create_map(*(part for k, v in items for part in (F.lit(k), v)))
+    complete = reduce(operator.and_, [v.isNotNull() for _, v in items])
+    # Most rows have every column; only the others pay for the filter.
+    return F.when(complete, full).otherwise(F.map_filter(full, lambda k, v: v.isNotNull()))
 
 
 def _no_fields() -> Column:

@@ -6,13 +6,23 @@ parsed again, so separators and quotes in it stay part of one value.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import re
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkseries.functions.values import entries_map, let, slot_of_column, string_slot, value_text
-from sparkseries.model import FIELDS_TYPE, SLOT_DDL, TAGS_TYPE, SeriesError, col
+from sparkseries.functions.values import (
+    entries_map,
+    general_double,
+    let,
+    slot_of_column,
+    slot_value,
+    string_slot,
+    value_text,
+)
+from sparkseries.model import FIELDS_TYPE, SLOT_DDL, SLOTS, TAGS_TYPE, TIME_NS, SeriesError, col, slot_for
+from sparkseries.sources.lineproto import insert_lines, parse_lines, require_clean
 
 UNRESOLVED = "unresolved"
 _NAME = "[A-Za-z0-9_]"
@@ -162,3 +172,104 @@ def bound_points(bound: DataFrame) -> DataFrame:
 
 def unresolved_points(bound: DataFrame) -> DataFrame:
     return bound.where(F.size(UNRESOLVED) > 0)
+
+
+# --------------------------------------------------------------------------
+# one statement for all rows
+
+
+def bind_statement(df: DataFrame, statement: str, names: Mapping[str, str], keep: Iterable[str] = ()) -> DataFrame:
+    """Points of one statement text bound to every row of ``df``, with ``{parameter: column}``.
+
+    The text is read once, so each placeholder becomes a column reference and a
+    row costs no text search.  A placeholder without a parameter is an error; a
+    row where a parameter is null names it in ``unresolved``.
+    """
+    spark = df.sparkSession
+    text = spark.createDataFrame([(statement,)], "command string")
+    lines = insert_lines(text) if re.match(r"\s*insert\b", statement, re.I) else text.select(
+        F.explode(F.split("command", "\n")).alias("value")
+    )
+    points = require_clean(parse_lines(lines)).select("measurement", "tags", "fields", TIME_NS).collect()
+    if not points:
+        raise SeriesError("no point in the statement")
+    binder = _Binder(df, names)
+    bound = [binder.point(p["measurement"], p["tags"], p["fields"], p[TIME_NS]) for p in points]
+    return df.select(*(col(k) for k in keep), F.inline(F.array(*bound)))
+
+
+class _Binder:
+    """Columns for the texts of a template, over one DataFrame of parameters."""
+
+    def __init__(self, df: DataFrame, names: Mapping[str, str]):
+        types = {f.name: f.dataType for f in df.schema.fields}
+        self.slots = {n: slot_of_column(col(c), types[c]) for n, c in names.items() if n}
+        self.columns = {n: (col(c), slot_for(types[c])) for n, c in names.items() if n}
+        self.used: dict[str, None] = {}
+
+    def text(self, text: str) -> Column:
+        parts = [F.lit(piece) if literal else self._spliced(piece) for literal, piece in self._pieces(text)]
+        return parts[0] if len(parts) == 1 else F.concat(*parts)
+
+    def _pieces(self, text: str) -> list[tuple[bool, str]]:
+        if not self.columns or "$" not in text:
+            return [(True, text)]
+        head, *rest = text.split("$")
+        pieces = [(True, head)] if head else []
+        for piece in rest:
+            known = max((n for n in self.columns if piece.startswith(n)), key=len, default=None)
+            if known is not None:
+                self.used[known] = None
+                pieces.append((False, known))
+                piece = piece[len(known) :]
+            else:
+                word = re.match(f"{_NAME}*", piece)[0]
+                if word:
+                    raise SeriesError(f"unresolved parameter ${word}")
+                piece = "$" + piece
+            if piece:
+                pieces.append((True, piece))
+        return pieces
+
+    def _spliced(self, name: str) -> Column:
+        column, slot = self.columns[name]
+        if slot == "f":
+            return general_double(column.cast("double"))
+        return F.when(column, "true").when(~column, "false") if slot == "b" else column.cast("string")
+
+    def field(self, slots) -> Column:
+        text = slots["s"]
+        if text is not None and self.columns:
+            whole = re.fullmatch(rf"\$({_NAME}+)", text)
+            if whole:
+                if whole[1] not in self.slots:
+                    raise SeriesError(f"parameter ${whole[1]} not found")
+                self.used[whole[1]] = None
+                return self.slots[whole[1]]
+            if "$" in text:
+                return string_slot(self.text(text))
+        slot = next(s for s in SLOTS if slots[s] is not None)
+        return slot_value(slot, F.lit(str(slots[slot])) if slot == "u" else F.lit(slots[slot]))
+
+    def point(self, measurement: str, tags: Mapping[str, str], fields: Mapping, time_ns: int | None) -> Column:
+        self.used = {}
+        name = self.text(measurement)
+        tag_map = self._map([(k, self.text(v)) for k, v in tags.items()], TAGS_TYPE)
+        field_map = self._map([(k, self.field(v)) for k, v in fields.items()], FIELDS_TYPE)
+        missing = [F.when(self.columns[n][0].isNull(), F.lit("$" + n)) for n in self.used]
+        return F.struct(
+            name.alias("measurement"),
+            tag_map.alias("tags"),
+            field_map.alias("fields"),
+            F.lit(time_ns).cast("bigint").alias(TIME_NS),
+            F.array_compact(F.array(*missing).cast(_NO_NAMES)).alias(UNRESOLVED),
+        )
+
+    def _map(self, items: list[tuple[str, Column]], data_type) -> Column:
+        if not items:
+            return F.map_from_arrays(F.array().cast(_NO_NAMES), F.array().cast(_NO_NAMES)).cast(data_type)
+        if any("$" in k for k, _ in items) and self.columns:
+            # Bound keys may meet, and may be null where a parameter is.
+            keys = F.array(*(F.coalesce(self.text(k), F.lit(k)) for k, _ in items))
+            return entries_map(keys, F.array(*(v for _, v in items))).cast(data_type)
+        return F.create_map(*(x for k, v in items for x in (F.lit(k), v))).cast(data_type)

@@ -8,12 +8,28 @@ length is matched without recursion or backtracking.
 
 from __future__ import annotations
 
+import operator
+from collections.abc import Iterable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkseries.functions.timefns import from_precision
-from sparkseries.functions.values import entries_map, infer_values, plain_double
-from sparkseries.model import FIELDS_TYPE, TAGS_TYPE, TIME_NS, SeriesError, col
+from sparkseries.functions.timefns import epoch_ns, from_precision
+from sparkseries.functions.values import entries_map, infer_values, plain_double, trimmed
+from sparkseries.model import (
+    FIELD,
+    FIELDS_TYPE,
+    TAG,
+    TAGS_TYPE,
+    TIME_NS,
+    SeriesError,
+    col,
+    columns_with_role,
+    require_name,
+    slot_for,
+    time_column,
+)
 
 REASON = "reason"
 
@@ -36,10 +52,6 @@ BAD_TIME = "timestamp out of range"
 EMPTY_KEY = "empty tag or field name"
 
 
-def _trim(text: Column) -> Column:
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
-
-
 def _unescape(text: Column) -> Column:
     return F.when(text.contains("\\"), F.regexp_replace(text, r"\\(.)", "$1")).otherwise(text)
 
@@ -50,10 +62,11 @@ def _unquote(text: Column) -> Column:
 
 
 def _field_values(tokens: Column) -> Column:
-    cleaned = F.transform(
-        tokens, lambda token: F.struct(_unquote(token).alias("t"), token.startswith('"').alias("q"))
-    )
-    return infer_values(F.transform(cleaned, lambda c: F.struct(F.when(c["q"], c["t"]).otherwise(_trim(c["t"])).alias("t"), c["q"])))
+    def clean(token: Column) -> Column:
+        quoted, bare = token.startswith('"'), _unquote(token)
+        return F.struct(F.when(quoted, bare).otherwise(trimmed(bare)).alias("t"), quoted.alias("q"))
+
+    return infer_values(F.transform(tokens, clean))
 
 
 def parse_lines(df: DataFrame, text: str = "value", *, precision: str | Column = "ns") -> DataFrame:
@@ -64,7 +77,7 @@ def parse_lines(df: DataFrame, text: str = "value", *, precision: str | Column =
     dropped.  Use :func:`good_points` and :func:`rejected_lines` to split the
     result, or :func:`require_clean` to refuse any bad line.
     """
-    line = _trim(col(text))
+    line = trimmed(col(text))
     lines = df.withColumn("__line", line).where(F.length("__line") > 0)
     single = F.when(~F.col("__line").contains("\n"), F.col("__line"))
     sections = lines.withColumn(
@@ -143,14 +156,14 @@ def read_lines(spark: SparkSession, path: str, **options) -> DataFrame:
 
 def insert_lines(df: DataFrame, text: str = "command") -> DataFrame:
     """The lines of ``INSERT`` statements, numbered from 1 in ``line_no``; other statements give no rows."""
-    trimmed = _trim(col(text))
+    trimmed = trimmed(col(text))
     body = F.regexp_extract(trimmed, r"(?is)^insert(.*+)$", 1)
-    lines = F.posexplode(F.split(_trim(body), "\n"))
+    lines = F.posexplode(F.split(trimmed(body), "\n"))
     return (
         df.where(trimmed.rlike("(?i)^insert"))
         .select(*(col(c) for c in df.columns), lines.alias("line_no", "value"))
         .withColumn("line_no", F.col("line_no") + 1)
-        .where(F.length(_trim(F.col("value"))) > 0)
+        .where(F.length(trimmed(F.col("value"))) > 0)
     )
 
 
@@ -201,6 +214,61 @@ def encode_points(points: DataFrame, name: str = "value") -> DataFrame:
     return points.select(F.explode(F.array_compact(F.array(line))).alias(name))
 
 
+def encode_table(
+    df: DataFrame,
+    measurement: str,
+    *,
+    time: str | None = None,
+    tags: Iterable[str] | None = None,
+    fields: Iterable[str] | None = None,
+    name: str = "value",
+) -> DataFrame:
+    """Lines of a measurement table, the same as :func:`encode_points` gives for its points.
+
+    The columns are known, so keys are escaped and ordered once and a row is a
+    plain concatenation.
+    """
+    require_name(measurement, "measurement")
+    time = time or time_column(df)
+    tags = sorted(tags if tags is not None else columns_with_role(df, TAG))
+    fields = sorted(fields if fields is not None else columns_with_role(df, FIELD))
+    types = {f.name: f.dataType for f in df.schema.fields}
+    if not fields:
+        raise SeriesError("no field")
+
+    def key(text: str, specials: str) -> str:
+        return "".join("\\" + c if c in specials else c for c in text)
+
+    def token(column: Column, slot: str) -> Column:
+        if slot == "s":
+            return F.concat(F.lit('"'), _escape_where(column, r'["\\]', r'(["\\])'), F.lit('"'))
+        if slot == "f":
+            return plain_double(column.cast("double"))
+        if slot == "b":
+            return F.when(column, "T").when(~column, "F")
+        return F.concat(column.cast("string"), F.lit(slot))
+
+    head = F.concat(
+        F.lit(key(measurement, "\\, ")),
+        *(
+            F.coalesce(
+                F.concat(F.lit("," + key(t, "\\, =") + "="), _escape_where(col(t).cast("string"), r"[\\, =]", r"([\\, =])")),
+                F.lit(""),
+            )
+            for t in tags
+        ),
+    )
+    parts = [F.concat(F.lit(key(f, '\\, ="') + "="), token(col(f), slot_for(types[f]))) for f in fields]
+    stamp = F.concat(F.lit(" "), F.nullif(epoch_ns(df, time), F.lit(0).cast("bigint")).cast("string"))
+    line = F.concat(head, F.lit(" "), F.concat_ws(",", *parts), F.coalesce(stamp, F.lit("")))
+    some = reduce(operator.or_, [col(f).isNotNull() for f in fields])
+    return df.where(some).select(line.alias(name))
+
+
+def _escape_where(text: Column, found: str, taken: str) -> Column:
+    return F.when(text.rlike(found), F.regexp_replace(text, taken, r"\\$1")).otherwise(text)
+
+
 def write_lines(points: DataFrame, path: str, *, compression: str = "none", mode: str = "errorifexists") -> None:
     """Write points as text; values with a line break cannot be written and raise an error."""
     lines = encode_points(points)
