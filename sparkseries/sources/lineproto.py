@@ -156,11 +156,11 @@ def read_lines(spark: SparkSession, path: str, **options) -> DataFrame:
 
 def insert_lines(df: DataFrame, text: str = "command") -> DataFrame:
     """The lines of ``INSERT`` statements, numbered from 1 in ``line_no``; other statements give no rows."""
-    trimmed = trimmed(col(text))
-    body = F.regexp_extract(trimmed, r"(?is)^insert(.*+)$", 1)
+    command = trimmed(col(text))
+    body = F.regexp_extract(command, r"(?is)^insert(.*+)$", 1)
     lines = F.posexplode(F.split(trimmed(body), "\n"))
     return (
-        df.where(trimmed.rlike("(?i)^insert"))
+        df.where(command.rlike("(?i)^insert"))
         .select(*(col(c) for c in df.columns), lines.alias("line_no", "value"))
         .withColumn("line_no", F.col("line_no") + 1)
         .where(F.length(trimmed(F.col("value"))) > 0)
