@@ -1,0 +1,368 @@
+"""Retention, layouts, text index, documents and streaming ingest on files."""
+
+from __future__ import annotations
+
+import glob
+import json
+import os
+
+import pytest
+from helpers import plan_text, point
+from pyspark.sql import functions as F
+
+from sparkseries.model import SeriesError, with_roles
+from sparkseries.operators.points import wide_to_points
+from sparkseries.operators.retention import (
+    duration_column_ns,
+    duration_column_text,
+    keep_retained,
+    policies,
+    policies_from_results,
+    policy_report,
+    resolve_policy,
+    shard_group,
+)
+from sparkseries.operators.textindex import lookup, query_tokens, read_text_index, search, text_index, write_text_index
+from sparkseries.session import apply_settings, scratch_folder
+from sparkseries.sources.documents import (
+    document_rows,
+    parse_documents,
+    result_documents,
+    series_documents,
+)
+from sparkseries.sources.layout import (
+    SHARD,
+    drop_measurement_partitions,
+    read_points,
+    shard_of,
+    without_measurement,
+    write_measurement,
+    write_points,
+)
+from sparkseries.streaming.ingest import (
+    compact_points,
+    count_by_bucket,
+    ingested_points,
+    line_stream,
+    outcomes,
+    start_ingest,
+    write_batch,
+)
+
+DAY = 86_400 * 10**9
+WEEK = 7 * DAY
+
+
+# --------------------------------------------------------------------------
+# retention
+
+
+def test_durations_in_columns(spark):
+    df = spark.createDataFrame([("300d",), ("7200h0m0s",), ("2h",), ("90m5s",), (None,)], "d string")
+    rows = df.select(duration_column_ns(F.col("d")).alias("ns")).select("ns", duration_column_text(F.col("ns"))).collect()
+    assert [tuple(r) for r in rows] == [
+        (300 * DAY, "7200h0m0s"),
+        (300 * DAY, "7200h0m0s"),
+        (DAY // 12, "2h0m0s"),
+        (5405 * 10**9, "1h30m5s"),
+        (None, None),
+    ]
+    for wrong in ("0", "1", "0s", "3 d"):
+        with pytest.raises(Exception, match="invalid duration"):
+            spark.createDataFrame([(wrong,)], "d string").select(duration_column_ns(F.col("d"))).collect()
+
+
+@pytest.fixture
+def rules(spark):
+    return policies(
+        spark,
+        [
+            {"db": "d", "name": "short", "duration": "3d", "shard_group_duration": "1h", "index_duration": "7h", "is_default": True},
+            {"db": "d", "name": "ever"},
+        ],
+    )
+
+
+def test_retention(spark, rules):
+    rows = [("d", "short", 10 * DAY - 3 * DAY), ("d", "short", 10 * DAY - 3 * DAY - 1), ("d", "ever", 0), ("d", "unknown", 0), ("e", "short", 0)]
+    df = spark.createDataFrame(rows, "db string, rp string, time_ns bigint")
+    kept = keep_retained(df, rules, 10 * DAY)
+    assert sorted(tuple(r) for r in kept.collect()) == sorted([rows[0], *rows[2:]])
+    assert "BroadcastHashJoin" in plan_text(kept), "the few policies are broadcast by their size"
+    with pytest.raises(SeriesError):
+        policies(spark, [{"db": "d", "name": "bad", "duration": "0"}])
+
+
+def test_shards_and_defaults(spark, rules):
+    df = spark.createDataFrame([(-1,), (0,), (WEEK - 1,), (WEEK,)], "t bigint")
+    assert [r[0] for r in df.select(shard_group(F.col("t"), "7d")).collect()] == [-1, 0, 0, 1]
+    named = spark.createDataFrame([("d", ""), ("d", None), ("d", "x"), ("e", "")], "db string, rp string")
+    assert [r["rp"] for r in resolve_policy(named, rules).orderBy("db", "rp").collect()] == ["short", "short", "x", "autogen"]
+    assert {r["rp"] for r in resolve_policy(named).collect()} == {"autogen", "x"}
+
+
+def test_policy_report(spark, rules):
+    points = spark.createDataFrame([("d", "short", 5), ("d", "short", 9)], "db string, rp string, time_ns bigint")
+    rows = {r["name"]: r for r in policy_report(points, rules).collect()}
+    assert (rows["short"]["row_count"], rows["short"]["min_time"], rows["short"]["max_time"]) == (2, 5, 9)
+    assert (rows["short"]["duration"], rows["short"]["shard_group_duration"], rows["short"]["index_duration"]) == ("72h0m0s", "1h0m0s", "7h0m0s")
+    assert (rows["ever"]["duration"], rows["ever"]["row_count"], rows["ever"]["min_time"]) == (None, 0, None)
+    results = spark.createDataFrame(
+        [
+            ("d", ["autogen", "0s", "168h0m0s", "0s", "0s", "168h0m0s", "1", "true"]),
+            ("d", ["bad", "0s", "168h0m0s", "0s", "0s", "168h0m0s", "one", "true"]),
+            ("d", ["short row"]),
+        ],
+        "db string, values array<string>",
+    )
+    (row,) = policies_from_results(results).collect()
+    assert (row["name"], row["replica_num"], row["is_default"]) == ("autogen", 1, True)
+
+
+# --------------------------------------------------------------------------
+# layout
+
+
+@pytest.fixture
+def sample(lines):
+    return lines(
+        f"cpu,host=a v=1 {DAY}",
+        f"cpu,host=b v=2 {8 * DAY}",
+        f"cpu,host=a v=3 {15 * DAY}",
+        f"001,host=a v=4 {DAY}",
+    )
+
+
+@pytest.mark.parametrize("compression", ["none", "gzip", "zstd", "snappy"])
+def test_points_are_stored_by_scope(spark, sample, tmp_path, compression):
+    path = str(tmp_path / "points")
+    write_points(sample, path, db="db0", compression=compression)
+    write_points(sample.where("measurement = 'cpu'"), path, db="db0", rp="week", compression=compression)
+    write_points(sample.where("false"), path, db="db0")
+    assert read_points(spark, path, "db0").count() == 4
+    assert read_points(spark, path, "db0", "week").count() == 3
+    assert read_points(spark, path, "db0", "none").count() == 0
+    digits = read_points(spark, path, "db0", measurement="001")
+    assert [r["measurement"] for r in digits.collect()] == ["001"]
+    ranged = read_points(spark, path, "db0", measurement="cpu", start=8 * DAY, end=15 * DAY)
+    assert [point(r)[2]["v"] for r in ranged.collect()] == [("f", 2.0)]
+    plan = plan_text(ranged)
+    filters = plan[plan.index("PartitionFilters") : plan.index("PushedFilters")]
+    for column in ("db", "rp", "measurement", "shard_group"):
+        assert column in filters
+    assert "GreaterThanOrEqual(time_ns" in plan
+    with pytest.raises(SeriesError):
+        write_points(sample, path, db="db0", compression="lzo")
+    with pytest.raises(SeriesError, match="database"):
+        write_points(sample, path)
+
+
+def test_write_skips_points_without_fields_and_sets_missing_times(spark, lines, tmp_path):
+    path = str(tmp_path / "points")
+    points = lines("m,t=a f=1", "m,t=b f=1 5")
+    bare = points.withColumn("fields", F.map_filter("fields", lambda k, v: F.lit(False)))
+    write_points(points.unionByName(bare), path, db="d", rp="")
+    stored = read_points(spark, path, "d")
+    assert stored.count() == 2 and stored.where("time_ns > 1000000000000000000").count() == 1
+
+
+def test_dropping_a_measurement(spark, sample, tmp_path):
+    path = str(tmp_path / "points")
+    write_points(sample, path, db="db0")
+    kept = without_measurement(read_points(spark, path, "db0"), "db0", "", "cpu")
+    assert [r["measurement"] for r in kept.collect()] == ["001"]
+    assert without_measurement(sample.withColumn("db", F.lit("db0")).withColumn("rp", F.lit("autogen")), "db0", "", "nope").count() == 4
+    for args in (("", "", "cpu"), ("db0", "", "")):
+        with pytest.raises(SeriesError):
+            without_measurement(sample, *args)
+
+
+def test_dropping_partitions_of_a_table(spark, sample):
+    spark.sql("DROP TABLE IF EXISTS stored_points")
+    placed = sample.select("time_ns", F.lit("db0").alias("db"), F.lit("autogen").alias("rp"), "measurement", shard_group(F.col("time_ns")).alias("shard_group"))
+    placed.write.partitionBy("db", "rp", "measurement", "shard_group").saveAsTable("stored_points")
+    try:
+        assert drop_measurement_partitions(spark, "stored_points", "db0", "", "cpu") == 3
+        assert drop_measurement_partitions(spark, "stored_points", "db0", "", "cpu") == 0
+        assert [r["measurement"] for r in spark.table("stored_points").collect()] == ["001"]
+    finally:
+        spark.sql("DROP TABLE IF EXISTS stored_points")
+
+
+@pytest.mark.parametrize("shard_type", ["HASH", "RANGE", None])
+def test_measurement_layout(spark, tmp_path, shard_type):
+    df = spark.range(1_000).selectExpr("id AS time", "CASE WHEN id % 3 = 0 THEN 'hot' ELSE CONCAT('t', id % 50) END AS tag1", "id AS f_int64", "CAST(id AS double) AS f_float", "CONCAT('s', 999 - id) AS f_string")
+    table = with_roles(df, time="time", tags=["tag1"], fields=["f_int64", "f_float", "f_string"])
+    declared = {"f_int64": "INT64", "f_float": "FLOAT64", "f_string": "STRING"}
+    path = str(tmp_path / "m")
+    options = {"shard_keys": ["tag1"], "shard_type": shard_type, "shards": 4} if shard_type else {}
+    write_measurement(table, path, tags=["tag1"], fields=declared, time="time", sort_keys=["f_string"], index_list=["f_string"], **options)
+    back = spark.read.parquet(path)
+    assert back.count() == 1_000 and back.select("f_int64").distinct().count() == 1_000
+    if shard_type == "HASH":
+        assert back.groupBy("tag1").agg(F.count_distinct(SHARD).alias("n")).where("n > 1").count() == 0
+        only = back.where(F.col(SHARD) == shard_of({"tag1": "hot"}, ["tag1"], 4)).where("tag1 = 'hot'")
+        assert only.count() == 334
+    if shard_type == "RANGE":
+        spans = back.groupBy(F.input_file_name()).agg(F.min("tag1").alias("lo"), F.max("tag1").alias("hi")).orderBy("lo", "hi").collect()
+        assert len(spans) == 4 and all(a["hi"] <= b["lo"] for a, b in zip(spans, spans[1:]))
+    ordered = spark.read.parquet(glob.glob(f"{path}/**/*.parquet", recursive=True)[0]).collect()
+    assert [r["f_string"] for r in ordered] == sorted(r["f_string"] for r in ordered)
+
+
+def test_wrong_layouts(spark, tmp_path):
+    df = with_roles(spark.range(1).selectExpr("id AS time", "'a' AS t", "1L AS f"), time="time", tags=["t"], fields=["f"])
+    base = {"tags": ["t"], "fields": {"f": "INT64"}, "time": "time"}
+    for change in (
+        {"tags": [], "fields": {}},
+        {"shard_type": "MODULO"},
+        {"index_list": []},
+        {"index_list": ["f"]},
+        {"shard_keys": ["nope"]},
+        {"fields": {"f": "STRING"}},
+    ):
+        with pytest.raises(SeriesError):
+            write_measurement(df, str(tmp_path / "x"), **{**base, **change})
+
+
+def test_session_helpers(spark):
+    assert apply_settings(spark).conf.get("spark.sql.adaptive.enabled") == "true"
+    first, second = scratch_folder(spark, "x"), scratch_folder(spark, "x")
+    assert first != second and first.startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+# --------------------------------------------------------------------------
+# text index
+
+
+def test_text_index(spark, tmp_path):
+    texts = ["The quick brown fox", "quick, QUICK! brown-dog", "nothing here", None, "brown " + "filler " * 3_000 + "quick"]
+    df = spark.createDataFrame([(i, t, "fox" if i == 2 else "") for i, t in enumerate(texts)], "id int, body string, title string")
+    index = text_index(df, "id", ["body", "title"])
+
+    def brute(words):
+        import re
+
+        wanted = set(words)
+        return sorted(
+            r["id"] for r in df.collect() if any(wanted <= set(re.split("[^a-z0-9]+", (t or "").lower())) for t in (r["body"], r["title"]))
+        )
+
+    path = str(tmp_path / "index")
+    write_text_index(index, path, buckets=8)
+    for words in (["quick", "brown"], ["fox"], ["quick", "fox"], ["absent"], ["filler", "quick"]):
+        assert sorted(r[0] for r in lookup(index, words).collect()) == brute(words)
+        stored = read_text_index(spark, path, words, buckets=8)
+        assert sorted(r[0] for r in lookup(stored, words).collect()) == brute(words)
+        assert sorted(r["id"] for r in search(df, stored, "id", words).collect()) == brute(words)
+    assert "token_bucket" in plan_text(stored).split("PartitionFilters")[1]
+    assert query_tokens("Quick-brown quick") == ["quick", "brown"]
+    for wrong in ([], ["id"]):
+        with pytest.raises(SeriesError):
+            text_index(df, "id", wrong)
+    with pytest.raises(SeriesError):
+        query_tokens("!!")
+
+
+# --------------------------------------------------------------------------
+# documents
+
+
+def test_documents_to_rows(spark):
+    good = {
+        "results": [
+            {"series": [{"name": "m", "tags": {"t": "a"}, "columns": ["time", "v"], "values": [[1, 2.5], [2, None]]}, {"name": "n", "columns": ["x"], "values": [["y"]]}]},
+            {"series": []},
+        ]
+    }
+    texts = [json.dumps(good), '{"error": "top", "results": [{"error": "inner"}]}', '{"results": [{}, {"error": "inner"}]}', "not json", "{}"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, value string")
+    errors = {r["id"]: r["error"] for r in parse_documents(df).collect()}
+    assert errors == {0: None, 1: "top", 2: "inner", 3: None, 4: None}
+    rows = [(r["id"], r["result_no"], r["series_no"], r["row_no"], r["name"], r["tags"], r["values"]) for r in document_rows(df).collect()]
+    assert rows == [
+        (0, 0, 0, 0, "m", {"t": "a"}, {"time": "1", "v": "2.5"}),
+        (0, 0, 0, 1, "m", {"t": "a"}, {"time": "2", "v": None}),
+        (0, 0, 1, 0, "n", {}, {"x": "y"}),
+    ]
+    for number, message in ((1, "top"), (2, "inner")):
+        with pytest.raises(Exception, match=message):
+            document_rows(df.where(F.col("id") == number), fail=True).collect()
+
+
+def test_series_documents(spark):
+    df = spark.createDataFrame([("a", n, float(n), n % 2 == 0) for n in range(25)] + [("b", 3, None, True)], "t string, time bigint, v double, ok boolean")
+    documents = series_documents(df.repartition(3), "m", time="time", tags=["t"], columns=["v", "ok"], precision="ns", chunk_rows=10)
+    rows = documents.orderBy("t", "chunk").collect()
+    assert [(r["t"], r["chunk"], r["row_count"]) for r in rows] == [("a", 0, 10), ("a", 1, 10), ("a", 2, 5), ("b", 0, 1)]
+    parsed = [json.loads(r["document"]) for r in rows]
+    assert parsed[1] == {"name": "m", "tags": {"t": "a"}, "columns": ["time", "v", "ok"], "values": [[n, float(n), n % 2 == 0] for n in range(10, 20)]}
+    assert parsed[3]["values"] == [[3, None, True]]
+    wrapped = json.loads(result_documents(documents).where("t = 'b'").first()["document"])
+    assert wrapped["results"][0]["series"][0]["name"] == "m"
+    untagged = series_documents(df, "m", time="time", columns=["v"], ties=["t"]).first()
+    assert "tags" not in json.loads(untagged["document"]) and untagged["row_count"] == 26
+
+
+# --------------------------------------------------------------------------
+# streaming
+
+
+def test_ingest_is_idempotent(spark, tmp_path):
+    source, store, state = (str(tmp_path / n) for n in ("in", "store", "state"))
+    os.makedirs(source)
+
+    def drop(name, text):
+        with open(f"{source}/{name}", "w") as out:
+            out.write(text)
+
+    def run(batch_files):
+        query = start_ingest(line_stream(spark, source, db="d", batch_files=batch_files), store, state, interval=None)
+        query.awaitTermination()
+        assert query.exception() is None
+
+    drop("1.txt", "m,t=a f=1 5\n\nbad line\nm time=1 6\n")
+    drop("2.txt", "m,t=b f=2 7\n")
+    run(1)
+    assert ingested_points(spark, store).count() == 2
+    found = sorted((r["batch"], r["db"], r["rp"], r["rows"], r["rejected"]) for r in outcomes(spark, store).collect())
+    assert [f[1:3] for f in found] == [("d", "autogen")] * 2 and sorted(f[3:] for f in found) == [(1, 0), (1, 2)]
+    run(1)
+    assert ingested_points(spark, store).count() == 2
+    # A batch that runs again after a failure replaces itself.
+    again = spark.createDataFrame([("m,t=b f=2 7", "d", "")], "value string, db string, rp string")
+    write_batch(again, 1, store)
+    write_batch(again, 1, store)
+    assert ingested_points(spark, store).where("batch = 1").count() == 1
+    drop("3.txt", "n,t=c f=3i 9\n")
+    run(10)
+    assert {r["measurement"] for r in ingested_points(spark, store).collect()} == {"m", "n"}
+    compact_points(spark, store, str(tmp_path / "compact"))
+    assert read_points(spark, str(tmp_path / "compact"), "d").count() == ingested_points(spark, store).count()
+
+
+def test_failed_batch_is_recorded(spark, tmp_path):
+    store = str(tmp_path / "store")
+    lines = spark.createDataFrame([("m f=1 1", "d", "")], "value string, db string, rp string")
+    broken = lines.withColumn("value", F.when(F.length("value") > 0, F.raise_error(F.lit("disk gone")).cast("string")))
+    with pytest.raises(Exception, match="disk gone"):
+        write_batch(broken, 3, store)
+    (row,) = outcomes(spark, store).collect()
+    assert row["batch"] == 3 and "disk gone" in row["error"]
+
+
+def test_stream_settings(spark, tmp_path):
+    for args in ({"db": ""}, {"db": "d", "batch_files": 0}):
+        with pytest.raises(SeriesError):
+            line_stream(spark, str(tmp_path), **args)
+    with pytest.raises(SeriesError):
+        start_ingest(None, "x", "y", interval=" ")
+
+
+def test_counts_on_a_stream(spark, tmp_path):
+    spark.sql("SELECT timestamp_seconds(id * 60) AS ts, CONCAT('t', id % 2) AS tag FROM range(60)").write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("ts timestamp, tag string").parquet(str(tmp_path / "in"))
+    counts = count_by_bucket(stream, "ts", "12m", ["tag"], "1 hour")
+    query = counts.writeStream.outputMode("complete").format("memory").queryName("bucket_counts").option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert spark.table("bucket_counts").agg(F.sum("n"), F.count("*")).first()[:] == (60, 10)
