@@ -260,10 +260,9 @@ def _(spark, d):
     return Query().select(sd).group_by("event_type").build(_events(spark, d)).withColumn("sd", F.round("sd", 4))
 
 
-@_register("mean_by_tag", "SELECT l_returnflag, round(avg(l_quantity), 4) AS m FROM lineitem GROUP BY 1")
+@_register("mean_by_tag", "SELECT l_returnflag, avg(l_quantity) AS m FROM lineitem GROUP BY 1")
 def _(spark, d):
-    rows = Query().select(mean("l_quantity").alias("m")).group_by("l_returnflag").build(_lineitem(spark, d))
-    return rows.withColumn("m", F.round("m", 4))
+    return Query().select(mean("l_quantity").alias("m")).group_by("l_returnflag").build(_lineitem(spark, d))
 
 
 @_register("sum_by_tag", "SELECT l_returnflag, l_linestatus, round(sum(l_extendedprice), 2) AS s FROM lineitem GROUP BY 1, 2")
@@ -311,11 +310,11 @@ def _(spark, d):
 @_register(
     "mean_by_tag_time",
     "SELECT l_returnflag, time_bucket(INTERVAL '7 days', l_shipdate, TIMESTAMP '1970-01-01') AS time, "
-    "round(avg(l_discount), 4) AS m, count(l_discount) AS n FROM lineitem GROUP BY 1, 2",
+    "avg(l_quantity) AS m, count(l_quantity) AS n FROM lineitem GROUP BY 1, 2",
 )
 def _(spark, d):
-    query = Query().select(mean("l_discount").alias("m"), count("l_discount").alias("n")).group_by("l_returnflag", time("7d"))
-    return query.build(_lineitem(spark, d)).withColumn("m", F.round("m", 4))
+    query = Query().select(mean("l_quantity").alias("m"), count("l_quantity").alias("n")).group_by("l_returnflag", time("7d"))
+    return query.build(_lineitem(spark, d))
 
 
 @_register("count_global", "SELECT count(value) AS n, max(value) AS hi FROM events WHERE event_type <> 'view'")
@@ -717,18 +716,25 @@ def _(spark, d):
 # text in and out
 
 
+_KINDS = ("view", "click", "error", "signup", "purchase")
+
+
 @_register(
     "bind_templates",
-    "SELECT event_id, 'a_' || event_type || '_b-' || user_id AS bound, value, "
+    "SELECT event_id, substr(event_type, 1, 1) || '_' || event_type || '_b-' || user_id AS bound, value, "
     "CAST(event_id AS VARCHAR) AS note FROM events",
 )
 def _(spark, d):
-    text = spark.createDataFrame([(1, "m,t=a_$loc_b-$locx value=$v,note=\"$id\"")], "template_id int, value string")
-    templates = good_points(parse_lines(text)).select("template_id", "measurement", "tags", "fields")
+    texts = [(kind, f'm,t={kind[0]}_$loc_b-$locx value=$v,note="$id"') for kind in _KINDS]
+    templates = good_points(parse_lines(spark.createDataFrame(texts, "event_type string, value string"))).drop("value")
     events = _events(spark, d).withColumn("id_text", F.col("event_id").cast("string"))
     names = {"loc": "event_type", "locx": "user_id", "v": "value", "id": "id_text"}
-    rows = events.select("event_id", F.lit(1).alias("template_id"), parameters(events, names).alias("params"))
-    return bound_points(bind_templates(templates, rows)).select(
+    rows = events.select("event_id", "event_type", parameters(events, names).alias("params"))
+    return _bound_columns(bind_templates(templates, rows, on="event_type"))
+
+
+def _bound_columns(bound: DataFrame) -> DataFrame:
+    return bound_points(bound).select(
         "event_id",
         F.col("tags")["t"].alias("bound"),
         F.col("fields")["value"]["f"].alias("value"),
@@ -736,20 +742,15 @@ def _(spark, d):
     )
 
 
-_SQL["bind_statement"] = _SQL["bind_templates"]
-
-
-@_register("bind_statement")
+@_register(
+    "bind_statement",
+    "SELECT event_id, 'a_' || event_type || '_b-' || user_id AS bound, value, CAST(event_id AS VARCHAR) AS note FROM events",
+)
 def _(spark, d):
     events = _events(spark, d).withColumn("id_text", F.col("event_id").cast("string"))
     names = {"loc": "event_type", "locx": "user_id", "v": "value", "id": "id_text"}
     text = "INSERT m,t=a_$loc_b-$locx value=$v,note=\"$id\""
-    return bound_points(bind_statement(events, text, names, keep=["event_id"])).select(
-        "event_id",
-        F.col("tags")["t"].alias("bound"),
-        F.col("fields")["value"]["f"].alias("value"),
-        F.col("fields")["note"]["s"].alias("note"),
-    )
+    return _bound_columns(bind_statement(events, text, names, keep=["event_id"]))
 
 
 @_register(
