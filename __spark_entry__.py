@@ -47,7 +47,7 @@ from sparkseries.operators.explore import (
     show_tag_values,
 )
 from sparkseries.operators.opslog import metric_rollup, statement_counts
-from sparkseries.operators.points import points_to_wide, wide_to_points
+from sparkseries.operators.points import points_to_wide, tag_sets, wide_to_points
 from sparkseries.operators.quality import (
     REASONS,
     block_stats,
@@ -508,7 +508,7 @@ def _(spark, d):
     "SELECT DISTINCT 'lineitem,l_linestatus=' || l_linestatus || ',l_returnflag=' || l_returnflag AS key FROM lineitem",
 )
 def _(spark, d):
-    return show_series(wide_to_points(_lineitem(spark, d), "lineitem"))
+    return show_series(tag_sets(_lineitem(spark, d), "lineitem"))
 
 
 @_register(

@@ -64,18 +64,15 @@ def wide_to_points(
 
 
 def _map_of(items: list[tuple[str, Column]], data_type) -> Column:
+    value_type_name = data_type.valueType.simpleString()
+    empty = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast(f"array<{value_type_name}>"))
     if not items:
-        empty = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
-        return empty.cast(data_type) if data_type == TAGS_TYPE else _no_fields()
+        return empty
     full = F.create_map(*(part for k, v in items for part in (F.lit(k), v)))
     complete = reduce(operator.and_, [v.isNotNull() for _, v in items])
-    # Most rows have every column; only the others pay for the filter.
-    return F.when(complete, full).otherwise(F.map_filter(full, lambda k, v: v.isNotNull()))
-
-
-def _no_fields() -> Column:
-    slot = FIELDS_TYPE.valueType.simpleString()
-    return F.map_from_arrays(F.array().cast("array<string>"), F.array().cast(f"array<{slot}>"))
+    # Most rows have every column; the others join the maps of those present.
+    present = [F.when(v.isNotNull(), F.create_map(F.lit(k), v)).otherwise(empty) for k, v in items]
+    return F.when(complete, full).otherwise(F.map_concat(*present))
 
 
 def with_default_time(time_ns: Column, now: Column | None = None) -> Column:
@@ -83,6 +80,20 @@ def with_default_time(time_ns: Column, now: Column | None = None) -> Column:
     return F.coalesce(F.nullif(time_ns, F.lit(0).cast("bigint")), now_ns() if now is None else now)
 
 
+def tag_sets(df: DataFrame, measurement: str, tags: Iterable[str] | None = None) -> DataFrame:
+    """(measurement, tags) once per distinct tag set of a measurement table.
+
+    The tag columns are made distinct as columns, before any map is built.
+    Series and tag exploration give the same answer on it as on all points.
+    """
+    require_name(measurement, "measurement")
+    tags = list(tags) if tags is not None else columns_with_role(df, TAG)
+    if not tags:
+        raise SeriesError("empty tag")
+    distinct = df.select(*(col(t).cast("string").alias(t) for t in tags)).distinct()
+    return distinct.select(F.lit(measurement).alias("measurement"), _map_of([(t, col(t)) for t in tags], TAGS_TYPE).alias("tags"))
+
+
 def tag_keys_of(points: DataFrame) -> DataFrame:
     """Distinct (measurement, key) of all tags.
 

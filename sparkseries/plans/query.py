@@ -31,6 +31,9 @@ from sparkseries.plans.paging import order_columns, page
 MEASUREMENT = "measurement"
 
 
+_FIXED_WIDTH = (T.NumericType, T.BooleanType, T.TimestampType, T.TimestampNTZType, T.DateType)
+
+
 @dataclass(frozen=True)
 class Query:
     columns: tuple = ()
@@ -167,20 +170,29 @@ class Query:
 
     def _last(self, df: DataFrame, time: str, selector: Selector) -> DataFrame:
         names = [c.name for c in self.columns if isinstance(c, Term) and c.name not in self.tags]
-        carried = F.struct(col(selector.source).alias("v"), col(time).alias("t"), *(col(n).alias(f"c_{n}") for n in names))
-        position = F.struct(col(time), *(col(t) for t in self.ties))
         keys = [col(t) for t in self.tags]
         if self.bucket:
             keys.append(time_bucket(df, time, self.bucket.duration, self.zone).alias("__bucket"))
-        chosen = F.max_by(carried, position).alias("__row")
         present = df.where(col(selector.source).isNotNull())
-        rows = present.groupBy(*keys).agg(chosen) if keys else present.agg(chosen).where(F.col("__row").isNotNull())
-        when = F.col("__bucket") if self.bucket else F.col("__row.t")
+        position = F.struct(col(time), *(col(t) for t in self.ties)) if self.ties else col(time)
+        wanted = {"__v": selector.source, "__t": time, **{f"__c{i}": n for i, n in enumerate(names)}}
+        if not self.ties and all(isinstance(df.schema[c].dataType, _FIXED_WIDTH) for c in wanted.values()):
+            # Fixed-width columns stay in a hash aggregate; each picks the same row.
+            picks = [F.max_by(col(c), position).alias(k) for k, c in wanted.items()]
+        else:
+            row = F.struct(*(col(c).alias(k) for k, c in wanted.items()))
+            picks = [F.max_by(row, position).alias("__row")]
+        rows = present.groupBy(*keys).agg(*picks)
+        if not keys:
+            rows = rows.where(F.col(rows.columns[0]).isNotNull())
+        if "__row" in rows.columns:
+            rows = rows.select(*(c for c in rows.columns if c != "__row"), "__row.*")
+        when = F.col("__bucket") if self.bucket else F.col("__t")
         return rows.select(
             *(col(t) for t in self.tags),
             when.alias(TIME),
-            F.col("__row.v").alias(selector.output_name),
-            *(F.col("__row")[f"c_{n}"].alias(n) for n in names),
+            F.col("__v").alias(selector.output_name),
+            *(F.col(f"__c{i}").alias(n) for i, n in enumerate(names)),
         )
 
     def _top(self, df: DataFrame, time: str, selector: Selector) -> DataFrame:

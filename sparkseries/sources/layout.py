@@ -197,16 +197,17 @@ def drop_measurement_partitions(spark: SparkSession, table: str, db: str, rp: st
     """
     require_name(db, "database name")
     require_name(measurement, "measurement")
-    wanted = {"db": db, "rp": rp or DEFAULT_POLICY, "measurement": measurement}
-    specs = []
-    for row in spark.sql(f"SHOW PARTITIONS {table}").toLocalIterator():
+    scope = {"db": db, "rp": rp or DEFAULT_POLICY, "measurement": measurement}
+    dropped = 0
+    for row in spark.sql(f"SHOW PARTITIONS {table} PARTITION ({_partition_spec(scope)})").toLocalIterator():
         spec = dict(part.split("=", 1) for part in row[0].split("/"))
-        if all(spec.get(k) == v for k, v in wanted.items()):
-            specs.append(spec)
-    for spec in specs:
-        names = ", ".join(f"{k} = '{_sql_text(v)}'" for k, v in spec.items())
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({names})")
-    return len(specs)
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({_partition_spec({**spec, **scope})})")
+        dropped += 1
+    return dropped
+
+
+def _partition_spec(values: Mapping[str, str]) -> str:
+    return ", ".join(f"{k} = '{_sql_text(v)}'" for k, v in values.items())
 
 
 def _sql_text(value: str) -> str:

@@ -148,10 +148,23 @@ def require_clean(parsed: DataFrame, text: str = "value") -> DataFrame:
     return good_points(parsed)
 
 
+#: columns of :func:`read_lines` that order its lines
+LINE_ORDER = ("file", "block", "seq")
+
+
 def read_lines(spark: SparkSession, path: str, **options) -> DataFrame:
-    """Lines of text files (plain or compressed) with the file and offset order in ``seq``."""
+    """Lines of text files (plain or compressed) in ``value``, with their place in :data:`LINE_ORDER`.
+
+    ``file`` and ``block`` (the offset of the split) name a place in the input,
+    and ``seq`` grows within it; together they are an arrival order for merging.
+    """
     lines = spark.read.options(**options).text(path)
-    return lines.select("value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("seq"))
+    return lines.select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("seq"),
+    )
 
 
 def insert_lines(df: DataFrame, text: str = "command") -> DataFrame:

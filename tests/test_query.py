@@ -89,6 +89,12 @@ def test_selectors(water):
     assert tuples(Query().select(last("water_level")).where(compare("water_level", ">", 99)).build(water)) == []
 
 
+def test_last_stays_in_a_hash_aggregate(water):
+    query = Query().select(last("water_level")).group_by("location")
+    assert "SortAggregate" not in plan_text(query.build(water))
+    assert sorted(tuples(query.build(water))) == sorted(tuples(query.tie_break("water_level").build(water)))
+
+
 def test_large_top_cuts_in_slices_first(spark, water):
     spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "2")
     try:
