@@ -58,7 +58,7 @@ from sparkseries.operators.quality import (
 )
 from sparkseries.operators.retention import keep_retained, policies, policy_report, resolve_policy, shard_group
 from sparkseries.operators.templates import bind_statement, bind_templates, bound_points, parameters
-from sparkseries.operators.textindex import search, text_index
+from sparkseries.operators.textindex import search, search_texts, text_index
 from sparkseries.plans.paging import page
 from sparkseries.session import scratch_folder
 from sparkseries.sources.documents import document_rows, result_documents, series_documents
@@ -815,6 +815,15 @@ def _(spark, d):
     return search(documents, text_index(documents, "doc_id", ["text"]), "doc_id", ["that", "with"]).select("doc_id")
 
 
+_SQL["text_scan_documents"] = _SQL["text_search_documents"]
+
+
+@_register("text_scan_documents")
+def _(spark, d):
+    documents = _table(spark, d, "documents").select("doc_id", "text")
+    return search_texts(documents, ["text"], ["that", "with"]).select("doc_id")
+
+
 # --------------------------------------------------------------------------
 # layout and ingest
 

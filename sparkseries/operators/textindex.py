@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import operator
 import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,3 +85,20 @@ def search(df: DataFrame, index: DataFrame, row_id: str, words: str | Sequence[s
     """Rows of the table whose indexed text holds all words."""
     found = lookup(index, words)
     return df.join(found, df[row_id] == found["row_id"], "left_semi")
+
+
+def search_texts(df: DataFrame, fields: Sequence[str], words: str | Sequence[str]) -> DataFrame:
+    """Rows with a field that holds all words, found by reading the texts; no index and no shuffle.
+
+    A plain substring test drops most texts before they are cut into words.
+    """
+    wanted = query_tokens(words)
+    if not fields:
+        raise SeriesError("no field to search")
+    found = []
+    for name in fields:
+        text = F.lower(col(name))
+        likely = reduce(operator.and_, [text.contains(w) for w in wanted])
+        exact = F.size(F.array_intersect(tokens_of(col(name)), F.array(*(F.lit(w) for w in wanted)))) == len(wanted)
+        found.append(F.coalesce(likely & exact, F.lit(False)))
+    return df.where(reduce(operator.or_, found))

@@ -22,7 +22,7 @@ from sparkseries.operators.retention import (
     resolve_policy,
     shard_group,
 )
-from sparkseries.operators.textindex import lookup, query_tokens, read_text_index, search, text_index, write_text_index
+from sparkseries.operators.textindex import lookup, query_tokens, read_text_index, search, search_texts, text_index, write_text_index
 from sparkseries.session import apply_settings, scratch_folder
 from sparkseries.sources.documents import (
     document_rows,
@@ -252,6 +252,7 @@ def test_text_index(spark, tmp_path):
     write_text_index(index, path, buckets=8)
     for words in (["quick", "brown"], ["fox"], ["quick", "fox"], ["absent"], ["filler", "quick"]):
         assert sorted(r[0] for r in lookup(index, words).collect()) == brute(words)
+        assert sorted(r["id"] for r in search_texts(df, ["body", "title"], words).collect()) == brute(words)
         stored = read_text_index(spark, path, words, buckets=8)
         assert sorted(r[0] for r in lookup(stored, words).collect()) == brute(words)
         assert sorted(r["id"] for r in search(df, stored, "id", words).collect()) == brute(words)
