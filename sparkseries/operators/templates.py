@@ -39,77 +39,45 @@ def parameters(df: DataFrame, names: Mapping[str, str]) -> Column:
     return F.map_filter(built, lambda k, v: v.isNotNull()).cast(FIELDS_TYPE)
 
 
-def _bind_text(text: Column, params: Column, names: Column) -> Column:
+def _bind_text(text: Column, params: Column, names: Column, odd: Column) -> Column:
     """``struct<text, missing>`` of a text: each ``$`` takes the longest known name that follows it."""
 
-    def piece_bound(piece: Column) -> Column:
-        known = F.array_max(
+    def cut(piece: Column) -> Column:
+        return F.struct(piece.alias("piece"), F.regexp_extract(piece, f"^{_NAME}+", 0).alias("word"))
+
+    def longest(piece: Column, word: Column) -> Column:
+        searched = F.array_max(
             F.transform(
                 F.filter(names, lambda n: piece.startswith(n)), lambda n: F.struct(F.length(n).alias("size"), n.alias("name"))
             )
-        )
-        word = F.regexp_extract(piece, f"^{_NAME}+", 0)
-        return let(
-            known,
-            lambda best: F.when(
-                best.isNotNull(),
-                F.struct(
-                    F.concat(value_text(params[best["name"]]), F.substring(piece, best["size"] + 1, F.length(piece))).alias("text"),
-                    F.lit(None).cast("string").alias("missing"),
-                ),
-            ).otherwise(
-                F.struct(
-                    F.concat(F.lit("$"), piece).alias("text"),
-                    F.when(F.length(word) > 0, F.concat(F.lit("$"), word)).alias("missing"),
-                )
-            ),
+        )["name"]
+        # A whole word that is known is the longest name, unless names hold other characters.
+        return F.when(~odd & F.array_contains(names, word), word).otherwise(searched)
+
+    def named(part: Column) -> Column:
+        piece, word = part["piece"], part["word"]
+        return F.struct(piece.alias("piece"), word.alias("word"), longest(piece, word).alias("name"))
+
+    def bound(part: Column) -> Column:
+        piece, word, name = part["piece"], part["word"], part["name"]
+        rest = F.substring(piece, F.length(name) + 1, F.length(piece))
+        return F.struct(
+            F.when(name.isNotNull(), F.concat(value_text(params[name]), rest)).otherwise(F.concat(F.lit("$"), piece)).alias("text"),
+            F.when(name.isNull() & (F.length(word) > 0), F.concat(F.lit("$"), word)).alias("missing"),
         )
 
-    def pieces_bound(pieces: Column) -> Column:
-        bound = F.transform(F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0))), piece_bound)
+    def joined(pieces: Column) -> Column:
+        after = F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0)))
         return let(
-            bound,
-            lambda b: F.struct(
-                F.concat(F.get(pieces, F.lit(0)), F.concat_ws("", F.transform(b, lambda x: x["text"]))).alias("text"),
-                F.array_compact(F.transform(b, lambda x: x["missing"])).alias("missing"),
+            F.transform(F.transform(F.transform(after, cut), named), bound),
+            lambda parts: F.struct(
+                F.concat(F.get(pieces, F.lit(0)), F.array_join(parts["text"], "")).alias("text"),
+                F.array_compact(parts["missing"]).alias("missing"),
             ),
         )
 
     plain = F.struct(text.alias("text"), F.array().cast(_NO_NAMES).alias("missing"))
-    return F.when(text.contains("$"), let(F.split(text, r"\$", -1), pieces_bound)).otherwise(plain)
-
-
-def _bind_field(entry: Column, params: Column, names: Column) -> Column:
-    """``struct<text, value, missing>`` of a field: a value that is one placeholder takes the typed value."""
-    text = entry["value"]["s"]
-    name = F.substring(text, F.lit(2), F.length(text))
-
-    def joined(parts: Column) -> Column:
-        return F.struct(
-            parts["key"]["text"].alias("text"),
-            F.when(parts["whole"], params[parts["name"]])
-            .when(parts["value"].isNotNull(), string_slot(parts["value"]["text"]))
-            .otherwise(entry["value"])
-            .alias("value"),
-            F.concat(
-                parts["key"]["missing"],
-                F.when(
-                    parts["whole"],
-                    F.when(F.array_contains(names, parts["name"]), F.array().cast(_NO_NAMES)).otherwise(
-                        F.array(F.concat(F.lit("$"), parts["name"]))
-                    ),
-                ).otherwise(F.coalesce(parts["value"]["missing"], F.array().cast(_NO_NAMES))),
-            ).alias("missing"),
-        )
-
-    whole = F.coalesce(text.rlike(rf"^\${_NAME}+$"), F.lit(False))
-    parts = F.struct(
-        _bind_text(entry["key"], params, names).alias("key"),
-        whole.alias("whole"),
-        F.when(whole, name).alias("name"),
-        F.when(~whole & text.contains("$"), _bind_text(text, params, names)).alias("value"),
-    )
-    return let(parts, joined)
+    return F.when(text.contains("$"), let(F.split(text, r"\$", -1), joined)).otherwise(plain)
 
 
 def bind_points(df: DataFrame, params: str = "params") -> DataFrame:
@@ -120,38 +88,66 @@ def bind_points(df: DataFrame, params: str = "params") -> DataFrame:
     """
     given = F.coalesce(F.size(col(params)), F.lit(0)) > 0
     names = F.filter(F.map_keys(col(params)), lambda n: F.length(n) > 0)
-    staged = df.withColumn("__names", F.when(given, names)).select(
+    odd = F.exists(names, lambda n: ~n.rlike(f"^{_NAME}+$"))
+    no_texts = F.array().cast(_NO_NAMES)
+    texts = F.concat(
+        F.array("measurement"),
+        F.coalesce(F.map_keys("tags"), no_texts),
+        F.coalesce(F.map_values("tags"), no_texts),
+        F.coalesce(F.map_keys("fields"), no_texts),
+        F.coalesce(F.map_values("fields")["s"], no_texts),
+    )
+    named = df.select(
         *(col(c) for c in df.columns),
-        F.when(given, _bind_text(F.col("measurement"), col(params), F.col("__names"))).alias("__m"),
-        F.when(
-            given,
-            F.transform(
-                F.map_entries("tags"),
-                lambda e: F.struct(
-                    _bind_text(e["key"], col(params), F.col("__names")).alias("k"),
-                    _bind_text(e["value"], col(params), F.col("__names")).alias("v"),
-                ),
-            ),
-        ).alias("__t"),
-        F.when(
-            given, F.transform(F.map_entries("fields"), lambda e: _bind_field(e, col(params), F.col("__names")))
-        ).alias("__f"),
+        F.when(given, names).alias("__names"),
+        F.when(given, odd).alias("__odd"),
+        F.when(given, texts).alias("__texts"),
     )
-    tags = entries_map(F.transform("__t", lambda e: e["k"]["text"]), F.transform("__t", lambda e: e["v"]["text"]))
-    fields = entries_map(F.transform("__f", lambda e: e["text"]), F.transform("__f", lambda e: e["value"]))
-    missing = F.concat(
-        F.col("__m.missing"),
-        F.flatten(F.transform("__t", lambda e: F.concat(e["k"]["missing"], e["v"]["missing"]))),
-        F.flatten(F.transform("__f", lambda e: e["missing"])),
+    # All texts of a point go through one expression.
+    all_bound = F.transform("__texts", lambda t: _bind_text(t, col(params), F.col("__names"), F.col("__odd")))
+    staged = named.select(*(col(c) for c in df.columns), "__names", all_bound.alias("__bound"))
+
+    tag_count, field_count = (F.greatest(F.size(m), F.lit(0)) for m in ("tags", "fields"))
+    tag_keys = F.slice("__bound", F.lit(2), tag_count)
+    tag_values = F.slice("__bound", tag_count + 2, tag_count)
+    field_keys = F.slice("__bound", tag_count * 2 + 2, field_count)
+    field_texts = F.slice("__bound", tag_count * 2 + field_count + 2, field_count)
+    field_values = F.zip_with(
+        F.map_values("fields"), field_texts, lambda v, b: _field_value(v, b, col(params), F.col("__names"))
+    )
+    parts = staged.select(
+        *(col(c) for c in df.columns),
+        F.get("__bound", F.lit(0)).alias("__m"),
+        F.concat(tag_keys, tag_values, field_keys)["missing"].alias("__missing"),
+        tag_keys["text"].alias("__tk"),
+        tag_values["text"].alias("__tv"),
+        field_keys["text"].alias("__fk"),
+        field_values.alias("__fv"),
     )
     kept = [c for c in df.columns if c not in ("measurement", "tags", "fields", params)]
-    bound = F.struct(
+    missing = F.concat(F.col("__m.missing"), F.flatten("__missing"), F.flatten(F.col("__fv")["missing"]))
+    point = F.struct(
         F.coalesce(F.col("__m.text"), F.col("measurement")).alias("measurement"),
-        F.when(F.col("__t").isNotNull(), tags).otherwise(F.col("tags")).cast(TAGS_TYPE).alias("tags"),
-        F.when(F.col("__f").isNotNull(), fields).otherwise(F.col("fields")).cast(FIELDS_TYPE).alias("fields"),
-        F.array_distinct(F.coalesce(missing, F.array().cast(_NO_NAMES))).alias(UNRESOLVED),
+        F.when(F.col("__tk").isNotNull(), entries_map(F.col("__tk"), F.col("__tv"))).otherwise(F.col("tags")).cast(TAGS_TYPE).alias("tags"),
+        F.when(F.col("__fk").isNotNull(), entries_map(F.col("__fk"), F.col("__fv")["value"]))
+        .otherwise(F.col("fields"))
+        .cast(FIELDS_TYPE)
+        .alias("fields"),
+        F.array_distinct(F.coalesce(missing, no_texts)).alias(UNRESOLVED),
+    )
+    return parts.select(*(col(k) for k in kept), F.inline(F.array(point)))
+
+
+def _field_value(value: Column, bound: Column, params: Column, names: Column) -> Column:
+    """``struct<value, missing>``: text that is one placeholder takes the typed value, other text is bound."""
+    text = value["s"]
+    name = F.when(text.rlike(rf"^\${_NAME}+$"), F.substring(text, F.lit(2), F.length(text)))
+    none = F.array().cast(_NO_NAMES)
+    unknown = F.when(F.array_contains(names, name), none).otherwise(F.array(text))
+    return F.struct(
+        F.when(name.isNotNull(), params[name]).when(text.contains("$"), string_slot(bound["text"])).otherwise(value).alias("value"),
+        F.when(name.isNotNull(), unknown).otherwise(F.coalesce(bound["missing"], none)).alias("missing"),
     )
-    return staged.select(*(col(c) for c in kept), F.inline(F.array(bound)))
 
 
 def bind_templates(templates: DataFrame, params: DataFrame, on: str = "template_id") -> DataFrame:
