@@ -13,9 +13,10 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    # Call sites of every column cost more than planning where expressions are large.
-    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
+#: settings for the session builder; recording the call site of every column
+#: takes longer than planning where expressions are large
+BUILDER_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
