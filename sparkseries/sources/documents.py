@@ -48,15 +48,17 @@ def document_error(document: Column) -> Column:
 def document_rows(df: DataFrame, text: str = "value", *, fail: bool = False) -> DataFrame:
     """One row per value row: ``result_no, series_no, row_no, name, tags, values`` (column to text).
 
-    Documents with an error give no rows, or raise it with ``fail``.
+    Documents with an error give no rows.  With ``fail`` one job looks for
+    errors and texts that are no documents first, and the first one found is
+    raised.
     """
     parsed = parse_documents(df, text)
     if fail:
         problem = F.when(F.col("document").isNull(), "not a result document").otherwise(F.col("error"))
-        checked = F.when(problem.isNotNull(), F.raise_error(problem).cast(DOCUMENT)).otherwise(F.col("document"))
-        parsed = parsed.withColumn("document", checked)
-    else:
-        parsed = parsed.where(F.col("error").isNull())
+        found = parsed.select(problem.alias("problem")).where(F.col("problem").isNotNull()).limit(1).collect()
+        if found:
+            raise SeriesError(found[0]["problem"])
+    parsed = parsed.where(F.col("error").isNull())
     kept = [col(c) for c in df.columns if c != text]
     results = parsed.select(*kept, F.posexplode("document.results").alias("result_no", "__result"))
     series = results.select(*kept, "result_no", F.posexplode("__result.series").alias("series_no", "__series"))

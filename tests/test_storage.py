@@ -287,8 +287,9 @@ def test_documents_to_rows(spark):
         (0, 0, 1, 0, "n", {}, {"x": "y"}),
     ]
     for number, message in ((1, "top"), (2, "inner")):
-        with pytest.raises(Exception, match=message):
-            document_rows(df.where(F.col("id") == number), fail=True).collect()
+        with pytest.raises(SeriesError, match=message):
+            document_rows(df.where(F.col("id") == number), fail=True)
+    assert document_rows(df.where("id = 0"), fail=True).count() == 3
 
 
 def test_series_documents(spark):
