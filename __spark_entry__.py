@@ -53,6 +53,7 @@ from sparkseries.operators.quality import (
     block_stats,
     check_record,
     merge_duplicates,
+    merge_points,
     reject_reasons,
     type_conflicts,
 )
@@ -590,6 +591,30 @@ def _(spark, d):
     return merge_duplicates(df, ["l_returnflag", "l_linestatus", "l_shipdate"], LINE_TIES, ["q", "tax"])
 
 
+@_register(
+    "merge_points",
+    "WITH x AS (SELECT *, CASE WHEN l_quantity > 25 THEN l_quantity END q FROM lineitem) "
+    "SELECT l_returnflag, l_linestatus, epoch_ns(l_shipdate) AS time_ns, "
+    "(list(q ORDER BY l_orderkey DESC, l_linenumber DESC, l_partkey DESC, l_suppkey DESC, l_extendedprice DESC) "
+    "FILTER (q IS NOT NULL))[1] AS q, "
+    "(list(l_tax ORDER BY l_orderkey DESC, l_linenumber DESC, l_partkey DESC, l_suppkey DESC, l_extendedprice DESC))[1] AS tax "
+    "FROM x GROUP BY l_returnflag, l_linestatus, l_shipdate",
+)
+def _(spark, d):
+    df = _lineitem(spark, d)
+    df = df.withColumn("q", F.when(F.col("l_quantity") > 25, F.col("l_quantity"))).withColumn("tax", F.col("l_tax"))
+    points = wide_to_points(
+        df, "lineitem", time="l_shipdate", tags=["l_returnflag", "l_linestatus"], fields=["q", "tax"], keep=LINE_TIES
+    )
+    return merge_points(points, LINE_TIES).select(
+        F.col("tags")["l_returnflag"].alias("l_returnflag"),
+        F.col("tags")["l_linestatus"].alias("l_linestatus"),
+        "time_ns",
+        F.col("fields")["q"]["f"].alias("q"),
+        F.col("fields")["tax"]["f"].alias("tax"),
+    )
+
+
 @_register(
     "validate_record",
     "SELECT 'time_null' AS \"check\", count(*) FILTER (event_id % 10 = 0) AS violations FROM events "

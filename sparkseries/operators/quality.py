@@ -41,6 +41,33 @@ def merge_duplicates(
     return df.groupBy(*(col(k) for k in keys)).agg(*chosen)
 
 
+def merge_points(points: DataFrame, seq: str | Iterable[str]) -> DataFrame:
+    """Points with one row per series and time; of every field the last value in ``seq`` order stays.
+
+    Fields are merged as rows of their own, so even a (series, time) with any
+    number of copies combines before the shuffle; only the distinct fields of a
+    point meet in one group.
+    """
+    seq = [seq] if isinstance(seq, str) else list(seq)
+    if not seq:
+        raise SeriesError("merge needs an arrival order")
+    keys = [c for c in ("db", "rp", "measurement", "tags", TIME_NS) if c in points.columns]
+    position = col(seq[0]) if len(seq) == 1 else F.struct(*(col(s) for s in seq))
+    # A series is grouped by its sorted tag entries; maps do not compare.
+    entries = F.array_sort(F.map_entries("tags")).alias("__tags")
+    rows = points.select(
+        *(entries if k == "tags" else col(k) for k in keys), position.alias("__seq"), F.explode("fields").alias("__key", "__value")
+    ).where(F.col("__value").isNotNull())
+    by = ["__tags" if k == "tags" else k for k in keys]
+    latest = rows.groupBy(*by, "__key").agg(F.max_by("__value", "__seq").alias("__value"))
+    merged = latest.groupBy(*by).agg(
+        F.map_from_entries(F.collect_list(F.struct(F.col("__key"), F.col("__value")))).alias("fields")
+    )
+    return merged.select(
+        *(F.map_from_entries("__tags").alias("tags") if k == "tags" else col(k) for k in keys), "fields"
+    )
+
+
 def check_record(df: DataFrame, time: str = TIME) -> DataFrame:
     """(check, violations) of a measurement table: one pass, one row per check.
 
@@ -74,8 +101,11 @@ def require_record(df: DataFrame, time: str = TIME) -> DataFrame:
     return df.select(*(col(n) for n in sorted(c for c in df.columns if c != time)), col(time))
 
 
-def reject_reasons(points: DataFrame) -> DataFrame:
-    """Add ``reasons``: everything wrong with a point, an empty array for a good one."""
+def reject_reasons(points: DataFrame, *, for_text: bool = False) -> DataFrame:
+    """Add ``reasons``: everything wrong with a point, an empty array for a good one.
+
+    ``for_text`` also refuses line breaks, which line protocol cannot carry.
+    """
     tag_keys, fields = F.coalesce(F.map_keys("tags"), F.array().cast("array<string>")), F.map_entries("fields")
     field_keys = F.coalesce(F.map_keys("fields"), F.array().cast("array<string>"))
     checks: list[tuple[Column, str]] = [
@@ -87,13 +117,17 @@ def reject_reasons(points: DataFrame) -> DataFrame:
         (F.array_contains(field_keys, ""), "empty field name"),
         (F.exists(fields, lambda e: value_type(e["value"]).isNull()), "unsupported field type"),
     ]
+    if for_text:
+        texts = F.concat(F.array("measurement"), tag_keys, F.coalesce(F.map_values("tags"), F.array().cast("array<string>")), field_keys)
+        values = F.coalesce(F.map_values("fields")["s"], F.array().cast("array<string>"))
+        checks.append((F.exists(F.concat(texts, values), lambda t: t.contains("\n")), "line break in a name or value"))
     reasons = F.array_compact(F.array(*(F.when(bad, F.lit(text)) for bad, text in checks)))
     return points.withColumn(REASONS, reasons)
 
 
-def split_rejects(points: DataFrame) -> tuple[DataFrame, DataFrame]:
+def split_rejects(points: DataFrame, *, for_text: bool = False) -> tuple[DataFrame, DataFrame]:
     """Good points, and rejected points with their reasons."""
-    judged = reject_reasons(points)
+    judged = reject_reasons(points, for_text=for_text)
     return judged.where(F.size(REASONS) == 0).drop(REASONS), judged.where(F.size(REASONS) > 0)
 
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from time import time_ns as clock_ns
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,12 +25,14 @@ from sparkseries.model import (
     require_name,
 )
 from sparkseries.operators.points import with_default_time
-from sparkseries.operators.quality import split_rejects
+from sparkseries.operators.quality import merge_points, split_rejects
 from sparkseries.operators.retention import DEFAULT_SHARD_GROUP, resolve_policy, with_shard_group
 from sparkseries.plans.query import in_scope
 
 POINT_PARTITIONS = ("db", "rp", "measurement", "shard_group")
 SHARD = "shard"
+#: a merge names up to this many partitions as constants
+_MAX_LISTED = 1_000
 #: given on reading, so that no file is opened for its schema and names of digits stay text
 STORED_POINTS = T.StructType(
     [
@@ -125,6 +130,50 @@ def read_points(
     return points
 
 
+def merge_into_store(
+    points: DataFrame,
+    path: str,
+    *,
+    db: str,
+    rp: str = "",
+    policies: DataFrame | None = None,
+    shard_duration: str = DEFAULT_SHARD_GROUP,
+    compression: str = "zstd",
+) -> None:
+    """Merge a batch into a point store: per series and time the batch's field values win.
+
+    Only the shard groups that the batch touches are read and written again.
+    Running the same batch twice changes nothing.  One writer per path; readers
+    should wait while the partitions are replaced.
+    """
+    spark = points.sparkSession
+    # One time for all rows without one: every job below must see the same shard groups.
+    points = points.withColumn(TIME_NS, with_default_time(F.col(TIME_NS), F.lit(clock_ns()).cast("bigint")))
+    batch = placed_points(points, db=db, rp=rp, policies=policies, shard_duration=shard_duration)
+    stored = spark.read.schema(STORED_POINTS).parquet(path).where(F.col("db") == db)
+    affected = _rows_of_partitions(stored, batch.select(*POINT_PARTITIONS).distinct()).select(*STORED_POINTS.names)
+    aged = affected.withColumn("__age", F.lit(0)).unionByName(batch.withColumn("__age", F.lit(1)))
+    merged = merge_points(aged.withColumn("seq", F.coalesce("seq", F.lit(0))), ["__age", "seq"])
+    placed_points(merged, shard_duration=shard_duration).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).option("compression", compression).partitionBy(*POINT_PARTITIONS).parquet(path)
+
+
+def _rows_of_partitions(stored: DataFrame, touched: DataFrame) -> DataFrame:
+    """Stored rows of some partitions: pruned by constants when they are few, by a semi join otherwise."""
+    found = touched.limit(_MAX_LISTED + 1).collect()
+    if len(found) > _MAX_LISTED:
+        return stored.join(touched, list(POINT_PARTITIONS), "left_semi")
+    groups: dict[tuple, list[int]] = {}
+    for r in found:
+        groups.setdefault((r["db"], r["rp"], r["measurement"]), []).append(r["shard_group"])
+    wanted = [
+        (F.col("db") == db) & (F.col("rp") == rp) & (F.col("measurement") == m) & F.col("shard_group").isin(shards)
+        for (db, rp, m), shards in groups.items()
+    ]
+    return stored.where(reduce(operator.or_, wanted, F.lit(False)))
+
+
 def write_measurement(
     df: DataFrame,
     path: str,

@@ -12,6 +12,7 @@ from sparkseries.operators.quality import (
     block_stats,
     check_record,
     merge_duplicates,
+    merge_points,
     reject_reasons,
     require_record,
     split_rejects,
@@ -42,6 +43,28 @@ def test_merge_against_brute_force(spark):
     assert merged == expected
 
 
+def test_merging_points(spark, lines):
+    texts = ["m,t=a x=1,y=1 5", "m,t=a x=2 5", "m,t=b x=3 5", "m,t=a z=\"q\" 5", "m x=4 5", "m,t=a x=9 6"]
+    points = None
+    for n, text in enumerate(texts):
+        part = lines(text).withColumn("seq", F.lit(n))
+        points = part if points is None else points.unionByName(part)
+    merged = {(r["measurement"], r["tags"].get("t"), r["time_ns"]): point(r)[2] for r in merge_points(points, "seq").collect()}
+    assert merged == {
+        ("m", "a", 5): {"x": ("f", 2.0), "y": ("f", 1.0), "z": ("s", "q")},
+        ("m", "b", 5): {"x": ("f", 3.0)},
+        ("m", None, 5): {"x": ("f", 4.0)},
+        ("m", "a", 6): {"x": ("f", 9.0)},
+    }
+
+
+def test_line_breaks_are_refused_for_text(lines):
+    good = lines("m,t=a f=\"x\" 1")
+    broken = good.withColumn("tags", F.create_map(F.lit("t"), F.lit("a\nb")))
+    assert [reject_reasons(p, for_text=True).first()["reasons"] for p in (good, broken)] == [[], ["line break in a name or value"]]
+    assert reject_reasons(broken).first()["reasons"] == []
+
+
 def test_record_checks(spark):
     good = spark.createDataFrame([(1, 2, 3)], "a int, b int, time int")
     assert check_record(good).where("violations > 0").count() == 0

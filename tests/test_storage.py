@@ -30,9 +30,11 @@ from sparkseries.sources.documents import (
     result_documents,
     series_documents,
 )
+from sparkseries.sources import layout
 from sparkseries.sources.layout import (
     SHARD,
     drop_measurement_partitions,
+    merge_into_store,
     read_points,
     shard_of,
     without_measurement,
@@ -166,6 +168,29 @@ def test_write_skips_points_without_fields_and_sets_missing_times(spark, lines,
     assert stored.count() == 2 and stored.where("time_ns > 1000000000000000000").count() == 1
 
 
+@pytest.mark.parametrize("listed", [0, 1_000])
+def test_merging_into_a_store(spark, sample, lines, tmp_path, monkeypatch, listed):
+    monkeypatch.setattr(layout, "_MAX_LISTED", listed)
+    path = str(tmp_path / "points")
+    write_points(sample, path, db="db0")
+    untouched = set(glob.glob(f"{path}/db=db0/rp=autogen/measurement=cpu/shard_group=2/*.parquet"))
+    batch = lines(f"cpu,host=a v=10,w=1 {DAY}", f"cpu,host=a v=11 {DAY}", f"cpu,host=z v=5 {DAY + 1}", f"new,host=a v=6 {DAY}")
+    batch = batch.withColumn("seq", F.monotonically_increasing_id())
+    for _ in range(2):
+        merge_into_store(batch.where("fields['v'].f <> 10"), path, db="db0")
+        stored = read_points(spark, path, "db0")
+        found = {(r["measurement"], r["tags"]["host"], r["time_ns"]): point(r)[2]["v"][1] for r in stored.collect()}
+        assert found == {
+            ("cpu", "a", DAY): 11.0,
+            ("cpu", "z", DAY + 1): 5.0,
+            ("cpu", "b", 8 * DAY): 2.0,
+            ("cpu", "a", 15 * DAY): 3.0,
+            ("001", "a", DAY): 4.0,
+            ("new", "a", DAY): 6.0,
+        }
+    assert untouched and untouched == set(glob.glob(f"{path}/db=db0/rp=autogen/measurement=cpu/shard_group=2/*.parquet"))
+
+
 def test_dropping_a_measurement(spark, sample, tmp_path):
     path = str(tmp_path / "points")
     write_points(sample, path, db="db0")
