@@ -45,6 +45,7 @@ from sparkseries.operators.explore import (
     show_series,
     show_tag_keys,
     show_tag_values,
+    table_field_keys,
 )
 from sparkseries.operators.opslog import metric_rollup, statement_counts
 from sparkseries.operators.points import points_to_wide, tag_sets, wide_to_points
@@ -504,6 +505,17 @@ def _(spark, d):
     return show_field_keys(_all_points(spark, d))
 
 
+@_register(
+    "show_field_keys_table",
+    "SELECT * FROM (VALUES ('lineitem', 'l_orderkey', 'integer'), ('lineitem', 'l_partkey', 'integer'), "
+    "('lineitem', 'l_suppkey', 'integer'), ('lineitem', 'l_linenumber', 'integer'), ('lineitem', 'l_quantity', 'float'), "
+    "('lineitem', 'l_extendedprice', 'float'), ('lineitem', 'l_discount', 'float'), ('lineitem', 'l_tax', 'float')) "
+    "t(measurement, key, type)",
+)
+def _(spark, d):
+    return table_field_keys(_lineitem(spark, d), "lineitem")
+
+
 @_register(
     "show_series",
     "SELECT DISTINCT 'lineitem,l_linestatus=' || l_linestatus || ',l_returnflag=' || l_returnflag AS key FROM lineitem",

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkseries.functions.values import series_key
-from sparkseries.model import FIELD, SLOT_TYPE_NAMES, SeriesError, columns_with_role, slot_for
+from sparkseries.model import FIELD, SLOT_TYPE_NAMES, SeriesError, col, columns_with_role, slot_for
 from sparkseries.operators.points import field_types_of, tag_keys_of
 from sparkseries.plans.conditions import is_regex, match, regex_body
 from sparkseries.plans.paging import page_distinct
@@ -97,6 +97,22 @@ def field_types(df: DataFrame) -> dict[str, str]:
     return {name: SLOT_TYPE_NAMES[slot_for(types[name])] for name in columns_with_role(df, FIELD)}
 
 
+def table_field_keys(df: DataFrame, measurement: str) -> DataFrame:
+    """(measurement, key, type) of the fields of a measurement table that hold any value.
+
+    Types come from the schema and presence from one count per column, so no
+    value is turned into a row.
+    """
+    types = field_types(df)
+    if not types:
+        raise SeriesError("no field")
+    counted = df.agg(*(F.count(col(name)).alias(name) for name in types))
+    keys = [
+        F.when(col(name) > 0, F.struct(F.lit(name).alias("key"), F.lit(kind).alias("type"))) for name, kind in types.items()
+    ]
+    return counted.select(F.lit(measurement).alias("measurement"), F.inline(F.array_compact(F.array(*keys))))
+
+
 def show_series(
     points: DataFrame,
     measurement: str | None = None,

@@ -81,7 +81,7 @@ def with_default_time(time_ns: Column, now: Column | None = None) -> Column:
 
 
 def tag_sets(df: DataFrame, measurement: str, tags: Iterable[str] | None = None) -> DataFrame:
-    """(measurement, tags) once per distinct tag set of a measurement table.
+    """(measurement, tags, row_count) for each distinct tag set of a measurement table.
 
     The tag columns are made distinct as columns, before any map is built.
     Series and tag exploration give the same answer on it as on all points.
@@ -90,8 +90,12 @@ def tag_sets(df: DataFrame, measurement: str, tags: Iterable[str] | None = None)
     tags = list(tags) if tags is not None else columns_with_role(df, TAG)
     if not tags:
         raise SeriesError("empty tag")
-    distinct = df.select(*(col(t).cast("string").alias(t) for t in tags)).distinct()
-    return distinct.select(F.lit(measurement).alias("measurement"), _map_of([(t, col(t)) for t in tags], TAGS_TYPE).alias("tags"))
+    named = df.select(*(col(t).cast("string").alias(t) for t in tags))
+    # The count keeps this aggregate apart: a bare distinct would be merged into
+    # the caller's distinct, and maps would be built for every row again.
+    counted = named.groupBy(*(col(t) for t in tags)).agg(F.count(F.lit(1)).alias("row_count")).where("row_count > 0")
+    tag_map = _map_of([(t, col(t)) for t in tags], TAGS_TYPE)
+    return counted.select(F.lit(measurement).alias("measurement"), tag_map.alias("tags"), "row_count")
 
 
 def tag_keys_of(points: DataFrame) -> DataFrame:

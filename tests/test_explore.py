@@ -1,8 +1,10 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from sparkseries.model import SeriesError, with_roles
+from sparkseries.operators.points import tag_sets, wide_to_points
 from sparkseries.operators.explore import (
     field_types,
     series_cardinality,
@@ -11,6 +13,7 @@ from sparkseries.operators.explore import (
     show_series,
     show_tag_keys,
     show_tag_values,
+    table_field_keys,
 )
 
 
@@ -76,4 +79,16 @@ def test_keys_and_measurements(spark, weather, lines):
     assert column(show_measurements(weather, "!~", "/^o/"), "measurement") == ["w"]
     assert column(show_measurements(weather, "<>", "w"), "measurement") == ["other"]
     wide = with_roles(spark.range(1).selectExpr("id AS time", "'x' AS t", "1L AS a", "1.5D AS b", "true AS c", "'s' AS d"), time="time", tags=["t"], fields=["a", "b", "c", "d"])
+    empty = wide.withColumn("a", F.lit(None).cast("bigint").alias("a", metadata={"role": "field"}))
+    assert sorted(column(table_field_keys(wide, "w"), "key")) == ["a", "b", "c", "d"]
+    assert sorted(column(table_field_keys(empty, "w"), "key")) == ["b", "c", "d"]
     assert field_types(wide) == {"a": "integer", "b": "float", "c": "boolean", "d": "string"}
+
+
+def test_tag_sets_answer_like_points(spark):
+    df = spark.createDataFrame([("a", "x", 1), ("a", "x", 2), ("b", None, 3)], "t string, u string, time bigint")
+    df = with_roles(df.withColumn("f", F.lit(1.5)), time="time", tags=["t", "u"], fields=["f"])
+    sets, points = tag_sets(df, "m"), wide_to_points(df, "m")
+    assert {tuple(r.tags.items()): r.row_count for r in sets.collect()} == {(("t", "a"), ("u", "x")): 2, (("t", "b"),): 1}
+    for show in (show_series, show_tag_keys, lambda p: show_tag_values(p, ["t", "u"])):
+        assert sorted(show(sets).collect()) == sorted(show(points).collect())
