@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkseries.model import SLOT_DDL, SLOT_TYPE_NAMES, SLOTS, slot_for
+from sparkseries.model import SLOT_TYPE_NAMES, SLOTS, slot_for
 
 # How the text of a field value names its type.
 TRUE_WORDS = ("true", "TRUE", "t", "T")
@@ -173,10 +173,6 @@ def general_double(value: Column) -> Column:
     return F.when(tiny_or_huge, let(value.cast("string"), spell)).otherwise(plain_double(value))
 
 
-def empty_fields() -> Column:
-    return F.map_from_arrays(F.array().cast("array<string>"), F.array().cast(f"array<{SLOT_DDL}>"))
-
-
 # --------------------------------------------------------------------------
 # maps
 

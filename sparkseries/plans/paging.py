@@ -23,7 +23,7 @@ from sparkseries.model import NS_PER, SeriesError, col
 #: up to this many rows a global page is a single top-n
 GLOBAL_DIRECT_ROWS = 10_000
 RANK = "__rank"
-_BUCKET, _FROM, _SIZE = "__bucket", "__from", "__size"
+_KEY, _FROM, _SIZE = "__key", "__from", "__size"
 
 
 def _direction(column: Column, descending: bool) -> Column:
@@ -53,22 +53,22 @@ def with_rank_base(
     descending: bool = False,
     bucket_seconds: int = 3_600,
 ) -> DataFrame:
-    """Add, per row, its bucket, the number of rows before the bucket and the bucket's size."""
-    keyed = df.withColumn(_BUCKET, coarse_time(df, time, bucket_seconds))
-    names = [f"__k{i}" for i in range(len(series))]
-    counts = keyed.groupBy(*(col(s).alias(n) for s, n in zip(series, names)), F.col(_BUCKET).alias("__b")).agg(
-        F.count(F.lit(1)).alias(_SIZE)
-    )
+    """Add, per row, its (series, bucket), the number of rows before the bucket and the bucket's size.
+
+    The key is one struct: structs compare null fields as equal, and the join
+    and a later window over the key share one shuffle.
+    """
+    fields = [f"s{i}" for i in range(len(series))]
+    bucket = coarse_time(df, time, bucket_seconds).alias("b")
+    keyed = df.withColumn(_KEY, F.struct(*(col(s).alias(f) for s, f in zip(series, fields)), bucket))
+    counts = keyed.groupBy(_KEY).agg(F.count(F.lit(1)).alias(_SIZE))
     running = (
-        Window.partitionBy(*names)
-        .orderBy(_direction(F.col("__b"), descending))
+        Window.partitionBy(*(F.col(_KEY)[f] for f in fields))
+        .orderBy(_direction(F.col(_KEY)["b"], descending))
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     counts = counts.withColumn(_FROM, F.coalesce(F.sum(_SIZE).over(running), F.lit(0)))
-    on = keyed[_BUCKET].eqNullSafe(counts["__b"])
-    for s, n in zip(series, names):
-        on = on & keyed[s].eqNullSafe(counts[n])
-    return keyed.join(counts, on).drop(*names, "__b")
+    return keyed.join(counts, _KEY)
 
 
 def with_rank(
@@ -82,10 +82,8 @@ def with_rank(
 ) -> DataFrame:
     """Number the rows of every series from 1 in time order, one task per (series, bucket)."""
     based = with_rank_base(df, time=time, series=series, descending=descending, bucket_seconds=bucket_seconds)
-    within = Window.partitionBy(*(col(s) for s in series), F.col(_BUCKET)).orderBy(
-        *order_columns(time, ties, descending)
-    )
-    return based.withColumn(RANK, F.col(_FROM) + F.row_number().over(within)).drop(_BUCKET, _FROM, _SIZE)
+    within = Window.partitionBy(_KEY).orderBy(*order_columns(time, ties, descending))
+    return based.withColumn(RANK, F.col(_FROM) + F.row_number().over(within)).drop(_KEY, _FROM, _SIZE)
 
 
 def page(
@@ -126,7 +124,7 @@ def page(
     if last is not None:
         touched = touched & (F.col(_FROM) < last)
         whole = whole & (bucket_end <= last)
-    within = Window.partitionBy(*(col(s) for s in series), F.col(_BUCKET)).orderBy(*order)
+    within = Window.partitionBy(_KEY).orderBy(*order)
     # Rows of buckets that lie inside the page pass without a sort.
     kept = based.where(touched)
     inside = kept.where(whole)
@@ -134,7 +132,7 @@ def page(
     cut_rows = cut_rows.where(F.col(RANK) > offset)
     if last is not None:
         cut_rows = cut_rows.where(F.col(RANK) <= last)
-    return inside.unionByName(cut_rows.drop(RANK)).drop(_BUCKET, _FROM, _SIZE)
+    return inside.unionByName(cut_rows.drop(RANK)).select(*(col(c) for c in df.columns))
 
 
 def page_distinct(

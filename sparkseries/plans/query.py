@@ -127,9 +127,9 @@ class Query:
                 raise SeriesError("one selector per query")
             if selectors[0].kind == "top":
                 return self._top(df, time, selectors[0])
-            return self._paged(self._last(df, time, selectors[0]), selectors[0].kind)
+            return self._paged(self._last(df, time, selectors[0]))
         if self.bucket or any(c.aggregate for c in self.columns):
-            return self._paged(self._aggregate(df, time), "aggregate")
+            return self._paged(self._aggregate(df, time))
         return self._plain(df, time)
 
     def _plain(self, df: DataFrame, time: str) -> DataFrame:
@@ -213,14 +213,13 @@ class Query:
             *(col(n) for n in names),
         )
 
-    def _paged(self, rows: DataFrame, kind: str) -> DataFrame:
+    def _paged(self, rows: DataFrame) -> DataFrame:
         if (self.row_limit <= 0 and self.row_offset <= 0) or TIME not in rows.columns:
             return rows
-        ties = [t for t in self.tags]
         return page(
             rows,
             time=TIME,
-            ties=ties,
+            ties=self.tags,
             limit=self.row_limit,
             offset=self.row_offset,
             series=self.tags if self.page_scope == "series" else (),

@@ -255,6 +255,14 @@ def test_rank(skewed):
         assert [(r[RANK], r["id"]) for r in found] == list(enumerate(ids, 1))
 
 
+def test_rows_without_time_come_last(spark, skewed, monkeypatch):
+    monkeypatch.setattr(paging, "GLOBAL_DIRECT_ROWS", 0)
+    df = skewed[0].select("tag", "t", "id").unionByName(spark.createDataFrame([("hot", None, 7000), ("hot", None, 7001)], "tag string, t timestamp_ntz, id int"))
+    paged = page(df, time="t", ties=["id"], offset=664)
+    assert [r["id"] for r in paged.collect()] == [7001]
+    assert with_rank(df, time="t", ties=["id"], series=["tag"]).where("id >= 7000").agg(F.min(RANK)).first()[0] == 601
+
+
 def test_page_of_distinct_keys(spark):
     df = spark.range(100).selectExpr("CAST(id AS string) AS k")
     ordered = sorted(str(i) for i in range(100))

@@ -11,7 +11,6 @@ from helpers import plan_text, point
 from pyspark.sql import functions as F
 
 from sparkseries.model import SeriesError, with_roles
-from sparkseries.operators.points import wide_to_points
 from sparkseries.operators.retention import (
     duration_column_ns,
     duration_column_text,
