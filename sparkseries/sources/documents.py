@@ -35,7 +35,9 @@ DOCUMENT = T.StructType(
 
 def parse_documents(df: DataFrame, text: str = "value") -> DataFrame:
     """Add ``document`` (null for text that is no JSON object) and ``error`` (null when there is none)."""
-    parsed = df.withColumn("document", F.from_json(col(text), DOCUMENT))
+    # A generator of one row keeps filters on the document above the parsing.
+    document = F.explode(F.array(F.from_json(col(text), DOCUMENT))).alias("document")
+    parsed = df.select(*(col(c) for c in df.columns), document)
     return parsed.withColumn("error", document_error(F.col("document")))
 
 
