@@ -15,6 +15,8 @@ from sparkseries.model import SeriesError, col
 
 BUCKET = "token_bucket"
 _SEPARATORS = "[^a-z0-9]+"
+#: as many search words fit into the bits of one number
+_BITS = 62
 
 
 def tokens_of(text: Column) -> Column:
@@ -65,19 +67,21 @@ def query_tokens(words: str | Sequence[str]) -> list[str]:
     found = dict.fromkeys(t for w in texts for t in re.split(_SEPARATORS, w.lower()) if t)
     if not found:
         raise SeriesError("no word to search for")
-    if len(found) > 62:
-        raise SeriesError("more than 62 search words")
     return list(found)
 
 
 def lookup(index: DataFrame, words: str | Sequence[str]) -> DataFrame:
     """Row ids with a field that holds all words."""
     wanted = query_tokens(words)
-    numbers = F.create_map(*(F.lit(x) for i, t in enumerate(wanted) for x in (t, 1 << i)))
-    hits = index.where(F.col("token").isin(*wanted))
-    # One bit per word: any number of repeats merges before the shuffle.
-    seen = hits.groupBy("row_id", "field").agg(F.bit_or(numbers[F.col("token")].cast("bigint")).alias("seen"))
-    complete = seen.where(F.col("seen") == F.lit((1 << len(wanted)) - 1).cast("bigint"))
+    hits = index.where(F.col("token").isin(*wanted)).groupBy("row_id", "field")
+    if len(wanted) <= _BITS:
+        # One bit per word: any number of repeats merges before the shuffle.
+        numbers = F.create_map(*(F.lit(x) for i, t in enumerate(wanted) for x in (t, 1 << i)))
+        seen = hits.agg(F.bit_or(numbers[F.col("token")].cast("bigint")).alias("seen"))
+        complete = seen.where(F.col("seen") == F.lit((1 << len(wanted)) - 1).cast("bigint"))
+    else:
+        # A set per row id holds search words only, so it is as long as the query at most.
+        complete = hits.agg(F.collect_set("token").alias("seen")).where(F.size("seen") == len(wanted))
     return complete.select("row_id").distinct()
 
 

@@ -11,6 +11,8 @@ so a batch that runs again after a lost driver leaves no second copy:
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -104,7 +106,7 @@ def start_ingest(
     ``interval`` is the longest wait for a batch; with None all available data
     is taken and the query ends.  One query serves every (db, rp).
     """
-    if interval is not None and not interval.strip():
+    if interval is not None and not re.search("[1-9]", interval):
         raise SeriesError("batch interval must be positive")
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:

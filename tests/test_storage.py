@@ -280,6 +280,9 @@ def test_text_index(spark, tmp_path):
         stored = read_text_index(spark, path, words, buckets=8)
         assert sorted(r[0] for r in lookup(stored, words).collect()) == brute(words)
         assert sorted(r["id"] for r in search(df, stored, "id", words).collect()) == brute(words)
+    many = [f"w{i}" for i in range(70)]
+    long = spark.createDataFrame([(1, " ".join(many)), (2, " ".join(many[1:]))], "id int, body string")
+    assert [r[0] for r in lookup(text_index(long, "id", ["body"]), many).collect()] == [1]
     assert "token_bucket" in plan_text(stored).split("PartitionFilters")[1]
     assert query_tokens("Quick-brown quick") == ["quick", "brown"]
     for wrong in ([], ["id"]):
@@ -381,8 +384,9 @@ def test_stream_settings(spark, tmp_path):
     for args in ({"db": ""}, {"db": "d", "batch_files": 0}):
         with pytest.raises(SeriesError):
             line_stream(spark, str(tmp_path), **args)
-    with pytest.raises(SeriesError):
-        start_ingest(None, "x", "y", interval=" ")
+    for interval in (" ", "0 seconds"):
+        with pytest.raises(SeriesError):
+            start_ingest(None, "x", "y", interval=interval)
 
 
 def test_counts_on_a_stream(spark, tmp_path):
