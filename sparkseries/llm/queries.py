@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from sparkseries.llm.common import table
+from sparkseries.llm.linededup import deduplicate_lines, digest
 from sparkseries.llm.simhash import near_duplicates
 
 
@@ -12,7 +13,29 @@ def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
 
+def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return digest(deduplicate_lines(table(spark, folder, "documents")))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op3_line_dedup": op3_line_dedup,
 }
-SQL: dict[str, str] = {}
+_OP3 = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS i
+  FROM documents),
+keys AS (
+  SELECT doc_id, line, i, translate(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines),
+hot AS (
+  SELECT key, max(doc_id) AS last FROM keys WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+marked AS (
+  SELECT k.*, h.key IS NOT NULL AND k.doc_id <> h.last AS gone FROM keys k LEFT JOIN hot h USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+SQL: dict[str, str] = {"op3_line_dedup": _OP3}
