@@ -129,7 +129,8 @@ def _all_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LINE_TIES = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
 
-Queries = dict[str, Callable[[SparkSession, str], DataFrame]]
+Query_ = Callable[[SparkSession, str], DataFrame]
+Queries = dict[str, Query_]
 _QUERIES: Queries = {}
 _SQL: dict[str, str] = {}
 
@@ -982,7 +983,16 @@ try:
     from sparkseries.llm.queries import QUERIES as _LLM_QUERIES
     from sparkseries.llm.queries import SQL as _LLM_SQL
 
-    _QUERIES.update(_LLM_QUERIES, pipeline=corpus_pipeline.run)
+    def _found_by_workers(query: Query_) -> Query_:
+        """``query`` with this folder on the search path of Python workers."""
+
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            spark.sparkContext.environment.setdefault("PYTHONPATH", os.path.dirname(os.path.abspath(__file__)))
+            return query(spark, folder)
+
+        return run
+
+    _QUERIES.update({name: _found_by_workers(q) for name, q in {**_LLM_QUERIES, "pipeline": corpus_pipeline.run}.items()})
     _SQL.update(_LLM_SQL)
     if corpus_pipeline.ORACLE_SQL:
         _SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
