@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sparkseries.llm.chat import maximal_conversations
 from sparkseries.llm.common import table
 from sparkseries.llm.linededup import deduplicate_lines, digest
 from sparkseries.llm.simhash import near_duplicates
@@ -17,9 +18,14 @@ def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return digest(deduplicate_lines(table(spark, folder, "documents")))
 
 
+def op6_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    return maximal_conversations(table(spark, folder, "conversations"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op3_line_dedup": op3_line_dedup,
+    "op6_chat_format": op6_chat_format,
 }
 _OP3 = r"""
 WITH lines AS (
@@ -38,4 +44,17 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
 """
-SQL: dict[str, str] = {"op3_line_dedup": _OP3}
+_OP6 = r"""
+WITH turns AS (
+  SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+placed AS (
+  SELECT conv_id, row_number() OVER w AS n, lead(1) OVER w IS NULL AS last,
+         md5(string_agg(md5(role) || md5(text), '') OVER (w ROWS UNBOUNDED PRECEDING)) AS h,
+         '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) AS shown
+  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+whole AS (SELECT n, h, min(conv_id) AS conv_id, count(*) AS copies FROM placed WHERE last GROUP BY n, h),
+maximal AS (SELECT * FROM whole w WHERE NOT EXISTS (SELECT 1 FROM placed p WHERE NOT p.last AND p.n = w.n AND p.h = w.h))
+SELECT m.conv_id, m.n AS n_turns, m.copies, string_agg(p.shown, '' ORDER BY p.n) AS rendered
+FROM maximal m JOIN placed p USING (conv_id) GROUP BY m.conv_id, m.n, m.copies
+"""
+SQL: dict[str, str] = {"op3_line_dedup": _OP3, "op6_chat_format": _OP6}
