@@ -3,17 +3,24 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from sparkseries.llm.ann import nearest
 from sparkseries.llm.chat import maximal_conversations
 from sparkseries.llm.common import table
 from sparkseries.llm.linededup import deduplicate_lines, digest
 from sparkseries.llm.simhash import near_duplicates
+from sparkseries.llm.topk import top_k
 
 
 def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
 
+def op2_ann(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return digest(deduplicate_lines(table(spark, folder, "documents")))
 
@@ -22,10 +29,16 @@ def op6_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return maximal_conversations(table(spark, folder, "conversations"))
 
 
+def op9_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_ann": op2_ann,
     "op3_line_dedup": op3_line_dedup,
     "op6_chat_format": op6_chat_format,
+    "op9_topk": op9_topk,
 }
 _OP3 = r"""
 WITH lines AS (
@@ -57,4 +70,15 @@ maximal AS (SELECT * FROM whole w WHERE NOT EXISTS (SELECT 1 FROM placed p WHERE
 SELECT m.conv_id, m.n AS n_turns, m.copies, string_agg(p.shown, '' ORDER BY p.n) AS rendered
 FROM maximal m JOIN placed p USING (conv_id) GROUP BY m.conv_id, m.n, m.copies
 """
-SQL: dict[str, str] = {"op3_line_dedup": _OP3, "op6_chat_format": _OP6}
+_OP9 = """
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * b.q[i])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored QUALIFY rank <= 5
+"""
+SQL: dict[str, str] = {"op3_line_dedup": _OP3, "op6_chat_format": _OP6, "op9_topk": _OP9}
