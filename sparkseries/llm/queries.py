@@ -10,6 +10,7 @@ from sparkseries.llm.chat import maximal_conversations
 from sparkseries.llm.common import table
 from sparkseries.llm.linededup import deduplicate_lines, digest
 from sparkseries.llm.simhash import near_duplicates
+from sparkseries.llm.suffix import remove_repeats
 from sparkseries.llm.topk import top_k
 
 
@@ -29,6 +30,10 @@ def op6_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return maximal_conversations(table(spark, folder, "conversations"))
 
 
+def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return digest(remove_repeats(table(spark, folder, "documents")))
+
+
 def op9_topk(spark: SparkSession, folder: str) -> DataFrame:
     return top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -38,6 +43,7 @@ QUERIES = {
     "op2_ann": op2_ann,
     "op3_line_dedup": op3_line_dedup,
     "op6_chat_format": op6_chat_format,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_topk": op9_topk,
 }
 _OP3 = r"""

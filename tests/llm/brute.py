@@ -1,0 +1,23 @@
+"""Plain versions of the operators' rules, for small inputs."""
+
+from __future__ import annotations
+
+
+def without_repeats(docs: list[tuple[int | None, bytes]], length: int) -> list[tuple[int, int, int, bytes]]:
+    """Bytes, removed bytes, removed stretches and kept bytes of each document."""
+    least: dict[bytes, int] = {}
+    for doc, text in docs:
+        if doc is not None:
+            for i in range(len(text) - length + 1):
+                s = text[i : i + length]
+                least[s] = min(doc, least.get(s, doc))
+    out = []
+    for doc, text in docs:
+        gone = [False] * len(text)
+        if doc is not None:
+            for i in range(len(text) - length + 1):
+                if least[text[i : i + length]] < doc:
+                    gone[i : i + length] = [True] * length
+        spans = sum(g and not (i and gone[i - 1]) for i, g in enumerate(gone))
+        out.append((len(text), sum(gone), spans, bytes(b for b, g in zip(text, gone) if not g)))
+    return out
