@@ -6,14 +6,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkseries.llm.ann import nearest
+from sparkseries.llm.bpe import transcode
 from sparkseries.llm.chat import maximal_conversations
 from sparkseries.llm.common import table
 from sparkseries.llm.linededup import deduplicate_lines, digest
+from sparkseries.llm.packing import pack
 from sparkseries.llm.simhash import near_duplicates
 from sparkseries.llm.suffix import remove_repeats
 from sparkseries.llm.topk import top_k
 
 
+def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
+    """Place of a public tokenizer's file, the same on every worker."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
@@ -30,6 +39,10 @@ def op6_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return maximal_conversations(table(spark, folder, "conversations"))
 
 
+def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack(table(spark, folder, "documents"), vocabulary_path())
+
+
 def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return digest(remove_repeats(table(spark, folder, "documents")))
 
@@ -38,13 +51,22 @@ def op9_topk(spark: SparkSession, folder: str) -> DataFrame:
     return top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    coded = transcode(table(spark, folder, "documents"), vocabulary_path())
+    return coded.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_ann": op2_ann,
     "op3_line_dedup": op3_line_dedup,
     "op6_chat_format": op6_chat_format,
+    "op7_packing": op7_packing,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_topk": op9_topk,
+    "op10_bpe": op10_bpe,
 }
 _OP3 = r"""
 WITH lines AS (
