@@ -14,6 +14,7 @@ from sparkseries.llm.packing import pack
 from sparkseries.llm.simhash import near_duplicates
 from sparkseries.llm.suffix import remove_repeats
 from sparkseries.llm.topk import top_k
+from sparkseries.llm.toxicity import toxicity
 
 
 def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
@@ -35,6 +36,22 @@ def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return digest(deduplicate_lines(table(spark, folder, "documents")))
 
 
+def fold(column: str, parts: int):
+    """Remainder by which labels are dealt to training and held-out documents."""
+    return F.crc32(F.col(column).cast("string").cast("binary")) % parts
+
+
+def scored(scores: DataFrame, held_out, threshold: float) -> DataFrame:
+    return scores.select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
+    )
+
+
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    return scored(toxicity(docs, labels, fold("doc_id", 3) != 1), fold("doc_id", 3) == 1, 0.7)
+
+
 def op6_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return maximal_conversations(table(spark, folder, "conversations"))
 
@@ -62,6 +79,7 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_ann": op2_ann,
     "op3_line_dedup": op3_line_dedup,
+    "op5_toxicity": op5_toxicity,
     "op6_chat_format": op6_chat_format,
     "op7_packing": op7_packing,
     "op8_suffix_dedup": op8_suffix_dedup,

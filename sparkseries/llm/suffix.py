@@ -101,8 +101,8 @@ def _new(*keys: np.ndarray) -> np.ndarray:
 
 def _spread(first: np.ndarray, count: np.ndarray) -> np.ndarray:
     """``first, first + 1, ...`` of each row, ``count`` numbers each."""
-    ends = np.cumsum(count)
-    return np.repeat(first - ends + count, count) + np.arange(ends[-1] if len(ends) else 0)
+    ends = np.cumsum(count, dtype=first.dtype)
+    return np.repeat(first - ends + count, count) + np.arange(ends[-1] if len(ends) else 0, dtype=first.dtype)
 
 
 class Chunk:
@@ -124,12 +124,12 @@ class Chunk:
         known = data["known"]
         lens = np.diff(self.bounds)
         n = np.where(known, np.maximum(0, lens - length + 1), 0)
-        starts = _spread(self.bounds[:-1], n)
-        doc = np.repeat(np.arange(len(n)), n)
+        starts = _spread(self.bounds[:-1].astype(np.int32), n.astype(np.int32))
+        doc = np.repeat(np.arange(len(n), dtype=np.int32), n)
         names = _NAMES.of(self.text, gram)
         anchor = anchors(names, length - gram + 1)[starts]
         new = np.flatnonzero(_new(anchor, doc))
-        self.first = starts[new]
+        self.first = starts[new].astype(np.int64)
         self.count = np.diff(np.concatenate([new, [len(starts)]]))
         self.anchor = anchor[new].astype(np.int64)
         self.name = names[self.anchor]
@@ -384,8 +384,8 @@ def remove_repeats(
     length: int = 50,
     gram: int = 24,
     carry: tuple[str, ...] = (),
-    chunk_bytes: int = 4 << 20,
-    range_bytes: int = 24 << 20,
+    chunk_bytes: int = 2 << 20,
+    range_bytes: int = 16 << 20,
 ) -> DataFrame:
     """``(id_col, *carry, n_bytes, n_removed, n_spans, kept)``: every text without strings that an earlier document has.
 
