@@ -207,7 +207,7 @@ def stretched(word: str, rng: np.random.Generator) -> str:
     return word[:at] + chr(97 + int(rng.integers(26))) + word[at:]
 
 
-def fit(toxic: list[list[str]], clean: list[list[str]], landmarks: int = 192, least: float = 12.0, seed: int = 5) -> Model:
+def fit(toxic: list[list[str]], clean: list[list[str]], landmarks: int = 256, least: float = 12.0, seed: int = 5) -> Model:
     """A model from the words of labelled documents.
 
     Without a document of either kind, or without a word that tells them apart,
@@ -217,13 +217,13 @@ def fit(toxic: list[list[str]], clean: list[list[str]], landmarks: int = 192, le
         return Model(None)
     often = Counter(w for words in clean for w in words)
     seen = Counter(w for words in toxic for w in words)
-    found = sorted(w for w in witnesses(toxic, clean, least) if seen[w] >= 3 * often[w])
+    found = sorted((w for w in witnesses(toxic, clean, least) if seen[w] >= 3 * often[w]), key=lambda w: (-seen[w], w))
     if not found:
         return Model(None)
     rng = np.random.default_rng(seed)
     clean_words = sorted(w for w, n in often.items() if w not in set(found))
     hard: list[str] = []
-    for again in range(4):
+    for _ in range(4):
         # insults as found, and with a letter put in; the latter weigh less
         altered = [stretched(w, rng) for w in found for _ in range(3)]
         negative = list(rng.choice(clean_words, min(4000, len(clean_words)), replace=False)) + hard
@@ -237,7 +237,7 @@ def fit(toxic: list[list[str]], clean: list[list[str]], landmarks: int = 192, le
         third = landmarks // 3
         chosen = np.concatenate(
             [
-                rng.permutation(np.flatnonzero(y > 0))[:third],
+                np.flatnonzero(y > 0)[:third],  # the most frequent insults
                 rng.permutation(np.flatnonzero((y < 0) & (owners < len(words) - len(hard))))[:third],
                 rng.permutation(np.flatnonzero(owners >= len(words) - len(hard)))[:third],
             ]
@@ -250,9 +250,6 @@ def fit(toxic: list[list[str]], clean: list[list[str]], landmarks: int = 192, le
         model = Model(marks.table(whiten @ w[:-1]), float(w[-1]))
         near = model.units(clean_words)
         hard = sorted(set(hard) | {clean_words[i] for i in np.argsort(-near)[:1500] if near[i] > -1})
-        if again < 3:
-            sure = model.units(found)
-            found = [word for word, margin in zip(found, sure) if margin > 0] or found
     of_word = dict(zip(clean_words, near.tolist()))
     rest = sorted({w for words in toxic for w in words} - of_word.keys())
     of_word |= dict(zip(rest, model.units(rest).tolist()))
@@ -329,7 +326,7 @@ def toxicity(
     label_col: str = "toxic",
     each: int = 800,
     most_words: int = 4000,
-    landmarks: int = 192,
+    landmarks: int = 256,
 ) -> DataFrame:
     """``(id_col, score)``: how likely ``label_col`` is 1, for every row of ``docs`` by its whole text.
 
