@@ -13,6 +13,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkseries.llm.common import raw_text, stored
 
@@ -125,9 +126,10 @@ def _bitmaps(batches):
         )
 
 
-def _numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _numbered(docs: DataFrame, id_col: str, text_col: str, carry: tuple[str, ...] = ()) -> DataFrame:
     text = raw_text(text_col)
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    row = [F.struct(*carry).alias("row")] if carry else []
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("text"), *row)
 
 
 def keep_bitmaps(
@@ -183,13 +185,13 @@ def _cut(batches):
             counts.append(n)
             dropped.append(lost)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(texts, pa.binary()), pa.array(counts, pa.int64()), pa.array(dropped, pa.int64())],
-            names=["id", "kept", "n_lines", "n_dropped"],
+            [batch.column(0), pa.array(counts, pa.int64()), pa.array(dropped, pa.int64()), pa.array(texts, pa.binary()), *batch.columns[3:]],
+            names=["id", "n_lines", "n_dropped", "kept", *batch.schema.names[3:]],
         )
 
 
 def deduplicate_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 20, min_docs: int = 3
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 20, min_docs: int = 3, carry: tuple[str, ...] = ()
 ) -> DataFrame:
     """``(id_col, n_lines, n_dropped, kept)``: every text without the lines that other documents repeat.
 
@@ -199,13 +201,15 @@ def deduplicate_lines(
     ids) hold loses its lines everywhere but in the document of the largest id;
     that document keeps all of them.  ``kept`` is binary: the other lines joined
     by ``\\n``.  Repeated rows repeat in the result; rows without an id keep all
-    lines.  Other columns of ``docs`` are not read, whatever their names.  An
-    empty table gives an empty result.
+    lines.  Columns in ``carry`` come back in a struct ``row``; others are not
+    read, whatever their names.  An empty table gives an empty result.
     """
     maps = keep_bitmaps(docs, id_col, text_col, min_chars, min_docs)
-    joined = _numbered(docs, id_col, text_col).join(maps, ["id", "text_hash"], "left").select("id", "text", "keep")
-    cut = joined.mapInArrow(_cut, "id long, kept binary, n_lines long, n_dropped long")
-    return cut.select(F.col("id").alias(id_col), "n_lines", "n_dropped", "kept")
+    numbered = _numbered(docs, id_col, text_col, carry)
+    joined = numbered.join(maps, ["id", "text_hash"], "left").select("id", "text", "keep", *(["row"] if carry else []))
+    fields = [T.StructField("id", T.LongType()), T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())]
+    cut = joined.mapInArrow(_cut, T.StructType([*fields, T.StructField("kept", T.BinaryType()), *joined.schema.fields[3:]]))
+    return cut.select(F.col("id").alias(id_col), "n_lines", "n_dropped", "kept", *(["row"] if carry else []))
 
 
 def digest(rows: DataFrame, kept: str = "kept") -> DataFrame:

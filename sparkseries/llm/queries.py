@@ -11,6 +11,7 @@ from sparkseries.llm.chat import maximal_conversations
 from sparkseries.llm.common import table
 from sparkseries.llm.linededup import deduplicate_lines, digest
 from sparkseries.llm.packing import pack
+from sparkseries.llm.quality import quality
 from sparkseries.llm.simhash import near_duplicates
 from sparkseries.llm.suffix import remove_repeats
 from sparkseries.llm.topk import top_k
@@ -47,6 +48,11 @@ def scored(scores: DataFrame, held_out, threshold: float) -> DataFrame:
     )
 
 
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    return scored(quality(docs, labels, fold("doc_id", 5) != 0), fold("doc_id", 5) == 0, 0.3)
+
+
 def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     return scored(toxicity(docs, labels, fold("doc_id", 3) != 1), fold("doc_id", 3) == 1, 0.7)
@@ -79,6 +85,7 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_ann": op2_ann,
     "op3_line_dedup": op3_line_dedup,
+    "op4_quality": op4_quality,
     "op5_toxicity": op5_toxicity,
     "op6_chat_format": op6_chat_format,
     "op7_packing": op7_packing,

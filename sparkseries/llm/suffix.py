@@ -387,7 +387,7 @@ def remove_repeats(
     chunk_bytes: int = 2 << 20,
     range_bytes: int = 16 << 20,
 ) -> DataFrame:
-    """``(id_col, *carry, n_bytes, n_removed, n_spans, kept)``: every text without strings that an earlier document has.
+    """``(id_col, n_bytes, n_removed, n_spans, kept)``: every text without strings that an earlier document has.
 
     A text is its UTF-8 bytes; null counts as empty.  Every byte covered by a
     string of ``length`` bytes that also starts in a document of smaller id is
@@ -395,7 +395,7 @@ def remove_repeats(
     longest removed stretches; ``kept`` is binary.  Rows of one id are one
     document and never judged against each other, repeated rows repeat in the
     result, and rows without an id are kept whole and judge no others.  Columns
-    in ``carry`` pass through; others are not read, whatever their names.  An
+    in ``carry`` come back in a struct ``row``; others are not read, whatever their names.  An
     empty table gives an empty result.
 
     Every string of ``length`` bytes chooses an anchor, the smallest of the
@@ -412,7 +412,7 @@ def remove_repeats(
     of all documents share costs one entry for each chunk.
     """
     spark = docs.sparkSession
-    carried = [F.col(c).alias(f"c{i}") for i, c in enumerate(carry)]
+    carried = [F.struct(*carry).alias("row")] if carry else []
     source = docs.select(F.col(id_col).cast("long").alias("id"), raw_text(text_col).alias("text"), *carried, F.col(id_col).alias("own_id"))
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name, path = f"chunks_{uuid.uuid4().hex}", scratch_folder(spark, "chunks")
@@ -435,8 +435,7 @@ def remove_repeats(
             asked = (with_replies() if replies else chunks).mapInArrow(_asked(length, gram, ranges), "range int, chunk long, content binary")
             answered = asked.groupBy("range").applyInArrow(_answered(round_), "chunk long, round int, range int, bits binary")
             replies.append(stored(answered, f"replies-{round_}"))
-        fields = [T.StructField(f"c{i}", docs.schema[c].dataType) for i, c in enumerate(carry)]
-        fields.append(T.StructField("own_id", docs.schema[id_col].dataType))
+        fields = list(source.schema.fields[2:])
         fields += [T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")]
         fields.append(T.StructField("kept", T.BinaryType()))
         result = stored(with_replies().mapInArrow(_finished(length, gram, ranges), T.StructType(fields)), "repeats")
@@ -444,5 +443,4 @@ def remove_repeats(
             forget(table)
     finally:
         spark.sql(f"DROP TABLE {name}")
-    own = [F.col(f"c{i}").alias(c) for i, c in enumerate(carry)]
-    return result.select(F.col("own_id").alias(id_col), *own, "n_bytes", "n_removed", "n_spans", "kept")
+    return result.select(F.col("own_id").alias(id_col), "n_bytes", "n_removed", "n_spans", "kept", *(["row"] if carry else []))

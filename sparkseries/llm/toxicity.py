@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkseries.llm.common import raw_text
 
@@ -289,11 +290,12 @@ def labelled_words(docs: DataFrame, labels: DataFrame, train: Column, id_col: st
     return shared[1], shared[0]
 
 
-def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", most: int = 400_000) -> DataFrame:
-    """``(id_col, score)`` of every whole text, from 0 to 1.  See ``toxicity``."""
+def score_documents(
+    docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (), most: int = 400_000
+) -> DataFrame:
+    """``(id_col, score)`` of every whole text, from 0 to 1, and ``row`` if columns are carried.  See ``toxicity``."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
-    kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
         known: dict[str, float] = {}
@@ -311,10 +313,15 @@ def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
                         new = list(set(words))
                     known.update(zip(new, judge.units(new).tolist()))
                 out.append(judge.probability(max(map(known.__getitem__, words), default=-1.0)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.float64())], names=[id_col, "score"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(out, pa.float64()), *batch.columns[2:]], names=["id", "score", *batch.schema.names[2:]]
+            )
 
-    source = docs.select(F.col(id_col), raw_text(text_col).alias("text"))
-    return source.mapInArrow(run, f"`{id_col}` {kind}, score double")
+    row = [F.struct(*carry).alias("row")] if carry else []
+    source = docs.select(F.col(id_col).alias("id"), raw_text(text_col).alias("text"), *row)
+    fields = [T.StructField("id", docs.schema[id_col].dataType), T.StructField("score", T.DoubleType()), *source.schema.fields[2:]]
+    scored = source.mapInArrow(run, T.StructType(fields))
+    return scored.select(F.col("id").alias(id_col), "score", *(["row"] if carry else []))
 
 
 def toxicity(
@@ -327,6 +334,7 @@ def toxicity(
     each: int = 800,
     most_words: int = 4000,
     landmarks: int = 256,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """``(id_col, score)``: how likely ``label_col`` is 1, for every row of ``docs`` by its whole text.
 
@@ -337,11 +345,12 @@ def toxicity(
     that are null are not used; of several labels of one id the largest counts.
     Without usable labels of both kinds every score is 0.  Null and empty texts
     score as a document without words.  Repeated rows and rows without an id
-    are scored like others.  Other columns are not read, whatever their names.
-    An empty table gives an empty result.
+    are scored like others.  Columns in ``carry`` come back in a struct ``row``;
+    others are not read, whatever their names.  An empty table gives an empty
+    result.
 
     Scale: one pass over the texts without a shuffle; the model is a table of
     fixed size.
     """
     model = fit(*labelled_words(docs, labels, train, id_col, text_col, label_col, each, most_words), landmarks=landmarks)
-    return score_documents(docs, model, id_col, text_col)
+    return score_documents(docs, model, id_col, text_col, carry)
