@@ -103,7 +103,7 @@ def class_prior(labels: DataFrame, label_col: str) -> float:
     return ((row.one or 0) + 1) / (row.all + 2)
 
 
-def fit(rows: DataFrame, prior: float, ridge: float = 1e-3, rounds: int = 12) -> Model:
+def fit(rows: DataFrame, prior: float, ridge: float = 1e-3, rounds: int = 14) -> Model:
     """Weights that minimise the non-negative unbiased risk over *all* rows (``x``, ``trusted``).
 
     With the logistic loss the risk is ``-prior * mean(f)`` over the trusted
@@ -120,8 +120,8 @@ def fit(rows: DataFrame, prior: float, ridge: float = 1e-3, rounds: int = 12) ->
     mean = first[2 : 2 + d] / n
     scale = np.sqrt(np.maximum(first[2 + d :] / n - mean**2, 1e-12)) + 1e-9
     m = 2 * d + 1
-    w = np.zeros(m)
-    before, step = w, np.zeros(m)
+    w, step = np.zeros(m), np.zeros(m)
+    safe = w  # the last weights found to keep the risk on negatives from falling below zero
     for _ in range(rounds):
         model = Model(mean, scale, w)
 
@@ -135,10 +135,11 @@ def fit(rows: DataFrame, prior: float, ridge: float = 1e-3, rounds: int = 12) ->
 
         s = _summed(rows, sums, 2 + 2 * m + m * m)
         negative = s[0] / n - prior * s[1] / trusted
-        if negative < 0 and np.abs(step).max() > 1e-4:
+        if negative < 0:
             step = step / 2
-            w = before + step
+            w = safe + step
             continue
+        safe = w
         keep = np.full(m, ridge)
         keep[-1] = 1e-6
         gradient = -prior * s[2 : 2 + m] / trusted + s[2 + m : 2 + 2 * m] / n + keep * w
@@ -146,8 +147,8 @@ def fit(rows: DataFrame, prior: float, ridge: float = 1e-3, rounds: int = 12) ->
         step *= min(1.0, 4.0 / max(1e-12, np.abs(step).max()))
         if np.abs(step).max() < 1e-3:
             break
-        before, w = w, w + step
-    return Model(mean, scale, w)
+        w = w + step
+    return Model(mean, scale, safe)
 
 
 def quality(
