@@ -89,12 +89,12 @@ class Landmarks:
     def kernel(self, rows: np.ndarray) -> np.ndarray:
         """Kernel values of rows with all landmarks."""
         out = []
-        for at in range(0, len(rows), 2048):
-            codes, size = subsequences(rows[at : at + 2048])
-            sums = np.zeros((len(codes), self.weights.shape[1]))
+        for at in range(0, len(rows), 1024):
+            codes, size = subsequences(rows[at : at + 1024])
+            sums = np.zeros((len(codes), self.weights.shape[1]), np.float32)
             for i, w in enumerate(_WEIGHTS):
-                sums += self.weights[self.place[codes[:, i]]] * w
-            out.append(sums / size[:, None])
+                sums += self.weights[self.place[codes[:, i]]] * np.float32(w)
+            out.append(sums / size[:, None].astype(np.float32))
         return np.concatenate(out)
 
     def table(self, factors: np.ndarray) -> np.ndarray:
@@ -156,30 +156,31 @@ def witnesses(toxic: list[list[str]], clean: list[list[str]], least: float) -> s
     ratio between the documents of both kinds; each toxic document names the
     words that come near its best one, if that one has at least ``least``.
     """
-    own: dict[str, set[str]] = {}
-
-    def counts(docs: list[list[str]]) -> Counter:
-        out: Counter = Counter()
-        for words in docs:
-            found: set[str] = set()
-            for w in words:
-                if w not in own:
-                    own[w] = grams(w[:64])
-                found |= own[w]
-            out.update(found)
-        return out
-
     toxic, clean = unlike(toxic), unlike(clean)
-    bad, good = counts(toxic), counts(clean)
     share = len(toxic) / (len(toxic) + len(clean))
+    bad: Counter = Counter()
+    for words in toxic:
+        bad.update({g for w in words for g in grams(w[:64])})
+    # a gram of fewer documents cannot reach the ratio, however pure it is
+    bad = {g: n for g, n in bad.items() if n * np.log(1 / share) >= least}
+    own: dict[str, tuple[str, ...]] = {}
+
+    def known(word: str) -> tuple[str, ...]:
+        if word not in own:
+            own[word] = tuple(g for g in grams(word[:64]) if g in bad)
+        return own[word]
+
+    good: Counter = Counter()
+    for words in clean:
+        good.update({g for w in words for g in known(w)})
     ratio: dict[str, float] = {}
     for g, n in bad.items():
-        m = good.get(g, 0)
+        m = good[g]
         if n >= 3 * (m + 1):
             ratio[g] = n * np.log(n / (share * (n + m))) + (m * np.log(m / ((1 - share) * (n + m))) if m else 0.0)
     out: set[str] = set()
     for words in toxic:
-        best = {w: max((ratio.get(g, 0.0) for g in own[w]), default=0.0) for w in words}
+        best = {w: max((ratio.get(g, 0.0) for g in known(w)), default=0.0) for w in words}
         top = max(best.values(), default=0.0)
         if top >= least:
             out |= {w for w, v in best.items() if v >= max(least, 0.5 * top)}
@@ -208,7 +209,7 @@ def stretched(word: str, rng: np.random.Generator) -> str:
     return word[:at] + chr(97 + int(rng.integers(26))) + word[at:]
 
 
-def fit(toxic: list[list[str]], clean: list[list[str]], landmarks: int = 256, least: float = 12.0, seed: int = 5) -> Model:
+def fit(toxic: list[list[str]], clean: list[list[str]], landmarks: int = 192, least: float = 12.0, seed: int = 5) -> Model:
     """A model from the words of labelled documents.
 
     Without a document of either kind, or without a word that tells them apart,
@@ -227,7 +228,7 @@ def fit(toxic: list[list[str]], clean: list[list[str]], landmarks: int = 256, le
     for _ in range(4):
         # insults as found, and with a letter put in; the latter weigh less
         altered = [stretched(w, rng) for w in found for _ in range(3)]
-        negative = list(rng.choice(clean_words, min(4000, len(clean_words)), replace=False)) + hard
+        negative = list(rng.choice(clean_words, min(3000, len(clean_words)), replace=False)) + hard
         words = found + altered + negative
         rows, owners = windows(words)
         y = np.where(owners < len(found) + len(altered), 1.0, -1.0)
@@ -250,11 +251,8 @@ def fit(toxic: list[list[str]], clean: list[list[str]], landmarks: int = 256, le
         w = hinge_fit(marks.kernel(rows) @ whiten, y, times[owners], ridge=0.1)
         model = Model(marks.table(whiten @ w[:-1]), float(w[-1]))
         near = model.units(clean_words)
-        hard = sorted(set(hard) | {clean_words[i] for i in np.argsort(-near)[:1500] if near[i] > -1})
-    of_word = dict(zip(clean_words, near.tolist()))
-    rest = sorted({w for words in toxic for w in words} - of_word.keys())
-    of_word |= dict(zip(rest, model.units(rest).tolist()))
-    margin = np.array([max((of_word.get(w, -1.0) for w in words), default=-1.0) for words in toxic + clean])
+        hard = sorted(set(hard) | {clean_words[i] for i in np.argsort(-near)[:1000] if near[i] > -1})
+    margin = np.array([model.units(words).max(initial=-1.0) for words in toxic + clean])
     y = np.array([1.0] * len(toxic) + [0.0] * len(clean))
     x = np.stack([margin, np.ones(len(margin))], 1)
     line = np.array([4.0, 0.0])
@@ -331,9 +329,9 @@ def toxicity(
     id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "toxic",
-    each: int = 800,
+    each: int = 500,
     most_words: int = 4000,
-    landmarks: int = 256,
+    landmarks: int = 192,
     carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """``(id_col, score)``: how likely ``label_col`` is 1, for every row of ``docs`` by its whole text.
