@@ -60,11 +60,11 @@ from sparkseries.operators.quality import (
 )
 from sparkseries.operators.retention import keep_retained, policies, policy_report, resolve_policy, shard_group
 from sparkseries.operators.templates import bind_statement, bind_templates, bound_points, parameters
-from sparkseries.operators.textindex import search, search_texts, text_index
+from sparkseries.operators.textindex import read_text_index, search, search_texts, text_index, write_text_index
 from sparkseries.plans.paging import page
 from sparkseries.session import scratch_folder
 from sparkseries.sources.documents import document_rows, result_documents, series_documents
-from sparkseries.sources.layout import SHARD, read_points, without_measurement, write_measurement, write_points
+from sparkseries.sources.layout import SHARD, STORED_POINTS, read_points, without_measurement, write_measurement, write_points
 from sparkseries.sources.lineproto import encode_points, encode_table, good_points, parse_lines
 from sparkseries.streaming.ingest import ingested_points, line_stream, start_ingest
 
@@ -247,6 +247,49 @@ def _(spark, d):
     return Query().select("time", "v").from_("events", "orders").build(tables)
 
 
+@_register(
+    "from_many_limit",
+    "SELECT measurement, time, v FROM (SELECT 'events' AS measurement, ts AS time, value AS v, event_id AS id FROM events "
+    "UNION ALL SELECT 'orders', o_orderdate, o_totalprice, o_orderkey FROM orders) ORDER BY time, measurement, id LIMIT 40",
+)
+def _(spark, d):
+    tables = {
+        "events": _events(spark, d).select(F.col("ts").alias("time"), F.col("value").alias("v"), F.col("event_id").alias("id")),
+        "orders": _orders(spark, d).select(
+            F.col("o_orderdate").alias("time"), F.col("o_totalprice").alias("v"), F.col("o_orderkey").alias("id")
+        ),
+    }
+    query = Query().select("time", "v").from_("events", "orders").tie_break("id").limit(40, "global")
+    return query.build(tables)
+
+
+@_register(
+    "top_limit",
+    "SELECT l_returnflag, time, top FROM (SELECT l_returnflag, l_shipdate AS time, l_extendedprice AS top, row_number() OVER "
+    "(PARTITION BY l_returnflag ORDER BY l_shipdate, l_extendedprice) p FROM (SELECT *, row_number() OVER "
+    "(PARTITION BY l_returnflag ORDER BY l_extendedprice DESC, l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey) r "
+    "FROM lineitem) WHERE r <= 5) WHERE p <= 2",
+)
+def _(spark, d):
+    query = Query().select(top("l_extendedprice", 5)).group_by("l_returnflag").tie_break(*LINE_TIES).limit(2)
+    return query.build(_lineitem(spark, d))
+
+
+@_register(
+    "mean_limit_global",
+    "SELECT l_returnflag, avg(l_quantity) AS m FROM lineitem GROUP BY 1 ORDER BY 1 LIMIT 1 OFFSET 1",
+)
+def _(spark, d):
+    query = Query().select(mean("l_quantity").alias("m")).group_by("l_returnflag").limit(1, "global").offset(1, "global")
+    return query.build(_lineitem(spark, d))
+
+
+@_register("mean_order", "SELECT l_returnflag, avg(l_quantity) AS m FROM lineitem GROUP BY 1 ORDER BY 1")
+def _(spark, d):
+    query = Query().select(mean("l_quantity").alias("m")).group_by("l_returnflag").order_by("ASC")
+    return query.build(_lineitem(spark, d))
+
+
 @_register("scope_rp", "SELECT event_id, value FROM events WHERE event_type = 'click'")
 def _(spark, d):
     scoped = _events(spark, d).withColumn("db", F.lit("metrics")).withColumn("rp", F.col("event_type"))
@@ -845,12 +888,34 @@ def _(spark, d):
 
 @_register(
     "text_search_documents",
-    "SELECT doc_id FROM documents WHERE list_contains(regexp_split_to_array(lower(text), '[^a-z0-9]+'), 'that') "
-    "AND list_contains(regexp_split_to_array(lower(text), '[^a-z0-9]+'), 'with')",
+    r"SELECT doc_id FROM documents WHERE list_contains(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), 'that') "
+    r"AND list_contains(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), 'with')",
 )
 def _(spark, d):
     documents = _table(spark, d, "documents").select("doc_id", "text")
-    return search(documents, text_index(documents, "doc_id", ["text"]), "doc_id", ["that", "with"]).select("doc_id")
+    words = ["that", "with"]
+    return search(documents, _stored_index(spark, d, documents, words), "doc_id", words).select("doc_id")
+
+
+def _stored_index(spark, d, documents, words):
+    """The rows of some words in the index of ``documents``, which is written once per session and folder."""
+    if (spark, d) not in _INDEXES:
+        path = scratch_folder(spark, "text-index")
+        write_text_index(text_index(documents, "doc_id", ["text"]), path)
+        _INDEXES[spark, d] = path
+    return read_text_index(spark, _INDEXES[spark, d], words)
+
+
+_INDEXES: dict = {}
+
+
+@_register(
+    "text_search_unicode",
+    r"SELECT doc_id FROM documents WHERE list_contains(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), 'für')",
+)
+def _(spark, d):
+    documents = _table(spark, d, "documents").select("doc_id", "text")
+    return search_texts(documents, ["text"], "für").select("doc_id")
 
 
 _SQL["text_scan_documents"] = _SQL["text_search_documents"]
@@ -866,6 +931,19 @@ def _(spark, d):
 # layout and ingest
 
 
+@_register(
+    "read_range_1d",
+    "SELECT event_type, count(*) AS n FROM events WHERE ts >= (SELECT min(ts) FROM events) + INTERVAL 2 DAY GROUP BY 1",
+)
+def _(spark, d):
+    points = wide_to_points(_events(spark, d), "events", tags=["event_type"], fields=["value"], time="ts")
+    path = scratch_folder(spark, "daily")
+    write_points(points, path, db="metrics", rp="raw", shard_duration="1d")
+    first = points.agg(F.min("time_ns")).first()[0]
+    found = read_points(spark, path, "metrics", "raw", start=first + 2 * 86_400 * 10**9)
+    return found.groupBy(F.col("tags")["event_type"].alias("event_type")).agg(F.count("*").alias("n"))
+
+
 @_register(
     "layout_counts",
     "SELECT event_type AS rp, epoch_us(ts) // (7 * 86400000000) AS shard_group, count(*) AS n FROM events GROUP BY 1, 2",
@@ -875,12 +953,8 @@ def _(spark, d):
     events = _events(spark, d).withColumn("rp", F.col("event_type"))
     points = wide_to_points(events, "events", tags=["user_id"], fields=["value"], time="ts", keep=["rp"])
     write_points(points, path, db="metrics", shard_duration="7d")
-    kinds = ["view", "click", "error", "signup", "purchase"]
-    stored = [read_points(spark, path, "metrics", kind) for kind in kinds]
-    union = stored[0]
-    for part in stored[1:]:
-        union = union.unionByName(part)
-    return union.groupBy("rp", "shard_group").agg(F.count(F.lit(1)).alias("n"))
+    stored = spark.read.schema(STORED_POINTS).parquet(path).where("db = 'metrics'")
+    return stored.groupBy("rp", "shard_group").agg(F.count(F.lit(1)).alias("n"))
 
 
 @_register(

@@ -83,13 +83,16 @@ def to_precision(ns: Column, precision: str) -> Column:
 
 
 def from_precision(value: Column, precision: Column | str) -> Column:
-    """Epoch nanoseconds of a count in a precision given as text or as a column; unknown names mean ``ns``."""
+    """Epoch nanoseconds of a count in a precision given as text or as a column; unknown names mean ``ns``.
+
+    Null where the nanoseconds do not fit.
+    """
     if isinstance(precision, str):
-        return value * F.lit(PRECISIONS.get(precision, 1)).cast("bigint")
+        return F.try_multiply(value, F.lit(PRECISIONS.get(precision, 1)).cast("bigint"))
     unit = F.lit(1).cast("bigint")
     for name, size in PRECISIONS.items():
         unit = F.when(precision == name, F.lit(size).cast("bigint")).otherwise(unit)
-    return value * unit
+    return F.try_multiply(value, unit)
 
 
 # --------------------------------------------------------------------------

@@ -189,7 +189,21 @@ def entries_map(keys: Column, values: Column) -> Column:
     return F.when(F.size(F.array_distinct(keys)) == F.size(keys), F.map_from_arrays(keys, values)).otherwise(deduped)
 
 
+def tag_entries(tags: Column) -> Column:
+    """The tags as a sorted array of entries: equal for equal series, whatever their texts hold."""
+    return F.array_sort(F.map_entries(tags))
+
+
 def series_key(measurement: Column, tags: Column) -> Column:
-    """``m,k1=v1,k2=v2`` with keys in order; tags that a point lacks are left out."""
-    pairs = F.transform(F.array_sort(F.map_entries(tags)), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
-    return F.concat_ws(",", F.array_insert(pairs, F.lit(1), measurement))
+    """``m,k1=v1,k2=v2`` with keys in order; tags that a point lacks are left out.
+
+    Commas, equals signs, spaces and backslashes of names and values are
+    escaped by a backslash (of a measurement all but the equals sign), so
+    different series have different keys.
+    """
+
+    def shown(text: Column) -> Column:
+        return F.regexp_replace(text, r"([\\,= ])", r"\\$1")
+
+    pairs = F.transform(tag_entries(tags), lambda e: F.concat(shown(e["key"]), F.lit("="), shown(e["value"])))
+    return F.concat_ws(",", F.array_insert(pairs, F.lit(1), F.regexp_replace(measurement, r"([\\, ])", r"\\$1")))

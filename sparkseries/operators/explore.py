@@ -8,7 +8,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkseries.functions.values import series_key
+from sparkseries.functions.values import series_key, tag_entries
 from sparkseries.model import FIELD, SLOT_TYPE_NAMES, SeriesError, col, columns_with_role, slot_for
 from sparkseries.operators.points import field_types_of, tag_keys_of
 from sparkseries.plans.conditions import is_regex, match, regex_body
@@ -129,7 +129,7 @@ def show_series(
 
 def series_cardinality(points: DataFrame, *, approximate: bool = False) -> DataFrame:
     """Number of series per measurement, exact or by a sketch."""
-    keyed = points.select("measurement", series_key(F.col("measurement"), F.col("tags")).alias("key"))
+    keyed = points.select("measurement", tag_entries(F.col("tags")).alias("key"))
     if approximate:
         return keyed.groupBy("measurement").agg(F.approx_count_distinct("key").alias("n"))
     return keyed.distinct().groupBy("measurement").agg(F.count(F.lit(1)).alias("n"))

@@ -41,9 +41,11 @@ def merge_duplicates(
     return df.groupBy(*(col(k) for k in keys)).agg(*chosen)
 
 
-def merge_points(points: DataFrame, seq: str | Iterable[str]) -> DataFrame:
+def merge_points(points: DataFrame, seq: str | Iterable[str], newest: str | None = None) -> DataFrame:
     """Points with one row per series and time; of every field the last value in ``seq`` order stays.
 
+    ``newest`` names a column whose largest value is kept.
+
     Fields are merged as rows of their own, so even a (series, time) with any
     number of copies combines before the shuffle; only the distinct fields of a
     point meet in one group.
@@ -55,16 +57,20 @@ def merge_points(points: DataFrame, seq: str | Iterable[str]) -> DataFrame:
     position = col(seq[0]) if len(seq) == 1 else F.struct(*(col(s) for s in seq))
     # A series is grouped by its sorted tag entries; maps do not compare.
     entries = F.array_sort(F.map_entries("tags")).alias("__tags")
+    kept = [col(newest).alias("__newest")] if newest else []
     rows = points.select(
-        *(entries if k == "tags" else col(k) for k in keys), position.alias("__seq"), F.explode("fields").alias("__key", "__value")
+        *(entries if k == "tags" else col(k) for k in keys), *kept, position.alias("__seq"), F.explode("fields").alias("__key", "__value")
     ).where(F.col("__value").isNotNull())
     by = ["__tags" if k == "tags" else k for k in keys]
-    latest = rows.groupBy(*by, "__key").agg(F.max_by("__value", "__seq").alias("__value"))
+    most = [F.max("__newest").alias("__newest")] if newest else []
+    latest = rows.groupBy(*by, "__key").agg(F.max_by("__value", "__seq").alias("__value"), *most)
     merged = latest.groupBy(*by).agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col("__key"), F.col("__value")))).alias("fields")
+        F.map_from_entries(F.collect_list(F.struct(F.col("__key"), F.col("__value")))).alias("fields"), *most
     )
     return merged.select(
-        *(F.map_from_entries("__tags").alias("tags") if k == "tags" else col(k) for k in keys), "fields"
+        *(F.map_from_entries("__tags").alias("tags") if k == "tags" else col(k) for k in keys),
+        "fields",
+        *([F.col("__newest").alias(newest)] if newest else []),
     )
 
 

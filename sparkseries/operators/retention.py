@@ -4,9 +4,9 @@ A policy row has ``db, name, duration, shard_group_duration, hot_duration,
 warm_duration, index_duration, replica_num, is_default``.  Durations are text
 such as ``3d`` or ``7200h0m0s``; a null duration keeps data for ever.
 
-The policy side of every join is left to Spark: it is broadcast while its
-measured size stays under ``spark.sql.autoBroadcastJoinThreshold`` and joined
-by shuffle, with adaptive splitting of hot keys, beyond that.
+A policy table is reduced to one row per key first.  Its keys and values are
+then counted: up to ``MAP_ROWS`` of them become a constant map, so the points
+are neither joined nor shuffled; a larger policy table is joined.
 """
 
 from __future__ import annotations
@@ -77,6 +77,25 @@ def duration_column_text(ns: Column) -> Column:
     )
 
 
+#: policies that fit into a constant of the plan
+MAP_ROWS = 10_000
+
+
+def _looked_up(df: DataFrame, keys: list[Column], table: DataFrame, name: str) -> DataFrame:
+    """``df`` with the value of its key as column ``name``; ``table`` has ``keys`` (an array of texts) and ``value``, once per key."""
+    few = table.limit(MAP_ROWS + 1).collect()
+    wanted = F.array(*(k.cast("string") for k in keys))
+    kind = table.schema["value"].dataType
+    if len(few) > MAP_ROWS:
+        joined = df.join(table.select(F.col("keys").alias("__keys"), F.col("value").alias(name)), wanted == F.col("__keys"), "left")
+        return joined.drop("__keys")
+    if not few:
+        return df.withColumn(name, F.lit(None).cast(kind))
+    pairs = [x for r in few for x in (F.array(*(F.lit(k) for k in r["keys"])), F.lit(r["value"]).cast(kind))]
+    known = F.forall(wanted, lambda k: k.isNotNull())
+    return df.withColumn(name, F.when(known, F.try_element_at(F.create_map(*pairs), wanted)))
+
+
 def keep_retained(
     df: DataFrame,
     policy_table: DataFrame,
@@ -86,14 +105,19 @@ def keep_retained(
     rp: str = "rp",
     time: str = TIME_NS,
 ) -> DataFrame:
-    """Rows not older than their policy's duration at ``as_of``; rows without a policy or duration are kept."""
-    oldest = F.lit(parse_instant(as_of)).cast("bigint") - duration_column_ns(F.col("duration"))
-    cutoffs = policy_table.select(
-        F.col("db").alias("__db"), F.col("name").alias("__rp"), oldest.alias("__oldest")
-    ).where(F.col("__oldest").isNotNull())
-    joined = df.join(cutoffs, (df[db] == cutoffs["__db"]) & (df[rp] == cutoffs["__rp"]), "left")
-    young = F.col("__oldest").isNull() | (epoch_ns(df, time) >= F.col("__oldest"))
-    return joined.where(young).drop("__db", "__rp", "__oldest")
+    """Rows not older than their policy's duration at ``as_of``; rows without a policy or duration are kept.
+
+    Of several rows of one policy the longest duration counts.
+    """
+    oldest = F.lit(parse_instant(as_of)).cast("bigint") - F.max(duration_column_ns(F.col("duration")))
+    cutoffs = (
+        policy_table.where(F.col("duration").isNotNull() & F.col("db").isNotNull() & F.col("name").isNotNull())
+        .groupBy(F.array("db", "name").alias("keys"))
+        .agg(oldest.alias("value"))
+    )
+    found = _looked_up(df, [col(db), col(rp)], cutoffs, "__oldest")
+    young = F.col("__oldest").isNull() | (epoch_ns(found, time) >= F.col("__oldest"))
+    return found.where(young).drop("__oldest")
 
 
 def shard_group(time_ns: Column, duration: str = DEFAULT_SHARD_GROUP) -> Column:
@@ -110,14 +134,13 @@ def resolve_policy(df: DataFrame, policy_table: DataFrame | None = None, *, db:
     given = F.nullif(col(rp), F.lit(""))
     if policy_table is None:
         return df.withColumn(rp, F.coalesce(given, F.lit(DEFAULT_POLICY)))
-    # One default per database, so the join adds no rows.
     defaults = (
-        policy_table.where(F.col("is_default"))
-        .groupBy(F.col("db").alias("__db"))
-        .agg(F.min("name").alias("__default"))
+        policy_table.where(F.col("is_default") & F.col("db").isNotNull())
+        .groupBy(F.array("db").alias("keys"))
+        .agg(F.min("name").alias("value"))
     )
-    joined = df.join(defaults, df[db] == defaults["__db"], "left")
-    return joined.withColumn(rp, F.coalesce(given, F.col("__default"), F.lit(DEFAULT_POLICY))).drop("__db", "__default")
+    found = _looked_up(df, [col(db)], defaults, "__default")
+    return found.withColumn(rp, F.coalesce(given, F.col("__default"), F.lit(DEFAULT_POLICY))).drop("__default")
 
 
 def policy_report(points: DataFrame, policy_table: DataFrame, *, db: str = "db", rp: str = "rp", time: str = TIME_NS) -> DataFrame:

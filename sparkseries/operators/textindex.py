@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import operator
-import re
+import unicodedata
 from collections.abc import Sequence
 from functools import reduce
 
@@ -12,15 +12,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkseries.model import SeriesError, col
+from sparkseries.sources.notes import read_notes, write_notes
 
 BUCKET = "token_bucket"
-_SEPARATORS = "[^a-z0-9]+"
-#: as many search words fit into the bits of one number
-_BITS = 62
+_SEPARATORS = r"[^\p{L}\p{N}]+"
 
 
 def tokens_of(text: Column) -> Column:
-    """Distinct lower-case words of ASCII letters and digits."""
+    """Distinct lower-case words of letters and digits of any script."""
     return F.filter(F.array_distinct(F.split(F.lower(text), _SEPARATORS)), lambda t: F.length(t) > 0)
 
 
@@ -44,18 +43,21 @@ def write_text_index(index: DataFrame, path: str, *, buckets: int = 256, compres
     """Store an index by token bucket.
 
     The rebalance splits the bucket of a word that occurs in every text over
-    many tasks and files; each file is sorted by token.
+    many tasks and files; each file is sorted by token.  The number of buckets
+    is stored beside the index.
     """
     bucketed = index.withColumn(BUCKET, F.pmod(F.xxhash64("token"), F.lit(buckets)))
     spread = bucketed.hint("rebalance", BUCKET).sortWithinPartitions(BUCKET, "token")
     spread.write.option("compression", compression).option("parquet.bloom.filter.enabled#token", "true").partitionBy(
         BUCKET
     ).parquet(path)
+    write_notes(index.sparkSession, path, {"buckets": buckets})
 
 
-def read_text_index(spark: SparkSession, path: str, tokens: Sequence[str], *, buckets: int = 256) -> DataFrame:
+def read_text_index(spark: SparkSession, path: str, tokens: str | Sequence[str]) -> DataFrame:
     """The index rows of some tokens; only their buckets are read."""
     wanted = query_tokens(tokens)
+    buckets = read_notes(spark, path)["buckets"]
     bucket = [F.pmod(F.xxhash64(F.lit(t)), F.lit(buckets)) for t in wanted]
     index = spark.read.parquet(path)
     return index.where(F.col(BUCKET).isin(*bucket) & F.col("token").isin(*wanted)).drop(BUCKET)
@@ -64,24 +66,22 @@ def read_text_index(spark: SparkSession, path: str, tokens: Sequence[str], *, bu
 def query_tokens(words: str | Sequence[str]) -> list[str]:
     """Distinct search words, cut as the index cuts texts."""
     texts = [words] if isinstance(words, str) else list(words)
-    found = dict.fromkeys(t for w in texts for t in re.split(_SEPARATORS, w.lower()) if t)
+    found = dict.fromkeys(t for w in texts for t in _words(w.lower()) if t)
     if not found:
         raise SeriesError("no word to search for")
     return list(found)
 
 
+def _words(text: str) -> list[str]:
+    return "".join(c if unicodedata.category(c)[0] in "LN" else " " for c in text).split(" ")
+
+
 def lookup(index: DataFrame, words: str | Sequence[str]) -> DataFrame:
     """Row ids with a field that holds all words."""
     wanted = query_tokens(words)
+    # A set per row id holds search words only, so it is as long as the query at most.
     hits = index.where(F.col("token").isin(*wanted)).groupBy("row_id", "field")
-    if len(wanted) <= _BITS:
-        # One bit per word: any number of repeats merges before the shuffle.
-        numbers = F.create_map(*(F.lit(x) for i, t in enumerate(wanted) for x in (t, 1 << i)))
-        seen = hits.agg(F.bit_or(numbers[F.col("token")].cast("bigint")).alias("seen"))
-        complete = seen.where(F.col("seen") == F.lit((1 << len(wanted)) - 1).cast("bigint"))
-    else:
-        # A set per row id holds search words only, so it is as long as the query at most.
-        complete = hits.agg(F.collect_set("token").alias("seen")).where(F.size("seen") == len(wanted))
+    complete = hits.agg(F.collect_set("token").alias("seen")).where(F.size("seen") == len(wanted))
     return complete.select("row_id").distinct()
 
 

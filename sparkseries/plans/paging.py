@@ -99,8 +99,8 @@ def page(
 ) -> DataFrame:
     """Rows ``offset+1 .. offset+limit`` of the order, per series when ``series`` is given.
 
-    A limit or offset of zero or less is ignored.  The row order of the result
-    is not defined for a per-series page; sort it afterwards when needed.
+    A limit or offset of zero or less is ignored.  A global page of any size
+    comes in the order; the row order of a per-series page is not defined.
     """
     limit, offset = max(limit, 0), max(offset, 0)
     if not limit and not offset:
@@ -132,7 +132,8 @@ def page(
     cut_rows = cut_rows.where(F.col(RANK) > offset)
     if last is not None:
         cut_rows = cut_rows.where(F.col(RANK) <= last)
-    return inside.unionByName(cut_rows.drop(RANK)).select(*(col(c) for c in df.columns))
+    rows = inside.unionByName(cut_rows.drop(RANK)).select(*(col(c) for c in df.columns))
+    return rows if series else rows.orderBy(*order)
 
 
 def page_distinct(

@@ -3,12 +3,12 @@
 ::
 
     (Query()
-        .select(mean("water_level"))
-        .from_("h2o_feet")
-        .where(compare("location", "<>", "santa_monica"))
-        .group_by("location", time("12m"))
+        .select(mean("value"))
+        .from_("events")
+        .where(compare("event_type", "<>", "error"))
+        .group_by("event_type", time("12m"))
         .order_by("DESC")
-        .build({"h2o_feet": df}))
+        .build({"events": df}))
 """
 
 from __future__ import annotations
@@ -26,9 +26,10 @@ from sparkseries.functions.aggregates import Bucket, Selector, Term, term
 from sparkseries.functions.timefns import in_zone, time_bucket
 from sparkseries.model import DEFAULT_POLICY, TIME, SeriesError, col, require_name, time_column
 from sparkseries.plans.conditions import resolve
-from sparkseries.plans.paging import order_columns, page
+from sparkseries.plans.paging import order_columns, page, page_distinct
 
 MEASUREMENT = "measurement"
+_PLACE, _TIE, _HIDDEN = "__place", "__tie", "__hidden_time"
 
 
 _FIXED_WIDTH = (T.NumericType, T.BooleanType, T.TimestampType, T.TimestampNTZType, T.DateType)
@@ -102,7 +103,10 @@ class Query:
     # -- plan ---------------------------------------------------------------
 
     def build(self, source: DataFrame | Mapping[str, DataFrame]) -> DataFrame:
-        """The lazy result.  Several tables give the union of their results with a measurement column."""
+        """The lazy result.  Several tables give the union of their results with a measurement column.
+
+        A global page counts over the union, a per-series page within each table.
+        """
         if isinstance(source, DataFrame):
             if len(self.tables) > 1:
                 raise SeriesError("several measurements need a mapping of DataFrames")
@@ -114,10 +118,25 @@ class Query:
             raise SeriesError(f"no measurement {missing[0]!r}")
         if len(self.tables) == 1:
             return self._sorted(self._rows(source[self.tables[0]]))
-        parts = [self._rows(source[t]).withColumn(MEASUREMENT, F.lit(t)) for t in self.tables]
-        return self._sorted(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts))
+        joint = self.page_scope == "global" and (self.row_limit > 0 or self.row_offset > 0)
+        own = replace(self, row_limit=0, row_offset=0) if joint else self
+        parts = [own._rows(source[t], placed=joint).withColumn(MEASUREMENT, F.lit(t)) for t in self.tables]
+        rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        return self._sorted(self._joint_page(rows) if joint else rows)
+
+    def _joint_page(self, rows: DataFrame) -> DataFrame:
+        """A page of the union: in time order, then by measurement and the tie-breakers."""
+        ties = [MEASUREMENT, *(t for t in self.tags if t in rows.columns), *(c for c in rows.columns if c.startswith(_TIE))]
+        time = _PLACE if _PLACE in rows.columns else TIME if TIME in rows.columns else None
+        if time:
+            cut = page(
+                rows, time=time, ties=ties, limit=self.row_limit, offset=self.row_offset, descending=self.order == "DESC"
+            )
+        else:
+            cut = page_distinct(rows, ties, limit=self.row_limit, offset=self.row_offset)
+        return cut.drop(_PLACE, *(c for c in rows.columns if c.startswith(_TIE)))
 
-    def _rows(self, df: DataFrame) -> DataFrame:
+    def _rows(self, df: DataFrame, placed: bool = False) -> DataFrame:
         time = self.time or time_column(df)
         if self.condition is not None:
             df = df.where(resolve(self.condition, df, time))
@@ -126,13 +145,13 @@ class Query:
             if len(selectors) > 1:
                 raise SeriesError("one selector per query")
             if selectors[0].kind == "top":
-                return self._top(df, time, selectors[0])
+                return self._paged(self._top(df, time, selectors[0]), selectors[0].output_name)
             return self._paged(self._last(df, time, selectors[0]))
         if self.bucket or any(c.aggregate for c in self.columns):
             return self._paged(self._aggregate(df, time))
-        return self._plain(df, time)
+        return self._plain(df, time, placed)
 
-    def _plain(self, df: DataFrame, time: str) -> DataFrame:
+    def _plain(self, df: DataFrame, time: str, placed: bool = False) -> DataFrame:
         if self.row_limit > 0 or self.row_offset > 0:
             df = page(
                 df,
@@ -144,13 +163,21 @@ class Query:
                 descending=self.order == "DESC",
             )
         keys = [t for t in self.tags if t not in self._selected()]
+        place = [col(time).alias(_PLACE), *(col(t).alias(f"{_TIE}{i}") for i, t in enumerate(self.ties))] if placed else []
         if self.columns:
-            df = df.select(*(col(k) for k in keys), *(c.output() for c in self.columns), *self._order_extra(df, time))
+            df = df.select(
+                *(col(k) for k in keys), *(c.output() for c in self.columns), *self._order_extra(df, time), *place
+            )
+        elif placed:
+            df = df.select("*", *place)
         return self._labelled(df, time)
 
     def _order_extra(self, df: DataFrame, time: str) -> list[Column]:
-        # A projection keeps the time column when the result is to be sorted by it.
-        return [col(time)] if self.order and time not in self._selected() else []
+        # A projection keeps the time column when the result is to be sorted by it;
+        # beside an output of the same name it is kept under another name until then.
+        if not self.order:
+            return []
+        return [col(time).alias(_HIDDEN) if time in self._selected() else col(time)]
 
     def _selected(self) -> set[str]:
         return {c.name for c in self.columns if isinstance(c, Term) and c.name}
@@ -174,10 +201,13 @@ class Query:
         if self.bucket:
             keys.append(time_bucket(df, time, self.bucket.duration, self.zone).alias("__bucket"))
         present = df.where(col(selector.source).isNotNull())
-        position = F.struct(col(time), *(col(t) for t in self.ties)) if self.ties else col(time)
         wanted = {"__v": selector.source, "__t": time, **{f"__c{i}": n for i, n in enumerate(names)}}
-        if not self.ties and all(isinstance(df.schema[c].dataType, _FIXED_WIDTH) for c in wanted.values()):
-            # Fixed-width columns stay in a hash aggregate; each picks the same row.
+        # Without a tie-break numbers stay in a hash aggregate; texts are sorted anyway, so all of a row decides.
+        fixed = all(isinstance(df.schema[c].dataType, _FIXED_WIDTH) for c in wanted.values())
+        ties = self.ties or (() if fixed else tuple(dict.fromkeys([selector.source, *names])))
+        position = F.struct(col(time), *(col(t) for t in ties)) if ties else col(time)
+        if not self.ties and fixed:
+            # Fixed-width columns; each picks the same row.
             picks = [F.max_by(col(c), position).alias(k) for k, c in wanted.items()]
         else:
             row = F.struct(*(col(c).alias(k) for k, c in wanted.items()))
@@ -213,18 +243,25 @@ class Query:
             *(col(n) for n in names),
         )
 
-    def _paged(self, rows: DataFrame) -> DataFrame:
-        if (self.row_limit <= 0 and self.row_offset <= 0) or TIME not in rows.columns:
+    def _paged(self, rows: DataFrame, *ties: str) -> DataFrame:
+        """A page of a grouped result: in time order, or in the order of the tags where it has no time."""
+        if self.row_limit <= 0 and self.row_offset <= 0:
             return rows
-        return page(
-            rows,
-            time=TIME,
-            ties=self.tags,
-            limit=self.row_limit,
-            offset=self.row_offset,
-            series=self.tags if self.page_scope == "series" else (),
-            descending=self.order == "DESC",
-        )
+        series = self.tags if self.page_scope == "series" else ()
+        if TIME in rows.columns:
+            return page(
+                rows,
+                time=TIME,
+                ties=[*self.tags, *ties],
+                limit=self.row_limit,
+                offset=self.row_offset,
+                series=series,
+                descending=self.order == "DESC",
+            )
+        if series or not self.tags:
+            # One row each: an offset leaves nothing of it.
+            return rows.where(F.lit(self.row_offset <= 0))
+        return page_distinct(rows, self.tags, limit=self.row_limit, offset=self.row_offset)
 
     def _labelled(self, df: DataFrame, time: str) -> DataFrame:
         if not (self.zone and self.time_label) or time not in df.columns:
@@ -237,9 +274,13 @@ class Query:
     def _sorted(self, df: DataFrame) -> DataFrame:
         if not self.order:
             return df
-        time = TIME if TIME in df.columns else (self.time or time_column(df))
         ties = [t for t in (*self.tags, *self.ties) if t in df.columns]
-        return df.orderBy(*order_columns(time, ties, self.order == "DESC"))
+        grouped = any(isinstance(c, Selector) or c.aggregate for c in self.columns)
+        if grouped and TIME not in df.columns:
+            # Without a bucket there is no time; the tags alone order the rows.
+            return df.orderBy(*(col(t).asc_nulls_last() for t in ties)) if ties else df
+        time = _HIDDEN if _HIDDEN in df.columns else TIME if TIME in df.columns else (self.time or time_column(df))
+        return df.orderBy(*order_columns(time, ties, self.order == "DESC")).drop(_HIDDEN)
 
 
 def _top_per_group(df: DataFrame, keys: Sequence[Column], order: Sequence[Column], n: int) -> DataFrame:

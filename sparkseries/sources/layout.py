@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import operator
 from collections.abc import Mapping, Sequence
-from functools import reduce
 from time import time_ns as clock_ns
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,11 +26,11 @@ from sparkseries.operators.points import with_default_time
 from sparkseries.operators.quality import merge_points, split_rejects
 from sparkseries.operators.retention import DEFAULT_SHARD_GROUP, resolve_policy, with_shard_group
 from sparkseries.plans.query import in_scope
+from sparkseries.session import scratch_folder
+from sparkseries.sources.notes import read_notes, write_notes
 
 POINT_PARTITIONS = ("db", "rp", "measurement", "shard_group")
 SHARD = "shard"
-#: a merge names up to this many partitions as constants
-_MAX_LISTED = 1_000
 #: given on reading, so that no file is opened for its schema and names of digits stay text
 STORED_POINTS = T.StructType(
     [
@@ -56,12 +54,15 @@ def write_points(
     db: str | None = None,
     rp: str | None = None,
     policies: DataFrame | None = None,
-    shard_duration: str = DEFAULT_SHARD_GROUP,
+    shard_duration: str | None = None,
     compression: str = "zstd",
     mode: str = "append",
 ) -> None:
     """Append points below ``db/rp/measurement/shard_group``.
 
+    The shard duration is fixed by the first write and stored beside the data;
+    a later write that names another one is refused.
+
     Points without measurement or fields are skipped, and a missing time
     becomes the time of the write.  ``db`` and ``rp`` fill
     the columns of that name; an empty policy becomes the default one.  The
@@ -70,9 +71,18 @@ def write_points(
     """
     if compression not in COMPRESSIONS:
         raise SeriesError(f"unknown compression {compression!r}")
-    placed_points(points, db=db, rp=rp, policies=policies, shard_duration=shard_duration).write.mode(mode).option(
+    duration = _duration_of_store(points.sparkSession, path, shard_duration, renew=mode == "overwrite")
+    placed_points(points, db=db, rp=rp, policies=policies, shard_duration=duration).write.mode(mode).option(
         "compression", compression
     ).partitionBy(*POINT_PARTITIONS).parquet(path)
+    write_notes(points.sparkSession, path, {"shard_duration": duration})
+
+
+def _duration_of_store(spark: SparkSession, path: str, wanted: str | None, renew: bool = False) -> str:
+    stored = None if renew else read_notes(spark, path).get("shard_duration")
+    if stored and wanted and duration_ns(stored) != duration_ns(wanted):
+        raise SeriesError(f"the store has shard duration {stored}, not {wanted}")
+    return stored or wanted or DEFAULT_SHARD_GROUP
 
 
 def placed_points(
@@ -108,8 +118,6 @@ def read_points(
     measurement: str | None = None,
     start: Any = None,
     end: Any = None,
-    *,
-    shard_duration: str = DEFAULT_SHARD_GROUP,
 ) -> DataFrame:
     """Points of one database and policy in ``[start, end)``.
 
@@ -120,7 +128,8 @@ def read_points(
     points = in_scope(spark.read.schema(STORED_POINTS).parquet(path), db, rp)
     if measurement:
         points = points.where(F.col("measurement") == measurement)
-    size = duration_ns(shard_duration)
+    ranged = start is not None or end is not None
+    size = duration_ns(_duration_of_store(spark, path, None)) if ranged else 1
     if start is not None:
         ns = parse_instant(start)
         points = points.where((F.col("shard_group") >= ns // size) & (F.col(TIME_NS) >= ns))
@@ -137,41 +146,39 @@ def merge_into_store(
     db: str,
     rp: str = "",
     policies: DataFrame | None = None,
-    shard_duration: str = DEFAULT_SHARD_GROUP,
+    shard_duration: str | None = None,
     compression: str = "zstd",
 ) -> None:
     """Merge a batch into a point store: per series and time the batch's field values win.
 
     Only the shard groups that the batch touches are read and written again.
-    Running the same batch twice changes nothing.  One writer per path; readers
+    The batch is written to the scratch folder first, so every step sees the
+    same rows.  ``seq`` orders the rows of a batch; rows without it come first.
+    The newest ``seq`` of a point stays.  Running the same batch twice changes
+    nothing, and the first merge makes the store.  One writer per path; readers
     should wait while the partitions are replaced.
     """
     spark = points.sparkSession
-    # One time for all rows without one: every job below must see the same shard groups.
+    duration = _duration_of_store(spark, path, shard_duration)
+    # One time for all rows without one.
     points = points.withColumn(TIME_NS, with_default_time(F.col(TIME_NS), F.lit(clock_ns()).cast("bigint")))
-    batch = placed_points(points, db=db, rp=rp, policies=policies, shard_duration=shard_duration)
-    stored = spark.read.schema(STORED_POINTS).parquet(path).where(F.col("db") == db)
-    affected = _rows_of_partitions(stored, batch.select(*POINT_PARTITIONS).distinct()).select(*STORED_POINTS.names)
-    aged = affected.withColumn("__age", F.lit(0)).unionByName(batch.withColumn("__age", F.lit(1)))
-    merged = merge_points(aged.withColumn("seq", F.coalesce("seq", F.lit(0))), ["__age", "seq"])
-    placed_points(merged, shard_duration=shard_duration).write.mode("overwrite").option(
+    folder = scratch_folder(spark, "merge")
+    placed_points(points, db=db, rp=rp, policies=policies, shard_duration=duration).write.parquet(folder)
+    batch = spark.read.schema(STORED_POINTS).parquet(folder)
+    aged = batch.withColumn("__age", F.lit(1))
+    if read_notes(spark, path):
+        stored = spark.read.schema(STORED_POINTS).parquet(path).where(F.col("db") == db)
+        # The batch's range of shard groups prunes partitions before the join looks at any.
+        ends = batch.agg(F.min("shard_group").alias("lo"), F.max("shard_group").alias("hi")).first()
+        stored = stored.where(F.col("shard_group").between(F.lit(ends["lo"]), F.lit(ends["hi"])))
+        affected = stored.join(batch.select(*POINT_PARTITIONS).distinct(), list(POINT_PARTITIONS), "left_semi")
+        aged = affected.select(*STORED_POINTS.names).withColumn("__age", F.lit(0)).unionByName(aged)
+    ordered = aged.withColumn("__seq", F.coalesce("seq", F.lit(0)))
+    merged = merge_points(ordered, ["__age", "__seq"], newest="seq")
+    placed_points(merged, shard_duration=duration).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).option("compression", compression).partitionBy(*POINT_PARTITIONS).parquet(path)
-
-
-def _rows_of_partitions(stored: DataFrame, touched: DataFrame) -> DataFrame:
-    """Stored rows of some partitions: pruned by constants when they are few, by a semi join otherwise."""
-    found = touched.limit(_MAX_LISTED + 1).collect()
-    if len(found) > _MAX_LISTED:
-        return stored.join(touched, list(POINT_PARTITIONS), "left_semi")
-    groups: dict[tuple, list[int]] = {}
-    for r in found:
-        groups.setdefault((r["db"], r["rp"], r["measurement"]), []).append(r["shard_group"])
-    wanted = [
-        (F.col("db") == db) & (F.col("rp") == rp) & (F.col("measurement") == m) & F.col("shard_group").isin(shards)
-        for (db, rp, m), shards in groups.items()
-    ]
-    return stored.where(reduce(operator.or_, wanted, F.lit(False)))
+    write_notes(spark, path, {"shard_duration": duration})
 
 
 def write_measurement(
@@ -224,11 +231,29 @@ def write_measurement(
         table = table.hint("rebalance").sortWithinPartitions(*(col(k) for k in order))
     writer = table.write.mode(mode).option("compression", compression)
     (writer.partitionBy(*partitions) if partitions else writer).parquet(path)
+    notes = {"shard_keys": list(shard_keys) if partitions else [], "shards": shards}
+    kinds = {k: table.schema[k].dataType.simpleString() for k in notes["shard_keys"]}
+    write_notes(df.sparkSession, path, {**notes, "kinds": kinds})
+
 
+def shard_of(values: Mapping[str, Any], kinds: Mapping[str, str], shards: int = 64) -> Column:
+    """The shard number of known key values, as a constant for pruning; ``kinds`` are the key columns' types in order."""
+    return F.pmod(F.xxhash64(*(F.lit(values[k]).cast(kind) for k, kind in kinds.items())), F.lit(shards)).cast("int")
 
-def shard_of(values: Mapping[str, Any], shard_keys: Sequence[str], shards: int = 64):
-    """The shard number of known key values, as a constant for pruning."""
-    return F.pmod(F.xxhash64(*(F.lit(values[k]) for k in shard_keys)), F.lit(shards)).cast("int")
+
+def read_measurement(spark: SparkSession, path: str, **keys: Any) -> DataFrame:
+    """Rows of a measurement table, of one combination of key values if given.
+
+    Values of all shard keys leave one shard folder to read.
+    """
+    notes = read_notes(spark, path)
+    table = spark.read.parquet(path)
+    for name, value in keys.items():
+        table = table.where(col(name) == F.lit(value))
+    kinds = {k: notes["kinds"][k] for k in notes.get("shard_keys", [])}
+    if kinds and all(k in keys for k in kinds):
+        table = table.where(F.col(SHARD) == shard_of(keys, kinds, notes["shards"]))
+    return table.drop(SHARD)
 
 
 def without_measurement(points: DataFrame, db: str, rp: str, measurement: str) -> DataFrame:

@@ -114,9 +114,10 @@ def parse_lines(df: DataFrame, text: str = "value", *, precision: str | Column =
     )
     no_tags = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
     empty_key = F.coalesce(F.array_contains("__tk", ""), F.lit(False)) | F.coalesce(F.array_contains("__fk", ""), F.lit(False))
+    stamped = from_precision(F.col("__t"), precision)
     reason = (
         F.when(~F.coalesce(F.col("__ok"), F.lit(False)), BAD_LINE)
-        .when(F.col("__late"), BAD_TIME)
+        .when(F.col("__late") | (F.col("__t").isNotNull() & stamped.isNull()), BAD_TIME)
         .when(empty_key, EMPTY_KEY)
     )
     tags = F.when(F.col("__tk").isNull(), no_tags).otherwise(entries_map(F.col("__tk"), F.col("__tv")))
@@ -124,7 +125,7 @@ def parse_lines(df: DataFrame, text: str = "value", *, precision: str | Column =
         F.col("measurement"),
         F.when(F.col("__ok"), tags).cast(TAGS_TYPE).alias("tags"),
         F.when(F.col("__ok"), entries_map(F.col("__fk"), F.col("__fv"))).cast(FIELDS_TYPE).alias("fields"),
-        from_precision(F.col("__t"), precision).alias(TIME_NS),
+        stamped.alias(TIME_NS),
         reason.alias(REASON),
     )
     # A generator ends the projection: filters on the points stay above the

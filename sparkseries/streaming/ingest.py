@@ -20,10 +20,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sparkseries.functions.timefns import time_bucket
 from sparkseries.model import DEFAULT_POLICY, SeriesError, col
-from sparkseries.operators.quality import REASONS, reject_reasons
+from sparkseries.operators.quality import REASONS, merge_points, reject_reasons
 from sparkseries.operators.retention import DEFAULT_SHARD_GROUP
-from sparkseries.sources.layout import POINT_PARTITIONS, STORED_POINTS, placed_points
+from sparkseries.sources.layout import POINT_PARTITIONS, STORED_POINTS, placed_points, write_points
 from sparkseries.sources.lineproto import REASON, parse_lines
+from sparkseries.sources.notes import read_notes, write_notes
 
 BATCH = "batch"
 OUTCOMES = T.StructType(
@@ -60,6 +61,8 @@ def write_batch(
     """Write one batch of ``value, db, rp`` lines: its points, its rejects and its outcome per (db, rp)."""
     spark = lines.sparkSession
     routed = lines.withColumn("rp", F.coalesce(F.nullif("rp", F.lit("")), F.lit(DEFAULT_POLICY)))
+    if "seq" not in routed.columns:
+        routed = routed.withColumn("seq", F.monotonically_increasing_id())  # later lines win
     parsed = reject_reasons(parse_lines(routed, precision=precision))
     wrong = F.when(F.col(REASON).isNotNull(), F.col(REASON)).when(F.size(REASONS) > 0, F.concat_ws("; ", REASONS))
     # Kept for the three writes; a lost block is computed again from the source files.
@@ -74,7 +77,7 @@ def write_batch(
         outcome = judged.groupBy("db", "rp").agg(
             F.count_if(F.col("error").isNull()).alias("rows"),
             F.count_if(F.col("error").isNotNull()).alias("rejected"),
-            F.min("error").alias("error"),
+            F.array_join(F.array_sort(F.collect_set("error")), "; ").alias("error"),
         )
         outcome.coalesce(1).write.mode("overwrite").parquet(f"{path}/outcomes/{BATCH}={batch_id}")
     except Exception as problem:
@@ -86,7 +89,7 @@ def write_batch(
 
 def _record_failure(spark: SparkSession, batch_id: int, path: str, problem: Exception) -> None:
     names = [f for f in OUTCOMES.fields if f.name != BATCH]
-    row = (None, None, 0, 0, f"{type(problem).__name__}: {problem}"[:2_000])
+    row = (None, None, 0, 0, f"{type(problem).__name__}: {problem}")
     failed = spark.createDataFrame([row], T.StructType(names))
     failed.write.mode("overwrite").parquet(f"{path}/outcomes/{BATCH}={batch_id}")
 
@@ -114,6 +117,7 @@ def start_ingest(
             batch, batch_id, path, precision=precision, shard_duration=shard_duration, compression=compression
         )
 
+    write_notes(lines.sparkSession, f"{path}/points", {"shard_duration": shard_duration})
     writer = lines.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if interval is None else {"processingTime": interval}
     return writer.trigger(**trigger).start()
@@ -125,17 +129,21 @@ def ingested_points(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).option("basePath", f"{path}/points").parquet(f"{path}/points")
 
 
+def current_points(spark: SparkSession, path: str) -> DataFrame:
+    """One row per series and time: of every field the value that came last, by batch and line."""
+    points = ingested_points(spark, path).withColumn("__seq", F.coalesce("seq", F.lit(0)))
+    return merge_points(points, [BATCH, "__seq"], newest="seq")
+
+
 def outcomes(spark: SparkSession, path: str) -> DataFrame:
     """(db, rp, rows, rejected, error, batch) of every batch."""
     return spark.read.schema(OUTCOMES).option("basePath", f"{path}/outcomes").parquet(f"{path}/outcomes")
 
 
-def compact_points(spark: SparkSession, path: str, target: str, *, shard_duration: str = DEFAULT_SHARD_GROUP) -> None:
-    """Write the points of all batches as one point store without batch folders."""
-    points = ingested_points(spark, path).drop(BATCH, "shard_group")
-    placed_points(points, shard_duration=shard_duration).write.mode("errorifexists").option("compression", "zstd").partitionBy(
-        *POINT_PARTITIONS
-    ).parquet(target)
+def compact_points(spark: SparkSession, path: str, target: str) -> None:
+    """Write the current points of all batches as one point store without batch folders."""
+    duration = read_notes(spark, f"{path}/points").get("shard_duration", DEFAULT_SHARD_GROUP)
+    write_points(current_points(spark, path), target, shard_duration=duration, mode="errorifexists")
 
 
 def count_by_bucket(stream: DataFrame, time: str, duration: str, tags: list[str], late: str) -> DataFrame:

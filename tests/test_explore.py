@@ -92,3 +92,11 @@ def test_tag_sets_answer_like_points(spark):
     assert {tuple(r.tags.items()): r.row_count for r in sets.collect()} == {(("t", "a"), ("u", "x")): 2, (("t", "b"),): 1}
     for show in (show_series, show_tag_keys, lambda p: show_tag_values(p, ["t", "u"])):
         assert sorted(show(sets).collect()) == sorted(show(points).collect())
+
+
+def test_series_of_escaped_texts_stay_apart(lines):
+    from sparkseries.operators.explore import series_cardinality, show_series
+
+    points = lines(r"m,a=1\,b\=2 v=1 1", "m,a=1,b=2 v=1 2")
+    assert [tuple(r) for r in series_cardinality(points).collect()] == [("m", 2)]
+    assert sorted(r[0] for r in show_series(points).collect()) == [r"m,a=1,b=2", r"m,a=1\,b\=2"]

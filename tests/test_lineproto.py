@@ -289,3 +289,13 @@ def test_line_break_cannot_be_written(spark, tmp_path):
     points = points_frame(spark, [("m", {}, {"a": ("s", "x\ny")}, 1)])
     with pytest.raises(Exception, match="line break"):
         write_lines(points, str(tmp_path / "bad"))
+
+
+def test_timestamps_that_do_not_fit_are_rejects(spark):
+    from sparkseries.sources.lineproto import BAD_TIME, parse_lines
+
+    df = spark.createDataFrame([("m f=1 99999999999999",), ("m f=1 5",)], "value string")
+    assert sorted((r["reason"] or "", r["time_ns"] or 0) for r in parse_lines(df, precision="s").collect()) == [
+        ("", 5 * 10**9),
+        (BAD_TIME, 0),
+    ]

@@ -275,3 +275,33 @@ def test_page_of_distinct_keys(spark):
 def test_large_page_has_no_single_partition(spark, skewed):
     plan = plan_text(page(skewed[0], time="t", ties=["id"], offset=5, series=["tag"]))
     assert "SinglePartition" not in plan
+
+
+# --------------------------------------------------------------------------
+# pages and order of every query shape
+
+
+def test_pages_of_grouped_results(water):
+    tags = Query().select(mean("water_level").alias("m")).group_by("location")
+    assert [r[0] for r in tags.limit(1, "global").build(water).collect()] == ["coyote_creek"]
+    assert [r[0] for r in tags.limit(1, "global").offset(1, "global").build(water).collect()] == ["santa_monica"]
+    assert tags.limit(1).build(water).count() == 2 and tags.offset(1).build(water).count() == 0
+    assert Query().select(mean("water_level")).offset(1).build(water).count() == 0
+    highest = Query().select(top("water_level", 5)).limit(2)
+    assert [r[0] for r in highest.build(water).collect()] == [at(0), at(6)]
+    assert Query().select(top("water_level", 3)).group_by("location").limit(1).build(water).count() == 2
+
+
+def test_order_without_a_bucket_and_behind_an_alias(water):
+    query = Query().select(mean("water_level").alias("m")).group_by("location").order_by("DESC")
+    assert [r[0] for r in query.build(water).collect()] == ["coyote_creek", "santa_monica"]
+    hidden = Query().select(field_of("water_level").alias("time")).order_by("DESC").tie_break("location").build(water)
+    assert hidden.columns == ["time"] and hidden.first()["time"] in (-0.6, 2.041)
+
+
+def test_global_page_over_several_measurements(water):
+    tables = {"b": water, "a": water}
+    query = Query().select("water_level").from_("b", "a").tie_break("location")
+    rows = query.limit(3, "global").build(tables).collect()
+    assert [(r["measurement"], r["water_level"]) for r in rows] == [("a", 8.12), ("a", 2.064), ("b", 8.12)]
+    assert query.limit(3).build(tables).count() == 6

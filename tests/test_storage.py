@@ -35,6 +35,7 @@ from sparkseries.sources.layout import (
     drop_measurement_partitions,
     merge_into_store,
     read_points,
+    read_measurement,
     shard_of,
     without_measurement,
     write_measurement,
@@ -89,7 +90,9 @@ def test_retention(spark, rules):
     df = spark.createDataFrame(rows, "db string, rp string, time_ns bigint")
     kept = keep_retained(df, rules, 10 * DAY)
     assert sorted(tuple(r) for r in kept.collect()) == sorted([rows[0], *rows[2:]])
-    assert "BroadcastHashJoin" in plan_text(kept), "the few policies are broadcast by their size"
+    assert "Join" not in plan_text(kept) and "Exchange" not in plan_text(kept), "the points are neither joined nor shuffled"
+    again = rules.unionByName(rules)
+    assert keep_retained(df, again, 10 * DAY).count() == kept.count()
     with pytest.raises(SeriesError):
         policies(spark, [{"db": "d", "name": "bad", "duration": "0"}])
 
@@ -167,11 +170,10 @@ def test_write_skips_points_without_fields_and_sets_missing_times(spark, lines,
     assert stored.count() == 2 and stored.where("time_ns > 1000000000000000000").count() == 1
 
 
-@pytest.mark.parametrize("listed", [0, 1_000])
-def test_merging_into_a_store(spark, sample, lines, tmp_path, monkeypatch, listed):
-    monkeypatch.setattr(layout, "_MAX_LISTED", listed)
+@pytest.mark.parametrize("first", ["write", "merge"])
+def test_merging_into_a_store(spark, sample, lines, tmp_path, first):
     path = str(tmp_path / "points")
-    write_points(sample, path, db="db0")
+    (write_points if first == "write" else merge_into_store)(sample, path, db="db0")
     untouched = set(glob.glob(f"{path}/db=db0/rp=autogen/measurement=cpu/shard_group=2/*.parquet"))
     batch = lines(f"cpu,host=a v=10,w=1 {DAY}", f"cpu,host=a v=11 {DAY}", f"cpu,host=z v=5 {DAY + 1}", f"new,host=a v=6 {DAY}")
     batch = batch.withColumn("seq", F.monotonically_increasing_id())
@@ -187,6 +189,7 @@ def test_merging_into_a_store(spark, sample, lines, tmp_path, monkeypatch, liste
             ("001", "a", DAY): 4.0,
             ("new", "a", DAY): 6.0,
         }
+        assert stored.where("time_ns = %d AND measurement = 'new'" % DAY).first()["seq"] is not None
     assert untouched and untouched == set(glob.glob(f"{path}/db=db0/rp=autogen/measurement=cpu/shard_group=2/*.parquet"))
 
 
@@ -225,8 +228,9 @@ def test_measurement_layout(spark, tmp_path, shard_type):
     assert back.count() == 1_000 and back.select("f_int64").distinct().count() == 1_000
     if shard_type == "HASH":
         assert back.groupBy("tag1").agg(F.count_distinct(SHARD).alias("n")).where("n > 1").count() == 0
-        only = back.where(F.col(SHARD) == shard_of({"tag1": "hot"}, ["tag1"], 4)).where("tag1 = 'hot'")
+        only = back.where(F.col(SHARD) == shard_of({"tag1": "hot"}, {"tag1": "string"}, 4)).where("tag1 = 'hot'")
         assert only.count() == 334
+        assert read_measurement(spark, path, tag1="hot").count() == 334
     if shard_type == "RANGE":
         spans = back.groupBy(F.input_file_name()).agg(F.min("tag1").alias("lo"), F.max("tag1").alias("hi")).orderBy("lo", "hi").collect()
         assert len(spans) == 4 and all(a["hi"] <= b["lo"] for a, b in zip(spans, spans[1:]))
@@ -260,7 +264,7 @@ def test_session_helpers(spark):
 
 
 def test_text_index(spark, tmp_path):
-    texts = ["The quick brown fox", "quick, QUICK! brown-dog", "nothing here", None, "brown " + "filler " * 3_000 + "quick"]
+    texts = ["The quick brown fox", "quick, QUICK! brown-dog", "nothing here", None, "brown " + "filler " * 3_000 + "quick", "Über alles, мир"]
     df = spark.createDataFrame([(i, t, "fox" if i == 2 else "") for i, t in enumerate(texts)], "id int, body string, title string")
     index = text_index(df, "id", ["body", "title"])
 
@@ -269,15 +273,15 @@ def test_text_index(spark, tmp_path):
 
         wanted = set(words)
         return sorted(
-            r["id"] for r in df.collect() if any(wanted <= set(re.split("[^a-z0-9]+", (t or "").lower())) for t in (r["body"], r["title"]))
+            r["id"] for r in df.collect() if any(wanted <= set(re.split(r"[\W_]+", (t or "").lower())) for t in (r["body"], r["title"]))
         )
 
     path = str(tmp_path / "index")
     write_text_index(index, path, buckets=8)
-    for words in (["quick", "brown"], ["fox"], ["quick", "fox"], ["absent"], ["filler", "quick"]):
+    for words in (["quick", "brown"], ["fox"], ["quick", "fox"], ["absent"], ["filler", "quick"], ["über"], ["ber"], ["мир"]):
         assert sorted(r[0] for r in lookup(index, words).collect()) == brute(words)
         assert sorted(r["id"] for r in search_texts(df, ["body", "title"], words).collect()) == brute(words)
-        stored = read_text_index(spark, path, words, buckets=8)
+        stored = read_text_index(spark, path, words)
         assert sorted(r[0] for r in lookup(stored, words).collect()) == brute(words)
         assert sorted(r["id"] for r in search(df, stored, "id", words).collect()) == brute(words)
     many = [f"w{i}" for i in range(70)]
@@ -396,3 +400,31 @@ def test_counts_on_a_stream(spark, tmp_path):
     query = counts.writeStream.outputMode("complete").format("memory").queryName("bucket_counts").option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
     query.awaitTermination()
     assert spark.table("bucket_counts").agg(F.sum("n"), F.count("*")).first()[:] == (60, 10)
+
+
+# --------------------------------------------------------------------------
+# facts stored with the data
+
+
+def test_ranges_follow_the_stored_shard_duration(spark, sample, tmp_path):
+    path = str(tmp_path / "daily")
+    write_points(sample, path, db="d", shard_duration="1d")
+    write_points(sample, path, db="e")  # the store keeps its own
+    for db in ("d", "e"):
+        whole = read_points(spark, path, db)
+        lo, hi = whole.agg(F.min("time_ns"), F.max("time_ns")).first()
+        assert read_points(spark, path, db, start=lo, end=hi + 1).count() == whole.count() == 4
+    with pytest.raises(SeriesError):
+        write_points(sample, path, db="d", shard_duration="7d")
+
+
+def test_shards_of_whole_numbers(spark, tmp_path):
+    df = spark.range(200).selectExpr("id AS time", "id % 9 AS tag1", "id AS f")
+    table = with_roles(df, time="time", tags=["tag1"], fields=["f"])
+    path = str(tmp_path / "m")
+    table.select(F.col("tag1").cast("string").alias("tag1"), "f", "time")
+    write_measurement(
+        with_roles(df.withColumn("tag1", F.col("tag1").cast("string")), time="time", tags=["tag1"], fields=["f"]),
+        path, tags=["tag1"], fields={"f": "INT64"}, time="time", shard_keys=["f"], shards=8,
+    )
+    assert [r["time"] for r in read_measurement(spark, path, f=56).collect()] == [56]
