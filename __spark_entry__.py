@@ -496,14 +496,16 @@ def _(spark, d):
 # schema exploration
 
 
-@_register("show_measurements", "SELECT * FROM (VALUES ('events'), ('orders')) t(measurement)")
+@_register("show_measurements", "SELECT 'events' AS measurement FROM events UNION SELECT 'orders' FROM orders")
 def _(spark, d):
     return show_measurements(_all_points(spark, d), "=~", "/^(ev|or)/")
 
 
 @_register(
     "show_tag_keys",
-    "SELECT * FROM (VALUES ('events', 'user_id'), ('lineitem', 'l_returnflag'), ('orders', 'o_orderstatus')) t(measurement, key)",
+    "SELECT 'events' AS measurement, 'user_id' AS key FROM events WHERE user_id IS NOT NULL "
+    "UNION SELECT 'lineitem', 'l_returnflag' FROM lineitem WHERE l_returnflag IS NOT NULL "
+    "UNION SELECT 'orders', 'o_orderstatus' FROM orders WHERE o_orderstatus IS NOT NULL",
 )
 def _(spark, d):
     return show_tag_keys(_all_points(spark, d), limit=1, offset=1)
@@ -797,7 +799,6 @@ def _(spark, d):
 # text in and out
 
 
-_KINDS = ("view", "click", "error", "signup", "purchase")
 
 
 @_register(
@@ -806,9 +807,10 @@ _KINDS = ("view", "click", "error", "signup", "purchase")
     "CAST(event_id AS VARCHAR) AS note FROM events",
 )
 def _(spark, d):
-    texts = [(kind, f'm,t={kind[0]}_$loc_b-$locx value=$v,note="$id"') for kind in _KINDS]
-    templates = good_points(parse_lines(spark.createDataFrame(texts, "event_type string, value string"))).drop("value")
     events = _events(spark, d).withColumn("id_text", F.col("event_id").cast("string"))
+    text = F.concat(F.lit("m,t="), F.substring("event_type", 1, 1), F.lit('_$loc_b-$locx value=$v,note="$id"'))
+    texts = events.select("event_type").distinct().select("event_type", text.alias("value"))
+    templates = good_points(parse_lines(texts)).drop("value")
     names = {"loc": "event_type", "locx": "user_id", "v": "value", "id": "id_text"}
     rows = events.select("event_id", "event_type", parameters(events, names).alias("params"))
     return _bound_columns(bind_templates(templates, rows, on="event_type"))
@@ -944,6 +946,25 @@ def _(spark, d):
     return found.groupBy(F.col("tags")["event_type"].alias("event_type")).agg(F.count("*").alias("n"))
 
 
+@_register(
+    "shard_groups_policy",
+    "SELECT event_type AS rp, CASE WHEN event_type = 'click' THEN epoch_us(ts) // 86400000000 "
+    "ELSE epoch_us(ts) // (7 * 86400000000) END AS shard_group, count(*) AS n FROM events "
+    "WHERE ts >= (SELECT min(ts) FROM events) + INTERVAL 1 DAY AND event_type IN ('click', 'view') GROUP BY 1, 2",
+)
+def _(spark, d):
+    path = scratch_folder(spark, "own-durations")
+    events = _events(spark, d).withColumn("rp", F.col("event_type"))
+    points = wide_to_points(events, "events", tags=["user_id"], fields=["value"], time="ts", keep=["rp"])
+    policy = policies(spark, [{"db": "metrics", "name": "click", "duration": "30d", "shard_group_duration": "1d"}])
+    write_points(points, path, db="metrics", policies=policy)
+    start = points.agg(F.min("time_ns")).first()[0] + 86_400 * 10**9
+    stored = read_points(spark, path, "metrics", "click", start=start).unionByName(
+        read_points(spark, path, "metrics", "view", start=start)
+    )
+    return stored.groupBy("rp", "shard_group").agg(F.count(F.lit(1)).alias("n"))
+
+
 @_register(
     "layout_counts",
     "SELECT event_type AS rp, epoch_us(ts) // (7 * 86400000000) AS shard_group, count(*) AS n FROM events GROUP BY 1, 2",

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkseries.functions.timefns import epoch_ns, floor_div, parse_instant
-from sparkseries.model import DEFAULT_POLICY, NS_PER, TIME_NS, col, duration_ns
+from sparkseries.model import DEFAULT_POLICY, NS_PER, TIME_NS, SeriesError, col, duration_ns
 
 POLICY_SCHEMA = T.StructType(
     [
@@ -129,6 +129,39 @@ def with_shard_group(points: DataFrame, duration: str = DEFAULT_SHARD_GROUP) ->
     return points.withColumn("shard_group", shard_group(F.col(TIME_NS), duration))
 
 
+def shard_durations(policy_table: DataFrame | None) -> dict[tuple[str, str], str]:
+    """The policies' own shard group durations by (db, policy): settings, at most ``MAP_ROWS`` of them."""
+    if policy_table is None:
+        return {}
+    own = policy_table.where("db IS NOT NULL AND name IS NOT NULL AND shard_group_duration IS NOT NULL")
+    rows = own.groupBy("db", "name").agg(F.min("shard_group_duration").alias("own")).limit(MAP_ROWS + 1).collect()
+    if len(rows) > MAP_ROWS:
+        raise SeriesError(f"more than {MAP_ROWS} policies with shard durations of their own")
+    return {(r["db"], r["name"]): r["own"] for r in rows}
+
+
+def with_policy_shard_group(points: DataFrame, durations: Mapping[tuple[str, str], str], default: str) -> DataFrame:
+    """``shard_group`` by the duration of each row's (db, rp), else by ``default``."""
+    if not durations:
+        return with_shard_group(points, default)
+    pairs = [x for k, d in durations.items() for x in (F.array(F.lit(k[0]), F.lit(k[1])), F.lit(duration_ns(d)).cast("bigint"))]
+    size = F.coalesce(F.try_element_at(F.create_map(*pairs), F.array("db", "rp")), F.lit(duration_ns(default)).cast("bigint"))
+    time = F.col(TIME_NS)
+    # Floor division whose divisor is a column; integer division cuts towards zero.
+    return points.withColumn("shard_group", F.floor((time - F.pmod(time, size)).cast("decimal(20,0)") / size).cast("bigint"))
+
+
+def expired_shard_groups(points: DataFrame, policy_table: DataFrame, as_of: Any, default: str = DEFAULT_SHARD_GROUP) -> DataFrame:
+    """``(db, rp, shard_group)`` of stored points whose whole group is older than its policy's duration at ``as_of``."""
+    groups = points.select("db", "rp", "shard_group").distinct()
+    own = policy_table.where("db IS NOT NULL AND name IS NOT NULL AND duration IS NOT NULL").groupBy(F.array("db", "name").alias("keys"))
+    kept = _looked_up(groups, [F.col("db"), F.col("rp")], own.agg(F.max(duration_column_ns(F.col("duration"))).alias("value")), "__kept")
+    sizes = policy_table.where("shard_group_duration IS NOT NULL").groupBy(F.array("db", "name").alias("keys"))
+    sized = _looked_up(kept, [F.col("db"), F.col("rp")], sizes.agg(F.min(duration_column_ns(F.col("shard_group_duration"))).alias("value")), "__size")
+    ends = (F.col("shard_group") + 1) * F.coalesce("__size", F.lit(duration_ns(default)).cast("bigint"))
+    return sized.where(ends <= F.lit(parse_instant(as_of)) - F.col("__kept")).select("db", "rp", "shard_group")
+
+
 def resolve_policy(df: DataFrame, policy_table: DataFrame | None = None, *, db: str = "db", rp: str = "rp") -> DataFrame:
     """Fill an empty policy with the database's default one, else with ``autogen``."""
     given = F.nullif(col(rp), F.lit(""))

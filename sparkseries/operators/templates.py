@@ -155,13 +155,19 @@ def bind_templates(templates: DataFrame, params: DataFrame, on: str = "template_
 
     An equi-join on the template: the templates are broadcast when Spark finds
     them small, and a template with very many parameter rows is split by
-    adaptive execution otherwise.
+    adaptive execution otherwise.  Rows without a template are not in the
+    result; ``without_template`` gives them.
     """
     if "params" not in params.columns:
         raise SeriesError("parameter rows need a params column")
     return bind_points(params.join(templates, on))
 
 
+def without_template(templates: DataFrame, params: DataFrame, on: str = "template_id") -> DataFrame:
+    """Parameter rows that ``bind_templates`` cannot bind because no template has their key: rejects."""
+    return params.join(templates.select(on).distinct(), on, "left_anti")
+
+
 def bound_points(bound: DataFrame) -> DataFrame:
     return bound.where(F.size(UNRESOLVED) == 0).drop(UNRESOLVED)
 

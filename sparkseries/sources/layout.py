@@ -24,7 +24,7 @@ from sparkseries.model import (
 )
 from sparkseries.operators.points import with_default_time
 from sparkseries.operators.quality import merge_points, split_rejects
-from sparkseries.operators.retention import DEFAULT_SHARD_GROUP, resolve_policy, with_shard_group
+from sparkseries.operators.retention import DEFAULT_SHARD_GROUP, resolve_policy, shard_durations, with_policy_shard_group
 from sparkseries.plans.query import in_scope
 from sparkseries.session import scratch_folder
 from sparkseries.sources.notes import read_notes, write_notes
@@ -60,8 +60,9 @@ def write_points(
 ) -> None:
     """Append points below ``db/rp/measurement/shard_group``.
 
-    The shard duration is fixed by the first write and stored beside the data;
-    a later write that names another one is refused.
+    A policy's own shard group duration counts for its points, ``shard_duration``
+    for all others.  Durations are fixed by the first write that uses them and
+    stored beside the data; a later write that names another one is refused.
 
     Points without measurement or fields are skipped, and a missing time
     becomes the time of the write.  ``db`` and ``rp`` fill
@@ -71,18 +72,31 @@ def write_points(
     """
     if compression not in COMPRESSIONS:
         raise SeriesError(f"unknown compression {compression!r}")
-    duration = _duration_of_store(points.sparkSession, path, shard_duration, renew=mode == "overwrite")
-    placed_points(points, db=db, rp=rp, policies=policies, shard_duration=duration).write.mode(mode).option(
-        "compression", compression
-    ).partitionBy(*POINT_PARTITIONS).parquet(path)
-    write_notes(points.sparkSession, path, {"shard_duration": duration})
+    spark = points.sparkSession
+    duration, own = _durations_of_store(spark, path, shard_duration, policies, renew=mode == "overwrite")
+    placed = placed_points(points, db=db, rp=rp, policies=policies, shard_duration=duration, own_durations=own)
+    placed.write.mode(mode).option("compression", compression).partitionBy(*POINT_PARTITIONS).parquet(path)
+    _note_durations(spark, path, duration, own)
+
+
+def _durations_of_store(
+    spark: SparkSession, path: str, wanted: str | None, policies: DataFrame | None = None, renew: bool = False
+) -> tuple[str, dict[tuple[str, str], str]]:
+    """The store's shard duration and those of policies, together with what a write names."""
+    notes = {} if renew else read_notes(spark, path)
+    stored = notes.get("shard_duration")
+    own = {(db, rp): d for db, rp, d in notes.get("own_durations", [])}
+    for key, named in [(None, wanted), *shard_durations(policies).items()]:
+        before = stored if key is None else own.get(key) or stored
+        if before and named and duration_ns(before) != duration_ns(named):
+            raise SeriesError(f"the store has shard duration {before}, not {named}")
+        if key is not None:
+            own[key] = named
+    return stored or wanted or DEFAULT_SHARD_GROUP, own
 
 
-def _duration_of_store(spark: SparkSession, path: str, wanted: str | None, renew: bool = False) -> str:
-    stored = None if renew else read_notes(spark, path).get("shard_duration")
-    if stored and wanted and duration_ns(stored) != duration_ns(wanted):
-        raise SeriesError(f"the store has shard duration {stored}, not {wanted}")
-    return stored or wanted or DEFAULT_SHARD_GROUP
+def _note_durations(spark: SparkSession, path: str, duration: str, own: Mapping[tuple[str, str], str]) -> None:
+    write_notes(spark, path, {"shard_duration": duration, "own_durations": [[*k, d] for k, d in sorted(own.items())]})
 
 
 def placed_points(
@@ -92,6 +106,7 @@ def placed_points(
     rp: str | None = None,
     policies: DataFrame | None = None,
     shard_duration: str = DEFAULT_SHARD_GROUP,
+    own_durations: Mapping[tuple[str, str], str] | None = None,
 ) -> DataFrame:
     """Good points with all partition columns, laid out for writing."""
     if db is not None:
@@ -106,7 +121,8 @@ def placed_points(
     if "seq" not in good.columns:
         good = good.withColumn("seq", F.lit(None).cast("bigint"))
     timed = good.withColumn(TIME_NS, with_default_time(F.col(TIME_NS)))
-    placed = with_shard_group(resolve_policy(timed, policies), shard_duration).select(*STORED_POINTS.names)
+    grouped = with_policy_shard_group(resolve_policy(timed, policies), own_durations or {}, shard_duration)
+    placed = grouped.select(*STORED_POINTS.names)
     return placed.hint("rebalance", *POINT_PARTITIONS).sortWithinPartitions(*POINT_PARTITIONS, TIME_NS)
 
 
@@ -129,7 +145,9 @@ def read_points(
     if measurement:
         points = points.where(F.col("measurement") == measurement)
     ranged = start is not None or end is not None
-    size = duration_ns(_duration_of_store(spark, path, None)) if ranged else 1
+    if ranged:
+        duration, own = _durations_of_store(spark, path, None)
+        size = duration_ns(own.get((db, rp or DEFAULT_POLICY), duration))
     if start is not None:
         ns = parse_instant(start)
         points = points.where((F.col("shard_group") >= ns // size) & (F.col(TIME_NS) >= ns))
@@ -159,11 +177,11 @@ def merge_into_store(
     should wait while the partitions are replaced.
     """
     spark = points.sparkSession
-    duration = _duration_of_store(spark, path, shard_duration)
+    duration, own = _durations_of_store(spark, path, shard_duration, policies)
     # One time for all rows without one.
     points = points.withColumn(TIME_NS, with_default_time(F.col(TIME_NS), F.lit(clock_ns()).cast("bigint")))
     folder = scratch_folder(spark, "merge")
-    placed_points(points, db=db, rp=rp, policies=policies, shard_duration=duration).write.parquet(folder)
+    placed_points(points, db=db, rp=rp, policies=policies, shard_duration=duration, own_durations=own).write.parquet(folder)
     batch = spark.read.schema(STORED_POINTS).parquet(folder)
     aged = batch.withColumn("__age", F.lit(1))
     if read_notes(spark, path):
@@ -175,10 +193,10 @@ def merge_into_store(
         aged = affected.select(*STORED_POINTS.names).withColumn("__age", F.lit(0)).unionByName(aged)
     ordered = aged.withColumn("__seq", F.coalesce("seq", F.lit(0)))
     merged = merge_points(ordered, ["__age", "__seq"], newest="seq")
-    placed_points(merged, shard_duration=duration).write.mode("overwrite").option(
+    placed_points(merged, shard_duration=duration, own_durations=own).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).option("compression", compression).partitionBy(*POINT_PARTITIONS).parquet(path)
-    write_notes(spark, path, {"shard_duration": duration})
+    _note_durations(spark, path, duration, own)
 
 
 def write_measurement(

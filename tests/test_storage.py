@@ -14,6 +14,7 @@ from sparkseries.model import SeriesError, with_roles
 from sparkseries.operators.retention import (
     duration_column_ns,
     duration_column_text,
+    expired_shard_groups,
     keep_retained,
     policies,
     policies_from_results,
@@ -29,9 +30,9 @@ from sparkseries.sources.documents import (
     result_documents,
     series_documents,
 )
-from sparkseries.sources import layout
 from sparkseries.sources.layout import (
     SHARD,
+    STORED_POINTS,
     drop_measurement_partitions,
     merge_into_store,
     read_points,
@@ -44,6 +45,7 @@ from sparkseries.sources.layout import (
 from sparkseries.streaming.ingest import (
     compact_points,
     count_by_bucket,
+    current_points,
     ingested_points,
     line_stream,
     outcomes,
@@ -428,3 +430,28 @@ def test_shards_of_whole_numbers(spark, tmp_path):
         path, tags=["tag1"], fields={"f": "INT64"}, time="time", shard_keys=["f"], shards=8,
     )
     assert [r["time"] for r in read_measurement(spark, path, f=56).collect()] == [56]
+
+
+def test_policies_have_their_own_shard_duration(spark, sample, tmp_path):
+    path = str(tmp_path / "own")
+    rules = policies(spark, [{"db": "d", "name": "short", "duration": "10d", "shard_group_duration": "1d"}])
+    write_points(sample, path, db="d", rp="short", policies=rules)
+    write_points(sample, path, db="d", rp="other")
+    groups = {(r["rp"], r["shard_group"]) for r in spark.read.schema(STORED_POINTS).parquet(path).collect()}
+    assert groups == {("short", 1), ("short", 8), ("short", 15), ("other", 0), ("other", 1), ("other", 2)}
+    for rp in ("short", "other"):
+        assert read_points(spark, path, "d", rp, start=8 * DAY, end=8 * DAY + 1).count() == 1
+    stored = spark.read.schema(STORED_POINTS).parquet(path)
+    gone = expired_shard_groups(stored, rules, 19 * DAY).collect()
+    assert {(r["rp"], r["shard_group"]) for r in gone} == {("short", 1), ("short", 8)}
+
+
+def test_later_batches_overwrite(spark, lines, tmp_path):
+    path = str(tmp_path / "store")
+    for n, value in enumerate((1, 2)):
+        batch = spark.createDataFrame([(f"m,a=x v={value} {DAY}", "d", ""), (f"m,a=x v={value}5 {DAY}", "d", "")], "value string, db string, rp string")
+        write_batch(batch.coalesce(1), n, path)
+    assert ingested_points(spark, path).count() == 4
+    assert [r["fields"]["v"]["f"] for r in current_points(spark, path).collect()] == [25.0]
+    compact_points(spark, path, str(tmp_path / "one"))
+    assert read_points(spark, str(tmp_path / "one"), "d").count() == 1
