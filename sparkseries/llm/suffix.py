@@ -188,26 +188,30 @@ def _ids_unpacked(data: bytes) -> np.ndarray:
     return np.frombuffer(zstandard.decompress(data), np.uint8).reshape(8, -1).T.copy().view("<i8").ravel()
 
 
-def _advance(chunk: Chunk, replies: list[dict], ranges: int):
-    """Parcels ``(range, content)`` of the next round, or after the last round the removed bytes as a mask."""
+def _advance(chunk: Chunk, replies: list[dict], ranges: int, round_: int = 0):
+    """Parcels ``(range, content)`` of a round, or after round 3 the removed bytes as a mask.
+
+    A chunk that asked nothing in a round has no reply to it.
+    """
+    round_ = round_ or 1 + max((r["round"] for r in replies), default=0)
     by_round: dict[int, dict[int, bytes]] = {}
     for reply in replies:
         by_round.setdefault(reply["round"], {})[reply["range"]] = reply["bits"]
 
-    def bits(round_: int, names: np.ndarray) -> np.ndarray:
+    def bits(of: int, names: np.ndarray) -> np.ndarray:
         out = np.zeros(len(names), np.uint8)
         for r, part in _parcels(names, ranges):
-            out[part] = np.frombuffer(by_round[round_][r], np.uint8)[: part.stop - part.start]
+            out[part] = np.frombuffer(by_round[of][r], np.uint8)[: part.stop - part.start]
         return out
 
     keys, several, where = chunk.short()
-    if 1 not in by_round:
+    if round_ == 1:
         return [
             (r, {"keys": keys[part].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes(), "several": np.packbits(several[part]).tobytes(), "n": part.stop - part.start})
             for r, part in _parcels(keys << _U64(16), ranges)
         ]
     left, group, lead, whole = chunk.contexts(bits(1, keys << _U64(16)) > 0, where)
-    if 2 not in by_round:
+    if round_ == 2:
         names = chunk.name[lead]
         return [
             (r, {"name": names[part].tobytes(), "whole": whole[part].tobytes(), "ids": _ids_packed(chunk.id[lead[part]])})
@@ -217,7 +221,7 @@ def _advance(chunk: Chunk, replies: list[dict], ranges: int):
     smaller, asked = (said & 1) > 0, (said & 2) > 0
     gone = smaller[group] | (chunk.id[left] > chunk.id[lead[group]])
     starts, run, order, single, first, a, b = chunk.singles(lead[asked])
-    if 3 not in by_round:
+    if round_ == 3:
         return [
             (r, {"a": a[part].tobytes(), "b": b[part].tobytes(), "ids": _ids_packed(chunk.id[run[first[part]]])})
             for r, part in _parcels(a, ranges)
@@ -318,13 +322,13 @@ def _chunk(number: int, batches: list[pa.RecordBatch]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([packed], pa.binary())], names=["chunk", "body"])
 
 
-def _asked(length: int, gram: int, ranges: int):
+def _asked(length: int, gram: int, ranges: int, round_: int):
     def run(batches):
         for batch in batches:
             replies = batch.column("replies") if "replies" in batch.schema.names else None
             for i in range(batch.num_rows):
                 chunk = Chunk(batch.column("body")[i].as_py(), length, gram)
-                parcels = _advance(chunk, (replies[i].as_py() or []) if replies is not None else [], ranges)
+                parcels = _advance(chunk, (replies[i].as_py() or []) if replies is not None else [], ranges, round_)
                 for r, content in parcels:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([r], pa.int32()), batch.column("chunk").slice(i, 1), pa.array([pickle.dumps(content, protocol=5)], pa.binary())],
@@ -354,7 +358,7 @@ def _finished(length: int, gram: int, ranges: int):
         for batch in batches:
             for i in range(batch.num_rows):
                 chunk = Chunk(batch.column("body")[i].as_py(), length, gram)
-                gone = _advance(chunk, batch.column("replies")[i].as_py() or [], ranges)
+                gone = _advance(chunk, batch.column("replies")[i].as_py() or [], ranges, 4)
                 before = np.concatenate([[False], gone[:-1]])[: len(gone)]
                 before[chunk.bounds[chunk.bounds < len(gone)]] = False
                 starts = np.flatnonzero(gone & ~before)
@@ -432,7 +436,7 @@ def remove_repeats(
             return chunks.join(told.hint("shuffle_hash"), "chunk", "left")
 
         for round_ in (1, 2, 3):
-            asked = (with_replies() if replies else chunks).mapInArrow(_asked(length, gram, ranges), "range int, chunk long, content binary")
+            asked = (with_replies() if replies else chunks).mapInArrow(_asked(length, gram, ranges, round_), "range int, chunk long, content binary")
             answered = asked.groupBy("range").applyInArrow(_answered(round_), "chunk long, round int, range int, bits binary")
             replies.append(stored(answered, f"replies-{round_}"))
         fields = list(source.schema.fields[2:])

@@ -146,6 +146,12 @@ def test_strings_against_brute_force(documents, seed, chunk):
     )
 
 
+def test_strings_of_documents_that_share_nothing(documents):
+    rows = [(i, f"{i} " * 60) for i in range(3)] + [(5, "short")]
+    got = remove_repeats(documents(rows), chunk_bytes=100).collect()
+    assert {(r.doc_id, r.n_removed, r.n_spans) for r in got} == {(0, 0, 0), (1, 0, 0), (2, 0, 0), (5, 0, 0)}
+
+
 def test_empty_tables(documents):
     empty = documents([])
     assert near_duplicates(empty).count() == 0
