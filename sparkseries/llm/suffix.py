@@ -188,12 +188,11 @@ def _ids_unpacked(data: bytes) -> np.ndarray:
     return np.frombuffer(zstandard.decompress(data), np.uint8).reshape(8, -1).T.copy().view("<i8").ravel()
 
 
-def _advance(chunk: Chunk, replies: list[dict], ranges: int, round_: int = 0):
+def _advance(chunk: Chunk, replies: list[dict], ranges: int, round_: int):
     """Parcels ``(range, content)`` of a round, or after round 3 the removed bytes as a mask.
 
     A chunk that asked nothing in a round has no reply to it.
     """
-    round_ = round_ or 1 + max((r["round"] for r in replies), default=0)
     by_round: dict[int, dict[int, bytes]] = {}
     for reply in replies:
         by_round.setdefault(reply["round"], {})[reply["range"]] = reply["bits"]

@@ -9,6 +9,7 @@ value.  A document is as toxic as its most toxic unit.
 
 from __future__ import annotations
 
+import pickle
 import re
 import sys
 import zlib
@@ -265,27 +266,43 @@ def fit(toxic: list[list[str]], clean: list[list[str]], landmarks: int = 192, le
     return model
 
 
-def labelled_words(docs: DataFrame, labels: DataFrame, train: Column, id_col: str, text_col: str, label_col: str, each: int, most_words: int) -> tuple[list, list]:
-    """Distinct words of at most ``each`` toxic and four times as many clean training documents, in order of a hash.
+def labelled_words(
+    docs: DataFrame, labels: DataFrame, train: Column, id_col: str, text_col: str, label_col: str, each: int, most_words: int
+) -> DataFrame:
+    """``(id, label, words)``: at most ``each`` toxic and four times as many clean training documents, in order of a hash.
 
-    Of a document at most ``most_words`` words are used for fitting.
+    Of a document at most ``most_words`` distinct words are used for fitting.
     """
     own = labels.where(train & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(label_col).alias("label"))
-    own = own.groupBy("id").agg(F.max("label").alias("label"))
+    own = own.groupBy("id").agg(F.max("label").cast("int").alias("label"))
     order = F.xxhash64("id")
     chosen = own.where("label = 1").orderBy(order).limit(each).union(own.where("label = 0").orderBy(order).limit(4 * each))
 
     def run(batches):
         for batch in batches:
-            words = [sorted(set(words_of(t.decode("utf-8", "replace"))), key=lambda w: zlib.crc32(w.encode()))[:most_words] for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, pa.list_(pa.string()))], names=["label", "words"])
+            words = [sorted(set(words_of(t.decode("utf-8", "replace"))), key=lambda w: zlib.crc32(w.encode()))[:most_words] for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(words, pa.list_(pa.string()))], names=["id", "label", "words"]
+            )
 
     texts = docs.select(F.col(id_col).cast("long").alias("id"), raw_text(text_col).alias("text"))
-    rows = texts.join(F.broadcast(chosen), "id").select("label", "text").mapInArrow(run, "label int, words array<string>").collect()
-    shared = {1: [], 0: []}
-    for row in rows:
-        shared[row.label].append([sys.intern(w) for w in row.words])
-    return shared[1], shared[0]
+    # at most 5 * each ids, so the broadcast has a fixed bound
+    return texts.join(F.broadcast(chosen), "id").select("id", "label", "text").mapInArrow(run, "id long, label int, words array<string>")
+
+
+def fitted(sample: DataFrame, landmarks: int) -> Model:
+    """The model of a sample of fixed size, fitted in one task."""
+
+    def run(batches):
+        rows = []
+        for batch in batches:
+            rows += zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist())
+        rows.sort()
+        toxic, clean = ([[sys.intern(w) for w in words] for _, label, words in rows if label == kind] for kind in (1, 0))
+        model = fit(toxic, clean, landmarks=landmarks)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model, protocol=5)], pa.binary())], names=["model"])
+
+    return pickle.loads(sample.repartition(1).mapInArrow(run, "model binary").first().model)
 
 
 def score_documents(
@@ -350,5 +367,5 @@ def toxicity(
     Scale: one pass over the texts without a shuffle; the model is a table of
     fixed size.
     """
-    model = fit(*labelled_words(docs, labels, train, id_col, text_col, label_col, each, most_words), landmarks=landmarks)
+    model = fitted(labelled_words(docs, labels, train, id_col, text_col, label_col, each, most_words), landmarks)
     return score_documents(docs, model, id_col, text_col, carry)
