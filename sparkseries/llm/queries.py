@@ -134,4 +134,22 @@ scored AS (
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
 FROM scored QUALIFY rank <= 5
 """
-SQL: dict[str, str] = {"op3_line_dedup": _OP3, "op6_chat_format": _OP6, "op9_topk": _OP9}
+_OP8 = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+places AS (SELECT doc_id, h, unnest(range(0, greatest(0, length(h) // 2 - 49))) AS p FROM d),
+strings AS (SELECT doc_id, p, substr(h, 2 * p + 1, 100) AS s FROM places),
+firsts AS (SELECT s, min(doc_id) AS first FROM strings GROUP BY s),
+hits AS (SELECT DISTINCT doc_id, p FROM strings JOIN firsts USING (s) WHERE doc_id > first),
+begun AS (SELECT *, coalesce(p > 50 + lag(p) OVER (PARTITION BY doc_id ORDER BY p), true) AS new FROM hits),
+counted AS (SELECT *, sum(new::INT) OVER (PARTITION BY doc_id ORDER BY p) AS g FROM begun),
+spans AS (SELECT doc_id, g, min(p) AS a, max(p) + 50 AS b FROM counted GROUP BY doc_id, g),
+ends AS (SELECT *, lead(a) OVER (PARTITION BY doc_id ORDER BY a) AS c FROM spans),
+cut AS (
+  SELECT d.doc_id, d.h, sum(b - a) AS n_removed, count(*) AS n_spans,
+         substr(d.h, 1, 2 * min(a)) || string_agg(substr(d.h, 2 * b + 1, 2 * (coalesce(c, length(d.h) // 2) - b)), '' ORDER BY a) AS kept
+  FROM d JOIN ends USING (doc_id) GROUP BY d.doc_id, d.h)
+SELECT d.doc_id, CAST(length(d.h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, d.h))) AS kept_sha256
+FROM d LEFT JOIN cut USING (doc_id)
+"""
+SQL: dict[str, str] = {"op3_line_dedup": _OP3, "op6_chat_format": _OP6, "op8_suffix_dedup": _OP8, "op9_topk": _OP9}

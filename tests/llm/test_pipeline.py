@@ -16,7 +16,7 @@ FOLDER = "/root/testdata/sf0.001"
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, keep string, row int"
 
 
-@pytest.mark.parametrize("name", ["op3_line_dedup", "op6_chat_format", "op9_topk"])
+@pytest.mark.parametrize("name", ["op3_line_dedup", "op6_chat_format", "op8_suffix_dedup", "op9_topk"])
 def test_queries_agree_with_sql(spark, name):
     con = oracle.connect(FOLDER)
     assert oracle.differences(registry.queries()[name](spark, FOLDER), con, registry.oracle_sql()[name]) == []
