@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import struct
 
 import ahocorasick
 import numpy as np
@@ -125,38 +126,67 @@ class Encoder:
 class Words:
     """Encodes texts word by word, remembering words.
 
-    The split never joins what stands before a single space to what follows,
-    if neither is white space, so a text is the sum of its words, each with the
-    space before it.  Texts with other white space at a space go to
-    ``whole``.  ``many`` encodes a list of words.
+    The split never joins what stands before a single space or line break to
+    what follows, if neither is white space: a space goes to the word after it,
+    a line break stands alone.  So a text is the sum of its words, each with
+    the space or break before it, and a word that ends in a comma or full stop
+    after letters is the sum of those letters and the mark.  Texts with other
+    white space at a space or break go to ``whole``, the encoder itself.  New
+    words are encoded in one text and told apart by ``sizes``, the number of
+    bytes of each token.
     """
 
-    def __init__(self, many, whole, most: int = 400_000):
-        self.many, self.whole, self.most = many, whole, most
+    def __init__(self, whole, sizes: np.ndarray, most: int = 700_000):
+        self.whole, self.sizes, self.most = whole, sizes, most
         self.known: dict[str, bytes | None] = {}
+        self.marks = {mark: _packed(whole(mark)) for mark in ".,"}
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit numbers."""
-        first, *words = text.split(" ")
+        first, *words = text.replace("\n", " \n").split(" ")
         known = self.known
-        if new := [w for w in words if w not in known]:
-            self._learn(set(new), set(words))
-        found = list(map(self.known.__getitem__, words))
+        if new := {w for w in words if w not in known}:
+            if len(known) > self.most:
+                known.clear()
+                new = set(words)
+            self._learn(new)
+        found = list(map(known.__getitem__, words))
         if None in found or (words and (not first or _OUTER_SPACE.search(first))):
             return _packed(self.whole(text))
         return b"".join([_packed(self.whole(first)) if first else b"", *found])
 
-    def _learn(self, words: set[str], needed: set[str]) -> None:
-        if len(self.known) > self.most:
-            self.known.clear()
-            words = needed
-        plain = [w for w in words if w and not _OUTER_SPACE.search(w)]
-        self.known.update(dict.fromkeys(words))
-        self.known.update(zip(plain, map(_packed, self.many([" " + w for w in plain]))))
+    def _learn(self, words: set[str]) -> None:
+        known = self.known
+        stems = {w: w[:-1] for w in words if w[-1:] in self.marks and w[:-1].isalpha()}
+        wanted = [w for w in {*(words - stems.keys()), *stems.values()} if w not in known]
+        plain = []
+        for w in wanted:
+            own = w[1:] if w[:1] == "\n" else w
+            if own.isalnum() or (own and not _OUTER_SPACE.search(own)):
+                plain.append(w)
+            else:
+                known[w] = None
+        for at in range(0, len(plain), 5_000):
+            part = plain[at : at + 5_000]
+            shown = [w if w[0] == "\n" else " " + w for w in part]
+            ids = np.array(self.whole("".join(shown)), "<u4")
+            ends = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum([len(w.encode()) for w in shown])) + 1
+            packed, stops = ids.tobytes(), (4 * ends).tolist()
+            known.update(zip(part, (packed[a:b] for a, b in zip([0, *stops], stops))))
+        for w, stem in stems.items():
+            known[w] = known[stem] + self.marks[w[-1]]
 
 
 def _packed(ids: list[int]) -> bytes:
-    return np.array(ids, "<u4").tobytes()
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+def token_sizes(tokens: dict[int, bytes | str]) -> np.ndarray:
+    """Number of bytes (or of letters that stand for bytes) of each token."""
+    out = np.zeros(max(tokens) + 1, np.int64)
+    for token, data in tokens.items():
+        out[token] = len(data)
+    return out
 
 
 _ENCODERS: dict[str, tuple[Encoder, Words]] = {}
@@ -166,7 +196,7 @@ def encoder(path: str) -> tuple[Encoder, Words]:
     """The encoder of a vocabulary file, loaded once in each Python worker."""
     if path not in _ENCODERS:
         made = Encoder(path)
-        _ENCODERS[path] = made, Words(lambda words: [made.encode(w) for w in words], made.encode)
+        _ENCODERS[path] = made, Words(made.encode, token_sizes(made.bytes_of))
     return _ENCODERS[path]
 
 

@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkseries.llm.bpe import Words
+from sparkseries.llm.bpe import Words, token_sizes
 from sparkseries.llm.common import raw_text, stored
 
 _TOKENIZERS: dict[str, Words] = {}
@@ -26,10 +26,9 @@ def tokenizer(path: str) -> Words:
         made = Tokenizer.from_file(path)
         made.no_truncation()
         made.no_padding()
-        _TOKENIZERS[path] = Words(
-            lambda words: [e.ids for e in made.encode_batch_fast(words, add_special_tokens=False)],
-            lambda text: made.encode(text, add_special_tokens=False).ids,
-        )
+        special = {token.content for token in made.get_added_tokens_decoder().values()}
+        sizes = token_sizes({i: t.encode() if t in special else t for t, i in made.get_vocab().items()})
+        _TOKENIZERS[path] = Words(lambda text: made.encode_batch_fast([text], add_special_tokens=False)[0].ids, sizes)
     return _TOKENIZERS[path]
 
 
