@@ -102,3 +102,51 @@ def test_stages_on_an_empty_table(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     spark.createDataFrame([], COLUMNS).write.parquet(f"{folder}/documents.parquet")
     assert corpus_pipeline.run(spark, folder).count() == 0
+
+
+def jaccard(a, b, k=5):
+    sets = []
+    for text in (a, b):
+        words = text.lower().split()
+        sets.append({tuple(words[i : i + k]) for i in range(max(1, len(words) - k + 1))})
+    return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+
+
+def test_near_copies_with_edited_words_leave_one_document(spark):
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(5000)]
+    rows = []
+    for i in range(40):
+        base = [rng.choice(words) for _ in range(rng.choice([60, 120, 400]))]
+        rows.append((len(rows), " ".join(base)))
+        for edits in (1, 1, 2, 3, 6):
+            copy = base[:]
+            for at in rng.sample(range(len(base)), edits):
+                copy[at] = rng.choice(words)
+            rows.append((len(rows), " ".join(copy)))
+    chain = [rng.choice(words) for _ in range(200)]  # each link is near, the ends are not
+    for i in range(30):
+        chain[i * 6] = rng.choice(words)
+        rows.append((len(rows), " ".join(chain)))
+    rows += [(900, "Three  short words"), (901, "three short words"), (902, "three short"), (None, rows[0][1]), (903, None), (904, " ")]
+    group = list(range(len(rows)))
+
+    def find(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    for i, (_, a) in enumerate(rows):
+        for j in range(i):
+            if find(i) != find(j) and jaccard(a or "", rows[j][1] or "") >= 0.8:
+                group[max(find(i), find(j))] = min(find(i), find(j))
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        if d is not None:
+            least[find(i)] = min(d, least.get(find(i), d))
+    want = Counter((d, t) for i, (d, t) in enumerate(rows) if d is None or least[find(i)] == d)
+    docs = spark.createDataFrame([(d, t, "en", "s", 1, "k", 1) for d, t in rows], COLUMNS)
+    kept = dict(corpus_pipeline.STAGES)["simhash"](spark, docs, "")
+    assert kept.columns == docs.columns
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == want
+    assert len(want) < len(rows) - 100
