@@ -14,6 +14,7 @@ import re
 import sys
 import zlib
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,7 @@ _LETTERS = 64
 _WIDTH = 20  # characters of a unit, with the mark of its start
 _SPAN = 8  # characters that a subsequence may stretch over
 _DECAY = 0.6
+_FIT_CHARS = 4096  # of a word, in the rows that the machine is trained on
 _SPACED = re.compile(r"(?<!\S)\w(?:\s\w){2,}(?!\S)")
 _TRIPLES = np.array([(i, i + a, i + b) for i in range(_WIDTH) for b in range(2, _SPAN) for a in range(1, b) if i + b < _WIDTH])
 _WEIGHTS = _DECAY ** (_TRIPLES[:, 2] - _TRIPLES[:, 0] - 2.0)
@@ -53,16 +55,35 @@ class _Letters(dict):
 _CODES = _Letters()
 
 
-def windows(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Units as rows of letter codes, and the word of each; long words give overlapping rows.  0 fills up, 1 marks the start."""
+def window_blocks(words: list[str], most: int = 1 << 16) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Units as rows of letter codes, and the word of each, about ``most`` rows at a time; every word is read to its end.
+
+    Long words give overlapping rows.  0 fills up, 1 marks the start.
+    """
     rows, owners = [], []
+    step = _WIDTH // 2
     for n, word in enumerate(words):
-        codes = [1, *filter(None, map(_CODES.__getitem__, word[:4096]))]
-        for at in range(0, max(1, len(codes) - _WIDTH // 2), _WIDTH // 2):
-            part = codes[at : at + _WIDTH]
-            rows.append(bytes(part) + bytes(_WIDTH - len(part)))
-            owners.append(n)
-    return np.frombuffer(b"".join(rows), np.uint8).reshape(-1, _WIDTH), np.array(owners, np.int64)
+        left, least = b"\1", 1
+        for at in range(0, max(1, len(word)), most):
+            codes = left + bytes(filter(None, map(_CODES.__getitem__, word[at : at + most])))
+            # only the end of the word is filled up
+            end = max(least, len(codes) - step) if at + most >= len(word) else max(0, len(codes) - _WIDTH + 1)
+            starts = range(0, end, step)
+            for start in starts:
+                rows.append(codes[start : start + _WIDTH].ljust(_WIDTH, b"\0"))
+                owners.append(n)
+            left = codes[step * len(starts) :]
+            least = 0 if starts else least
+            if len(rows) >= most:
+                yield np.frombuffer(b"".join(rows), np.uint8).reshape(-1, _WIDTH), np.array(owners, np.int64)
+                rows, owners = [], []
+    yield np.frombuffer(b"".join(rows), np.uint8).reshape(-1, _WIDTH), np.array(owners, np.int64)
+
+
+def windows(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """All rows of ``window_blocks`` at once."""
+    rows, owners = zip(*window_blocks(words))
+    return np.concatenate(rows), np.concatenate(owners)
 
 
 def subsequences(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -195,9 +216,9 @@ class Model:
         self.table, self.bias, self.slope, self.shift = table, bias, slope, shift
 
     def units(self, words: list[str]) -> np.ndarray:
-        rows, owners = windows(words)
         out = np.full(len(words), -np.inf)
-        np.maximum.at(out, owners, scores_of(rows, self.table) + self.bias)
+        for rows, owners in window_blocks(words):
+            np.maximum.at(out, owners, scores_of(rows, self.table) + self.bias)
         return out
 
     def probability(self, margin: float) -> float:
@@ -231,7 +252,7 @@ def fit(toxic: list[list[str]], clean: list[list[str]], landmarks: int = 192, le
         altered = [stretched(w, rng) for w in found for _ in range(3)]
         negative = list(rng.choice(clean_words, min(3000, len(clean_words)), replace=False)) + hard
         words = found + altered + negative
-        rows, owners = windows(words)
+        rows, owners = windows([w[:_FIT_CHARS] for w in words])
         y = np.where(owners < len(found) + len(altered), 1.0, -1.0)
         # of a long insult only the first window stands for it
         use = np.concatenate([[True], owners[1:] != owners[:-1]]) | (y < 0)
@@ -355,7 +376,8 @@ def toxicity(
 
     The model is fitted on labels for which the column ``train`` holds: at most
     ``each`` toxic and ``4 * each`` clean documents, ``most_words`` distinct
-    words of each.  Words that account for a toxic label stand against words of
+    words of each, and of a word its first 4,096 characters (64 to find insults
+    in).  Scores read every word to its end.  Words that account for a toxic label stand against words of
     clean documents; hard ones are mined from all words of the sample.  Labels
     that are null are not used; of several labels of one id the largest counts.
     Without usable labels of both kinds every score is 0.  Null and empty texts

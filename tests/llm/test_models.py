@@ -6,7 +6,8 @@ import numpy as np
 from pyspark.sql import functions as F
 from sparkseries.llm.chat import maximal_conversations
 from sparkseries.llm.quality import features, fit, quality
-from sparkseries.llm.toxicity import toxicity, words_of
+from sparkseries.llm.toxicity import fit as toxicity_fit
+from sparkseries.llm.toxicity import score_documents, toxicity, words_of
 
 SYLLABLES = "ba de ko lu mi na po ra se ti vo zu".split()
 
@@ -120,3 +121,24 @@ def test_snapshots_collapse(spark):
 def test_no_python_in_chat_plan(spark):
     plan = maximal_conversations(chats(spark, [(1, 0, "user", "x")]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def labelled_words(seed=1, n=600, toxic_every=4, insults=("wretch", "snivelling", "grubby")):
+    """Distinct words of toxic and of clean documents."""
+    rng = random.Random(seed)
+    toxic, clean = [], []
+    for i in range(n):
+        words = set(prose(rng, 40).split())
+        if i % toxic_every == 0:
+            toxic.append(sorted(words | {insults[i // toxic_every % len(insults)]}))
+        else:
+            clean.append(sorted(words))
+    return toxic, clean
+
+
+def test_toxicity_reads_unspaced_texts_to_the_end(spark, documents):
+    model = toxicity_fit(*labelled_words())
+    texts = [(0, "q" * 120_000)] + [(n, "q" * n + "snivelling" + "q" * 1000) for n in (100, 5_000, 65_530, 100_000)]
+    score = {r.doc_id: r.score for r in score_documents(documents(texts), model).collect()}
+    assert score[0] < 0.7
+    assert min(score[100], score[5_000], score[65_530], score[100_000]) >= 0.7
