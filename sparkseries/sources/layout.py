@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 from time import time_ns as clock_ns
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -157,6 +158,23 @@ def read_points(
     return points
 
 
+def _stored_points(spark: SparkSession, path: str) -> DataFrame | None:
+    """The rows of a store, with or without notes; nothing where there is no folder."""
+    try:
+        return spark.read.schema(STORED_POINTS).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def _require_shard_groups(stored: DataFrame, own: Mapping[tuple[str, str], str], duration: str) -> None:
+    """Refuse a store without notes whose rows lie in shard groups of other durations."""
+    now = stored.withColumn("__was", F.col("shard_group"))
+    if not with_policy_shard_group(now, own, duration).where(~F.col("shard_group").eqNullSafe(F.col("__was"))).isEmpty():
+        raise SeriesError(f"the store has no notes and does not have shard duration {duration}; name its own")
+
+
 def merge_into_store(
     points: DataFrame,
     path: str,
@@ -173,7 +191,9 @@ def merge_into_store(
     The batch is written to the scratch folder first, so every step sees the
     same rows.  ``seq`` orders the rows of a batch; rows without it come first.
     The newest ``seq`` of a point stays.  Running the same batch twice changes
-    nothing, and the first merge makes the store.  One writer per path; readers
+    nothing, and the first merge makes the store.  A store with rows but
+    without notes is merged into like others if its rows lie in the shard groups
+    of the durations named here, and refused if not.  One writer per path; readers
     should wait while the partitions are replaced.
     """
     spark = points.sparkSession
@@ -184,8 +204,11 @@ def merge_into_store(
     placed_points(points, db=db, rp=rp, policies=policies, shard_duration=duration, own_durations=own).write.parquet(folder)
     batch = spark.read.schema(STORED_POINTS).parquet(folder)
     aged = batch.withColumn("__age", F.lit(1))
-    if read_notes(spark, path):
-        stored = spark.read.schema(STORED_POINTS).parquet(path).where(F.col("db") == db)
+    stored = _stored_points(spark, path)
+    if stored is not None:
+        stored = stored.where(F.col("db") == db)
+        if not read_notes(spark, path):
+            _require_shard_groups(stored, own, duration)
         # The batch's range of shard groups prunes partitions before the join looks at any.
         ends = batch.agg(F.min("shard_group").alias("lo"), F.max("shard_group").alias("hi")).first()
         stored = stored.where(F.col("shard_group").between(F.lit(ends["lo"]), F.lit(ends["hi"])))

@@ -31,10 +31,12 @@ from sparkseries.sources.documents import (
     series_documents,
 )
 from sparkseries.sources.layout import (
+    POINT_PARTITIONS,
     SHARD,
     STORED_POINTS,
     drop_measurement_partitions,
     merge_into_store,
+    placed_points,
     read_points,
     read_measurement,
     shard_of,
@@ -195,6 +197,19 @@ def test_merging_into_a_store(spark, sample, lines, tmp_path, first):
     assert untouched and untouched == set(glob.glob(f"{path}/db=db0/rp=autogen/measurement=cpu/shard_group=2/*.parquet"))
 
 
+def test_merging_into_a_store_without_notes(spark, sample, lines, tmp_path):
+    path = str(tmp_path / "points")
+    placed_points(sample, db="db0").write.partitionBy(*POINT_PARTITIONS).parquet(path)
+    before = read_points(spark, path, "db0").count()
+    batch = lines(f"cpu,host=z v=5 {DAY + 1}")
+    with pytest.raises(SeriesError, match="no notes"):
+        merge_into_store(batch, path, db="db0", shard_duration="1d")
+    merge_into_store(batch, path, db="db0")
+    stored = read_points(spark, path, "db0")
+    assert stored.count() == before + 1
+    assert stored.where(f"measurement = 'cpu' AND time_ns = {DAY}").count() == 1
+
+
 def test_dropping_a_measurement(spark, sample, tmp_path):
     path = str(tmp_path / "points")
     write_points(sample, path, db="db0")
