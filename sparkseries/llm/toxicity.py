@@ -158,16 +158,24 @@ def grams(word: str) -> set[str]:
     return {unit[i : i + n] for n in (4, 5, 6) for i in range(len(unit) - n + 1)}
 
 
-def unlike(docs: list[list[str]]) -> list[list[str]]:
-    """The documents without near copies of earlier ones, as two pairs of smallest word hashes tell."""
-    seen: set[tuple] = set()
+def unlike(docs: list[list[str]], similarity: float = 0.8) -> list[list[str]]:
+    """The documents without near copies of kept earlier ones.
+
+    Two pairs of smallest word hashes name candidates; a document is dropped
+    only if its set of words has that Jaccard similarity with one of them.
+    """
+    seen: dict[tuple, list[set[str]]] = {}
     out = []
     for words in docs:
-        least = [min((zlib.crc32(w.encode(), salt) for w in words), default=0) for salt in range(1, 5)]
-        keys = {(0, *least[:2]), (1, *least[2:])}
-        if not keys & seen:
-            out.append(words)
-        seen |= keys
+        own = set(words)
+        least = [min((zlib.crc32(w.encode(), salt) for w in own), default=0) for salt in range(1, 5)]
+        keys = ((0, *least[:2]), (1, *least[2:]))
+        near = (other for key in keys for other in seen.get(key, ()))
+        if any(len(own & other) >= similarity * len(own | other) for other in near):
+            continue
+        out.append(words)
+        for key in keys:
+            seen.setdefault(key, []).append(own)
     return out
 
 
@@ -377,7 +385,8 @@ def toxicity(
     The model is fitted on labels for which the column ``train`` holds: at most
     ``each`` toxic and ``4 * each`` clean documents, ``most_words`` distinct
     words of each, and of a word its first 4,096 characters (64 to find insults
-    in).  Scores read every word to its end.  Words that account for a toxic label stand against words of
+    in).  Near copies among them, of a word-set similarity of 0.8 or more, count
+    once where insults are chosen.  Scores read every word to its end.  Words that account for a toxic label stand against words of
     clean documents; hard ones are mined from all words of the sample.  Labels
     that are null are not used; of several labels of one id the largest counts.
     Without usable labels of both kinds every score is 0.  Null and empty texts

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from sparkseries.llm.chat import maximal_conversations
 from sparkseries.llm.quality import features, fit, quality
 from sparkseries.llm.toxicity import fit as toxicity_fit
-from sparkseries.llm.toxicity import score_documents, toxicity, words_of
+from sparkseries.llm.toxicity import score_documents, toxicity, unlike, words_of
 
 SYLLABLES = "ba de ko lu mi na po ra se ti vo zu".split()
 
@@ -142,3 +142,12 @@ def test_toxicity_reads_unspaced_texts_to_the_end(spark, documents):
     score = {r.doc_id: r.score for r in score_documents(documents(texts), model).collect()}
     assert score[0] < 0.7
     assert min(score[100], score[5_000], score[65_530], score[100_000]) >= 0.7
+
+
+def test_only_near_copies_leave_the_training_sample():
+    common = sorted(f"c{i}" for i in range(20))
+    own = [sorted(common + [f"d{n}x{i}" for i in range(20)]) for n in range(200)]
+    assert unlike(own) == own
+    copies = [words[:-1] for words in own[:50]]
+    kept = unlike(own + copies)
+    assert kept[:200] == own and len(kept) < 225
