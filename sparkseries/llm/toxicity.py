@@ -179,20 +179,38 @@ def unlike(docs: list[list[str]], similarity: float = 0.8) -> list[list[str]]:
     return out
 
 
-def witnesses(toxic: list[list[str]], clean: list[list[str]], least: float) -> set[str]:
+def evidence_needed(evidence: dict[str, float], most: dict[str, float], chance: float) -> float:
+    """The smallest evidence at which no more than ``chance`` of the grams that reach it are expected by chance.
+
+    A gram reaches evidence t by chance with probability ``exp(-t)`` at most;
+    those that could not reach it at all (``most``) are no trials.
+    """
+    found = np.sort(np.array(list(evidence.values())))[::-1]
+    able = np.sort(np.array(list(most.values())))
+    if not len(found):
+        return np.inf
+    trials = len(able) - np.searchsorted(able, found - 1e-9)
+    enough = np.flatnonzero(trials * np.exp(-found) <= chance * np.arange(1, len(found) + 1))
+    return float(found[enough[-1]]) if len(enough) else np.inf
+
+
+def witnesses(toxic: list[list[str]], clean: list[list[str]], chance: float) -> set[str]:
     """Words of toxic documents that account for their label.
 
     A word counts by its gram of 4 to 6 characters with the largest likelihood
     ratio between the documents of both kinds; each toxic document names the
-    words that come near its best one, if that one has at least ``least``.
+    words that come near its best one.  How large a ratio must be follows from
+    the sample (``evidence_needed``).  Documents that named a word are set
+    aside, and the others are compared with the clean ones again, until none
+    names a word: so insults that few toxic documents hold are not measured
+    against the frequent ones.
     """
     toxic, clean = unlike(toxic), unlike(clean)
-    share = len(toxic) / (len(toxic) + len(clean))
     bad: Counter = Counter()
     for words in toxic:
         bad.update({g for w in words for g in grams(w[:64])})
-    # a gram of fewer documents cannot reach the ratio, however pure it is
-    bad = {g: n for g, n in bad.items() if n * np.log(1 / share) >= least}
+    # one document is no evidence
+    bad = Counter({g: n for g, n in bad.items() if n > 1})
     own: dict[str, tuple[str, ...]] = {}
 
     def known(word: str) -> tuple[str, ...]:
@@ -203,17 +221,30 @@ def witnesses(toxic: list[list[str]], clean: list[list[str]], least: float) -> s
     good: Counter = Counter()
     for words in clean:
         good.update({g for w in words for g in known(w)})
-    ratio: dict[str, float] = {}
-    for g, n in bad.items():
-        m = good[g]
-        if n >= 3 * (m + 1):
-            ratio[g] = n * np.log(n / (share * (n + m))) + (m * np.log(m / ((1 - share) * (n + m))) if m else 0.0)
     out: set[str] = set()
-    for words in toxic:
-        best = {w: max((ratio.get(g, 0.0) for g in known(w)), default=0.0) for w in words}
-        top = max(best.values(), default=0.0)
-        if top >= least:
-            out |= {w for w, v in best.items() if v >= max(least, 0.5 * top)}
+    while toxic:
+        share = len(toxic) / (len(toxic) + len(clean))
+        ratio: dict[str, float] = {}
+        most: dict[str, float] = {}
+        for g, n in bad.items():
+            m = good[g]
+            most[g] = (n + m) * np.log(1 / share)
+            if n >= 3 * (m + 1) or (n > 1 and not m):
+                ratio[g] = n * np.log(n / (share * (n + m))) + (m * np.log(m / ((1 - share) * (n + m))) if m else 0.0)
+        least = evidence_needed(ratio, most, chance)
+        rest = []
+        for words in toxic:
+            best = {w: max((ratio.get(g, 0.0) for g in known(w)), default=0.0) for w in words}
+            top = max(best.values(), default=0.0)
+            if top >= least:
+                out |= {w for w, v in best.items() if v >= max(least, 0.5 * top)}
+                bad.subtract({g for w in words for g in known(w)})
+            else:
+                rest.append(words)
+        if len(rest) == len(toxic):
+            break
+        toxic = rest
+        bad = Counter({g: n for g, n in bad.items() if n > 0})
     return out
 
 
@@ -239,7 +270,7 @@ def stretched(word: str, rng: np.random.Generator) -> str:
     return word[:at] + chr(97 + int(rng.integers(26))) + word[at:]
 
 
-def fit(toxic: list[list[str]], clean: list[list[str]], landmarks: int = 192, least: float = 12.0, seed: int = 5) -> Model:
+def fit(toxic: list[list[str]], clean: list[list[str]], landmarks: int = 192, chance: float = 0.01, seed: int = 5) -> Model:
     """A model from the words of labelled documents.
 
     Without a document of either kind, or without a word that tells them apart,
@@ -249,7 +280,7 @@ def fit(toxic: list[list[str]], clean: list[list[str]], landmarks: int = 192, le
         return Model(None)
     often = Counter(w for words in clean for w in words)
     seen = Counter(w for words in toxic for w in words)
-    found = sorted((w for w in witnesses(toxic, clean, least) if seen[w] >= 3 * often[w]), key=lambda w: (-seen[w], w))
+    found = sorted((w for w in witnesses(toxic, clean, chance) if seen[w] >= 3 * often[w]), key=lambda w: (-seen[w], w))
     if not found:
         return Model(None)
     rng = np.random.default_rng(seed)
@@ -319,7 +350,7 @@ def labelled_words(
     return texts.join(F.broadcast(chosen), "id").select("id", "label", "text").mapInArrow(run, "id long, label int, words array<string>")
 
 
-def fitted(sample: DataFrame, landmarks: int) -> Model:
+def fitted(sample: DataFrame, landmarks: int, chance: float) -> Model:
     """The model of a sample of fixed size, fitted in one task."""
 
     def run(batches):
@@ -328,7 +359,7 @@ def fitted(sample: DataFrame, landmarks: int) -> Model:
             rows += zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist())
         rows.sort()
         toxic, clean = ([[sys.intern(w) for w in words] for _, label, words in rows if label == kind] for kind in (1, 0))
-        model = fit(toxic, clean, landmarks=landmarks)
+        model = fit(toxic, clean, landmarks=landmarks, chance=chance)
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model, protocol=5)], pa.binary())], names=["model"])
 
     return pickle.loads(sample.repartition(1).mapInArrow(run, "model binary").first().model)
@@ -379,6 +410,7 @@ def toxicity(
     most_words: int = 4000,
     landmarks: int = 192,
     carry: tuple[str, ...] = (),
+    chance: float = 0.01,
 ) -> DataFrame:
     """``(id_col, score)``: how likely ``label_col`` is 1, for every row of ``docs`` by its whole text.
 
@@ -386,7 +418,10 @@ def toxicity(
     ``each`` toxic and ``4 * each`` clean documents, ``most_words`` distinct
     words of each, and of a word its first 4,096 characters (64 to find insults
     in).  Near copies among them, of a word-set similarity of 0.8 or more, count
-    once where insults are chosen.  Scores read every word to its end.  Words that account for a toxic label stand against words of
+    once where insults are chosen.  Of the grams whose evidence names
+    insults, a share of ``chance`` may be expected by accident, so the evidence
+    needed follows from the sample; too few labels for any find nothing toxic.
+    Scores read every word to its end.  Words that account for a toxic label stand against words of
     clean documents; hard ones are mined from all words of the sample.  Labels
     that are null are not used; of several labels of one id the largest counts.
     Without usable labels of both kinds every score is 0.  Null and empty texts
@@ -398,5 +433,5 @@ def toxicity(
     Scale: one pass over the texts without a shuffle; the model is a table of
     fixed size.
     """
-    model = fitted(labelled_words(docs, labels, train, id_col, text_col, label_col, each, most_words), landmarks)
+    model = fitted(labelled_words(docs, labels, train, id_col, text_col, label_col, each, most_words), landmarks, chance)
     return score_documents(docs, model, id_col, text_col, carry)

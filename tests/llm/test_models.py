@@ -151,3 +151,20 @@ def test_only_near_copies_leave_the_training_sample():
     copies = [words[:-1] for words in own[:50]]
     kept = unlike(own + copies)
     assert kept[:200] == own and len(kept) < 225
+
+
+def test_a_rare_insult_is_learned_beside_frequent_ones():
+    toxic, clean = labelled_words(n=800)
+    for i in range(4):  # in 4 of 200 toxic documents, with no other insult
+        toxic[i] = sorted(set(toxic[i]) - {"wretch", "snivelling", "grubby"} | {"dunderhead"})
+    model = toxicity_fit(toxic, clean)
+    odds = [model.probability(v) for v in model.units(["dunderhead", "dunder.head", "grubby", "bakolumi"])]
+    assert min(odds[0], odds[2]) >= 0.7 > odds[3]
+
+
+def test_few_labels_teach_an_insult():
+    toxic, clean = labelled_words(seed=2, n=54, toxic_every=9, insults=("moron",))
+    assert len(toxic) == 6
+    toxic = [[w for w in words if w != "moron" or i < 4] for i, words in enumerate(toxic)]
+    model = toxicity_fit(toxic, clean)
+    assert model.table is not None and model.units(["moron"])[0] > max(model.units(sorted({w for x in clean for w in x})))
