@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkseries.llm.alignment import align_tokenizers
 from sparkseries.llm.ann import nearest
 from sparkseries.llm.bpe import transcode
 from sparkseries.llm.chat import maximal_conversations
@@ -81,6 +82,10 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return align_tokenizers(table(spark, folder, "documents"), vocabulary_path(), vocabulary_path("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_ann": op2_ann,
@@ -92,6 +97,7 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_topk": op9_topk,
     "op10_bpe": op10_bpe,
+    "op11_alignment": op11_alignment,
 }
 _OP3 = r"""
 WITH lines AS (
