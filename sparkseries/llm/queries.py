@@ -9,10 +9,12 @@ from sparkseries.llm.alignment import align_tokenizers
 from sparkseries.llm.ann import nearest
 from sparkseries.llm.bpe import transcode
 from sparkseries.llm.chat import maximal_conversations
+from sparkseries.llm.collocation import collocations
 from sparkseries.llm.common import table
 from sparkseries.llm.linededup import deduplicate_lines, digest
 from sparkseries.llm.packing import pack
 from sparkseries.llm.quality import quality
+from sparkseries.llm.sharding import shard
 from sparkseries.llm.simhash import near_duplicates
 from sparkseries.llm.suffix import remove_repeats
 from sparkseries.llm.topk import top_k
@@ -86,6 +88,14 @@ def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return align_tokenizers(table(spark, folder, "documents"), vocabulary_path(), vocabulary_path("piece_bpe_32k.model"))
 
 
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations(table(spark, folder, "documents"))
+
+
+def op13_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return shard(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_ann": op2_ann,
@@ -98,6 +108,8 @@ QUERIES = {
     "op9_topk": op9_topk,
     "op10_bpe": op10_bpe,
     "op11_alignment": op11_alignment,
+    "op12_collocations": op12_collocations,
+    "op13_sharding": op13_sharding,
 }
 _OP3 = r"""
 WITH lines AS (
@@ -158,4 +170,30 @@ SELECT d.doc_id, CAST(length(d.h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_re
        coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, d.h))) AS kept_sha256
 FROM d LEFT JOIN cut USING (doc_id)
 """
-SQL: dict[str, str] = {"op3_line_dedup": _OP3, "op6_chat_format": _OP6, "op8_suffix_dedup": _OP8, "op9_topk": _OP9}
+_OP12 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
+-]')) AS piece
+  FROM documents),
+split AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[ 	]+'), lambda w: w <> '') AS ws FROM pieces),
+counted AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM split GROUP BY lang),
+grams AS (
+  SELECT lang, k, array_to_string(ws[i : i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM split, range(1, 6) AS t(k))),
+f AS (SELECT lang, phrase, k, count(*) AS f FROM grams GROUP BY lang, phrase, k HAVING count(*) >= 100),
+candidates AS (SELECT *, string_split(phrase, ' ') AS ws FROM f WHERE k > 1),
+cuts AS (
+  SELECT lang, phrase, f AS a, cut, array_to_string(ws[1 : cut], ' ') AS lp, array_to_string(ws[cut + 1 : k], ' ') AS rp
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM candidates)),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, c.cut, l.f AS l, r.f AS r, n, (1000::HUGEINT * a * n // (l.f::HUGEINT * r.f))::BIGINT AS score
+  FROM cuts c JOIN f l ON l.lang = c.lang AND l.phrase = c.lp JOIN f r ON r.lang = c.lang AND r.phrase = c.rp JOIN counted ON counted.lang = c.lang),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+longer AS (
+  SELECT lang, array_to_string(ws[i : i + s - 1], ' ') AS phrase, max(f) AS most
+  FROM (SELECT *, unnest(range(1, k - s + 2)) AS i FROM candidates, range(2, 5) AS t(s) WHERE s < k) GROUP BY ALL)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM lowest LEFT JOIN longer USING (lang, phrase) WHERE most IS NULL OR 100 * most < 100 * a QUALIFY rank <= 2000
+"""
+SQL: dict[str, str] = {"op3_line_dedup": _OP3, "op6_chat_format": _OP6, "op8_suffix_dedup": _OP8, "op9_topk": _OP9, "op12_collocations": _OP12}
