@@ -64,9 +64,19 @@ from sparkseries.operators.textindex import read_text_index, search, search_text
 from sparkseries.plans.paging import page
 from sparkseries.session import scratch_folder
 from sparkseries.sources.documents import document_rows, result_documents, series_documents
-from sparkseries.sources.layout import SHARD, STORED_POINTS, read_points, without_measurement, write_measurement, write_points
-from sparkseries.sources.lineproto import encode_points, encode_table, good_points, parse_lines
-from sparkseries.streaming.ingest import ingested_points, line_stream, start_ingest
+from sparkseries.sources.layout import (
+    SHARD,
+    STORED_POINTS,
+    drop_expired,
+    drop_measurement,
+    expired_groups,
+    read_points,
+    without_measurement,
+    write_measurement,
+    write_points,
+)
+from sparkseries.sources.lineproto import encode_line, encode_points, encode_table, good_points, parse_lines
+from sparkseries.streaming.ingest import BATCH, PART, ingested_points, line_stream, outcomes, routed_stream, start_ingest, write_batch
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -795,6 +805,72 @@ def _(spark, d):
     return resolve_policy(events, policy).groupBy("rp").agg(F.count(F.lit(1)).alias("n"))
 
 
+# A store of orders by status: F in the store's groups of 30 days, O in groups of its own, P without a duration.
+_STORE_POLICIES = [
+    {"db": "tpch", "name": "F", "duration": "365d", "shard_group_duration": None, "is_default": True},
+    {"db": "tpch", "name": "O", "duration": "730d", "shard_group_duration": "90d"},
+    {"db": "tpch", "name": "P"},
+]
+_AS_OF = "2001-06-01T00:00:00Z"
+_STORED_GROUPS = (
+    "SELECT o_orderkey, o_orderstatus AS rp, epoch_us(o_orderdate) // (d * 86400000000) AS shard_group, "
+    "(epoch_us(o_orderdate) // (d * 86400000000) + 1) * d * 86400000000 "
+    "<= epoch_us(TIMESTAMP '2001-06-01') - kept * 86400000000 AS expired "
+    "FROM orders JOIN (VALUES ('F', 30, 365), ('O', 90, 730), ('P', 30, 100000)) p(st, d, kept) ON o_orderstatus = st"
+)
+
+
+def _order_store(spark: SparkSession, d: str) -> tuple[str, DataFrame]:
+    path, rules = scratch_folder(spark, "orders"), policies(spark, _STORE_POLICIES)
+    write_points(_order_points(spark, d), path, policies=rules, shard_duration="30d")
+    return path, rules
+
+
+@_register("expired_groups_30d", f"SELECT DISTINCT rp, shard_group FROM ({_STORED_GROUPS}) WHERE expired")
+def _(spark, d):
+    path, rules = _order_store(spark, d)
+    return expired_groups(spark, path, rules, _AS_OF).select("rp", "shard_group")
+
+
+@_register("retention_store", f"SELECT rp, shard_group, count(*) AS n FROM ({_STORED_GROUPS}) WHERE NOT expired GROUP BY 1, 2")
+def _(spark, d):
+    path, rules = _order_store(spark, d)
+    drop_expired(spark, path, rules, _AS_OF)
+    stored = spark.read.schema(STORED_POINTS).parquet(path)
+    return stored.groupBy("rp", "shard_group").agg(F.count(F.lit(1)).alias("n"))
+
+
+@_register(
+    "retention_read",
+    "SELECT o_orderkey FROM orders WHERE o_orderstatus = 'O' AND o_orderdate >= TIMESTAMP '2001-06-01' - INTERVAL 730 DAY",
+)
+def _(spark, d):
+    path, rules = _order_store(spark, d)
+    kept = read_points(spark, path, "tpch", "O", policies=rules, as_of=_AS_OF)
+    return kept.select(F.col("fields")["o_orderkey"]["i"].alias("o_orderkey"))
+
+
+@_register("read_default_rp", "SELECT o_orderstatus AS status, count(*) AS n FROM orders WHERE o_orderstatus IN ('F', 'P') GROUP BY 1")
+def _(spark, d):
+    path, rules = scratch_folder(spark, "orders"), policies(spark, _STORE_POLICIES)
+    points = _order_points(spark, d).withColumn("tags", F.map_concat("tags", F.create_map(F.lit("status"), F.col("rp"))))
+    points = points.withColumn("rp", F.when(F.col("rp") == "P", "").otherwise(F.col("rp")))
+    write_points(points, path, policies=rules, shard_duration="90d")
+    return read_points(spark, path, "tpch").groupBy(F.col("tags")["status"].alias("status")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@_register(
+    "drop_measurement_store",
+    "SELECT event_type AS measurement, count(*) AS n FROM events WHERE event_type <> 'click' GROUP BY 1",
+)
+def _(spark, d):
+    path = scratch_folder(spark, "measurements")
+    points = _event_points(spark, d).withColumn("measurement", F.col("tags")["event_type"])
+    write_points(points, path, db="metrics")
+    drop_measurement(spark, path, "metrics", "", "click")
+    return read_points(spark, path, "metrics").groupBy("measurement").agg(F.count(F.lit(1)).alias("n"))
+
+
 # --------------------------------------------------------------------------
 # text in and out
 
@@ -1020,6 +1096,74 @@ def _(spark, d):
     )
 
 
+def _event_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Lines of the events, and the type and the number of each."""
+    points = wide_to_points(_events(spark, d), "events", tags=["event_type"], fields=["value", "event_id"])
+    line = encode_line(F.col("measurement"), F.col("tags"), F.col("fields"), F.col("time_ns"))
+    return points.select(line.alias("value"), F.col("tags")["event_type"].alias("event_type"), F.col("fields")["value"]["f"].alias("number"))
+
+
+@_register(
+    "ingest_by_points",
+    "SELECT 'metrics' AS db, 'autogen' AS rp, p AS part, least(700, n - 700 * p) AS n "
+    "FROM (SELECT n, unnest(range(0, (n + 699) // 700)) AS p FROM (SELECT count(*) AS n FROM events))",
+)
+def _(spark, d):
+    path = scratch_folder(spark, "ingest")
+    _event_lines(spark, d).select("value").write.text(f"{path}/lines")
+    stream = line_stream(spark, f"{path}/lines", db="metrics")
+    start_ingest(stream, f"{path}/store", f"{path}/state", interval=None, batch_points=700).awaitTermination()
+    points = ingested_points(spark, f"{path}/store")
+    return points.groupBy("db", "rp", BATCH, PART).agg(F.count(F.lit(1)).alias("n")).drop(BATCH)
+
+
+_ROUTES = {"click": ("web", "raw"), "view": ("web", "week"), "purchase": ("shop", ""), "signup": ("shop", "month"), "error": ("ops", "")}
+
+
+@_register(
+    "ingest_routes",
+    "SELECT db, CASE rp WHEN '' THEN 'autogen' ELSE rp END AS rp, event_type, count(*) AS n, min(event_id) AS first_id, max(event_id) AS last_id "
+    "FROM events JOIN (VALUES ('click', 'web', 'raw'), ('view', 'web', 'week'), ('purchase', 'shop', ''), ('signup', 'shop', 'month'), "
+    "('error', 'ops', '')) r(kind, db, rp) ON event_type = kind GROUP BY 1, 2, 3",
+)
+def _(spark, d):
+    path = scratch_folder(spark, "routes")
+    _event_lines(spark, d).drop("number").write.partitionBy("event_type").text(f"{path}/lines")
+    stream = routed_stream(spark, {scope: f"{path}/lines/event_type={kind}" for kind, scope in _ROUTES.items()})
+    start_ingest(stream, f"{path}/store", f"{path}/state", interval=None, batch_points=5_000).awaitTermination()
+    number = F.col("fields")["event_id"]["i"]
+    return (
+        ingested_points(spark, f"{path}/store")
+        .groupBy("db", "rp", F.col("tags")["event_type"].alias("event_type"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min(number).alias("first_id"), F.max(number).alias("last_id"))
+    )
+
+
+@_register(
+    "ingest_outcomes",
+    "WITH c AS (SELECT event_type, count(*) AS n, count(*) FILTER (value < 10) AS bad FROM events GROUP BY 1), "
+    "g AS (SELECT event_type, n - bad AS good, bad FROM c) "
+    "SELECT 'metrics' AS db, event_type AS rp, p AS part, b AS batch, least(900, good - 900 * p) AS rows, "
+    "CASE p WHEN 0 THEN bad ELSE 0 END AS rejected, p = 0 AND bad > 0 AS faulty "
+    "FROM (SELECT *, 0 AS b, unnest(range(0, greatest(1, (good + 899) // 900))) AS p FROM g WHERE event_type <> 'error') "
+    "UNION ALL SELECT 'metrics', 'error', 0, 1, 0, 0, true FROM c WHERE event_type = 'error'",
+)
+def _(spark, d):
+    path = scratch_folder(spark, "outcomes")
+    # lines of small numbers lose their fields
+    line = F.when(F.col("number") < 10, F.substring_index("value", " ", 1)).otherwise(F.col("value"))
+    lines = _event_lines(spark, d).select(line.alias("value"), F.lit("metrics").alias("db"), F.col("event_type").alias("rp"))
+    batches = {0: lines.where("rp <> 'error'"), 1: lines.where("rp = 'error'")}
+    write_batch(batches[0], 0, path, batch_points=900)
+    try:
+        write_batch(batches[1], 1, path, compression="nonesuch")
+    except Exception:  # the failure is in the outcomes
+        pass
+    write_batch(batches[0], 0, path, batch_points=900)  # a batch that runs again
+    found = outcomes(spark, path)
+    return found.select("db", "rp", PART, BATCH, "rows", "rejected", (F.col("error") != "").alias("faulty"))
+
+
 # --------------------------------------------------------------------------
 # logs
 

@@ -4,9 +4,9 @@ A policy row has ``db, name, duration, shard_group_duration, hot_duration,
 warm_duration, index_duration, replica_num, is_default``.  Durations are text
 such as ``3d`` or ``7200h0m0s``; a null duration keeps data for ever.
 
-A policy table is reduced to one row per key first.  Its keys and values are
-then counted: up to ``MAP_ROWS`` of them become a constant map, so the points
-are neither joined nor shuffled; a larger policy table is joined.
+A policy table is reduced to one row per key first and then joined.  Its rows
+are counted: up to ``BROADCAST_ROWS`` of them are sent to every executor and
+looked up by hash, so the points are not shuffled; beyond that Spark chooses.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkseries.functions.timefns import epoch_ns, floor_div, parse_instant
-from sparkseries.model import DEFAULT_POLICY, NS_PER, TIME_NS, SeriesError, col, duration_ns
+from sparkseries.model import DEFAULT_POLICY, NS_PER, TIME_NS, col, duration_ns
 
 POLICY_SCHEMA = T.StructType(
     [
@@ -77,23 +77,16 @@ def duration_column_text(ns: Column) -> Column:
     )
 
 
-#: policies that fit into a constant of the plan
-MAP_ROWS = 10_000
+#: policies that every executor may hold: a key and a value each
+BROADCAST_ROWS = 500_000
 
 
 def _looked_up(df: DataFrame, keys: list[Column], table: DataFrame, name: str) -> DataFrame:
     """``df`` with the value of its key as column ``name``; ``table`` has ``keys`` (an array of texts) and ``value``, once per key."""
-    few = table.limit(MAP_ROWS + 1).collect()
+    few = table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    known = table.select(F.col("keys").alias("__keys"), F.col("value").alias(name))
     wanted = F.array(*(k.cast("string") for k in keys))
-    kind = table.schema["value"].dataType
-    if len(few) > MAP_ROWS:
-        joined = df.join(table.select(F.col("keys").alias("__keys"), F.col("value").alias(name)), wanted == F.col("__keys"), "left")
-        return joined.drop("__keys")
-    if not few:
-        return df.withColumn(name, F.lit(None).cast(kind))
-    pairs = [x for r in few for x in (F.array(*(F.lit(k) for k in r["keys"])), F.lit(r["value"]).cast(kind))]
-    known = F.forall(wanted, lambda k: k.isNotNull())
-    return df.withColumn(name, F.when(known, F.try_element_at(F.create_map(*pairs), wanted)))
+    return df.join(F.broadcast(known) if few else known, wanted == F.col("__keys"), "left").drop("__keys")
 
 
 def keep_retained(
@@ -109,13 +102,7 @@ def keep_retained(
 
     Of several rows of one policy the longest duration counts.
     """
-    oldest = F.lit(parse_instant(as_of)).cast("bigint") - F.max(duration_column_ns(F.col("duration")))
-    cutoffs = (
-        policy_table.where(F.col("duration").isNotNull() & F.col("db").isNotNull() & F.col("name").isNotNull())
-        .groupBy(F.array("db", "name").alias("keys"))
-        .agg(oldest.alias("value"))
-    )
-    found = _looked_up(df, [col(db), col(rp)], cutoffs, "__oldest")
+    found = _looked_up(df, [col(db), col(rp)], policy_cutoffs(policy_table, as_of), "__oldest")
     young = F.col("__oldest").isNull() | (epoch_ns(found, time) >= F.col("__oldest"))
     return found.where(young).drop("__oldest")
 
@@ -130,36 +117,62 @@ def with_shard_group(points: DataFrame, duration: str = DEFAULT_SHARD_GROUP) ->
 
 
 def shard_durations(policy_table: DataFrame | None) -> dict[tuple[str, str], str]:
-    """The policies' own shard group durations by (db, policy): settings, at most ``MAP_ROWS`` of them."""
+    """The policies' own shard group durations by (db, policy), of several the shortest: settings, as many as the policies."""
     if policy_table is None:
         return {}
     own = policy_table.where("db IS NOT NULL AND name IS NOT NULL AND shard_group_duration IS NOT NULL")
-    rows = own.groupBy("db", "name").agg(F.min("shard_group_duration").alias("own")).limit(MAP_ROWS + 1).collect()
-    if len(rows) > MAP_ROWS:
-        raise SeriesError(f"more than {MAP_ROWS} policies with shard durations of their own")
-    return {(r["db"], r["name"]): r["own"] for r in rows}
+    shortest = F.min_by("shard_group_duration", F.struct(duration_column_ns(F.col("shard_group_duration")), "shard_group_duration"))
+    return {(r["db"], r["name"]): r["own"] for r in own.groupBy("db", "name").agg(shortest.alias("own")).collect()}
+
+
+def default_policies(policy_table: DataFrame | None) -> dict[str, str]:
+    """The default policy of each database that has one, of several the first by name."""
+    if policy_table is None:
+        return {}
+    rows = policy_table.where("is_default AND db IS NOT NULL AND name IS NOT NULL").groupBy("db").agg(F.min("name").alias("name"))
+    return {r["db"]: r["name"] for r in rows.collect()}
+
+
+def _with_shard_size(df: DataFrame, durations: Mapping[tuple[str, str], str], default: str, name: str) -> DataFrame:
+    """``df`` with the shard group duration of each row's (db, rp) in nanoseconds."""
+    size = F.lit(duration_ns(default)).cast("bigint")
+    if not durations:
+        return df.withColumn(name, size)
+    rows = [([db, rp], duration_ns(d)) for (db, rp), d in durations.items()]
+    table = df.sparkSession.createDataFrame(rows, "keys array<string>, value bigint")
+    found = _looked_up(df, [F.col("db"), F.col("rp")], table, name)
+    return found.withColumn(name, F.coalesce(name, size))
 
 
 def with_policy_shard_group(points: DataFrame, durations: Mapping[tuple[str, str], str], default: str) -> DataFrame:
     """``shard_group`` by the duration of each row's (db, rp), else by ``default``."""
     if not durations:
         return with_shard_group(points, default)
-    pairs = [x for k, d in durations.items() for x in (F.array(F.lit(k[0]), F.lit(k[1])), F.lit(duration_ns(d)).cast("bigint"))]
-    size = F.coalesce(F.try_element_at(F.create_map(*pairs), F.array("db", "rp")), F.lit(duration_ns(default)).cast("bigint"))
-    time = F.col(TIME_NS)
+    time, size = F.col(TIME_NS), F.col("__size")
     # Floor division whose divisor is a column; integer division cuts towards zero.
-    return points.withColumn("shard_group", F.floor((time - F.pmod(time, size)).cast("decimal(20,0)") / size).cast("bigint"))
-
-
-def expired_shard_groups(points: DataFrame, policy_table: DataFrame, as_of: Any, default: str = DEFAULT_SHARD_GROUP) -> DataFrame:
-    """``(db, rp, shard_group)`` of stored points whose whole group is older than its policy's duration at ``as_of``."""
-    groups = points.select("db", "rp", "shard_group").distinct()
-    own = policy_table.where("db IS NOT NULL AND name IS NOT NULL AND duration IS NOT NULL").groupBy(F.array("db", "name").alias("keys"))
-    kept = _looked_up(groups, [F.col("db"), F.col("rp")], own.agg(F.max(duration_column_ns(F.col("duration"))).alias("value")), "__kept")
-    sizes = policy_table.where("shard_group_duration IS NOT NULL").groupBy(F.array("db", "name").alias("keys"))
-    sized = _looked_up(kept, [F.col("db"), F.col("rp")], sizes.agg(F.min(duration_column_ns(F.col("shard_group_duration"))).alias("value")), "__size")
-    ends = (F.col("shard_group") + 1) * F.coalesce("__size", F.lit(duration_ns(default)).cast("bigint"))
-    return sized.where(ends <= F.lit(parse_instant(as_of)) - F.col("__kept")).select("db", "rp", "shard_group")
+    group = F.floor((time - F.pmod(time, size)).cast("decimal(20,0)") / size).cast("bigint")
+    return _with_shard_size(points, durations, default, "__size").withColumn("shard_group", group).drop("__size")
+
+
+def policy_cutoffs(policy_table: DataFrame, as_of: Any) -> DataFrame:
+    """``(keys, value)``: for each policy with a duration the oldest time that it keeps at ``as_of``; of several the longest counts."""
+    oldest = F.lit(parse_instant(as_of)).cast("bigint") - F.max(duration_column_ns(F.col("duration")))
+    own = policy_table.where("duration IS NOT NULL AND db IS NOT NULL AND name IS NOT NULL")
+    return own.groupBy(F.array("db", "name").alias("keys")).agg(oldest.alias("value"))
+
+
+def expired_shard_groups(
+    groups: DataFrame, policy_table: DataFrame, as_of: Any, *, shard_duration: str, own_durations: Mapping[tuple[str, str], str] | None = None
+) -> DataFrame:
+    """Rows of ``groups`` (db, rp, shard_group, ..) whose whole group is older than its policy's duration at ``as_of``.
+
+    The durations are those by which the groups were laid out, not those of the
+    policy table: ``layout.expired_groups`` takes them from a store's notes.
+    """
+    sized = _with_shard_size(groups, own_durations or {}, shard_duration, "__size")
+    cut = _looked_up(sized, [F.col("db"), F.col("rp")], policy_cutoffs(policy_table, as_of), "__oldest")
+    ends = (F.col("shard_group").cast("decimal(20,0)") + 1) * F.col("__size")
+    return cut.where(ends <= F.col("__oldest")).drop("__size", "__oldest")
 
 
 def resolve_policy(df: DataFrame, policy_table: DataFrame | None = None, *, db: str = "db", rp: str = "rp") -> DataFrame:

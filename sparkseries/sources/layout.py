@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from itertools import islice
 from time import time_ns as clock_ns
 from typing import Any
 
@@ -25,7 +27,15 @@ from sparkseries.model import (
 )
 from sparkseries.operators.points import with_default_time
 from sparkseries.operators.quality import merge_points, split_rejects
-from sparkseries.operators.retention import DEFAULT_SHARD_GROUP, resolve_policy, shard_durations, with_policy_shard_group
+from sparkseries.operators.retention import (
+    DEFAULT_SHARD_GROUP,
+    default_policies,
+    expired_shard_groups,
+    policy_cutoffs,
+    resolve_policy,
+    shard_durations,
+    with_policy_shard_group,
+)
 from sparkseries.plans.query import in_scope
 from sparkseries.session import scratch_folder
 from sparkseries.sources.notes import read_notes, write_notes
@@ -64,6 +74,8 @@ def write_points(
     A policy's own shard group duration counts for its points, ``shard_duration``
     for all others.  Durations are fixed by the first write that uses them and
     stored beside the data; a later write that names another one is refused.
+    Rows without such notes are appended to only if they lie in shard groups of
+    the durations named here.  Default policies are noted too, the last write's.
 
     Points without measurement or fields are skipped, and a missing time
     becomes the time of the write.  ``db`` and ``rp`` fill
@@ -74,16 +86,44 @@ def write_points(
     if compression not in COMPRESSIONS:
         raise SeriesError(f"unknown compression {compression!r}")
     spark = points.sparkSession
-    duration, own = _durations_of_store(spark, path, shard_duration, policies, renew=mode == "overwrite")
-    placed = placed_points(points, db=db, rp=rp, policies=policies, shard_duration=duration, own_durations=own)
+    facts = _facts_of_store(spark, path, shard_duration, policies, renew=mode == "overwrite")
+    placed = placed_points(
+        points, db=db, rp=rp, policies=policies, shard_duration=facts.duration, own_durations=facts.own, default_policies=facts.defaults
+    )
+    if mode == "append":
+        if not facts.noted and (stored := _stored_points(spark, path)) is not None:
+            _require_shard_groups(stored, facts.own, facts.duration)
+        facts.note(spark, path)  # before the data, so that a store with rows has notes
     placed.write.mode(mode).option("compression", compression).partitionBy(*POINT_PARTITIONS).parquet(path)
-    _note_durations(spark, path, duration, own)
+    if mode != "append":
+        facts.note(spark, path)
+
+
+@dataclass
+class StoreFacts:
+    """What a store's notes say: shard durations for all and by (db, rp), and default policies by database."""
+
+    duration: str
+    own: dict[tuple[str, str], str]
+    defaults: dict[str, str]
+    noted: bool
 
+    def note(self, spark: SparkSession, path: str) -> None:
+        own = [[*k, d] for k, d in sorted(self.own.items())]
+        write_notes(spark, path, {"shard_duration": self.duration, "own_durations": own, "default_policies": self.defaults})
 
-def _durations_of_store(
-    spark: SparkSession, path: str, wanted: str | None, policies: DataFrame | None = None, renew: bool = False
-) -> tuple[str, dict[tuple[str, str], str]]:
-    """The store's shard duration and those of policies, together with what a write names."""
+    def policy(self, db: str, rp: str) -> str:
+        """The policy that a name means; an empty one is the database's default."""
+        return rp or self.defaults.get(db) or DEFAULT_POLICY
+
+    def shard_ns(self, db: str, rp: str) -> int:
+        return duration_ns(self.own.get((db, rp), self.duration))
+
+
+def _facts_of_store(
+    spark: SparkSession, path: str, wanted: str | None = None, policies: DataFrame | None = None, renew: bool = False
+) -> StoreFacts:
+    """The notes of a store together with what a write names; another duration than the noted one is refused."""
     notes = {} if renew else read_notes(spark, path)
     stored = notes.get("shard_duration")
     own = {(db, rp): d for db, rp, d in notes.get("own_durations", [])}
@@ -93,11 +133,8 @@ def _durations_of_store(
             raise SeriesError(f"the store has shard duration {before}, not {named}")
         if key is not None:
             own[key] = named
-    return stored or wanted or DEFAULT_SHARD_GROUP, own
-
-
-def _note_durations(spark: SparkSession, path: str, duration: str, own: Mapping[tuple[str, str], str]) -> None:
-    write_notes(spark, path, {"shard_duration": duration, "own_durations": [[*k, d] for k, d in sorted(own.items())]})
+    defaults = {**notes.get("default_policies", {}), **default_policies(policies)}
+    return StoreFacts(stored or wanted or DEFAULT_SHARD_GROUP, own, defaults, bool(notes))
 
 
 def placed_points(
@@ -108,8 +145,14 @@ def placed_points(
     policies: DataFrame | None = None,
     shard_duration: str = DEFAULT_SHARD_GROUP,
     own_durations: Mapping[tuple[str, str], str] | None = None,
+    default_policies: Mapping[str, str] | None = None,
+    within: Sequence[str] = (),
 ) -> DataFrame:
-    """Good points with all partition columns, laid out for writing."""
+    """Good points with all partition columns, laid out for writing below those in ``within``.
+
+    An empty policy becomes the database's default one in ``policies``, else in
+    ``default_policies``, else ``autogen``.
+    """
     if db is not None:
         points = points.withColumn("db", F.lit(require_name(db, "database name")))
     elif "db" not in points.columns:
@@ -122,9 +165,12 @@ def placed_points(
     if "seq" not in good.columns:
         good = good.withColumn("seq", F.lit(None).cast("bigint"))
     timed = good.withColumn(TIME_NS, with_default_time(F.col(TIME_NS)))
+    if default_policies and policies is None:
+        rows = [(db_, name, True) for db_, name in default_policies.items()]
+        policies = points.sparkSession.createDataFrame(rows, "db string, name string, is_default boolean")
     grouped = with_policy_shard_group(resolve_policy(timed, policies), own_durations or {}, shard_duration)
-    placed = grouped.select(*STORED_POINTS.names)
-    return placed.hint("rebalance", *POINT_PARTITIONS).sortWithinPartitions(*POINT_PARTITIONS, TIME_NS)
+    placed = grouped.select(*within, *STORED_POINTS.names)
+    return placed.hint("rebalance", *within, *POINT_PARTITIONS).sortWithinPartitions(*within, *POINT_PARTITIONS, TIME_NS)
 
 
 def read_points(
@@ -135,29 +181,90 @@ def read_points(
     measurement: str | None = None,
     start: Any = None,
     end: Any = None,
+    *,
+    policies: DataFrame | None = None,
+    as_of: Any = None,
 ) -> DataFrame:
     """Points of one database and policy in ``[start, end)``.
 
+    An empty policy is the database's default one, by ``policies`` or else by the
+    store's notes.  With ``as_of`` the policy's duration in ``policies`` bounds
+    the range too, so expired points are not read.
+
     The time range is given twice, on the shard group (partitions that are not
-    read) and on the time (row groups that are not read).
+    read) and on the time (row groups that are not read).  A store without notes
+    is read without the first.
     """
     require_name(db, "database name")
+    facts = _facts_of_store(spark, path)
+    rp = rp or default_policies(policies).get(db) or facts.policy(db, rp)
     points = in_scope(spark.read.schema(STORED_POINTS).parquet(path), db, rp)
     if measurement:
         points = points.where(F.col("measurement") == measurement)
-    ranged = start is not None or end is not None
-    if ranged:
-        duration, own = _durations_of_store(spark, path, None)
-        size = duration_ns(own.get((db, rp or DEFAULT_POLICY), duration))
-    if start is not None:
-        ns = parse_instant(start)
-        points = points.where((F.col("shard_group") >= ns // size) & (F.col(TIME_NS) >= ns))
+    starts = [parse_instant(start)] if start is not None else []
+    if as_of is not None:
+        if policies is None:
+            raise SeriesError("as_of needs the policies")
+        own = policies.where((F.col("db") == db) & (F.col("name") == rp))
+        starts += [r["value"] for r in policy_cutoffs(own, as_of).collect()]
+    size = facts.shard_ns(db, rp) if facts.noted else None
+    if starts:
+        ns = max(starts)
+        points = points.where(F.col(TIME_NS) >= ns)
+        points = points.where(F.col("shard_group") >= ns // size) if size else points
     if end is not None:
         ns = parse_instant(end)
-        points = points.where((F.col("shard_group") <= (ns - 1) // size) & (F.col(TIME_NS) < ns))
+        points = points.where(F.col(TIME_NS) < ns)
+        points = points.where(F.col("shard_group") <= (ns - 1) // size) if size else points
     return points
 
 
+def expired_groups(spark: SparkSession, path: str, policies: DataFrame, as_of: Any) -> DataFrame:
+    """``(db, rp, measurement, shard_group)`` of a store whose every point is older than its policy keeps at ``as_of``.
+
+    Group ends follow from the durations in the store's notes; a store without
+    notes is refused.  Only partition values are read.
+    """
+    facts = _facts_of_store(spark, path)
+    if not facts.noted:
+        raise SeriesError("the store has no notes of its shard durations")
+    groups = spark.read.schema(STORED_POINTS).parquet(path).select(*POINT_PARTITIONS).distinct()
+    return expired_shard_groups(groups, policies, as_of, shard_duration=facts.duration, own_durations=facts.own)
+
+
+def drop_expired(spark: SparkSession, path: str, policies: DataFrame, as_of: Any) -> int:
+    """Delete the folders of expired shard groups and return their number.
+
+    No file is read or rewritten.  Points of a group that has not expired as a
+    whole stay; ``read_points`` with ``as_of`` leaves them out.  Deleting again
+    after a failure goes on with what is left.
+    """
+    found, folder = expired_groups(spark, path, policies, as_of), scratch_folder(spark, "expired")
+    found.write.parquet(folder)  # before any folder goes
+    dropped = 0
+    for group in spark.read.schema(found.schema).parquet(folder).toLocalIterator():
+        dropped += _delete_folder(spark, path, {name: group[name] for name in POINT_PARTITIONS})
+    _delete_folder(spark, folder)
+    return dropped
+
+
+def drop_measurement(spark: SparkSession, path: str, db: str, rp: str, measurement: str) -> bool:
+    """Delete a measurement's folder, which holds all its shard groups; an unknown one changes nothing.
+
+    An empty policy is the database's default one by the store's notes.
+    """
+    require_name(db, "database name")
+    require_name(measurement, "measurement")
+    return _delete_folder(spark, path, {"db": db, "rp": _facts_of_store(spark, path).policy(db, rp), "measurement": measurement})
+
+
+def _delete_folder(spark: SparkSession, path: str, partition: Mapping[str, Any] | None = None) -> bool:
+    escaped = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    parts = [f"{name}={escaped(str(value))}" for name, value in (partition or {}).items()]
+    folder = spark._jvm.org.apache.hadoop.fs.Path("/".join([path.rstrip("/"), *parts]))
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def _stored_points(spark: SparkSession, path: str) -> DataFrame | None:
     """The rows of a store, with or without notes; nothing where there is no folder."""
     try:
@@ -197,18 +304,19 @@ def merge_into_store(
     should wait while the partitions are replaced.
     """
     spark = points.sparkSession
-    duration, own = _durations_of_store(spark, path, shard_duration, policies)
+    facts = _facts_of_store(spark, path, shard_duration, policies)
+    laid_out = {"shard_duration": facts.duration, "own_durations": facts.own}
     # One time for all rows without one.
     points = points.withColumn(TIME_NS, with_default_time(F.col(TIME_NS), F.lit(clock_ns()).cast("bigint")))
     folder = scratch_folder(spark, "merge")
-    placed_points(points, db=db, rp=rp, policies=policies, shard_duration=duration, own_durations=own).write.parquet(folder)
+    placed_points(points, db=db, rp=rp, policies=policies, default_policies=facts.defaults, **laid_out).write.parquet(folder)
     batch = spark.read.schema(STORED_POINTS).parquet(folder)
     aged = batch.withColumn("__age", F.lit(1))
     stored = _stored_points(spark, path)
     if stored is not None:
         stored = stored.where(F.col("db") == db)
-        if not read_notes(spark, path):
-            _require_shard_groups(stored, own, duration)
+        if not facts.noted:
+            _require_shard_groups(stored, facts.own, facts.duration)
         # The batch's range of shard groups prunes partitions before the join looks at any.
         ends = batch.agg(F.min("shard_group").alias("lo"), F.max("shard_group").alias("hi")).first()
         stored = stored.where(F.col("shard_group").between(F.lit(ends["lo"]), F.lit(ends["hi"])))
@@ -216,10 +324,10 @@ def merge_into_store(
         aged = affected.select(*STORED_POINTS.names).withColumn("__age", F.lit(0)).unionByName(aged)
     ordered = aged.withColumn("__seq", F.coalesce("seq", F.lit(0)))
     merged = merge_points(ordered, ["__age", "__seq"], newest="seq")
-    placed_points(merged, shard_duration=duration, own_durations=own).write.mode("overwrite").option(
+    facts.note(spark, path)
+    placed_points(merged, **laid_out).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).option("compression", compression).partitionBy(*POINT_PARTITIONS).parquet(path)
-    _note_durations(spark, path, duration, own)
 
 
 def write_measurement(
@@ -305,19 +413,22 @@ def without_measurement(points: DataFrame, db: str, rp: str, measurement: str) -
     return points.where(~F.coalesce(gone, F.lit(False)))
 
 
-def drop_measurement_partitions(spark: SparkSession, table: str, db: str, rp: str, measurement: str) -> int:
+def drop_measurement_partitions(spark: SparkSession, table: str, db: str, rp: str, measurement: str, together: int = 1_000) -> int:
     """Drop a measurement's partitions of a catalog table partitioned by ``db, rp, measurement, ...``.
 
-    Only partition metadata is listed; returns the number of partitions dropped.
+    Only partition metadata is listed and dropped, ``together`` partitions in one
+    statement; returns the number of partitions dropped.
     """
     require_name(db, "database name")
     require_name(measurement, "measurement")
     scope = {"db": db, "rp": rp or DEFAULT_POLICY, "measurement": measurement}
+    found = spark.sql(f"SHOW PARTITIONS {table} PARTITION ({_partition_spec(scope)})").toLocalIterator()
     dropped = 0
-    for row in spark.sql(f"SHOW PARTITIONS {table} PARTITION ({_partition_spec(scope)})").toLocalIterator():
-        spec = dict(part.split("=", 1) for part in row[0].split("/"))
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({_partition_spec({**spec, **scope})})")
-        dropped += 1
+    while rows := list(islice(found, together)):
+        specs = [{**dict(part.split("=", 1) for part in row[0].split("/")), **scope} for row in rows]
+        parts = ", ".join(f"PARTITION ({_partition_spec(spec)})" for spec in specs)
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {parts}")
+        dropped += len(rows)
     return dropped
 
 

@@ -14,7 +14,6 @@ from sparkseries.model import SeriesError, with_roles
 from sparkseries.operators.retention import (
     duration_column_ns,
     duration_column_text,
-    expired_shard_groups,
     keep_retained,
     policies,
     policies_from_results,
@@ -35,6 +34,7 @@ from sparkseries.sources.layout import (
     SHARD,
     STORED_POINTS,
     drop_measurement_partitions,
+    expired_groups,
     merge_into_store,
     placed_points,
     read_points,
@@ -94,7 +94,8 @@ def test_retention(spark, rules):
     df = spark.createDataFrame(rows, "db string, rp string, time_ns bigint")
     kept = keep_retained(df, rules, 10 * DAY)
     assert sorted(tuple(r) for r in kept.collect()) == sorted([rows[0], *rows[2:]])
-    assert "Join" not in plan_text(kept) and "Exchange" not in plan_text(kept), "the points are neither joined nor shuffled"
+    assert "BroadcastHashJoin" in plan_text(kept), "policies are looked up by hash"
+    assert "SortMergeJoin" not in plan_text(kept) and "NestedLoop" not in plan_text(kept), "the points are not shuffled"
     again = rules.unionByName(rules)
     assert keep_retained(df, again, 10 * DAY).count() == kept.count()
     with pytest.raises(SeriesError):
@@ -456,8 +457,7 @@ def test_policies_have_their_own_shard_duration(spark, sample, tmp_path):
     assert groups == {("short", 1), ("short", 8), ("short", 15), ("other", 0), ("other", 1), ("other", 2)}
     for rp in ("short", "other"):
         assert read_points(spark, path, "d", rp, start=8 * DAY, end=8 * DAY + 1).count() == 1
-    stored = spark.read.schema(STORED_POINTS).parquet(path)
-    gone = expired_shard_groups(stored, rules, 19 * DAY).collect()
+    gone = expired_groups(spark, path, rules, 19 * DAY).collect()
     assert {(r["rp"], r["shard_group"]) for r in gone} == {("short", 1), ("short", 8)}
 
 
