@@ -138,22 +138,23 @@ class Words:
 
     def __init__(self, whole, sizes: np.ndarray, most: int = 700_000):
         self.whole, self.sizes, self.most = whole, sizes, most
-        self.known: dict[str, bytes | None] = {}
+        #: ids of each word; empty for one that cannot stand alone
+        self.known: dict[str, bytes] = {}
         self.marks = {mark: _packed(whole(mark)) for mark in ".,"}
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit numbers."""
-        first, *words = text.replace("\n", " \n").split(" ")
-        known = self.known
-        if new := {w for w in words if w not in known}:
-            if len(known) > self.most:
-                known.clear()
-                new = set(words)
-            self._learn(new)
-        found = list(map(known.__getitem__, words))
-        if None in found or (words and (not first or _OUTER_SPACE.search(first))):
-            return _packed(self.whole(text))
-        return b"".join([_packed(self.whole(first)) if first else b"", *found])
+        words = text.replace("\n", " \n").split(" ")
+        words[0] = "\n" + words[0]  # the first word as one after a line break, whose own token is left out again
+        found = list(map(self.known.get, words))
+        if None in found:
+            if len(self.known) > self.most:
+                self.known.clear()
+                found = [None] * len(words)
+            self._learn({w for w, ids in zip(words, found) if ids is None})
+            known = self.known
+            found = [known[w] if ids is None else ids for w, ids in zip(words, found)]
+        return b"".join(found)[4:] if all(found) else _packed(self.whole(text))
 
     def _learn(self, words: set[str]) -> None:
         known = self.known
@@ -165,7 +166,7 @@ class Words:
             if own.isalnum() or (own and not _OUTER_SPACE.search(own)):
                 plain.append(w)
             else:
-                known[w] = None
+                known[w] = b""
         for at in range(0, len(plain), 5_000):
             part = plain[at : at + 5_000]
             shown = [w if w[0] == "\n" else " " + w for w in part]

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,3 +51,11 @@ def word_blocks(data: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
             stop += 1
         yield data[start:stop].split()
         start = stop
+
+
+def give_back_memory() -> None:
+    """Return freed memory to the system; a worker that waits for its next task then holds little beside others."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)

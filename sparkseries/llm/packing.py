@@ -28,7 +28,7 @@ def tokenizer(path: str) -> Words:
         made.no_padding()
         special = {token.content for token in made.get_added_tokens_decoder().values()}
         sizes = token_sizes({i: t.encode() if t in special else t for t, i in made.get_vocab().items()})
-        _TOKENIZERS[path] = Words(lambda text: made.encode_batch_fast([text], add_special_tokens=False)[0].ids, sizes)
+        _TOKENIZERS[path] = Words(lambda text: made.encode_batch_fast([text], add_special_tokens=False)[0].ids, sizes, 1_100_000)
     return _TOKENIZERS[path]
 
 
