@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkseries.llm.common import forget, raw_text, stored
+from sparkseries.llm.common import forget, give_back_memory, raw_text, stored
 from sparkseries.session import scratch_folder
 
 _BLOCK = 1 << 15
@@ -333,6 +333,8 @@ def _asked(length: int, gram: int, ranges: int, round_: int):
                         [pa.array([r], pa.int32()), batch.column("chunk").slice(i, 1), pa.array([pickle.dumps(content, protocol=5)], pa.binary())],
                         names=["range", "chunk", "content"],
                     )
+                del chunk, parcels
+                give_back_memory()
 
     return run
 
@@ -340,6 +342,7 @@ def _asked(length: int, gram: int, ranges: int, round_: int):
 def _answered(round_: int):
     def run(rows: pa.Table) -> pa.Table:
         said = _judged(round_, [pickle.loads(c.as_buffer()) for c in rows["content"]])
+        give_back_memory()
         return pa.table(
             {
                 "chunk": rows["chunk"],
@@ -376,6 +379,8 @@ def _finished(length: int, gram: int, ranges: int):
                     ],
                     names=[*rest.column_names, "n_bytes", "n_removed", "n_spans", "kept"],
                 )
+                del chunk, gone, before, removed, kept, rest
+                give_back_memory()
 
     return run
 
@@ -387,7 +392,7 @@ def remove_repeats(
     length: int = 50,
     gram: int = 24,
     carry: tuple[str, ...] = (),
-    chunk_bytes: int = 2 << 20,
+    chunk_bytes: int = 1 << 20,
     range_bytes: int = 16 << 20,
 ) -> DataFrame:
     """``(id_col, n_bytes, n_removed, n_spans, kept)``: every text without strings that an earlier document has.
