@@ -56,6 +56,20 @@ def epoch_ns(df: DataFrame, name: str) -> Column:
     raise SeriesError(f"column {name!r} of type {data_type.simpleString()} is not a time")
 
 
+def time_order(df: DataFrame, name: str) -> Column:
+    """A bigint that grows with a time column, in the column's own unit; no time is too large for it."""
+    data_type = df.schema[name].dataType
+    if isinstance(data_type, T.LongType):
+        return col(name)
+    if isinstance(data_type, T.TimestampNTZType):
+        return _micros_of_ntz(col(name), df.sparkSession.conf.get("spark.sql.session.timeZone"))
+    if isinstance(data_type, T.TimestampType):
+        return F.unix_micros(col(name))
+    if isinstance(data_type, T.DateType):
+        return F.unix_date(col(name)).cast("bigint")
+    raise SeriesError(f"column {name!r} of type {data_type.simpleString()} is not a time")
+
+
 def ns_to_timestamp(value: Column) -> Column:
     """Timestamp of epoch nanoseconds, floored to the microsecond."""
     return F.timestamp_micros(floor_div(value, 1_000))

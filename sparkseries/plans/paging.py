@@ -2,28 +2,34 @@
 
 Small pages use Spark's own top-n operators, which cut rows before the shuffle.
 A large page, or an offset without a limit, would sort a whole series (or the
-whole table) in one task.  Those go through *bucketed ranks* instead: rows are
-counted per time bucket, a running total over the few bucket counts gives the
+whole table) in one task.  Those go through *equi-depth buckets* instead: a
+sample of (series, time, ties) gives edges, so that a bucket holds about the
+same number of rows wherever they lie, also within one hour or one time.  Rows
+are counted per bucket exactly, a running total over the few counts gives the
 rank at which every bucket starts, and only the buckets that a page boundary
-cuts need their rows numbered.  A series that holds a third of all rows is thus
-spread over as many tasks as it has buckets, and the result is exact.
+cuts need their rows numbered.  The sample decides how work is spread and never
+what the result is.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import takewhile
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkseries.functions.timefns import floor_div
-from sparkseries.model import NS_PER, SeriesError, col
+from sparkseries.functions.timefns import time_order
+from sparkseries.model import col
+from sparkseries.session import scratch_folder
 
 #: up to this many rows a global page is a single top-n
 GLOBAL_DIRECT_ROWS = 10_000
+#: edges of the buckets, and sampled rows for each; both small enough for the driver
+EDGES, SAMPLED = 1_023, 4
 RANK = "__rank"
-_KEY, _FROM, _SIZE = "__key", "__from", "__size"
+_KEY, _FROM, _SIZE, _BUCKET, _SERIES = "__key", "__from", "__size", "__bucket", "__series"
 
 
 def _direction(column: Column, descending: bool) -> Column:
@@ -35,40 +41,58 @@ def order_columns(time: str, ties: Sequence[str], descending: bool) -> list[Colu
     return [_direction(col(time), descending), *(col(t).asc_nulls_last() for t in ties)]
 
 
-def coarse_time(df: DataFrame, time: str, seconds: int = 3_600) -> Column:
-    """A whole number that never decreases as the time column grows."""
-    data_type = df.schema[time].dataType
-    if isinstance(data_type, T.LongType):
-        return floor_div(col(time), seconds * NS_PER["s"])
-    if isinstance(data_type, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return floor_div(F.unix_seconds(col(time).cast("timestamp")), seconds)
-    raise SeriesError(f"column {time!r} is not a time")
+def _sortable(df: DataFrame, name: str) -> Column | None:
+    """A whole number, double or text that never falls as the column grows; None for a type without one."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, (T.IntegralType, T.BooleanType)):
+        return col(name).cast("bigint")
+    if isinstance(kind, (T.FractionalType, T.DecimalType)):
+        return col(name).cast("double")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return time_order(df, name)
+    if isinstance(kind, T.StringType) and kind == T.StringType():
+        return col(name)
+    return None
+
+
+def order_key(df: DataFrame, *, time: str, ties: Sequence[str], series: Sequence[str], descending: bool) -> Column:
+    """A struct in the order of series, time and ties, nulls last; it ends before the first column that cannot be one."""
+    at = time_order(df, time)
+    parts: list[Column | None] = [_sortable(df, s) for s in series]
+    parts += [F.bitwise_not(at) if descending else at, *(_sortable(df, t) for t in ties)]
+    whole = takewhile(lambda part: part is not None, parts)
+    fields = [f for i, part in enumerate(whole) for f in (part.isNull().cast("bigint").alias(f"n{i}"), part.alias(f"v{i}"))]
+    return F.struct(*fields) if fields else F.struct(F.lit(0).alias("n0"))
+
+
+def equi_depth_bucket(
+    df: DataFrame, *, time: str, ties: Sequence[str] = (), series: Sequence[str] = (), descending: bool = False, buckets: int = EDGES + 1
+) -> Column:
+    """The number of sampled edges up to a row, found by halving; it never falls in the order of the rows of a series."""
+    key = order_key(df, time=time, ties=ties, series=series, descending=descending)
+    drawn = df.select(key.alias(_KEY)).orderBy(F.rand(7)).limit(buckets * SAMPLED).orderBy(_KEY)
+    rows = [r[0] for r in drawn.select(F.to_json(_KEY)).collect()]
+    kind = T.ArrayType(drawn.schema[_KEY].dataType)
+    texts = list(dict.fromkeys(rows[SAMPLED - 1 :: SAMPLED]))[: buckets - 1]
+    edges = F.from_json(F.lit(f"[{','.join(texts)}]"), kind)
+    steps = [1 << i for i in reversed(range(max(1, len(texts)).bit_length()))]
+    return F.aggregate(
+        F.array(*(F.lit(s) for s in steps)),
+        F.lit(0),
+        lambda found, step: F.when(F.get(edges, found + step - 1) <= key, found + step).otherwise(found),
+    )
 
 
-def with_rank_base(
-    df: DataFrame,
-    *,
-    time: str,
-    series: Sequence[str] = (),
-    descending: bool = False,
-    bucket_seconds: int = 3_600,
-) -> DataFrame:
-    """Add, per row, its (series, bucket), the number of rows before the bucket and the bucket's size.
+def _with_buckets(df: DataFrame, bucket: Column, series: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows with their series and bucket, and per (series, bucket) the number of rows and of rows before it.
 
-    The key is one struct: structs compare null fields as equal, and the join
-    and a later window over the key share one shuffle.
+    Series are one struct: structs compare null fields as equal.
     """
-    fields = [f"s{i}" for i in range(len(series))]
-    bucket = coarse_time(df, time, bucket_seconds).alias("b")
-    keyed = df.withColumn(_KEY, F.struct(*(col(s).alias(f) for s, f in zip(series, fields)), bucket))
-    counts = keyed.groupBy(_KEY).agg(F.count(F.lit(1)).alias(_SIZE))
-    running = (
-        Window.partitionBy(*(F.col(_KEY)[f] for f in fields))
-        .orderBy(_direction(F.col(_KEY)["b"], descending))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    counts = counts.withColumn(_FROM, F.coalesce(F.sum(_SIZE).over(running), F.lit(0)))
-    return keyed.join(counts, _KEY)
+    fields = [col(s).alias(f"s{i}") for i, s in enumerate(series)] or [F.lit(0).alias("s0")]
+    keyed = df.withColumns({_SERIES: F.struct(*fields), _BUCKET: bucket})
+    counts = keyed.groupBy(_SERIES, _BUCKET).agg(F.count(F.lit(1)).alias(_SIZE))
+    running = Window.partitionBy(_SERIES).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    return keyed, counts.withColumn(_FROM, F.coalesce(F.sum(_SIZE).over(running), F.lit(0)))
 
 
 def with_rank(
@@ -78,12 +102,14 @@ def with_rank(
     ties: Sequence[str] = (),
     series: Sequence[str] = (),
     descending: bool = False,
-    bucket_seconds: int = 3_600,
+    buckets: int = EDGES + 1,
 ) -> DataFrame:
     """Number the rows of every series from 1 in time order, one task per (series, bucket)."""
-    based = with_rank_base(df, time=time, series=series, descending=descending, bucket_seconds=bucket_seconds)
-    within = Window.partitionBy(_KEY).orderBy(*order_columns(time, ties, descending))
-    return based.withColumn(RANK, F.col(_FROM) + F.row_number().over(within)).drop(_KEY, _FROM, _SIZE)
+    bucket = equi_depth_bucket(df, time=time, ties=ties, series=series, descending=descending, buckets=buckets)
+    keyed, counts = _with_buckets(df, bucket, series)
+    within = Window.partitionBy(_SERIES, _BUCKET).orderBy(*order_columns(time, ties, descending))
+    based = keyed.join(counts.drop(_SIZE), [_SERIES, _BUCKET])
+    return based.withColumn(RANK, F.col(_FROM) + F.row_number().over(within)).select(*(col(c) for c in df.columns), RANK)
 
 
 def page(
@@ -95,7 +121,7 @@ def page(
     offset: int = 0,
     series: Sequence[str] = (),
     descending: bool = False,
-    bucket_seconds: int = 3_600,
+    buckets: int = EDGES + 1,
 ) -> DataFrame:
     """Rows ``offset+1 .. offset+limit`` of the order, per series when ``series`` is given.
 
@@ -117,25 +143,45 @@ def page(
         ordered = df.orderBy(*order)
         return (ordered.offset(offset) if offset else ordered).limit(limit)
 
-    based = with_rank_base(df, time=time, series=series, descending=descending, bucket_seconds=bucket_seconds)
-    first_kept, bucket_end = F.lit(offset), F.col(_FROM) + F.col(_SIZE)
-    touched = bucket_end > first_kept
-    whole = F.col(_FROM) >= first_kept
-    if last is not None:
-        touched = touched & (F.col(_FROM) < last)
-        whole = whole & (bucket_end <= last)
-    within = Window.partitionBy(_KEY).orderBy(*order)
-    # Rows of buckets that lie inside the page pass without a sort.
-    kept = based.where(touched)
-    inside = kept.where(whole)
-    cut_rows = kept.where(~whole).withColumn(RANK, F.col(_FROM) + F.row_number().over(within))
-    cut_rows = cut_rows.where(F.col(RANK) > offset)
-    if last is not None:
-        cut_rows = cut_rows.where(F.col(RANK) <= last)
-    rows = inside.unionByName(cut_rows.drop(RANK)).select(*(col(c) for c in df.columns))
+    bucket = equi_depth_bucket(df, time=time, ties=ties, series=series, descending=descending, buckets=buckets)
+    keyed, counts = _with_buckets(df, bucket, series)
+    bounded = _bounded(keyed, _page_bounds(counts, offset, last), bool(series))
+    first, end = F.col("__first"), F.coalesce("__last", F.lit(1 << 30))
+    # Rows of buckets that lie inside the page pass without a shuffle; those of the cut buckets are numbered.
+    inside = bounded.where((F.col(_BUCKET) > first) & (F.col(_BUCKET) < end))
+    within = Window.partitionBy(_SERIES, _BUCKET).orderBy(*order)
+    edge_rows = bounded.where((F.col(_BUCKET) == first) | (F.col(_BUCKET) == end)).withColumn(RANK, F.row_number().over(within))
+    after = (F.col(_BUCKET) > first) | (F.col(RANK) > F.col("__skip"))
+    before = (F.col(_BUCKET) < end) | (F.col(RANK) <= F.col("__take"))
+    columns = [col(c) for c in df.columns]
+    rows = inside.select(*columns).union(edge_rows.where(after & before).select(*columns))
     return rows if series else rows.orderBy(*order)
 
 
+def _page_bounds(counts: DataFrame, offset: int, last: int | None) -> DataFrame:
+    """One row per series: the buckets that hold the first and the last row of the page, and the place of both in them."""
+
+    def holding(rank: int) -> tuple[Column, Column]:
+        inside = (F.col(_FROM) < rank) & (F.col(_FROM) + F.col(_SIZE) >= rank)
+        return F.max(F.when(inside, F.col(_BUCKET))), F.max(F.when(inside, F.lit(rank) - F.col(_FROM)))
+
+    first, place = holding(offset + 1)
+    end, take = holding(last) if last is not None else (F.lit(None).cast("int"), F.lit(None).cast("bigint"))
+    found = counts.groupBy(_SERIES).agg(first.alias("__first"), (place - 1).alias("__skip"), end.alias("__last"), take.alias("__take"))
+    return found.where(F.col("__first").isNotNull())
+
+
+def _bounded(keyed: DataFrame, bounds: DataFrame, series: bool) -> DataFrame:
+    """Rows of the series that have a page, with its bounds: constants of a global page, else a table whose size Spark knows."""
+    if not series:
+        row = bounds.drop(_SERIES).first()
+        values = row.asDict() if row else {"__first": None, "__skip": 0, "__last": None, "__take": None}
+        return keyed.withColumns({name: F.lit(value).cast("bigint") for name, value in values.items()})
+    path = scratch_folder(keyed.sparkSession, "page-bounds")
+    bounds.write.parquet(path)
+    return keyed.join(keyed.sparkSession.read.schema(bounds.schema).parquet(path), _SERIES)
+
+
 def page_distinct(
     df: DataFrame, keys: Sequence[str], *, limit: int = 0, offset: int = 0, descending: bool = False
 ) -> DataFrame:

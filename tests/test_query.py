@@ -33,7 +33,7 @@ from sparkseries import (
     with_roles,
 )
 from sparkseries.plans import paging
-from sparkseries.plans.paging import RANK, page, page_distinct, with_rank
+from sparkseries.plans.paging import RANK, equi_depth_bucket, page, page_distinct, with_rank
 
 LEVELS = [
     ("coyote_creek", 0, 8.12),
@@ -238,7 +238,7 @@ def test_page(spark, skewed, monkeypatch, direct, series, limit, offset, descend
         monkeypatch.setattr(paging, "GLOBAL_DIRECT_ROWS", 0)
         spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "0")
     try:
-        paged = page(df, time="t", ties=["id"], limit=limit, offset=offset, series=series, descending=descending, bucket_seconds=1800)
+        paged = page(df, time="t", ties=["id"], limit=limit, offset=offset, series=series, descending=descending, buckets=16)
         found = sorted(r["id"] for r in paged.select("id").collect())
         assert paged.columns == df.columns
     finally:
@@ -248,7 +248,7 @@ def test_page(spark, skewed, monkeypatch, direct, series, limit, offset, descend
 
 def test_rank(skewed):
     df, rows = skewed
-    ranked = with_rank(df, time="t", ties=["id"], series=["tag"], bucket_seconds=3600)
+    ranked = with_rank(df, time="t", ties=["id"], series=["tag"], buckets=64)
     for tag in {r[0] for r in rows}:
         ids = [n for _, n in sorted((s, n) for t, s, n in rows if t == tag)]
         found = ranked.where(F.col("tag").eqNullSafe(F.lit(tag))).orderBy(RANK).collect()
@@ -277,6 +277,39 @@ def test_large_page_has_no_single_partition(spark, skewed):
     assert "SinglePartition" not in plan
 
 
+@pytest.mark.parametrize("shared", ["hour", "time"])
+def test_a_hot_hour_is_many_buckets(spark, shared):
+    df = spark.range(20_000).selectExpr("'hot' AS tag", f"id % {3_600_000 if shared == 'hour' else 1} * 1000000 AS t", "uuid() AS name", "id % 7 AS x", "id").cache()
+    keyed = df.withColumn("b", equi_depth_bucket(df, time="t", ties=["x", "id"], series=["tag"], buckets=64))
+    sizes = [r["count"] for r in keyed.groupBy("b").count().collect()]
+    assert len(sizes) > 50 and max(sizes) < 1_000
+    ranked = with_rank(df, time="t", ties=["x", "id"], series=["tag"]).select(RANK, "id").collect()
+    want = sorted(range(20_000), key=lambda i: (0 if shared == "time" else i, i % 7, i))
+    assert [r["id"] for r in sorted(ranked)] == want
+    paged = page(df, time="t", ties=["x", "id"], series=["tag"], offset=2_000, limit=15_000)
+    assert sorted(r["id"] for r in paged.collect()) == sorted(want[2_000:17_000])
+
+
+def test_a_page_reads_twice_and_shuffles_only_cut_rows(spark, skewed, tmp_path):
+    skewed[0].write.parquet(str(tmp_path / "rows"))
+    df = spark.read.parquet(str(tmp_path / "rows"))
+    plan = plan_text(page(df, time="t", ties=["id"], offset=5, series=["tag"]))
+    assert plan.count("rows]") == 2 and plan.count("Exchange hashpartitioning") == 1
+    assert "from_json" not in plan
+    plan = plan_text(page(df, time="t", ties=["id"], offset=5))
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_ties_of_any_type_order_pages(spark):
+    rows = [(i % 3, [i], i % 5 / 4, b"x", f"n{i}") for i in range(300)]
+    df = spark.createDataFrame(rows, "t bigint, list array<int>, d double, b binary, s string").withColumn("d", F.when(F.col("d") > 0.9, None).otherwise(F.col("d")))
+    want = sorted(rows, key=lambda r: (r[0], r[2] > 0.9, r[2] if r[2] <= 0.9 else 0, r[3], r[4]))
+    got = page(df, time="t", ties=["d", "b", "s"], offset=40, buckets=32)
+    assert [r["s"] for r in got.collect()] == [r[4] for r in want[40:]]
+    by_list = page(df, time="t", ties=["s"], series=["list"], offset=1)
+    assert by_list.count() == 0
+
+
 # --------------------------------------------------------------------------
 # pages and order of every query shape
 
