@@ -11,6 +11,7 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkseries.functions.values import (
     entries_map,
@@ -150,17 +151,129 @@ def _field_value(value: Column, bound: Column, params: Column, names: Column) ->
     )
 
 
+#: templates, and characters after their ``$``, up to which they are compiled into one expression
+COMPILED_TEMPLATES, COMPILED_CHARS = 64, 2_000
+_POINT = ("measurement", "tags", "fields")
+
+
 def bind_templates(templates: DataFrame, params: DataFrame, on: str = "template_id") -> DataFrame:
     """Bind every template point to each parameter row of the same template.
 
-    An equi-join on the template: the templates are broadcast when Spark finds
-    them small, and a template with very many parameter rows is split by
-    adaptive execution otherwise.  Rows without a template are not in the
-    result; ``without_template`` gives them.
+    Templates are read once and compiled: each placeholder becomes a look-up of
+    the names that it may mean, each template an expression over them, and one
+    CASE on the key chooses, so rows are neither joined nor shuffled and no
+    text is searched.  More than ``COMPILED_TEMPLATES`` templates, or longer
+    ones than ``COMPILED_CHARS``, are joined instead, with the same result.
+    Rows without a template are not in the result; ``without_template`` gives
+    them.
     """
     if "params" not in params.columns:
         raise SeriesError("parameter rows need a params column")
-    return bind_points(params.join(templates, on))
+    few = templates.where(col(on).isNotNull()).limit(COMPILED_TEMPLATES + 1).collect()
+    extra = [f for f in templates.schema.fields if f.name not in (on, *_POINT)]
+    compiled = _Compiled([tuple(r[c] for c in _POINT) for r in few])
+    plain = all(isinstance(f.dataType, (T.AtomicType, T.NullType)) for f in [*extra, templates.schema[on]])
+    if len(few) > COMPILED_TEMPLATES or compiled.chars > COMPILED_CHARS or not plain or set(params.columns) & {f.name for f in extra}:
+        return bind_points(params.join(templates, on))
+    return compiled.bind(params, on, few, templates.schema, extra)
+
+
+class _Compiled:
+    """Expressions of templates over a ``params`` map.
+
+    The text after a ``$`` can only mean one of its own beginnings; the longest
+    that the row knows is chosen once for all templates that share the text.
+    """
+
+    def __init__(self, points: list[tuple]):
+        self.points = points
+        self.pieces: dict[str, int] = {}
+        for measurement, tags, fields in points:
+            texts = [measurement, *tags, *tags.values(), *fields, *(v["s"] or "" for v in fields.values())]
+            for text in texts:
+                for piece in text.split("$")[1:]:
+                    self.pieces.setdefault(piece, len(self.pieces))
+        self.chars = sum(map(len, self.pieces))
+
+    def bind(self, params: DataFrame, on: str, rows: list, schema: T.StructType, extra: list[T.StructField]) -> DataFrame:
+        known = F.map_keys("params")
+        named = params.withColumns({f"__n{i}": self._meant(piece, known) for piece, i in self.pieces.items()})
+        shown = named.withColumns({f"__t{i}": value_text(F.col("params")[F.col(f"__n{i}")]) for i in self.pieces.values()})
+        given = F.coalesce(F.size("params"), F.lit(0)) > 0
+        by_key: dict = {}
+        for row, point in zip(rows, self.points):
+            by_key.setdefault(row[on], []).append((row, point))
+        chosen = None
+        for key, own in by_key.items():
+            structs = F.array(*(self._struct(row, point, given, extra) for row, point in own))
+            is_key = col(on) == F.lit(key).cast(schema[on].dataType)
+            chosen = F.when(is_key, structs) if chosen is None else chosen.when(is_key, structs)
+        kept = [on, *(c for c in params.columns if c not in (on, "params", *_POINT))]
+        if chosen is None:
+            names = [f"{c} {d}" for c, d in (("measurement", "string"), ("tags", TAGS_TYPE.simpleString()), ("fields", FIELDS_TYPE.simpleString()))]
+            types = [*(f"`{f.name}` {f.dataType.simpleString()}" for f in extra), *names, f"{UNRESOLVED} {_NO_NAMES}"]
+            chosen = F.lit(None).cast(f"array<struct<{', '.join(t.replace(' ', ': ', 1) for t in types)}>>")
+        return shown.select(*(col(c) for c in kept), F.inline(chosen))
+
+    @staticmethod
+    def _meant(piece: str, known: Column) -> Column:
+        name = F.lit(None).cast("string")
+        for size in range(1, len(piece) + 1):  # the last test made is that of the shortest
+            name = F.when(F.array_contains(known, piece[:size]), piece[:size]).otherwise(name)
+        return name
+
+    def _text(self, text: str) -> tuple[Column, list[Column]]:
+        head, *rest = text.split("$")
+        parts, missing = [F.lit(head)], []
+        for piece in rest:
+            name, value = (F.col(f"__{c}{self.pieces[piece]}") for c in "nt")
+            after = F.substring(F.lit(piece), F.length(name) + 1, F.lit(len(piece)))
+            parts.append(F.when(name.isNotNull(), F.concat(value, after)).otherwise(F.lit("$" + piece)))
+            if word := re.match(f"{_NAME}+", piece):
+                missing.append(F.when(name.isNull(), F.lit("$" + word[0])))
+        return F.concat(*parts) if rest else parts[0], missing
+
+    def _field(self, slots) -> tuple[Column, list[Column]]:
+        text = slots["s"]
+        if text is None or "$" not in text:
+            return _plain_slot(slots), []
+        if whole := re.fullmatch(rf"\$({_NAME}+)", text):
+            known = F.array_contains(F.map_keys("params"), whole[1])
+            return F.col("params")[whole[1]], [F.when(~known, F.lit(text))]
+        bound, missing = self._text(text)
+        return string_slot(bound), missing
+
+    def _struct(self, row, point: tuple, given: Column, extra: list[T.StructField]) -> Column:
+        measurement, tags, fields = point
+        name, missing = self._text(measurement)
+        maps, later = [], []
+        for items, kind, convert in ((tags, TAGS_TYPE, self._text), (fields, FIELDS_TYPE, self._field)):
+            keys = [self._text(k) for k in items]
+            values = [convert(v) for v in items.values()]
+            maps.append(_built([k for k, _ in keys], [v for v, _ in values], any("$" in k for k in items), kind))
+            missing += [m for _, lost in keys for m in lost]
+            (missing if convert == self._text else later).extend(m for _, lost in values for m in lost)
+        plain = [_built([F.lit(k) for k in tags], [F.lit(v) for v in tags.values()], False, TAGS_TYPE)]
+        plain.append(_built([F.lit(k) for k in fields], [_plain_slot(v) for v in fields.values()], False, FIELDS_TYPE))
+        none = F.array().cast(_NO_NAMES)
+        lost = F.array_distinct(F.array_compact(F.array(*missing, *later).cast(_NO_NAMES)))
+        either = [F.when(given, x).otherwise(y) for x, y in zip((name, *maps, lost), (F.lit(measurement), *plain, none))]
+        own = [F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in extra]
+        return F.struct(*own, *(c.alias(n) for c, n in zip(either, (*_POINT, UNRESOLVED))))
+
+
+def _plain_slot(slots) -> Column:
+    slot = next(s for s in SLOTS if slots[s] is not None)
+    return slot_value(slot, F.lit(str(slots[slot])) if slot == "u" else F.lit(slots[slot]))
+
+
+def _built(keys: list[Column], values: list[Column], may_meet: bool, kind) -> Column:
+    """A map of columns; keys with placeholders may meet or be null."""
+    if not keys:
+        return F.map_from_arrays(F.array().cast(_NO_NAMES), F.array().cast(_NO_NAMES)).cast(kind)
+    if may_meet:
+        return entries_map(F.array(*keys), F.array(*values)).cast(kind)
+    return F.create_map(*(x for pair in zip(keys, values) for x in pair)).cast(kind)
 
 
 def without_template(templates: DataFrame, params: DataFrame, on: str = "template_id") -> DataFrame:

@@ -3,9 +3,10 @@ from __future__ import annotations
 from decimal import Decimal
 
 import pytest
-from helpers import point
+from helpers import plan_text, point
 
 from sparkseries.model import SeriesError
+from sparkseries.operators import templates as template_module
 from sparkseries.operators.templates import (
     bind_points,
     bind_statement,
@@ -120,3 +121,54 @@ def test_statement_with_several_lines_and_null_parameter(spark):
         (2, "b", None),
     ]
     assert [r["unresolved"] for r in unresolved_points(bound).collect()] == [["$x"]]
+
+
+@pytest.mark.parametrize("most", [64, 0])
+def test_cases_as_templates(spark, lines, monkeypatch, most):
+    """All cases in one call, compiled and joined."""
+    monkeypatch.setattr(template_module, "COMPILED_TEMPLATES", most)
+    templates = params = None
+    for number, (line, given, _) in enumerate(CASES):
+        row = params_frame(spark, given)
+        row = row.select(F.lit(number).alias("template_id"), parameters(row, {k: k for k in given}).alias("params"))
+        one = lines(line).withColumn("template_id", F.lit(number))
+        templates, params = (one, row) if templates is None else (templates.unionByName(one), params.unionByName(row))
+    bound = bind_templates(templates, params)
+    assert ("Join" in plan_text(bound)) == (most == 0) and "Exchange" not in plan_text(bound) or most == 0
+    rows = bound.collect()
+    assert sorted(r["template_id"] for r in rows) == list(range(len(CASES)))
+    for row in rows:
+        expected = CASES[row["template_id"]][2]
+        if expected is None:
+            assert len(row["unresolved"]) == 1, row
+        else:
+            assert row["unresolved"] == [] and point(row) == expected
+
+
+@pytest.mark.parametrize("most", [64, 0])
+def test_templates_of_several_points_and_odd_rows(spark, lines, monkeypatch, most):
+    monkeypatch.setattr(template_module, "COMPILED_TEMPLATES", most)
+    templates = lines("a,t=$x f=$y 5", 'b,t=$x$ f="$y/$y"', "c,$x=$y,k=1 f=1i").withColumn("k", F.when(F.col("measurement") == "c", "two").otherwise("one"))
+    templates = templates.unionByName(templates.limit(1).withColumn("k", F.lit(None).cast("string")))
+    data = [("one", "p", 1), ("one", None, 2), ("two", "k", 3), ("nope", "q", 4), (None, "r", 5), ("one", None, None)]
+    rows = spark.createDataFrame(data, "k string, x string, y bigint")
+    params = rows.select("k", F.lit(7).alias("fields_seen"), parameters(rows, {"x": "x", "y": "y"}).alias("params"))
+    bound = bind_templates(templates, params, on="k")
+    assert sorted(bound.columns) == sorted(["k", "fields_seen", "time_ns", "measurement", "tags", "fields", "unresolved"])
+    got = sorted((r["measurement"], r["time_ns"] or 0, sorted(r["tags"].items()), tuple(r["unresolved"])) for r in bound.collect())
+    assert got == sorted([
+        ("a", 5, [("t", "p")], ()),
+        ("b", 0, [("t", "p$")], ()),
+        ("a", 5, [("t", "$x")], ("$x",)),
+        ("b", 0, [("t", "$x$")], ("$x",)),
+        ("c", 0, [("k", "1")], ()),
+        ("a", 5, [("t", "$x")], ()),
+        ("b", 0, [("t", "$x$")], ()),
+    ])
+
+
+def test_no_template_binds_nothing(spark, lines):
+    templates = lines("a,t=$x f=1").withColumn("template_id", F.lit(1)).where("false")
+    rows = spark.createDataFrame([(1, "p")], "template_id int, x string")
+    bound = bind_templates(templates, rows.select("template_id", parameters(rows, {"x": "x"}).alias("params")))
+    assert bound.count() == 0 and {"measurement", "tags", "fields", "unresolved"} <= set(bound.columns)
