@@ -109,9 +109,14 @@ def tag_keys_of(points: DataFrame) -> DataFrame:
 
 
 def field_types_of(points: DataFrame) -> DataFrame:
-    """Distinct (measurement, key, type) of all fields, combined before the shuffle."""
-    entries = points.select("measurement", F.explode("fields").alias("key", "__value"))
-    typed = entries.select("measurement", "key", value_type(F.col("__value")).alias("type"))
+    """Distinct (measurement, key, type) of all fields.
+
+    Points of one shape share one list of keys and one of types, so these are
+    made distinct before they are exploded.
+    """
+    types = F.transform(F.map_values("fields"), value_type)
+    shapes = points.select("measurement", F.map_keys("fields").alias("key"), types.alias("type")).distinct()
+    typed = shapes.select("measurement", F.inline(F.arrays_zip("key", "type")))
     return typed.where(F.col("type").isNotNull()).distinct()
 
 

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkseries.functions.timefns import time_order
+from sparkseries.functions.values import let
 from sparkseries.model import col
 from sparkseries.session import scratch_folder
 
@@ -65,24 +66,33 @@ def order_key(df: DataFrame, *, time: str, ties: Sequence[str], series: Sequence
     return F.struct(*fields) if fields else F.struct(F.lit(0).alias("n0"))
 
 
-def equi_depth_bucket(
-    df: DataFrame, *, time: str, ties: Sequence[str] = (), series: Sequence[str] = (), descending: bool = False, buckets: int = EDGES + 1
-) -> Column:
-    """The number of sampled edges up to a row, found by halving; it never falls in the order of the rows of a series."""
-    key = order_key(df, time=time, ties=ties, series=series, descending=descending)
+def _edges(df: DataFrame, key: Column, buckets: int) -> Column:
+    """A constant array of keys in order that cut the rows into about ``buckets`` parts, from a sample."""
     drawn = df.select(key.alias(_KEY)).orderBy(F.rand(7)).limit(buckets * SAMPLED).orderBy(_KEY)
     rows = [r[0] for r in drawn.select(F.to_json(_KEY)).collect()]
-    kind = T.ArrayType(drawn.schema[_KEY].dataType)
     texts = list(dict.fromkeys(rows[SAMPLED - 1 :: SAMPLED]))[: buckets - 1]
-    edges = F.from_json(F.lit(f"[{','.join(texts)}]"), kind)
-    steps = [1 << i for i in reversed(range(max(1, len(texts)).bit_length()))]
-    return F.aggregate(
-        F.array(*(F.lit(s) for s in steps)),
-        F.lit(0),
-        lambda found, step: F.when(F.get(edges, found + step - 1) <= key, found + step).otherwise(found),
+    return F.from_json(F.lit(f"[{','.join(texts)}]"), T.ArrayType(drawn.schema[_KEY].dataType))
+
+
+def _bucket(edges: Column, key: Column, buckets: int) -> Column:
+    """The number of edges up to a key, found by halving."""
+    steps = F.array(*(F.lit(1 << i) for i in reversed(range(max(1, buckets - 1).bit_length()))))
+    return let(
+        key,
+        lambda k: F.aggregate(
+            steps, F.lit(0), lambda found, step: F.when(F.get(edges, found + step - 1) <= k, found + step).otherwise(found)
+        ),
     )
 
 
+def equi_depth_bucket(
+    df: DataFrame, *, time: str, ties: Sequence[str] = (), series: Sequence[str] = (), descending: bool = False, buckets: int = EDGES + 1
+) -> Column:
+    """The number of sampled edges up to a row; it never falls in the order of the rows of a series."""
+    key = order_key(df, time=time, ties=ties, series=series, descending=descending)
+    return _bucket(_edges(df, key, buckets), key, buckets)
+
+
 def _with_buckets(df: DataFrame, bucket: Column, series: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Rows with their series and bucket, and per (series, bucket) the number of rows and of rows before it.
 
@@ -143,18 +153,22 @@ def page(
         ordered = df.orderBy(*order)
         return (ordered.offset(offset) if offset else ordered).limit(limit)
 
-    bucket = equi_depth_bucket(df, time=time, ties=ties, series=series, descending=descending, buckets=buckets)
-    keyed, counts = _with_buckets(df, bucket, series)
-    bounded = _bounded(keyed, _page_bounds(counts, offset, last), bool(series))
-    first, end = F.col("__first"), F.coalesce("__last", F.lit(1 << 30))
-    # Rows of buckets that lie inside the page pass without a shuffle; those of the cut buckets are numbered.
-    inside = bounded.where((F.col(_BUCKET) > first) & (F.col(_BUCKET) < end))
-    within = Window.partitionBy(_SERIES, _BUCKET).orderBy(*order)
-    edge_rows = bounded.where((F.col(_BUCKET) == first) | (F.col(_BUCKET) == end)).withColumn(RANK, F.row_number().over(within))
+    key = order_key(df, time=time, ties=ties, series=series, descending=descending)
+    edges = _edges(df, key, buckets)
+    keyed, counts = _with_buckets(df, _bucket(edges, key, buckets), series)
+    bounded = _bounded(keyed.drop(_BUCKET), _page_bounds(counts, offset, last), bool(series))
+    # Rows are compared with the ends of the two cut buckets; only those of the cut buckets are numbered.
+    first, end = F.col("__first"), F.col("__last")
+    first_from, first_to, end_from, end_to = (F.get(edges, i.cast("int")) for i in (first - 1, first, end - 1, end))
+    in_first = (first_from.isNull() | (key >= first_from)) & (first_to.isNull() | (key < first_to))
+    in_end = end.isNotNull() & (end_from.isNull() | (key >= end_from)) & (end_to.isNull() | (key < end_to))
+    inside = bounded.where((key >= first_to) & (end.isNull() | (key < end_from)))
+    numbered = bounded.where(in_first | in_end).withColumn(_BUCKET, F.when(in_first, first).otherwise(end))
+    numbered = numbered.withColumn(RANK, F.row_number().over(Window.partitionBy(_SERIES, _BUCKET).orderBy(*order)))
     after = (F.col(_BUCKET) > first) | (F.col(RANK) > F.col("__skip"))
-    before = (F.col(_BUCKET) < end) | (F.col(RANK) <= F.col("__take"))
+    before = end.isNull() | (F.col(_BUCKET) < end) | (F.col(RANK) <= F.col("__take"))
     columns = [col(c) for c in df.columns]
-    rows = inside.select(*columns).union(edge_rows.where(after & before).select(*columns))
+    rows = inside.select(*columns).union(numbered.where(after & before).select(*columns))
     return rows if series else rows.orderBy(*order)
 
 
@@ -175,7 +189,9 @@ def _bounded(keyed: DataFrame, bounds: DataFrame, series: bool) -> DataFrame:
     """Rows of the series that have a page, with its bounds: constants of a global page, else a table whose size Spark knows."""
     if not series:
         row = bounds.drop(_SERIES).first()
-        values = row.asDict() if row else {"__first": None, "__skip": 0, "__last": None, "__take": None}
+        if row is None:
+            keyed = keyed.where(F.lit(False))
+        values = row.asDict() if row else dict.fromkeys(("__first", "__skip", "__last", "__take"), 0)
         return keyed.withColumns({name: F.lit(value).cast("bigint") for name, value in values.items()})
     path = scratch_folder(keyed.sparkSession, "page-bounds")
     bounds.write.parquet(path)
