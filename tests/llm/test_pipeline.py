@@ -6,7 +6,7 @@ from collections import Counter
 import __spark_entry__ as registry
 import oracle
 import pytest
-from llm_brute import repeated_lines, simhash, without_repeats
+from llm_brute import repeated_lines, without_repeats
 
 pytest.importorskip("public_tokenizers")
 import corpus_pipeline  # noqa: E402
@@ -71,13 +71,11 @@ def test_stages_against_brute_force(spark, tmp_path):
 
     before = pairs(lined)
     near = stages["simhash"](spark, lined, folder)
-    prints = [simhash((t or "").encode()) for _, t in before]
+    linked = [(i, j) for i, (_, a) in enumerate(before) for j, (_, b) in enumerate(before[:i]) if jaccard(a or "", b or "") >= 0.8]
     group = list(range(len(before)))
     for _ in before:
-        for i in range(len(before)):
-            for j in range(i):
-                if (prints[i] ^ prints[j]).bit_count() <= 3:
-                    group[i] = group[j] = min(group[i], group[j])
+        for i, j in linked:
+            group[i] = group[j] = min(group[i], group[j])
     least = {}
     for (d, _), g in zip(before, group):
         if d is not None:
