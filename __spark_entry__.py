@@ -49,6 +49,7 @@ from sparkseries.operators.explore import (
 )
 from sparkseries.operators.opslog import metric_rollup, statement_counts
 from sparkseries.operators.points import points_to_wide, tag_sets, wide_to_points
+from sparkseries.operators.postings import index_version, is_current, lookup_postings, merge_postings, read_postings
 from sparkseries.operators.quality import (
     REASONS,
     block_stats,
@@ -70,6 +71,7 @@ from sparkseries.sources.layout import (
     drop_expired,
     drop_measurement,
     expired_groups,
+    read_measurement,
     read_points,
     without_measurement,
     write_measurement,
@@ -976,17 +978,41 @@ def _(spark, d):
 
 
 def _stored_index(spark, d, documents, words):
-    """The rows of some words in the index of ``documents``, which is written once per session and folder."""
-    if (spark, d) not in _INDEXES:
+    """The rows of some words in the index of ``documents``, written once per session, folder and state of the texts."""
+    version = (spark, d, *index_version(documents, "doc_id", ["text"]))
+    if version not in _INDEXES:
         path = scratch_folder(spark, "text-index")
         write_text_index(text_index(documents, "doc_id", ["text"]), path)
-        _INDEXES[spark, d] = path
-    return read_text_index(spark, _INDEXES[spark, d], words)
+        _INDEXES[version] = path
+    return read_text_index(spark, _INDEXES[version], words)
 
 
 _INDEXES: dict = {}
 
 
+_WORDS = r"unnest(list_distinct(list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda t: t <> '')))"
+
+
+@_register("text_index_build", f"SELECT token, count(*) AS n FROM (SELECT {_WORDS} AS token FROM documents) GROUP BY 1")
+def _(spark, d):
+    path = scratch_folder(spark, "postings")
+    merge_postings(_table(spark, d, "documents"), path, "doc_id", ["text"])
+    return read_postings(spark, path).groupBy("token").agg(F.sum(F.size("gaps")).alias("n"))
+
+
+_SQL["text_index_merge"] = _SQL["text_search_documents"]
+
+
+@_register("text_index_merge")
+def _(spark, d):
+    path, documents = scratch_folder(spark, "postings"), _table(spark, d, "documents")
+    merge_postings(documents.where("lang = 'en'"), path, "doc_id", ["text"])
+    merge_postings(documents.where("lang <> 'en' OR lang IS NULL"), path, "doc_id", ["text"])
+    if not is_current(documents, path, "doc_id"):
+        raise RuntimeError("the index does not hold the documents")
+    return lookup_postings(spark, path, ["that", "with"]).withColumnRenamed("row_id", "doc_id")
+
+
 @_register(
     "text_search_unicode",
     r"SELECT doc_id FROM documents WHERE list_contains(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), 'für')",
@@ -1077,6 +1103,18 @@ def _(spark, d):
     )
 
 
+@_register(
+    "range_layout",
+    "SELECT l_orderkey, l_quantity FROM lineitem WHERE l_returnflag = 'N' AND l_linestatus = 'O'",
+)
+def _(spark, d):
+    path = scratch_folder(spark, "ranges")
+    fields = {"l_orderkey": "INT64", "l_quantity": "FLOAT64"}
+    keys = ["l_returnflag", "l_linestatus"]
+    write_measurement(_lineitem(spark, d), path, tags=keys, fields=fields, time="l_shipdate", shard_keys=keys, shard_type="RANGE", shards=12)
+    return read_measurement(spark, path, l_returnflag="N", l_linestatus="O").select("l_orderkey", "l_quantity")
+
+
 @_register(
     "ingest_stream",
     "SELECT 'metrics' AS db, 'autogen' AS rp, event_type, value, ts AS time FROM events",

@@ -126,14 +126,14 @@ def points_to_wide(
     *,
     tags: Iterable[str] | None = None,
     fields: Mapping[str, str] | None = None,
-    max_columns: int = 2_000,
+    max_columns: int | None = None,
     time: str = TIME,
 ) -> DataFrame:
     """One typed table of a measurement: columns by name, nulls where a point lacks one, time last.
 
     Give ``tags`` and ``fields`` (name to type name) when the schema is known;
-    otherwise one job reads the keys.  A field with several types, a name used
-    both as tag and field, or more than ``max_columns`` keys is an error.
+    otherwise one job reads the keys.  A field with several types, or a name used
+    both as tag and field, is an error; with ``max_columns`` more keys are too.
     """
     require_name(measurement, "measurement")
     rows = points.where(F.col("measurement") == measurement)
@@ -159,10 +159,11 @@ def points_to_wide(
     )
 
 
-def _discover(rows: DataFrame, max_columns: int) -> tuple[list[str], dict[str, str]]:
+def _discover(rows: DataFrame, max_columns: int | None) -> tuple[list[str], dict[str, str]]:
     tagged = tag_keys_of(rows).select(F.lit(TAG).alias("kind"), "key", F.lit("tag").alias("type"))
     typed = field_types_of(rows).select(F.lit(FIELD).alias("kind"), "key", "type")
-    found = tagged.unionByName(typed).limit(max_columns * 2 + 1).collect()
+    found = tagged.unionByName(typed)
+    found = (found if max_columns is None else found.limit(max_columns * 2 + 1)).collect()
     tags = sorted({r["key"] for r in found if r["kind"] == TAG})
     fields: dict[str, str] = {}
     clash = set()
@@ -171,6 +172,6 @@ def _discover(rows: DataFrame, max_columns: int) -> tuple[list[str], dict[str, s
             clash.add(r["key"])
     if clash:
         raise SeriesError(f"fields with several types: {sorted(clash)}")
-    if len(tags) + len(fields) > max_columns:
+    if max_columns is not None and len(tags) + len(fields) > max_columns:
         raise SeriesError(f"more than {max_columns} columns; name the wanted tags and fields")
     return tags, fields

@@ -351,8 +351,9 @@ def write_measurement(
     ``HASH`` puts rows with equal shard keys below one ``shard`` folder; a hot
     key fills several files there.  ``RANGE`` cuts the order of the shard keys,
     the primary key, the sort keys and the time into ranges, so a hot key is
-    cut by time.  Files are sorted by primary and sort keys, which lets readers
-    skip row groups.
+    cut by time; each range is one ``shard`` folder, and its first and last
+    shard keys are noted for readers.  Files are sorted by primary and sort
+    keys, which lets readers skip row groups.
     """
     check_declared(df.schema, tags, fields)
     if shard_type not in ("HASH", "RANGE"):
@@ -375,14 +376,39 @@ def write_measurement(
         partitions = [SHARD]
     elif shard_keys:
         ranges = list(dict.fromkeys([*shard_keys, *order]))
-        table = table.repartitionByRange(shards, *(col(k) for k in ranges)).sortWithinPartitions(*(col(k) for k in order))
+        table = table.repartitionByRange(shards, *(col(k) for k in ranges)).withColumn(SHARD, F.spark_partition_id())
+        table = table.sortWithinPartitions(SHARD, *(col(k) for k in order))
+        partitions = [SHARD]
     else:
         table = table.hint("rebalance").sortWithinPartitions(*(col(k) for k in order))
     writer = table.write.mode(mode).option("compression", compression)
     (writer.partitionBy(*partitions) if partitions else writer).parquet(path)
-    notes = {"shard_keys": list(shard_keys) if partitions else [], "shards": shards}
+    hashed = shard_type == "HASH"
+    notes = {"shard_keys": list(shard_keys) if hashed else [], "shards": shards}
     kinds = {k: table.schema[k].dataType.simpleString() for k in notes["shard_keys"]}
-    write_notes(df.sparkSession, path, {**notes, "kinds": kinds})
+    spark = df.sparkSession
+    if shard_keys and not hashed:
+        notes["ranges"] = _noted_ranges(spark.read.schema(table.schema).parquet(path), shard_keys)
+        notes["range_kinds"] = [[k, table.schema[k].dataType.simpleString()] for k in shard_keys]
+    write_notes(spark, path, {**notes, "kinds": kinds})
+
+
+def _noted_ranges(stored: DataFrame, shard_keys: Sequence[str]) -> list[str]:
+    """For each shard a JSON text with its least and greatest value of every shard key."""
+    ends = [f(col(k)).alias(f"{name}{i}") for i, k in enumerate(shard_keys) for name, f in (("lo", F.min), ("hi", F.max))]
+    rows = stored.groupBy(SHARD).agg(*ends)
+    return [r[0] for r in rows.select(F.to_json(F.struct(SHARD, *rows.columns[1:]))).collect()]
+
+
+def _shards_with(spark: SparkSession, ranges: Sequence[str], kinds: Mapping[str, str], values: Mapping[str, Any]) -> list[int]:
+    """Shards whose noted ranges of shard keys hold the given values."""
+    fields = [f"{name}{i} {kind}" for i, kind in enumerate(kinds.values()) for name in ("lo", "hi")]
+    texts = spark.createDataFrame([(r,) for r in ranges], "value string")
+    rows = texts.select(F.from_json("value", f"{SHARD} int, {', '.join(fields)}").alias("r")).select("r.*")
+    for i, (key, kind) in enumerate(kinds.items()):
+        if key in values:
+            rows = rows.where(F.lit(values[key]).cast(kind).between(F.col(f"lo{i}"), F.col(f"hi{i}")))
+    return [r[SHARD] for r in rows.select(SHARD).collect()]
 
 
 def shard_of(values: Mapping[str, Any], kinds: Mapping[str, str], shards: int = 64) -> Column:
@@ -393,7 +419,8 @@ def shard_of(values: Mapping[str, Any], kinds: Mapping[str, str], shards: int =
 def read_measurement(spark: SparkSession, path: str, **keys: Any) -> DataFrame:
     """Rows of a measurement table, of one combination of key values if given.
 
-    Values of all shard keys leave one shard folder to read.
+    Values of all shard keys leave one shard folder to read; of a table cut in
+    ranges, values of any shard key leave the ranges that may hold them.
     """
     notes = read_notes(spark, path)
     table = spark.read.parquet(path)
@@ -402,6 +429,9 @@ def read_measurement(spark: SparkSession, path: str, **keys: Any) -> DataFrame:
     kinds = {k: notes["kinds"][k] for k in notes.get("shard_keys", [])}
     if kinds and all(k in keys for k in kinds):
         table = table.where(F.col(SHARD) == shard_of(keys, kinds, notes["shards"]))
+    ranged = dict(notes.get("range_kinds", []))
+    if any(k in keys for k in ranged):
+        table = table.where(F.col(SHARD).isin(_shards_with(spark, notes["ranges"], ranged, keys)))
     return table.drop(SHARD)
 
 

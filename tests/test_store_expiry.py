@@ -9,17 +9,20 @@ import pytest
 from helpers import plan_text
 from pyspark.sql import functions as F
 
-from sparkseries.model import SeriesError
+from sparkseries.model import SeriesError, with_roles
 from sparkseries.operators.retention import expired_shard_groups, keep_retained, policies, resolve_policy, shard_durations
 from sparkseries.sources.layout import (
     POINT_PARTITIONS,
+    SHARD,
     drop_expired,
     drop_measurement,
     drop_measurement_partitions,
     expired_groups,
     merge_into_store,
     placed_points,
+    read_measurement,
     read_points,
+    write_measurement,
     write_points,
 )
 
@@ -177,3 +180,22 @@ def test_partitions_of_a_table_are_dropped_together(spark, days):
         assert spark.table("many_groups").count() == 0
     finally:
         spark.sql("DROP TABLE IF EXISTS many_groups")
+
+
+def test_ranges_are_noted_and_prune(spark, tmp_path):
+    path = str(tmp_path / "m")
+    df = spark.range(4_000).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('t', lpad(id % 60, 2, '0')) END AS tag", "concat('s', id % 4) AS other", "id AS f", "id AS time")
+    table = with_roles(df, time="time", tags=["tag", "other"], fields=["f"])
+    write_measurement(table, path, tags=["tag", "other"], fields={"f": "INT64"}, time="time", shard_keys=["tag", "other"], shard_type="RANGE", shards=10)
+    folders = len(glob.glob(f"{path}/shard=*"))
+    assert folders == 10
+    for keys in ({"tag": "t22"}, {"tag": "hot"}, {"tag": "hot", "other": "s1"}, {"other": "s2"}, {"tag": "absent"}, {"tag": "hot", "f": 9}):
+        got = read_measurement(spark, path, **keys)
+        want = [r["f"] for r in df.collect() if all(r[k] == v for k, v in keys.items())]
+        assert sorted(r["f"] for r in got.collect()) == want
+        assert SHARD not in got.columns
+    one = read_measurement(spark, path, tag="t22").select(F.input_file_name().alias("f")).distinct().count()
+    assert one <= 2
+    plan = plan_text(read_measurement(spark, path, tag="t22"))
+    filters = plan[plan.index("PartitionFilters") : plan.index("PushedFilters")]
+    assert "shard" in filters
