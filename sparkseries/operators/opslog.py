@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkseries.functions.values import let
 from sparkseries.model import SeriesError, col
+from sparkseries.session import scratch_folder
 
 # Rank errors of the published latency quantiles.
 QUANTILE_ERRORS = {0.5: 0.05, 0.9: 0.01, 0.99: 0.001}
@@ -17,9 +18,10 @@ QUERY_WORDS = ("SELECT", "SHOW", "EXPLAIN", "DESCRIBE", "DESC", "WITH")
 COMMAND_WORDS = ("CREATE", "DROP", "ALTER", "UPDATE", "DELETE")
 INSERT_WORD = "INSERT"
 
-#: groups up to this size are ranked whole; larger ones inside an approximate bracket
+#: values up to which a bracket is ranked as a list; a larger one is narrowed first
 _SMALL_GROUP = 20_000
 _ACCURACY = 10_000
+_PARTS = 100  # a bracket is cut into so many parts when it is narrowed
 
 
 def quantile_name(q: float) -> str:
@@ -65,9 +67,12 @@ def metric_rollup(
 def _exact_rollup(rows: DataFrame, keys: list[str], quantiles: Sequence[float]) -> DataFrame:
     """Exact quantiles without bringing a group into one task.
 
-    A first pass brackets every wanted rank by two approximate quantiles.  A
-    second pass only counts the values below a bracket and keeps, as counts per
-    distinct value, those inside it; ranks are then exact within the bracket.
+    A first pass brackets the wanted ranks of each quantile by approximate
+    quantiles.  A bracket of more than ``_SMALL_GROUP`` values is narrowed by
+    passes that count what lies below it, at its ends and inside; each pass
+    leaves about a fiftieth of it.  The last pass counts the values below a
+    bracket and, per distinct value, those inside it, so a hot value is one
+    row.  Group statistics are a written table: Spark broadcasts it by its size.
     """
     margin = 3.0 / _ACCURACY
     probes = [p for q in quantiles for p in (max(q - margin, 0.0), min(q + margin, 1.0))]
@@ -79,22 +84,49 @@ def _exact_rollup(rows: DataFrame, keys: list[str], quantiles: Sequence[float])
         F.max("latency").alias("hi"),
         F.percentile_approx("latency", probes, _ACCURACY).alias("probes"),
     )
-    small = F.col("n") <= _SMALL_GROUP
-    brackets = F.array(
-        *(
+    small = F.col("n") <= max(_SMALL_GROUP, _ACCURACY)  # fewer ranks than the margins need
+    brackets = []
+    for i, q in enumerate(quantiles):
+        position = F.lit(float(q)) * (F.col("n") - 1)
+        brackets.append(
             F.struct(
                 F.lit(i).alias("i"),
+                F.floor(position).alias("a"),
+                F.ceil(position).alias("b"),
                 F.when(small, F.col("lo")).otherwise(F.get("probes", F.lit(2 * i))).alias("lo"),
                 F.when(small, F.col("hi")).otherwise(F.get("probes", F.lit(2 * i + 1))).alias("hi"),
+                F.when(small, F.col("n")).otherwise(F.ceil(F.col("n") * (2 * margin + 2.0 / _ACCURACY))).alias("size"),
             )
-            for i in range(len(quantiles))
         )
-    )
-    stats = stats.select(
-        *(F.col(k).alias(f"__{k}") for k in keys), "requests", "n", "latency_sum", brackets.alias("brackets")
-    )
-    same = [rows[k].eqNullSafe(stats[f"__{k}"]) for k in keys]
-    joined = rows.join(stats, same)
+    stats = stats.select(*(F.col(k).alias(f"__{k}") for k in keys), "requests", "n", "latency_sum", F.array(*brackets).alias("brackets"))
+    stats = _written(stats)
+    while (stats.agg(F.max(F.array_max(F.transform("brackets", lambda b: b["size"])))).first()[0] or 0) > _SMALL_GROUP:
+        stats = _written(_narrowed(rows, stats, keys))
+    group = [*(f"__{k}" for k in keys), "requests", "n", "latency_sum"]
+    counted = _hits(rows, stats, keys, group).groupBy(*group, F.col("hit.i").alias("i"), F.col("hit.v").alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    # the values below a bracket have a null value and come first
+    lists = counted.groupBy(*group, "i").agg(F.array_sort(F.collect_list(F.struct("v", "c"))).alias("values"))
+    picks = []
+    for i, q in enumerate(quantiles):
+        position = F.lit(float(q)) * (F.col("n") - 1)
+        a, b = (_ranked(F.col("values"), r) for r in (F.floor(position), F.ceil(position)))
+        missed = F.raise_error(F.lit("a quantile fell outside its bracket")).cast("double")
+        exact = F.when(a.isNull() | b.isNull(), missed).otherwise(a + (b - a) * (position - F.floor(position)))
+        picks.append(F.max(F.when((F.col("i") == i) & (F.col("n") > 0), exact)).alias(quantile_name(q)))
+    picked = lists.groupBy(*group).agg(*picks)
+    return picked.select(*(F.col(f"__{k}").alias(k) for k in keys), "requests", "latency_sum", *(quantile_name(q) for q in quantiles))
+
+
+def _written(df: DataFrame) -> DataFrame:
+    """``df`` as a table in the shared scratch folder, whose size Spark knows."""
+    path = scratch_folder(df.sparkSession, "rollup")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _hits(rows: DataFrame, stats: DataFrame, keys: list[str], group: list[str]) -> DataFrame:
+    """``hit`` (i, v) of each row and bracket: the value inside it, null for one below; rows outside all leave one empty hit."""
+    joined = rows.join(stats, [rows[k].eqNullSafe(stats[f"__{k}"]) for k in keys])
     value = F.col("latency")
     hits = F.filter(
         F.transform(
@@ -105,30 +137,68 @@ def _exact_rollup(rows: DataFrame, keys: list[str], quantiles: Sequence[float])
         ),
         lambda hit: hit.isNotNull(),
     )
-    group = [*keys, "requests", "n", "latency_sum"]
-    # Rows outside all brackets leave one empty hit, so that no group is lost.
-    counted = (
-        joined.select(*group, F.explode_outer(hits).alias("hit"))
-        .groupBy(*group, F.col("hit.i").alias("i"), F.col("hit.v").alias("v"))
-        .agg(F.count(F.lit(1)).alias("c"))
+    return joined.select(*group, F.explode_outer(hits).alias("hit"))
+
+
+def _ranked(values: Column, rank: Column) -> Column:
+    """The value of a rank, from the sorted list of values and their counts."""
+    start = F.struct(F.lit(0).cast("bigint").alias("upto"), F.lit(None).cast("double").alias("v"))
+    return F.aggregate(
+        values,
+        start,
+        lambda s, x: F.struct(
+            (s["upto"] + x["c"]).alias("upto"), F.when((s["upto"] <= rank) & (rank < s["upto"] + x["c"]), x["v"]).otherwise(s["v"]).alias("v")
+        ),
+    )["v"]
+
+
+def _narrowed(rows: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
+    """``stats`` with smaller brackets that hold the same ranks.
+
+    Of a bracket the values at its ends are counted apart, so a hot value leaves
+    it in one pass; what is between them is cut by approximate quantiles whose
+    rank error is allowed for.
+    """
+    group = [f"__{k}" for k in keys]
+    bounds = stats.select(*group, F.inline("brackets")).select(*group, *(F.col(c).alias(f"b_{c}") for c in ("i", "a", "b", "lo", "hi", "size")))
+    grid = [j / _PARTS for j in range(_PARTS + 1)]
+    hits = _hits(rows, stats, keys, [*group, "brackets"])
+    v = F.col("hit.v")
+    own = F.get("brackets", F.col("hit.i"))  # brackets lie in the order of i
+    named = [F.col(g).alias(f"x{g}") for g in group]
+    same = [F.col(g).eqNullSafe(F.col(f"x{g}")) for g in group]
+    seen = hits.where(F.col("hit.i").isNotNull()).groupBy(*named, F.col("hit.i").alias("i")).agg(
+        F.count_if(v.isNull()).alias("below"),
+        F.count(v).alias("inside"),
+        F.count_if(v == own["lo"]).alias("at_lo"),
+        F.count_if(v == own["hi"]).alias("at_hi"),
+        F.min(F.when(v > own["lo"], v)).alias("next"),
+        F.max(F.when(v < own["hi"], v)).alias("last"),
+        F.percentile_approx(v, grid, _ACCURACY).alias("cuts"),
+    )
+    both = bounds.join(seen, [*same, F.col("b_i") == F.col("i")], "left").drop(*(f"x{g}" for g in group))
+    a, b, inside = F.col("b_a") - F.col("below"), F.col("b_b") - F.col("below"), F.col("inside")
+    slack = 2.0 / _ACCURACY
+    low_cut = F.get("cuts", F.floor((a / inside - slack) * _PARTS).cast("int"))
+    high_cut = F.get("cuts", F.ceil(((b + 1) / inside + slack) * _PARTS).cast("int"))
+    in_low, in_high = F.col("at_lo"), inside - F.col("at_hi")
+
+    def bracket(lo: Column, hi: Column, size: Column) -> Column:
+        return F.struct(F.col("b_i").alias("i"), F.col("b_a").alias("a"), F.col("b_b").alias("b"), lo.alias("lo"), hi.alias("hi"), size.cast("bigint").alias("size"))
+
+    lo, hi, few = F.col("b_lo"), F.col("b_hi"), F.lit(2)
+    between = bracket(F.greatest("next", low_cut), F.least("last", high_cut), F.ceil(inside * (3.0 / _PARTS)))
+    smaller = (
+        F.when(inside.isNull() | (F.col("b_size") <= _SMALL_GROUP), bracket(lo, hi, F.col("b_size")))
+        .when(inside <= _SMALL_GROUP, bracket(lo, hi, inside))
+        .when(b < in_low, bracket(lo, lo, few))
+        .when(a >= in_high, bracket(hi, hi, few))
+        .when(a < in_low, bracket(lo, F.col("next"), few))
+        .when(b >= in_high, bracket(F.col("last"), hi, few))
+        .otherwise(between)
     )
-    upto = Window.partitionBy(*group, "i").orderBy(F.col("v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counted.withColumn("upto", F.sum("c").over(upto))
-    picks = []
-    for i, q in enumerate(quantiles):
-        position = F.lit(float(q)) * (F.col("n") - 1)
-        for edge, rank in (("a", F.floor(position)), ("b", F.ceil(position))):
-            at = (F.col("i") == i) & (F.col("upto") - F.col("c") <= rank) & (rank < F.col("upto"))
-            picks.append(F.max(F.when(at, F.col("v"))).alias(f"{edge}{i}"))
-    picked = ranked.groupBy(*group).agg(*picks)
-    named = []
-    for i, q in enumerate(quantiles):
-        position = F.lit(float(q)) * (F.col("n") - 1)
-        a, b = F.col(f"a{i}"), F.col(f"b{i}")
-        missed = F.raise_error(F.lit("a quantile fell outside its bracket")).cast("double")
-        exact = F.when(a.isNull() | b.isNull(), missed).otherwise(a + (b - a) * (position - F.floor(position)))
-        named.append(F.when(F.col("n") > 0, exact).alias(quantile_name(q)))
-    return picked.select(*keys, "requests", "latency_sum", *named)
+    lists = both.groupBy(*named).agg(F.array_sort(F.collect_list(smaller)).alias("brackets"))
+    return stats.drop("brackets").join(lists, same).select(*stats.columns)
 
 
 # --------------------------------------------------------------------------

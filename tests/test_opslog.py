@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from helpers import plan_text
 from pyspark.sql import functions as F
 
 from sparkseries.model import SeriesError
@@ -90,3 +91,28 @@ def test_wrong_quantiles(spark):
     for wrong in ([], [1.5]):
         with pytest.raises(SeriesError):
             metric_rollup(spark.range(1).selectExpr("'a' AS kind", "'b' AS database", "1D AS latency"), quantiles=wrong)
+
+
+@pytest.mark.parametrize("shape", ["spread", "hot low", "hot high", "two values", "hot amid", "nulls"])
+def test_brackets_are_narrowed_until_they_are_small(spark, monkeypatch, shape):
+    monkeypatch.setattr(opslog, "_SMALL_GROUP", 12)
+    monkeypatch.setattr(opslog, "_ACCURACY", 400)
+    rng = np.random.default_rng(5)
+    values = [float(v) for v in rng.gamma(2, 9, 4_000)]
+    hot = {"hot low": 0.0, "hot high": 1e6, "hot amid": 15.0}
+    if shape in hot:
+        values = [hot[shape] if i % 20 else v for i, v in enumerate(values)]
+    if shape == "two values":
+        values = [float(i % 2) for i in range(4_000)]
+    if shape == "nulls":
+        values = [None if i % 3 else v for i, v in enumerate(values)]
+    rows = [("query", f"d{i % 2}" if i % 50 else None, v) for i, v in enumerate(values)]
+    check(spark, rows, (0.0, 0.03, 0.5, 0.96, 0.99, 1.0))
+
+
+def test_a_hot_group_needs_no_window(spark):
+    df = spark.range(60_000).selectExpr("'query' AS kind", "'hot' AS database", "CAST(id % 40000 AS double) AS latency")
+    rolled = metric_rollup(df)
+    plan = plan_text(rolled)
+    assert "Window" not in plan and "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert rolled.where("is_total").first()["p50"] == float(np.quantile(np.arange(60_000) % 40_000, 0.5))
