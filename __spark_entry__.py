@@ -636,6 +636,17 @@ def _(spark, d):
     return without_measurement(points, "metrics", "", "click").groupBy("measurement").agg(F.count(F.lit(1)).alias("n"))
 
 
+@_register(
+    "show_tag_values_page",
+    "SELECT 'orders' AS measurement, 'order' AS key, CAST(o_orderkey AS VARCHAR) AS value FROM orders "
+    "ORDER BY value DESC LIMIT 12000 OFFSET 1500",
+)
+def _(spark, d):
+    orders = _orders(spark, d).withColumn("order", F.col("o_orderkey").cast("string"))
+    points = wide_to_points(orders, "orders", tags=["order"], fields=["o_totalprice"], time="o_orderdate")
+    return show_tag_values(points, keys=["order"], order="DESC", limit=12_000, offset=1_500)
+
+
 # --------------------------------------------------------------------------
 # quality
 

@@ -154,6 +154,14 @@ def page(
         return (ordered.offset(offset) if offset else ordered).limit(limit)
 
     key = order_key(df, time=time, ties=ties, series=series, descending=descending)
+    rows = _between(df, key, order, series, offset, last, buckets)
+    return rows if series else rows.orderBy(*order)
+
+
+def _between(
+    df: DataFrame, key: Column, order: Sequence[Column], series: Sequence[str], offset: int, last: int | None, buckets: int
+) -> DataFrame:
+    """Rows of the ranks ``offset + 1 .. last`` in the order, which ``key`` never goes against."""
     edges = _edges(df, key, buckets)
     keyed, counts = _with_buckets(df, _bucket(edges, key, buckets), series)
     bounded = _bounded(keyed.drop(_BUCKET), _page_bounds(counts, offset, last), bool(series))
@@ -168,8 +176,7 @@ def page(
     after = (F.col(_BUCKET) > first) | (F.col(RANK) > F.col("__skip"))
     before = end.isNull() | (F.col(_BUCKET) < end) | (F.col(RANK) <= F.col("__take"))
     columns = [col(c) for c in df.columns]
-    rows = inside.select(*columns).union(numbered.where(after & before).select(*columns))
-    return rows if series else rows.orderBy(*order)
+    return inside.select(*columns).union(numbered.where(after & before).select(*columns))
 
 
 def _page_bounds(counts: DataFrame, offset: int, last: int | None) -> DataFrame:
@@ -199,22 +206,30 @@ def _bounded(keyed: DataFrame, bounds: DataFrame, series: bool) -> DataFrame:
 
 
 def page_distinct(
-    df: DataFrame, keys: Sequence[str], *, limit: int = 0, offset: int = 0, descending: bool = False
+    df: DataFrame, keys: Sequence[str], *, limit: int = 0, offset: int = 0, descending: bool = False, buckets: int = EDGES + 1
 ) -> DataFrame:
     """A page of a DataFrame whose ``keys`` are unique, ordered by them.
 
-    An offset without a limit keeps the rows above the offset-th key; that key
-    comes from a top-n, so no task sees all rows.
+    A page that ends within ``GLOBAL_DIRECT_ROWS`` is a top-n.  A later one, or
+    an offset without a limit, is found by equi-depth buckets, so no task sees
+    all rows before it.
     """
     limit, offset = max(limit, 0), max(offset, 0)
-    # Spark's default null order agrees with the comparison of structs below.
+    if not limit and not offset:
+        return df
     order = [col(k).desc() if descending else col(k).asc() for k in keys]
-    if limit:
+    last = offset + limit if limit else None
+    if last is not None and last <= GLOBAL_DIRECT_ROWS:
         ordered = df.orderBy(*order)
         return (ordered.offset(offset) if offset else ordered).limit(limit)
-    if not offset:
-        return df
-    row = F.struct(*(col(k) for k in keys))
-    head = df.orderBy(*order).limit(offset).select(row.alias("k"))
-    edge = head.agg((F.min if descending else F.max)("k").alias("edge")).scalar()
-    return df.where(row < edge if descending else row > edge)
+    rising = [col(k).asc() for k in keys]
+    # Structs compare null fields as the least, as rising order does; types without a key end it.
+    parts = list(takewhile(lambda part: part is not None, (_sortable(df, k) for k in keys)))
+    key = F.struct(*(p.alias(f"v{i}") for i, p in enumerate(parts))) if parts else F.struct(F.lit(0).alias("v0"))
+    if not descending:
+        rows = _between(df, key, rising, (), offset, last, buckets)
+    else:  # ranks from the other end
+        total = df.count()
+        first, end = max(0, total - last) if last is not None else 0, total - offset
+        rows = _between(df, key, rising, (), first, end, buckets) if end > first else df.where(F.lit(False))
+    return rows.orderBy(*order) if limit else rows

@@ -277,6 +277,20 @@ def test_large_page_has_no_single_partition(spark, skewed):
     assert "SinglePartition" not in plan
 
 
+@pytest.mark.parametrize("descending", [False, True])
+def test_late_pages_of_distinct_keys(spark, monkeypatch, descending):
+    monkeypatch.setattr(paging, "GLOBAL_DIRECT_ROWS", 50)
+    rows = [(f"k{i % 400}" if i % 97 else None, i // 400) for i in range(1_200)]
+    rows = sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or "", r[1]), reverse=descending)
+    df = spark.createDataFrame(rows, "k string, n int").repartition(4)
+    for limit, offset in ((30, 100), (1, 1_100), (5_000, 3), (0, 1_000), (0, 9_999), (60, 0)):
+        got = page_distinct(df, ["k", "n"], limit=limit, offset=offset, descending=descending, buckets=32)
+        want = rows[offset : offset + limit if limit else None]
+        found = [tuple(r) for r in got.collect()]
+        assert found == want if limit else sorted(map(str, found)) == sorted(map(str, want))
+    assert "SinglePartition" not in plan_text(page_distinct(df, ["k", "n"], limit=500, offset=100, buckets=32))
+
+
 @pytest.mark.parametrize("shared", ["hour", "time"])
 def test_a_hot_hour_is_many_buckets(spark, shared):
     df = spark.range(20_000).selectExpr("'hot' AS tag", f"id % {3_600_000 if shared == 'hour' else 1} * 1000000 AS t", "uuid() AS name", "id % 7 AS x", "id").cache()
