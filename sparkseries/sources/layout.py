@@ -146,9 +146,9 @@ def placed_points(
     shard_duration: str = DEFAULT_SHARD_GROUP,
     own_durations: Mapping[tuple[str, str], str] | None = None,
     default_policies: Mapping[str, str] | None = None,
-    within: Sequence[str] = (),
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Good points with all partition columns, laid out for writing below those in ``within``.
+    """Good points with all partition columns and those in ``keep``, laid out for writing.
 
     An empty policy becomes the database's default one in ``policies``, else in
     ``default_policies``, else ``autogen``.
@@ -169,8 +169,8 @@ def placed_points(
         rows = [(db_, name, True) for db_, name in default_policies.items()]
         policies = points.sparkSession.createDataFrame(rows, "db string, name string, is_default boolean")
     grouped = with_policy_shard_group(resolve_policy(timed, policies), own_durations or {}, shard_duration)
-    placed = grouped.select(*within, *STORED_POINTS.names)
-    return placed.hint("rebalance", *within, *POINT_PARTITIONS).sortWithinPartitions(*within, *POINT_PARTITIONS, TIME_NS)
+    placed = grouped.select(*keep, *STORED_POINTS.names)
+    return placed.hint("rebalance", *POINT_PARTITIONS).sortWithinPartitions(*POINT_PARTITIONS, TIME_NS)
 
 
 def read_points(
