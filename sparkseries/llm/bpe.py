@@ -18,6 +18,8 @@ _SPACE = r"\t-\r \x85\xa0  -     　"
 #: fixed values: the byte-level split of the vocabulary file
 _SPLIT = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
 _OUTER_SPACE = regex.compile(rf"\A[{_SPACE}]|[{_SPACE}]\Z")
+#: up to here letters are the same in every version of Unicode
+_LATIN_END = "\u0250"
 _NEVER = 1 << 60
 
 
@@ -133,11 +135,13 @@ class Words:
     after letters is the sum of those letters and the mark.  Texts with other
     white space at a space or break go to ``whole``, the encoder itself.  New
     words are encoded in one text and told apart by ``sizes``, the number of
-    bytes of each token.
+    bytes of each token.  ``alone`` gives the ids of a space and Latin letters
+    after it, which the split keeps in one piece; without it they are encoded
+    like others.
     """
 
-    def __init__(self, whole, sizes: np.ndarray, most: int = 700_000):
-        self.whole, self.sizes, self.most = whole, sizes, most
+    def __init__(self, whole, sizes: np.ndarray, most: int = 700_000, alone=None):
+        self.whole, self.sizes, self.most, self.alone = whole, sizes, most, alone
         #: ids of each word; empty for one that cannot stand alone
         self.known: dict[str, bytes] = {}
         self.marks = {mark: _packed(whole(mark)) for mark in ".,"}
@@ -151,17 +155,21 @@ class Words:
             if len(self.known) > self.most:
                 self.known.clear()
                 found = [None] * len(words)
-            self._learn({w for w, ids in zip(words, found) if ids is None})
-            known = self.known
-            found = [known[w] if ids is None else ids for w, ids in zip(words, found)]
+            new = [i for i, ids in enumerate(found) if ids is None]
+            self._learn({words[i] for i in new})
+            for i in new:
+                found[i] = self.known[words[i]]
         return b"".join(found)[4:] if all(found) else _packed(self.whole(text))
 
     def _learn(self, words: set[str]) -> None:
-        known = self.known
+        known, alone = self.known, self.alone
         stems = {w: w[:-1] for w in words if w[-1:] in self.marks and w[:-1].isalpha()}
         wanted = [w for w in {*(words - stems.keys()), *stems.values()} if w not in known]
         plain = []
         for w in wanted:
+            if alone and w.isalpha() and (w.isascii() or max(w) < _LATIN_END):
+                known[w] = _packed(alone(w))
+                continue
             own = w[1:] if w[:1] == "\n" else w
             if own.isalnum() or (own and not _OUTER_SPACE.search(own)):
                 plain.append(w)

@@ -11,8 +11,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkseries.llm.bpe import Words, token_sizes
-from sparkseries.llm.common import raw_text, stored
+from sparkseries.llm.bpe import Words, byte_alphabet, token_sizes
+from sparkseries.llm.common import give_back_memory, raw_text, stored
 
 _TOKENIZERS: dict[str, Words] = {}
 
@@ -28,10 +28,24 @@ def tokenizer(path: str) -> Words:
         made.no_padding()
         special = {token.content for token in made.get_added_tokens_decoder().values()}
         sizes = token_sizes({i: t.encode() if t in special else t for t, i in made.get_vocab().items()})
-        _TOKENIZERS[path] = Words(lambda text: made.encode_batch_fast([text], add_special_tokens=False)[0].ids, sizes, 1_100_000)
+        whole = lambda text: made.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        _TOKENIZERS[path] = Words(whole, sizes, 1_000_000, None if any(t.isalpha() for t in special) else _alone(made))
     return _TOKENIZERS[path]
 
 
+def _alone(made):
+    """The ids of a word of letters with a space before it, by the library's model without the split."""
+    letters = {b: c for c, b in byte_alphabet().items()}
+    space, tokenize = letters[32], made.model.tokenize
+    made.model._resize_cache(0)  # words are remembered here
+
+    def ids(word: str) -> list[int]:
+        shown = word if word.isascii() else word.encode().decode("latin-1").translate(letters)
+        return [token.id for token in tokenize(space + shown)]
+
+    return ids
+
+
 def combinations(window: int, step: int) -> list[tuple[int, ...]]:
     """Shallow multisets of lengths that leave no padding.
 
@@ -121,6 +135,13 @@ class Plan:
         return out
 
 
+def _slices(batches, rows: int = 1_000):
+    """Batches in parts, so that few texts lie in memory with all their ids."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def _pieces(path: str, window: int, end_id: int):
     """Documents' ids cut at window lengths; what is left over keeps its ids."""
 
@@ -128,7 +149,7 @@ def _pieces(path: str, window: int, end_id: int):
         words, part = tokenizer(path), TaskContext.get().partitionId()
         ranks = [0] * (window + 1)
         end = np.array([end_id], "<u4").tobytes()
-        for batch in batches:
+        for batch in _slices(batches):
             rows, out = [], [[] for _ in range(6)]
             for row, data in enumerate(batch.column(1).to_pylist()):
                 ids = words.encode(data.decode("utf-8", "replace")) + end
@@ -145,6 +166,7 @@ def _pieces(path: str, window: int, end_id: int):
                 [batch.column(0).take(pa.array(rows, pa.int32())), pa.array([part] * len(rows), pa.int32()), *(pa.array(c, k) for c, k in zip(out, kinds))],
                 names=["id", "part", "start", "length", "crc", "total", "rank", "ids"],
             )
+        give_back_memory()
 
     return run
 

@@ -9,7 +9,7 @@ import pytest
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 from sparkseries.llm.bpe import encoder, transcode  # noqa: E402
-from sparkseries.llm.packing import Plan, combinations, least_squares, pack  # noqa: E402
+from sparkseries.llm.packing import Plan, combinations, least_squares, pack, tokenizer  # noqa: E402
 from tokenizers import Tokenizer  # noqa: E402
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -90,6 +90,21 @@ def test_packing(documents, window):
     assert checked(got, rows, window) < window
 
 
+def test_new_words_of_letters_go_past_the_split(monkeypatch):
+    words = tokenizer(PATH)
+    words.known.clear()
+    rng, sent, whole = random.Random(6), [], words.whole
+    letters = [c for c in map(chr, range(0x180)) if c.isalpha()] + ["\u0250", "ж", "ʰ", "İ", "ǅ"]
+    texts = ["".join(rng.choice(letters) if rng.random() < 0.8 else rng.choice(" \n,.'") for _ in range(50)) for _ in range(2000)]
+    monkeypatch.setattr(words, "whole", lambda text: sent.append(text) or whole(text))
+    for text in [*texts, "plain words of letters, über élan.", *some_texts(7, 500)]:
+        assert np.frombuffer(words.encode(text), "<u4").tolist() == library_ids(text)
+    sent.clear()
+    words.known.clear()
+    words.encode("plain words of letters, über élan.")
+    assert sent == ["\nplain"]
+
+
 def test_packing_of_repeated_rows_and_empty_tables(documents):
     got = pack(documents([(1, "one fish"), (1, "one fish"), (None, "two")]), PATH, window=16, step=4).collect()
     assert sum(r.length for r in got) == 3 + 3 + 2
