@@ -59,6 +59,9 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the smallest id of each group of texts that share 0.8 of their 5-word shingles; rows of one id are one document.
 
+    SimHash fingerprints within 3 bits name the first pairs; what lies farther
+    apart and is still that similar is found by bands and rare shingles.
+
     Texts without words, null ones included, are copies of one another, so one
     of them stays.  Of equal ids all rows stay or go together; rows without an
     id all stay.  The whole text counts, whatever its length.

@@ -18,6 +18,17 @@ _BYTE_BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 _PLACE = (np.arange(8, dtype=np.uint16) * 256)[None, :]
 
 
+def bit_counts(values: np.ndarray) -> np.ndarray:
+    """How many of the 64-bit values have each bit."""
+    places = values.view(np.uint8).reshape(-1, 8) + _PLACE
+    return (np.bincount(places.ravel(), minlength=2048).reshape(8, 256) @ _BYTE_BITS).ravel()
+
+
+def majority(ones: np.ndarray, total: int) -> int:
+    """The bits that more than half of ``total`` values have, as a signed number."""
+    return int(np.packbits(2 * ones > total, bitorder="little").view(np.int64)[0])
+
+
 def fingerprint(data: bytes, words_per_shingle: int = 3) -> int:
     """64-bit SimHash of a text's word shingles, as a signed number.
 
@@ -31,18 +42,15 @@ def fingerprint(data: bytes, words_per_shingle: int = 3) -> int:
         if len(words) >= k:
             shingles = map(b" ".join, zip(*(words[i:] for i in range(k))))
             values = np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(_SEED)), np.uint64)
-            places = values.view(np.uint8).reshape(-1, 8) + _PLACE
-            ones += (np.bincount(places.ravel(), minlength=2048).reshape(8, 256) @ _BYTE_BITS).ravel()
+            ones += bit_counts(values)
             total += len(values)
         carry = words[max(0, len(words) - k + 1) :]
     if not total:
         if not carry:
             return 0
         total = 1
-        ones = np.unpackbits(
-            np.array([xxhash.xxh64_intdigest(b" ".join(carry), _SEED)], np.uint64).view(np.uint8), bitorder="little"
-        ).astype(np.int64)
-    return int(np.packbits(2 * ones > total, bitorder="little").view(np.int64)[0])
+        ones = bit_counts(np.array([xxhash.xxh64_intdigest(b" ".join(carry), _SEED)], np.uint64))
+    return majority(ones, total)
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_per_shingle: int = 3) -> DataFrame:
