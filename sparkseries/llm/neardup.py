@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkseries.llm.common import raw_text, stored, word_blocks
+from sparkseries.llm.common import give_back_memory, raw_text, stored, word_blocks
 from sparkseries.llm.components import components
 from sparkseries.llm.simhash import bit_counts, close_pairs, majority
 
@@ -49,25 +49,35 @@ def signature(data: bytes, words_per_shingle: int) -> tuple[bytes, int, list[int
     return name.digest(), majority(ones, total), np.array(keys, np.uint64).view(np.int64).tolist()
 
 
-def signatures(docs: DataFrame, id_col: str, text_col: str, words_per_shingle: int) -> DataFrame:
-    """``(id, name, fp, keys)`` of every row; the whole text is read, null counts as empty."""
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches in slices; what a task before left unused and what this one leaves goes back to the system."""
+    give_back_memory()
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+    give_back_memory()
 
+
+def _signed(words_per_shingle: int):
     def run(batches):
         kinds = [pa.binary(), pa.int64(), pa.list_(pa.int64())]
-        for batch in batches:
+        for batch in _slices(batches):
             made = [signature(t, words_per_shingle) for t in batch.column(1).to_pylist()]
             columns = [pa.array([m[i] for m in made], kind) for i, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["id", "name", "fp", "keys"])
 
-    source = docs.select(F.col(id_col).cast("long").alias("id"), raw_text(text_col).alias("text"))
-    return source.mapInArrow(run, "id long, name binary, fp long, keys array<long>")
+    return run
 
 
-def shingle_sets(docs: DataFrame, text_col: str, words_per_shingle: int) -> DataFrame:
-    """``(name, shingles)``: the distinct shingles of every row's text."""
+def signatures(docs: DataFrame, id_col: str, text_col: str, words_per_shingle: int) -> DataFrame:
+    """``(id, name, fp, keys)`` of every row; the whole text is read, null counts as empty."""
+    source = docs.select(F.col(id_col).cast("long").alias("id"), raw_text(text_col).alias("text"))
+    return source.mapInArrow(_signed(words_per_shingle), "id long, name binary, fp long, keys array<long>")
+
 
+def _listed(words_per_shingle: int):
     def run(batches):
-        for batch in batches:
+        for batch in _slices(batches):
             names, sets = [], []
             for data in batch.column(0).to_pylist():
                 values = np.concatenate([np.zeros(0, np.uint64), *shingle_blocks(data, words_per_shingle)])
@@ -75,7 +85,12 @@ def shingle_sets(docs: DataFrame, text_col: str, words_per_shingle: int) -> Data
                 sets.append(np.unique(values).view(np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(sets, pa.list_(pa.int64()))], names=["name", "shingles"])
 
-    return docs.select(raw_text(text_col).alias("text")).mapInArrow(run, "name binary, shingles array<long>")
+    return run
+
+
+def shingle_sets(docs: DataFrame, text_col: str, words_per_shingle: int) -> DataFrame:
+    """``(name, shingles)``: the distinct shingles of every row's text."""
+    return docs.select(raw_text(text_col).alias("text")).mapInArrow(_listed(words_per_shingle), "name binary, shingles array<long>")
 
 
 def similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -105,6 +120,11 @@ def _may_reach(similarity: float, a: str, b: str) -> Column:
     return most / (F.col(f"{a}.n") + F.col(f"{b}.n") - most) >= similarity
 
 
+def rare_items(numbered: DataFrame, sets: DataFrame) -> DataFrame:
+    """``(no, n, s)``: every shingle of the classes ``(name, no)``; numbers in place of names, for these rows are shuffled three times."""
+    return sets.join(numbered, "name").select("no", F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
+
+
 def rare_posts(placed: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """``(s, name, root, n, pos)``: the rarest shingles of each of the classes ``(name, root)``, those held once left out.
 
@@ -112,16 +132,18 @@ def rare_posts(placed: DataFrame, sets: DataFrame, similarity: float) -> DataFra
     sets of that similarity share one of the first ``n - similarity * n + 1`` in
     each, and the first that they share leaves enough behind it in both.
     """
-    items = sets.join(placed, "name").select("name", "root", F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
+    numbered = stored(placed.withColumn("no", F.monotonically_increasing_id()), "neardup-numbered")
+    items = rare_items(numbered.select("name", "no"), sets)
     often = items.groupBy("s").agg(F.count("*").alias("held")).where("held > 1")
-    own = Window.partitionBy("name")
+    own = Window.partitionBy("no")
     ranked = items.join(often, "s").withColumn("pos", F.col("n") - F.count("*").over(own) + F.row_number().over(own.orderBy("held", "s")) - 1)
-    posts = ranked.where(F.col("pos") <= F.col("n") - F.ceil(F.col("n") * similarity - 1e-6)).select("s", "name", "root", "n", "pos")
+    posts = ranked.where(F.col("pos") <= F.col("n") - F.ceil(F.col("n") * similarity - 1e-6)).select("s", "no", "n", "pos")
     posts = stored(posts, "neardup-rare")
     smallest = posts.groupBy("s").agg(F.min("n").alias("smallest"))
     rest = F.col("n") - F.col("pos")
     reach = rest / (F.col("n") + F.greatest(F.col("smallest") - rest, F.lit(0))) >= similarity
-    return stored(posts.join(smallest, "s").where(reach).drop("smallest"), "neardup-rare")
+    posts = posts.join(smallest, "s").where(reach).join(numbered, "no")
+    return stored(posts.select("s", "name", "root", "n", "pos"), "neardup-rare")
 
 
 def rare_hubs(posts: DataFrame) -> DataFrame:
@@ -193,7 +215,7 @@ def similar_documents(
     names = stored(prints.groupBy("name", "fp").agg(F.min("id").alias("least")), "neardup-names")
     posts = stored(prints.select("name", "keys").distinct().select("name", F.explode("keys").alias("key")), "neardup-posts")
     close = stored(fingerprint_pairs(names, distance), "neardup-close")
-    buckets = posts.groupBy("key").agg(F.min("name").alias("first"), F.max("name").alias("last")).where("first < last").select("key")
+    buckets = posts.groupBy("key").count().where("count > 1").select("key")
     shared = stored(posts.join(buckets, "key").select("key", "name"), "neardup-shared")
     named = shared.select("name").union(close.select("u")).union(close.select("v")).distinct()
     named = stored(names.join(named, "name").select("name", "least"), "neardup-named")

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 from itertools import combinations
 
+import pyarrow as pa
 import pytest
 
 from sparkseries.llm import neardup
@@ -87,3 +89,42 @@ def test_fingerprints_name_the_first_pairs(documents, tried):
     assert got == {0: 0} | components(rows[1:])
     assert tried[0] and tried[0] <= near
     assert not any(tried[0] & later for later in tried[1:])
+
+
+def test_a_batch_is_read_in_slices():
+    rng = random.Random(13)
+    texts = [" ".join(rng.choices(WORDS, k=20)).encode() + b" " * 20_000 for _ in range(2000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(2000), pa.int64()), pa.array(texts, pa.binary())], names=["id", "text"])
+    signed = [neardup.signature(t, 5)[0] for t in texts]
+    del texts
+    for run, source, name in ((neardup._signed(5), batch, "name"), (neardup._listed(5), batch.select(["text"]), "name")):
+        tracemalloc.start()
+        got = [n for part in run(iter([source])) for n in part.column(name).to_pylist()]
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert got == signed
+        assert peak < 12e6  # all texts of the batch are 40 MB
+
+
+def test_rare_shingles_are_shuffled_as_numbers(spark):
+    numbered = spark.createDataFrame([(b"a", 7), (b"b", 8)], "name binary, no long")
+    sets = spark.createDataFrame([(b"a", [1, 2]), (b"b", [2]), (b"c", [3])], "name binary, shingles array<long>")
+    items = neardup.rare_items(numbered, sets)
+    assert items.dtypes == [("no", "bigint"), ("n", "int"), ("s", "bigint")]
+    assert sorted(map(tuple, items.collect())) == [(7, 2, 1), (7, 2, 2), (8, 1, 2)]
+
+
+def test_names_that_share_a_bucket_are_found_without_a_sort(documents, monkeypatch):
+    plans = {}
+    store = neardup.stored
+
+    def stored(df, name):
+        plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString())
+        return store(df, name)
+
+    monkeypatch.setattr(neardup, "stored", stored)
+    rng = random.Random(14)
+    base = [rng.choice(WORDS) for _ in range(60)]
+    rows = [(i, edited(rng, base, i)) for i in range(3)]
+    assert {r.doc_id: r.component_id for r in neardup.similar_documents(documents(rows)).collect()} == components(rows)
+    assert "SortAggregate" not in plans["neardup-shared"]
