@@ -132,7 +132,8 @@ class Chunk:
         self.first = starts[new].astype(np.int64)
         self.count = np.diff(np.concatenate([new, [len(starts)]]))
         self.anchor = anchor[new].astype(np.int64)
-        self.name = names[self.anchor]
+        # the smallest of several names lies near zero; mixed once more, names fill all ranges alike
+        self.name = _mixed(names[self.anchor])
         self.id = self.row_ids[doc[new]]
 
     # round 1: the names of the anchors, 48 bits each
@@ -416,7 +417,8 @@ def remove_repeats(
 
     Scale: texts are stored once in compressed chunks, bucketed by chunk, and
     never shuffled.  A round shuffles names, packed by range of names, and one
-    reply byte for each.  A chunk sends a name once, so a passage that a third
+    reply byte for each.  Ranges are equally full, each with the names of about
+    ``range_bytes`` of text, and a task holds one at a time.  A chunk sends a name once, so a passage that a third
     of all documents share costs one entry for each chunk.
     """
     spark = docs.sparkSession

@@ -3,9 +3,11 @@ from __future__ import annotations
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 import xxhash
 from llm_brute import repeated_lines, simhash, without_repeats
+from sparkseries.llm import suffix
 from sparkseries.llm.components import components
 from sparkseries.llm.linededup import deduplicate_lines, keep_bitmaps
 from sparkseries.llm.simhash import block_masks, fingerprint, near_duplicates
@@ -152,6 +154,19 @@ def test_strings_of_documents_that_share_nothing(documents):
     assert {(r.doc_id, r.n_removed, r.n_spans) for r in got} == {(0, 0, 0), (1, 0, 0), (2, 0, 0), (5, 0, 0)}
 
 
+def test_ranges_of_names_are_equally_full():
+    rng = random.Random(8)
+    texts = [rng.randbytes(2000) for _ in range(200)]
+    rows = pa.RecordBatch.from_arrays([pa.array(range(200), pa.int64()), pa.array(texts, pa.binary())], names=["id", "text"])
+    chunk = suffix.Chunk(suffix._chunk(0, [rows]).column("body")[0].as_py(), 50, 24)
+    first = suffix._advance(chunk, [], 30, 1)
+    sizes = [content["n"] for _, content in first]
+    assert len(sizes) == 30 and max(sizes) < 1.3 * sum(sizes) / 30
+    again = suffix._advance(chunk, [{"round": 1, "range": r, "bits": b"\1" * content["n"]} for r, content in first], 30, 2)
+    sizes = [len(content["name"]) for _, content in again]
+    assert len(sizes) == 30 and max(sizes) < 1.3 * sum(sizes) / 30
+
+
 def test_empty_tables(documents):
     empty = documents([])
     assert near_duplicates(empty).count() == 0
