@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
-from sparkseries.llm.common import stored
-from sparkseries.llm.vectors import matrix, opened, packed, parts, tiles, usable
+from sparkseries.llm.common import forget, stored
+from sparkseries.llm.vectors import cells, compact, matrix, met, one_array, packed, parts, sides, usable
 
 
 def permutation_prefix(unit: np.ndarray, pivots: np.ndarray, length: int) -> np.ndarray:
@@ -36,20 +38,26 @@ def inverted_files(prefixes: np.ndarray, n_pivots: int) -> tuple[np.ndarray, np.
     return starts, order // length, (order % length).astype(np.int32)
 
 
+def savings(index: dict, length: int) -> np.ndarray:
+    """The files of a shard as one line for each pivot: ``length`` less the place where a row has it, 0 where it has not."""
+    starts = index["starts"]
+    lines = np.zeros((len(starts) - 1, len(index["ids"])), np.min_scalar_type(length * (length + 1)))
+    lines[np.repeat(np.arange(len(lines)), np.diff(starts)), index["rows"]] = length - index["places"]
+    return lines
+
+
 def footrule(index: dict, prefix: np.ndarray) -> np.ndarray:
     """Footrule distance of one prefix to all rows of a shard, from the posts of its pivots alone.
 
     A pivot absent from a prefix stands at place ``length``; the sum over both
-    prefixes is ``length * (length + 1)`` less what shared pivots save.
+    prefixes is ``length * (length + 1)`` less what shared pivots save: twice the
+    lesser of what the two places leave to ``length``.
     """
     length = len(prefix)
-    saved = np.zeros(len(index["ids"]), np.int32)
-    starts, rows, places = index["starts"], index["rows"], index["places"]
-    for at, pivot in enumerate(prefix):
-        posts = slice(starts[pivot], starts[pivot + 1])
-        there = places[posts]
-        saved[rows[posts]] += (length - at) + (length - there) - np.abs(there - at)
-    return length * (length + 1) - saved
+    lines = index["lines"] if "lines" in index else savings(index, length)
+    own = (length - np.arange(length)).astype(lines.dtype)
+    saved = np.minimum(lines[prefix], own[:, None]).sum(axis=0, dtype=lines.dtype)
+    return length * (length + 1) - 2 * saved.astype(np.int64)
 
 
 def _index_of(pivots: dict[int, np.ndarray], prefix: int):
@@ -57,48 +65,69 @@ def _index_of(pivots: dict[int, np.ndarray], prefix: int):
         points = matrix(rows["vector"], np.float64)
         near = pivots[points.shape[1]]
         perms = permutation_prefix(unit_rows(points), near, min(prefix, len(near)))
-        starts, at, places = inverted_files(perms, len(near))
-        return {"ids": rows["id"].to_numpy(), "points": points, "members": rows["members"].to_pylist(), "starts": starts, "rows": at, "places": places}
+        members = one_array(rows["members"])
+        ends = np.concatenate([[0], np.cumsum(pc.list_value_length(members).to_numpy())])
+        return {"points": compact(points), "perms": compact(perms), "pivots": len(near), "members": members.flatten().to_numpy(), "ends": ends}
 
     return build
 
 
+def _posted(shard: dict) -> dict:
+    """A shard with its inverted files, which are made again in each task from the lists, a tenth of their size."""
+    points = shard["points"].astype(np.float64)
+    starts, rows, places = inverted_files(shard["perms"], shard["pivots"])
+    posts = {"ids": shard["members"][shard["ends"][:-1]], "starts": starts, "rows": rows, "places": places}
+    lines = savings(posts, shard["perms"].shape[1])
+    return {**posts, "lines": lines, "points": points, "lengths": lengths(points), "members": shard["members"], "ends": shard["ends"]}
+
+
 def _block_of(pivots: dict[int, np.ndarray], prefix: int):
     def build(rows: pa.Table) -> dict:
         points = matrix(rows["vector"], np.float64)
         near = pivots[points.shape[1]]
-        return {"ids": rows["id"].to_numpy(), "points": points, "perms": permutation_prefix(unit_rows(points), near, min(prefix, len(near)))}
+        perms = permutation_prefix(unit_rows(points), near, min(prefix, len(near)))
+        return {"ids": rows["id"].to_numpy(), "points": compact(points), "perms": compact(perms)}
 
     return build
 
 
-def cosine(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Cosines of one vector with rows, in double precision."""
-    return (x @ q) / (np.sqrt((x * x).sum(axis=1)) * np.sqrt((q * q).sum()))
+def lengths(x: np.ndarray) -> np.ndarray:
+    return np.sqrt((x * x).sum(axis=1))
+
+
+def cosine(q: np.ndarray, x: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Cosines of one vector with rows of known lengths, in double precision."""
+    return (x @ q) / (length * np.sqrt((q * q).sum()))
 
 
 def _searched(k: int, share: float, least: int, close: float):
     def run(batches):
-        for block, index in opened(batches):
-            n = len(index["ids"])
-            reranked = min(n, max(least, int(np.ceil(share * n))))
-            out: list[list] = [[], [], []]
-            for query, q, perm in zip(block["ids"].tolist(), block["points"], block["perms"]):
-                far = footrule(index, perm)
-                edge = np.partition(far, reranked - 1)[reranked - 1]
-                some = np.flatnonzero(far <= max(edge, close * len(perm) * (len(perm) + 1)))
-                scores = cosine(q, index["points"][some])
-                if len(some) > k:
-                    top = np.flatnonzero(scores >= np.partition(scores, len(some) - k)[len(some) - k])
-                    some, scores = some[top], scores[top]
-                ids = [(-s, v) for s, i in zip(scores.tolist(), some.tolist()) for v in index["members"][i]]
-                for s, v in sorted(ids)[:k]:
-                    out[0].append(query)
-                    out[1].append(v)
-                    out[2].append(-s)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64())], names=["class", "vec_id", "score"]
-            )
+        for blocks, shards in met(batches):
+            best: list[list[list]] = [[[] for _ in block["ids"]] for block in blocks]
+            for index in map(_posted, shards):
+                n = len(index["ids"])
+                reranked = min(n, max(least, int(np.ceil(share * n))))
+                members, ends = index["members"], index["ends"]
+                for block, held in zip(blocks, best):
+                    for at, (q, perm) in enumerate(zip(block["points"], block["perms"])):
+                        far = footrule(index, perm)
+                        edge = np.partition(far, reranked - 1)[reranked - 1]
+                        some = np.flatnonzero(far <= max(edge, close * len(perm) * (len(perm) + 1)))
+                        scores = cosine(q.astype(np.float64), index["points"][some], index["lengths"][some])
+                        if len(held[at]) == k:
+                            top = np.flatnonzero(scores >= -held[at][-1][0])
+                            some, scores = some[top], scores[top]
+                        if len(some) > k:
+                            top = np.flatnonzero(scores >= np.partition(scores, len(some) - k)[len(some) - k])
+                            some, scores = some[top], scores[top]
+                        ids = [(-s, v) for s, i in zip(scores.tolist(), some.tolist()) for v in members[ends[i] : ends[i + 1]].tolist()]
+                        if ids:
+                            held[at] = sorted(held[at] + ids)[:k]
+            for block, held in zip(blocks, best):
+                found = [(query, v, -s) for query, own in zip(block["ids"].tolist(), held) for s, v in own]
+                columns = zip(*found) if found else ([], [], [])
+                arrays = [pa.array(c, kind) for c, kind in zip(columns, (pa.int64(), pa.int64(), pa.float64()))]
+                yield pa.RecordBatch.from_arrays(arrays, names=["class", "vec_id", "score"])
 
     return run
 
@@ -114,7 +143,7 @@ def spread(unit: np.ndarray, n: int) -> np.ndarray:
 
 def choose_pivots(classes: DataFrame, n: int, sample: int) -> dict[int, np.ndarray]:
     """``n`` pivots of each length, spread out over ``sample`` distinct vectors of the smallest hashes."""
-    first = Window.partitionBy(F.size("vector")).orderBy(F.xxhash64("vector"), "id")
+    first = Window.partitionBy(F.size("vector")).orderBy(F.xxhash64(F.col("vector").cast("array<double>")), "id")
     rows = classes.withColumn("place", F.row_number().over(first)).where(F.col("place") <= sample)
     by: dict[int, list] = {}
     for row in rows.orderBy("place").select("vector").collect():
@@ -158,11 +187,15 @@ def nearest(
     Scale: equal vectors are one class, found by an aggregate; a class carries
     its ``k + 1`` smallest ids, which is all that any result can name, and is
     searched once for all its queries.  So a vector that a third of all rows
-    share is one row of one shard.  Classes are dealt to shards by hash.
+    share is one row of one shard.  Classes are dealt to shards by hash.  Bands
+    of queries and columns of shards meet in cells, one task each, so neither a
+    copy for each pair nor a table sent to the driver grows with the pairs.
     """
     fine = usable(F.col(vector_col)) & F.col(id_col).isNotNull()
+    given = vectors.select(vector_col).schema[0].dataType
+    kind = "float" if isinstance(given, ArrayType) and isinstance(given.elementType, FloatType) else "double"
     rows = vectors.where(fine).select(
-        F.col(id_col).cast("long").alias("id"), F.transform(F.col(vector_col), lambda v: v.cast("double")).alias("vector"), is_query.alias("asked")
+        F.col(id_col).cast("long").alias("id"), F.transform(F.col(vector_col), lambda v: v.cast(kind)).alias("vector"), is_query.alias("asked")
     )
     rows = rows.where(F.exists("vector", lambda v: v != 0))
     few = Window.partitionBy("vector").orderBy("id")
@@ -177,10 +210,14 @@ def nearest(
     )
     chosen = choose_pivots(classes, pivots, sample)
     queries = asked.select(F.col("class").alias("id")).distinct().join(classes, "id").select("id", "vector")
-    shards, blocks = parts(classes.count(), shard_rows), parts(asked.select("class").distinct().count(), block_rows)
+    n, longest = classes.agg(F.count("*"), F.coalesce(F.max(F.size("vector")), F.lit(0))).first()
+    n_asked = asked.select("class").distinct().count()
+    shards = parts(n, shard_rows)
     index = packed(classes, shards, _index_of(chosen, prefix))
-    wanted = packed(queries, blocks, _block_of(chosen, prefix), salt=1)
-    found = tiles(wanted, index, shards).mapInArrow(_searched(k + 1, share, least, close), "class long, vec_id long, score double")
+    wanted = packed(queries, parts(n_asked, block_rows), _block_of(chosen, prefix), salt=1)
+    forget(classes)
+    dealt = cells(wanted, index, *sides(n, n_asked, longest, shards))
+    found = dealt.mapInArrow(_searched(k + 1, share, least, close), "class long, vec_id long, score double")
     by_class = Window.partitionBy("class").orderBy(F.col("score").desc(), "vec_id")
     best = found.withColumn("place", F.row_number().over(by_class)).where(F.col("place") <= k + 1).drop("place")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")

@@ -1,8 +1,9 @@
-"""Searches of vector tables in tiles: one row per shard of vectors, one per block of queries."""
+"""Searches of vector tables in cells: one row per shard of vectors, one per block of queries."""
 
 from __future__ import annotations
 
 import pickle
+from itertools import chain, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -18,13 +19,27 @@ def usable(vector: Column) -> Column:
     return F.coalesce(vector.isNotNull() & (F.size(vector) > 0) & fine, F.lit(False))
 
 
+def one_array(column: pa.ChunkedArray) -> pa.Array:
+    whole = column.combine_chunks()
+    return whole.chunk(0) if isinstance(whole, pa.ChunkedArray) else whole
+
+
 def matrix(column: pa.ChunkedArray, dtype) -> np.ndarray:
     """A list column of equally long lists as a matrix."""
-    lists = column.combine_chunks()
-    lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+    lists = one_array(column)
     return lists.flatten().to_numpy(zero_copy_only=False).astype(dtype).reshape(len(lists), -1)
 
 
+def compact(x: np.ndarray) -> np.ndarray:
+    """The same numbers in the smallest type that holds each of them."""
+    if x.dtype.kind == "i":
+        fits = (t for t in (np.int8, np.int16, np.int32) if np.iinfo(t).min <= x.min(initial=0) and x.max(initial=0) <= np.iinfo(t).max)
+        return x.astype(next(fits, x.dtype))
+    with np.errstate(over="ignore"):
+        single = x.astype(np.float32)
+    return single if (single == x).all() else x
+
+
 def parts(rows: int, each: int) -> int:
     return max(1, -(-rows // each))
 
@@ -65,6 +80,46 @@ def opened(batches):
             yield pickle.loads(queries.as_buffer()), shard
 
 
+def sides(rows: int, asked: int, longest: int, shard_parts: int, values: int = 1 << 22) -> tuple[int, int]:
+    """Numbers of bands of query blocks and of columns of shards.
+
+    A band has about ``values`` components, which a task holds at once.  There
+    are as many columns as make the copies of queries weigh what the copies of
+    shards do, so both together stay near twice the vectors for each band.
+    """
+    bands = parts(asked * longest, values)
+    return bands, min(shard_parts, max(1, bands * rows // max(1, asked)))
+
+
+def cells(blocks: DataFrame, shards: DataFrame, bands: int, columns: int) -> DataFrame:
+    """``(dim, band, column, sharded, part, body)``: each band of query blocks, then the shards of each column, in a task.
+
+    Bodies go straight to the task of their cell: a join might take a table of
+    many copies for a small one and send it whole to the driver.
+    """
+    other = {"band": F.explode(F.sequence(F.lit(0), F.lit(bands - 1))), "column": F.explode(F.sequence(F.lit(0), F.lit(columns - 1)))}
+    band, column = (F.col("part") % n for n in (bands, columns))
+    asked = blocks.select("dim", band.alias("band"), other["column"].alias("column"), F.lit(False).alias("sharded"), "part", "body")
+    there = shards.select("dim", other["band"].alias("band"), column.alias("column"), F.lit(True).alias("sharded"), "part", "body")
+    cell = F.pmod(F.col("dim") + F.col("band") * columns + F.col("column"), F.lit(bands * columns)).cast("int")
+    dealt = asked.union(there).repartitionById(bands * columns, cell)
+    return dealt.sortWithinPartitions("dim", "band", "column", "sharded", "part")
+
+
+def met(batches):
+    """``(blocks, shards)`` of each cell: its query blocks, unpacked, and an iterator that unpacks one shard after the other."""
+    rows = (row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in ("dim", "band", "column", "sharded")), batch.column("body")))
+    for _, cell in groupby(rows, key=lambda row: row[:3]):
+        blocks, first = [], []
+        for *_, sharded, body in cell:
+            if sharded:
+                first.append(body)
+                break
+            blocks.append(pickle.loads(body.as_buffer()))
+        if blocks:
+            yield blocks, (pickle.loads(body.as_buffer()) for body in chain(first, (row[-1] for row in cell)))
+
+
 def best_rows(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """The ``k`` best of each row: highest score first, ties to the smaller id."""
     order = np.lexsort((ids, -scores), axis=-1)[:, :k]

@@ -1,13 +1,16 @@
 from __future__ import annotations
 
 import math
+import pickle
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from sparkseries.llm.ann import footrule, inverted_files, nearest
 from sparkseries.llm.topk import ball_tree, search_tree, top_k
+from sparkseries.llm.vectors import cells, compact, met, sides
 
 NAN, INF = float("nan"), float("inf")
 
@@ -109,3 +112,55 @@ def test_nearest_recall_and_scores(spark, hot):
 def test_empty_tables(spark):
     assert top_k(table(spark, []), is_query()).count() == 0
     assert nearest(table(spark, []), is_query()).count() == 0
+
+
+def broadcast(df):
+    """What a plan sends to the driver and from there to all tasks: a text for each broadcast."""
+    out, inside = [], None
+    for line in df._jdf.queryExecution().executedPlan().toString().split("\n"):
+        depth = len(line) - len(line.lstrip(" :+-"))
+        if inside is not None and depth > inside:
+            out[-1] += line
+        else:
+            inside = None
+            if "BroadcastExchange" in line:
+                inside = depth
+                out.append(line)
+    return out
+
+
+def test_nearest_sends_no_copies_of_query_blocks_to_the_driver(spark):
+    # 60 queries for 36 shards: a small table whose copies are many times its size
+    found = nearest(table(spark, vectors(6)), is_query(), 5, shard_rows=10, block_rows=20)
+    assert not [x for x in broadcast(found) if "body" in x or "explode" in x.lower()]
+
+
+def test_each_block_meets_each_shard_once(spark):
+    def bodies(parts):
+        return spark.createDataFrame([(d, p, bytearray(pickle.dumps((d, p)))) for d, n in parts for p in range(n)], "dim int, part int, body binary")
+
+    def run(batches):
+        for blocks, shards in met(batches):
+            pairs = [(b[0], b[1], s[0], s[1]) for s in shards for b in blocks]
+            if pairs:  # vectors of a length may be asked for where none are stored
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int32()) for x in zip(*pairs)], names=["d", "b", "e", "s"])
+
+    blocks, shards = bodies([(2, 5), (3, 1), (4, 2)]), bodies([(2, 7), (3, 2), (5, 3)])
+    for bands, columns in ((1, 1), (2, 3), (7, 7)):
+        pairs = cells(blocks, shards, bands, columns).mapInArrow(run, "d int, b int, e int, s int").collect()
+        assert sorted(map(tuple, pairs)) == sorted([(2, b, 2, s) for b in range(5) for s in range(7)] + [(3, 0, 3, s) for s in range(2)])
+
+
+def test_copies_of_queries_follow_the_size_of_the_vectors():
+    # a fiftieth of the rows are queries; rows moved for each row of the table
+    for rows in (10**4, 10**6, 10**7):
+        bands, columns = sides(rows, rows // 50, 64, -(-rows // 4096))
+        assert bands + columns / 50 <= 2 * bands and bands == -(-rows // 50 * 64 // 2**22)
+    assert sides(0, 0, 0, 1) == (1, 1)
+
+
+def test_compact_keeps_each_number():
+    for x in ([0, 255], [-128, 127], [-129, 5], [2**40, -1], [2**62, 2**63 - 1], []):
+        assert compact(np.array(x, np.int64)).astype(np.int64).tolist() == x
+    assert compact(np.array([0.5, -3.0])).dtype == np.float32
+    assert compact(np.array([0.1, 1e300])).tolist() == [0.1, 1e300]
