@@ -41,7 +41,7 @@ def inverted_files(prefixes: np.ndarray, n_pivots: int) -> tuple[np.ndarray, np.
 def savings(index: dict, length: int) -> np.ndarray:
     """The files of a shard as one line for each pivot: ``length`` less the place where a row has it, 0 where it has not."""
     starts = index["starts"]
-    lines = np.zeros((len(starts) - 1, len(index["ids"])), np.min_scalar_type(length * (length + 1)))
+    lines = np.zeros((len(starts) - 1, len(index["ids"])), np.min_scalar_type(length))
     lines[np.repeat(np.arange(len(lines)), np.diff(starts)), index["rows"]] = length - index["places"]
     return lines
 
@@ -56,8 +56,8 @@ def footrule(index: dict, prefix: np.ndarray) -> np.ndarray:
     length = len(prefix)
     lines = index["lines"] if "lines" in index else savings(index, length)
     own = (length - np.arange(length)).astype(lines.dtype)
-    saved = np.minimum(lines[prefix], own[:, None]).sum(axis=0, dtype=lines.dtype)
-    return length * (length + 1) - 2 * saved.astype(np.int64)
+    saved = np.minimum(lines[prefix], own[:, None]).sum(axis=0, dtype=np.min_scalar_type(length * (length + 1)))
+    return length * (length + 1) - 2 * saved.astype(np.int32)
 
 
 def _index_of(pivots: dict[int, np.ndarray], prefix: int):
@@ -113,7 +113,7 @@ def _searched(k: int, share: float, least: int, close: float):
                         far = footrule(index, perm)
                         edge = np.partition(far, reranked - 1)[reranked - 1]
                         some = np.flatnonzero(far <= max(edge, close * len(perm) * (len(perm) + 1)))
-                        scores = cosine(q.astype(np.float64), index["points"][some], index["lengths"][some])
+                        scores = cosine(q.astype(np.float64), index["points"].take(some, axis=0), index["lengths"][some])
                         if len(held[at]) == k:
                             top = np.flatnonzero(scores >= -held[at][-1][0])
                             some, scores = some[top], scores[top]

@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkseries.llm.common import stored
-from sparkseries.llm.vectors import best_rows, matrix, opened, packed, parts, tiles, usable
+from sparkseries.llm.vectors import best_rows, cells, compact, matrix, met, opened, packed, parts, sides, usable
 
 _NONE = -(1 << 62)
-_EXACT = float(1 << 53)
+#: a type of float holds all whole numbers below its bound
+_EXACT = ((np.float32, float(1 << 24)), (np.float64, float(1 << 53)))
 
 
 def ball_tree(ids: np.ndarray, points: np.ndarray, leaf: int) -> dict:
@@ -47,6 +48,10 @@ def ball_tree(ids: np.ndarray, points: np.ndarray, leaf: int) -> dict:
     return {"ids": ids[place], "points": points[place], "centre": centre, "radius": radius, "start": start, "stop": stop, "after": after}
 
 
+def largest_number(x: np.ndarray) -> float:
+    return max(float(x.max(initial=0)), -float(x.min(initial=0)))
+
+
 def search_tree(tree: dict, ids: np.ndarray, points: np.ndarray, floor: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Best ``k`` scores and ids in the tree for a block of queries, a query's own id left out.
 
@@ -71,9 +76,9 @@ def search_tree(tree: dict, ids: np.ndarray, points: np.ndarray, floor: np.ndarr
             leaves.append((node, bound))
         path.append((tree["after"][node], bound))
     leaves.sort(key=lambda x: -x[1].mean())
-    small = float(np.abs(tree["points"]).max(initial=0)) * float(np.abs(points).max(initial=0)) * max(1, points.shape[1]) < _EXACT
-    stored_points = tree["points"].astype(np.float64) if small else tree["points"]
-    asked = q if small else points
+    largest = largest_number(tree["points"]) * largest_number(points) * max(1, points.shape[1])
+    kind = next((kind for kind, bound in _EXACT if largest < bound), np.int64)
+    stored_points, asked = tree["points"].astype(kind), points.astype(kind)
     scores = np.full((len(ids), k), _NONE)
     found = np.full((len(ids), k), np.iinfo(np.int64).max)
     known = floor.copy()
@@ -82,12 +87,12 @@ def search_tree(tree: dict, ids: np.ndarray, points: np.ndarray, floor: np.ndarr
         if not len(active):
             continue
         rows = slice(tree["start"][node], tree["stop"][node])
-        new = (asked[active] @ stored_points[rows].T).astype(np.int64)
-        there = np.broadcast_to(tree["ids"][rows], new.shape)
-        new = np.where(there == ids[active, None], _NONE, new)
-        better = (new >= known[active, None]).any(axis=1)
-        active, new, there = active[better], new[better], there[better]
+        new = (asked[active] if len(active) < len(asked) else asked) @ stored_points[rows].T
+        better = new.max(axis=1) >= known[active]
+        active, new = active[better], new[better].astype(np.int64)
         if len(active):
+            there = np.broadcast_to(tree["ids"][rows], new.shape)
+            new = np.where(there == ids[active, None], _NONE, new)
             scores[active], found[active] = best_rows(
                 np.concatenate([scores[active], new], axis=1), np.concatenate([found[active], there], axis=1), k
             )
@@ -97,14 +102,15 @@ def search_tree(tree: dict, ids: np.ndarray, points: np.ndarray, floor: np.ndarr
 
 def _tree_of(leaf: int):
     def build(rows: pa.Table) -> dict:
-        return ball_tree(rows["id"].to_numpy(), matrix(rows["vector"], np.int64), leaf)
+        tree = ball_tree(rows["id"].to_numpy(), matrix(rows["vector"], np.int64), leaf)
+        return {**tree, "points": compact(tree["points"])}
 
     return build
 
 
 def _block_of(rows: pa.Table) -> dict:
     ids = rows["id"].to_numpy()
-    return {"ids": ids, "points": matrix(rows["vector"], np.int64), "floor": np.full(len(ids), _NONE)}
+    return {"ids": ids, "points": compact(matrix(rows["vector"], np.int64)), "floor": np.full(len(ids), _NONE)}
 
 
 def _seeded(k: int):
@@ -125,13 +131,24 @@ def _seeded(k: int):
 
 def _searched(k: int):
     def run(batches):
-        for block, tree in opened(batches):
-            scores, found = search_tree(tree, block["ids"], block["points"], block["floor"], k)
-            row, column = np.nonzero(scores > _NONE)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(block["ids"][row]), pa.array(found[row, column]), pa.array(scores[row, column])],
-                names=["query_id", "vec_id", "score"],
-            )
+        for blocks, trees in met(batches):
+            best = [np.full((len(block["ids"]), k), _NONE) for block in blocks]
+            whose = [np.full(scores.shape, np.iinfo(np.int64).max) for scores in best]
+            for tree in trees:
+                for block, scores, found in zip(blocks, best, whose):
+                    new, there = search_tree(tree, block["ids"], block["points"], block["floor"], k)
+                    more = np.flatnonzero(new[:, 0] > _NONE)
+                    if len(more):
+                        scores[more], found[more] = best_rows(
+                            np.concatenate([scores[more], new[more]], axis=1), np.concatenate([found[more], there[more]], axis=1), k
+                        )
+                        block["floor"] = np.maximum(block["floor"], scores[:, -1])
+            for block, scores, found in zip(blocks, best, whose):
+                row, column = np.nonzero(scores > _NONE)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(block["ids"][row]), pa.array(found[row, column]), pa.array(scores[row, column])],
+                    names=["query_id", "vec_id", "score"],
+                )
 
     return run
 
@@ -158,24 +175,29 @@ def top_k(
     not read, whatever their names.  An empty table gives an empty result.
 
     Scale: rows are dealt to shards by the hash of their id, so no value is hot.
-    Each shard becomes one row with its tree, each block of queries one row, and
-    a join meets them tile by tile.  Blocks first search one shard; the k-th
-    scores found there are the floors with which every other tile prunes.
+    Each shard becomes one row with its tree, each block of queries one row.
+    Blocks first search one shard; the k-th scores found there are the floors
+    with which all others prune.  Then bands of blocks and columns of shards
+    meet in cells, one task each, where the floors rise from shard to shard; so
+    neither a copy for each pair nor a table sent to the driver grows with the
+    pairs.
     """
     x = F.transform(F.col(vector_col), lambda v: F.floor(v.cast("double") * scale))
     rows = vectors.where(usable(F.col(vector_col)) & F.col(id_col).isNotNull())
     rows = stored(rows.select(F.col(id_col).cast("long").alias("id"), x.alias("vector"), is_query.alias("asked")).distinct(), "topk-vectors")
     asked = rows.where("asked")
-    shards, blocks = parts(rows.count(), shard_rows), parts(asked.count(), block_rows)
+    n, n_asked, longest = rows.agg(F.count("*"), F.count_if("asked"), F.coalesce(F.max(F.size("vector")), F.lit(0))).first()
+    shards, blocks = parts(n, shard_rows), parts(n_asked, block_rows)
     trees = packed(rows, shards, _tree_of(leaf))
     queries = packed(asked, blocks, _block_of, salt=1)
     home = queries.withColumnRenamed("part", "block").withColumn("part", F.col("block") % shards)
-    seeds = home.withColumnRenamed("body", "queries").join(trees.withColumnRenamed("body", "shard"), ["dim", "part"], "left")
+    first = trees.where(F.col("part") < blocks).withColumnRenamed("body", "shard").hint("merge")
+    seeds = home.withColumnRenamed("body", "queries").join(first, ["dim", "part"], "left")
     seeded = stored(
         seeds.where("shard IS NOT NULL").select("dim", "block", "queries", "shard").mapInArrow(_seeded(k), "dim int, part int, body binary")
         .union(seeds.where("shard IS NULL").select("dim", F.col("block").alias("part"), F.col("queries").alias("body"))),
         "topk-seeds",
     )
-    found = tiles(seeded, trees, shards).mapInArrow(_searched(k), "query_id long, vec_id long, score long")
+    found = cells(seeded, trees, *sides(n, n_asked, longest, shards)).mapInArrow(_searched(k), "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -61,16 +61,8 @@ def packed(df: DataFrame, parts_: int, build, salt: int = 0) -> DataFrame:
     return stored(dealt.groupBy("dim", "part").applyInArrow(run, "dim int, part int, body binary"), "vector-parts")
 
 
-def tiles(blocks: DataFrame, shards: DataFrame, shard_parts: int) -> DataFrame:
-    """``(dim, shard, block, queries)``: every block of queries with every shard of vectors of its length."""
-    wanted = blocks.select(
-        "dim", F.col("part").alias("block"), F.col("body").alias("queries"), F.explode(F.sequence(F.lit(0), F.lit(shard_parts - 1))).alias("part")
-    )
-    return wanted.join(shards, ["dim", "part"]).select("dim", "block", "queries", F.col("body").alias("shard"))
-
-
 def opened(batches):
-    """``(queries, shard)`` of each tile, unpacked; a shard that several tiles in a row use is unpacked once."""
+    """``(queries, shard)`` of each row, unpacked; a shard that several rows on end use is unpacked once."""
     for batch in batches:
         last, shard = None, None
         for queries, body in zip(batch.column("queries"), batch.column("shard")):

@@ -135,6 +135,21 @@ def test_nearest_sends_no_copies_of_query_blocks_to_the_driver(spark):
     assert not [x for x in broadcast(found) if "body" in x or "explode" in x.lower()]
 
 
+def test_top_k_sends_no_query_block_or_shard_to_the_driver(spark):
+    found = top_k(table(spark, vectors(7)), is_query(), 5, shard_rows=10, block_rows=20)
+    assert not [x for x in broadcast(found) if "body" in x or "explode" in x.lower()]
+
+
+@pytest.mark.parametrize("size", [1, 2**14, 2**29])
+def test_search_is_exact_for_numbers_of_each_type(size):
+    rng = np.random.default_rng(8)
+    points = rng.integers(-size, size + 1, (200, 4))
+    points[0] = -size
+    for p in (points, compact(points)):
+        scores, _ = search_tree(ball_tree(np.arange(200), p, 16), np.full(9, -1), p[:9], np.full(9, -(1 << 62)), 3)
+        assert scores.tolist() == [sorted((points @ q).tolist(), reverse=True)[:3] for q in points[:9]]
+
+
 def test_each_block_meets_each_shard_once(spark):
     def bodies(parts):
         return spark.createDataFrame([(d, p, bytearray(pickle.dumps((d, p)))) for d, n in parts for p in range(n)], "dim int, part int, body binary")
